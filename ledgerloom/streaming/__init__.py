@@ -1,0 +1 @@
+"""Intentionally empty: the work rebuilt here is month-batch only and has no streaming operator."""
