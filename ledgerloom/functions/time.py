@@ -19,18 +19,21 @@ def local_to_utc(local: Column, zone: str) -> Column:
     return F.when(F.convert_timezone(F.lit("UTC"), F.lit(zone), second) == local, second).otherwise(first)
 
 
-def clock_text(day: Column, time: Column, order: str) -> Column:
-    """``a/b/yyyy`` + ``HH:mm:ss`` to a timestamp; null where that reading is no calendar date.
+def clock_parts(day: Column, time: Column) -> Column:
+    """``a/b/yyyy`` + ``HH:mm:ss`` to its six numbers as text. Put it in a column of its own: both
+    readings of the date share it."""
+    return F.split(F.trim(F.concat(day, F.lit(" "), time)), "[/ :]+")
 
-    ``order`` is 'mdy' or 'dmy'. One-digit days and months are accepted.
-    """
-    parts = F.split(F.trim(F.concat(day, F.lit(" "), time)), "[/ :]+")
 
-    def part(i: int) -> Column:
-        return F.when(F.size(parts) == 6, F.get(parts, i).try_cast("int"))
+def clock_time(parts: Column, order: str) -> Column:
+    """The reading of ``clock_parts`` as month first ('mdy') or day first ('dmy'); null where that is
+    no calendar date. One-digit days and months are accepted."""
+    def number(i: int) -> Column:
+        return F.get(parts, i).try_cast("int")
 
-    month, dom = (part(0), part(1)) if order == "mdy" else (part(1), part(0))
-    return F.try_make_timestamp_ntz(part(2), month, dom, part(3), part(4), part(5).cast("decimal(8,6)"))
+    month, dom = (number(0), number(1)) if order == "mdy" else (number(1), number(0))
+    year = F.when(F.size(parts) == 6, number(2))
+    return F.try_make_timestamp_ntz(year, month, dom, number(3), number(4), number(5).cast("decimal(8,6)"))
 
 
 def worded_date(day: Column, time: Column) -> Column:

@@ -39,8 +39,9 @@ def scope_to_period(matched: DataFrame, period: date | None = None) -> DataFrame
     if period is not None:
         rows = matched.withColumn("reporting_month", F.lit(period).cast("date"))
     else:
-        own = F.array_distinct(F.array_compact(F.array("engine_period", "psp_period")))
-        rows = matched.withColumn("reporting_month", F.explode(own))
+        theirs_too = F.when(~F.col("psp_period").eqNullSafe(F.col("engine_period")), F.col("psp_period"))
+        own = F.explode(F.array("engine_period", theirs_too))
+        rows = matched.withColumn("reporting_month", own).filter("reporting_month is not null")
     ours = is_true(F.col("engine_period") == F.col("reporting_month"))
     theirs = is_true(F.col("psp_period") == F.col("reporting_month"))
 

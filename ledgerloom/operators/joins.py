@@ -12,21 +12,17 @@ _SPREAD = "__spread"
 
 
 def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """A row with a null key matches nothing, wherever it sits: give it a partition of its own hash."""
+    """A 64-bit leading key: the hash of the join keys, or of the whole row where a key is null.
+
+    A row with a null key matches nothing, wherever it sits; without this all of them would hash to
+    one partition. For the others the number settles nearly every comparison of the sort.
+    """
     keyless = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    return df.withColumn(_SPREAD, F.when(keyless, row_hash).otherwise(F.lit(0).cast("bigint")))
+    of_row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return df.withColumn(_SPREAD, F.when(keyless, of_row).otherwise(F.xxhash64(*keys)))
 
 
 def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Equi-join on ``keys`` (same name on both sides) with rows of null key spread over all tasks.
-
-    Without the spreading, every keyless row of an outer join hashes to one partition.
-    """
-    joined = _spread(left, keys).join(_spread(right, keys), [*keys, _SPREAD], how)
+    """Equi-join on ``keys`` (same name on both sides) with rows of null key spread over all tasks."""
+    joined = _spread(left, keys).join(_spread(right, keys), [_SPREAD, *keys], how)
     return joined.drop(_SPREAD)
-
-
-def broadcast_if_small(df: DataFrame, rows: int, max_rows: int) -> DataFrame:
-    """Broadcast only a side whose row count was measured and is within the bound."""
-    return F.broadcast(df) if rows <= max_rows else df

@@ -44,7 +44,7 @@ def accepted_values(df: DataFrame, accepted: Mapping[str, Sequence[object]]) ->
         F.when(~F.col(c).isin(*values), F.struct(
             F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")))
         for c, values in accepted.items()]
-    return (df.select(F.explode(F.array_compact(F.array(*strays))).alias("r"))
+    return (df.select(F.explode(F.array(*strays)).alias("r")).filter("r is not null")
             .groupBy("r.column_name", "r.value").agg(F.count("*").alias("n_rows")))
 
 
@@ -331,7 +331,8 @@ def buckets_reconcile(classified: DataFrame) -> DataFrame:
             F.col(f"{prefix}_diff_usd").cast(C.MONEY).alias("diff"), control.cast(C.MONEY).alias("control")))
         for scope, (present, prefix, control) in scopes.items()])
     keys = _period_keys(classified)
-    long = classified.select(*keys, F.explode(F.array_compact(entries)).alias("e")).select(*keys, "e.*")
+    long = (classified.select(*keys, F.explode(entries).alias("e"))
+            .filter("e is not null").select(*keys, "e.*"))
     totals = {
         f"{bucket}_usd": F.sum(F.when(F.col("bucket") == bucket, F.col("diff")).otherwise(money.zero()))
         for bucket in C.RECON_STATUSES}

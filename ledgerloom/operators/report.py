@@ -33,9 +33,8 @@ def _scope_entries(classified: DataFrame) -> DataFrame:
                      F.col("psp_amount_usd_period") + F.col("psp_amount_usd_duplicate_period")),
         _scope_entry("fees", F.col("psp_in_period"), "net_status", "net_cause", "net_diff_usd",
                      money.or_zero(F.col("psp_fee_usd"))))
-    return classified.select(
-        "reporting_month", "psp", F.explode(F.array_compact(entries)).alias("e")
-    ).select("reporting_month", "psp", "e.*")
+    return (classified.select("reporting_month", "psp", F.explode(entries).alias("e"))
+            .filter("e is not null").select("reporting_month", "psp", "e.*"))
 
 
 def scope_lines(classified: DataFrame) -> DataFrame:
@@ -112,9 +111,10 @@ def recon_summary(classified: DataFrame) -> DataFrame:
         F.lit(0).cast("bigint").alias("n_rows"),
         F.lit(0).cast(TOTAL).alias("abs_usd"), F.lit(0).cast(TOTAL).alias("signed_usd"))
     lines = (based
-             .withColumn("line", F.explode(F.array_compact(F.array(
+             .withColumn("line", F.explode(F.array(
                  F.when(F.col("recon_cause").isNotNull(), line),
-                 F.when(F.col("__residual") & (F.col("__first") == 1), nil)))))
+                 F.when(F.col("__residual") & (F.col("__first") == 1), nil))))
+             .filter("line is not null")
              .select(*_SCOPE_KEYS, "line.*", _base_label().alias("base_label"), "base_usd"))
     shown = materiality_shares(lines)
     return shown.select(

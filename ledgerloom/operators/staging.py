@@ -187,20 +187,22 @@ def resolve_dual_date(
 ) -> DataFrame:
     """Read a day/month date in its file's declared order; where that falls outside the export's own
     window, or is no date at all, read it in the other order and say so."""
-    mdy, dmy = time.clock_text(day, clock, "mdy"), time.clock_text(day, clock, "dmy")
-    declared = F.when(month_first, mdy).otherwise(dmy)
-    other = F.when(month_first, dmy).otherwise(mdy)
+    mdy, dmy = (time.clock_time(F.col("__parts"), order) for order in ("mdy", "dmy"))
+    declared = F.when(month_first, F.col("__mdy")).otherwise(F.col("__dmy"))
+    other = F.when(month_first, F.col("__dmy")).otherwise(F.col("__mdy"))
 
     def inside(ts: Column) -> Column:
         return F.coalesce(time.day_of(ts).between(window_start, window_end), F.lit(False))
 
-    return (df.withColumns({"__declared": declared, "__other": other})
+    return (df.withColumn("__parts", time.clock_parts(day, clock))
+            .withColumns({"__mdy": mdy, "__dmy": dmy})
+            .withColumns({"__declared": declared, "__other": other})
             .withColumns({
                 "date_format_overridden": ~inside(F.col("__declared")),
                 "event_at": F.when(inside(F.col("__declared")), F.col("__declared"))
                              .otherwise(F.col("__other")),
                 "date_unresolved": ~inside(F.col("__declared")) & ~inside(F.col("__other"))})
-            .drop("__declared", "__other"))
+            .drop("__parts", "__mdy", "__dmy", "__declared", "__other"))
 
 
 def tag_accounts(exports: Mapping[str, DataFrame]) -> DataFrame:

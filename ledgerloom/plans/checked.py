@@ -103,11 +103,11 @@ check("date_override_bounded",
       lambda x: Q.date_override_bounded(x.paypal, x.payments.filter("psp = 'paypal_eu' and k % 401 = 24").select(
           F.concat(F.lit("ORD-"), F.col("k").cast("string")).alias("order_ref"))),
       "psp order_ref psp_reference created_at_utc:t",
-      """WITH pinned AS (SELECT 'ORD-' || k AS order_ref FROM payments WHERE psp = 'paypal_eu' AND k % 401 = 24),
+      """SELECT * FROM (WITH pinned AS (SELECT 'ORD-' || k AS order_ref FROM payments WHERE psp = 'paypal_eu' AND k % 401 = 24),
          seen AS (SELECT * FROM paypal WHERE date_format_overridden)
          SELECT psp, order_ref, psp_reference, created_at_utc FROM seen WHERE order_ref NOT IN (SELECT order_ref FROM pinned)
          UNION ALL SELECT 'expected_override_count', CAST(n AS VARCHAR), NULL, NULL FROM (SELECT count(*) AS n FROM seen)
-         WHERE n <> (SELECT count(*) FROM pinned)""")
+         WHERE n <> (SELECT count(*) FROM pinned))""")
 check("declared_zone_is_gmt",
       lambda x: Q.declared_zone_is_gmt(x.paypal_raw.withColumn(
           "Time Zone", F.when(F.col("Currency") == "GBP", "PST").otherwise(F.col("Time Zone")))),

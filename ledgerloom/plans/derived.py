@@ -1,12 +1,14 @@
-"""The derived exports as lazy DataFrames, staged and carried through every layer.
+"""The derived exports, staged and carried through every layer.
 
-Only the small exchange-rate table is stored (it is measured and looked up several times per plan);
-everything else stays one lazy plan from the order table to the result.
+A provider delivers files, so each derived export is stored once per session and data folder, under the
+shared folder, and read like any other input. From there every layer is lazy: one plan per result.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,12 +17,13 @@ from pyspark.sql import functions as F
 from ledgerloom.config import RunConfig
 from ledgerloom.functions import time
 from ledgerloom.operators import classify, matching, pricing, refdata, report, staging
-from ledgerloom.operators.asof import DailyReference, SparseReference, asof_daily, effective_dated
+from ledgerloom.operators.asof import DailyReference, SparseReference, asof_daily
 from ledgerloom.plans import exports
 from ledgerloom.plans.dialect import SPARK
 from ledgerloom.sources.workspace import settle
 
-_stored_rates: dict[tuple[str, str], DataFrame] = {}
+_stored: dict[tuple[str, str, str], DataFrame] = {}
+_calendars: dict[tuple[str, str], DailyReference] = {}
 EXPORT_DAYS = 32  # days an export reaches past the first of its month
 
 
@@ -46,29 +49,42 @@ class Derived:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def _store(self, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, label)
+        if key not in _stored:
+            df = build()
+            # a table of a few files would leave every later scan with a few tasks
+            cores = self.spark.sparkContext.defaultParallelism
+            if len(self.table("orders").inputFiles()) < cores:
+                df = df.repartition(cores)
+            _stored[key] = settle(df, label)
+        return _stored[key]
+
     def _derive(self, steps: exports.Steps, **views: DataFrame) -> DataFrame:
         return run_steps(self.spark, steps, **views)
 
     # reference data
 
-    @cached_property
+    @property
     def fx_rates_raw(self) -> DataFrame:
-        return self._derive(exports.fx_rates(SPARK), orders=self.table("orders"))
+        return self._store("fx_rates_raw", lambda: self._derive(exports.fx_rates(SPARK), orders=self.table("orders")))
 
     @cached_property
     def rate_versions(self) -> DataFrame:
         return refdata.rate_versions(self.fx_rates_raw)
 
-    @cached_property
+    @property
     def current_rates(self) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.sf_dir)
-        if key not in _stored_rates:
-            _stored_rates[key] = settle(refdata.current_rates(self.rate_versions), "fx_rates")
-        return _stored_rates[key]
+        return self._store("current_rates", lambda: refdata.current_rates(self.rate_versions))
 
-    @cached_property
+    @property
     def calendar(self) -> DailyReference:
-        return refdata.rate_calendar(self.current_rates)
+        """The rate of every day, stored: a few thousand rows that many plans look up."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _calendars:
+            found = refdata.rate_calendar(self.current_rates)
+            _calendars[key] = replace(found, days=settle(found.days, "rate_calendar"))
+        return _calendars[key]
 
     @cached_property
     def contracts_raw(self) -> DataFrame:
@@ -95,32 +111,41 @@ class Derived:
     def provider_view(self) -> DataFrame:
         return self._derive(exports.provider_view(SPARK), payments=self.payments)
 
-    @cached_property
+    @property
     def adyen_raw(self) -> DataFrame:
-        return self._derive(exports.adyen(SPARK), provider_view=self.provider_view)
+        return self._store("adyen", lambda: self._derive(exports.adyen(SPARK), provider_view=self.provider_view))
 
-    @cached_property
+    @property
     def dlocal_raw(self) -> DataFrame:
-        rated = self._rated(self.provider_view, captured="captured_at")
-        return self._derive(exports.dlocal(SPARK), provider_view=rated)
+        return self._store("dlocal", lambda: self._derive(exports.dlocal(SPARK), provider_view=self._rated(
+            self.provider_view, captured="captured_at")))
 
-    @cached_property
+    @property
     def google_play_raw(self) -> DataFrame:
-        rated = self._rated(self.provider_view, captured="captured_at")
-        return self._derive(exports.google_play(SPARK), provider_view=rated)
+        return self._store("google_play", lambda: self._derive(exports.google_play(SPARK), provider_view=self._rated(
+            self.provider_view, captured="captured_at")))
 
-    @cached_property
+    @property
     def paypal_raw(self) -> DataFrame:
-        return self._derive(exports.paypal(SPARK), provider_view=self.provider_view)
+        return self._store("paypal", lambda: self._derive(exports.paypal(SPARK), provider_view=self.provider_view))
 
-    @cached_property
+    @property
     def payment_log_raw(self) -> DataFrame:
+        return self._store("payment_log", self._payment_log)
+
+    def _payment_log(self) -> DataFrame:
         rated = self._rated(self.payments, created="created_at", reversed="reversed_at")
         earlier = asof_daily(
             rated, self.calendar, {"currency": "currency"}, F.date_sub("created_rate_date", 1),
             {"usd_rate": "previous_rate", "rate_date": "previous_date"}, self.config)
         return self._derive(exports.payment_log(SPARK), payments=earlier)
 
+    def prepare(self) -> None:
+        """Store every derived export now, so that a later query is timed without them."""
+        for name in ("fx_rates_raw", "current_rates", "calendar", "adyen_raw", "dlocal_raw", "google_play_raw", "paypal_raw",
+                     "payment_log_raw"):
+            getattr(self, name)
+
     # staged
 
     @cached_property

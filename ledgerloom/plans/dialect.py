@@ -54,11 +54,9 @@ class Dialect:
         return f"timezone('{zone}', timezone('UTC', {ts}))"
 
     def each(self, *items: str) -> str:
-        """One output row per non-null item."""
+        """One output row per item; the next step drops the nulls."""
         listed = ", ".join(items)
-        if self.spark:
-            return f"explode(array_compact(array({listed})))"
-        return f"unnest(list_filter([{listed}], lambda x : x IS NOT NULL))"
+        return f"explode(array({listed}))" if self.spark else f"unnest([{listed}])"
 
     def weekend(self, day: str) -> str:
         return f"dayofweek({day}) IN ({'1, 7' if self.spark else '0, 6'})"

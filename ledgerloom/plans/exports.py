@@ -47,7 +47,7 @@ def fx_rates(d: Dialect) -> Steps:
   CAST(CAST(CAST(CASE version WHEN 1 THEN micro ELSE micro + {d.div('micro', '40')} END AS DECIMAL(18,0))
        * 0.000001 AS DECIMAL(18,6)) AS {d.string}) AS usd_rate,
   {d.show(d.plus_seconds(day, "CASE version WHEN 1 THEN 57600 ELSE 205200 END"), 'iso_z')} AS published_at
-FROM published"""),
+FROM published WHERE version IS NOT NULL"""),
     ]
 
 def payments(d: Dialect) -> Steps:
@@ -114,7 +114,7 @@ def adyen(d: Dialect) -> Steps:
   FROM provider_view WHERE psp = 'adyen'"""),
         ("charged", f"""SELECT *, CASE WHEN new_terms THEN 275 ELSE 250 END AS bp,
     CASE WHEN new_terms AND currency = 'EUR' THEN 10 ELSE 0 END AS fixed_cents
-  FROM entries"""),
+  FROM entries WHERE entry IS NOT NULL"""),
         ("fees", f"""SELECT *, {fee} AS fee_cents FROM charged"""),
         ("result", f"""SELECT adyen_account AS `Merchant Account`, concat('A-', CAST(k AS {d.string})) AS `Psp Reference`,
   concat('ORD-', CAST(k AS {d.string})) AS `Merchant Reference`, entry AS `Record Type`,
@@ -141,7 +141,7 @@ def dlocal(d: Dialect) -> Steps:
     CAST(captured_rate * 1000000 AS BIGINT) AS micro
   FROM provider_view WHERE psp = 'dlocal'"""),
         ("quoted", f"""SELECT *, {amount} AS amount_cents, {d.div(f"1000000000000 + {d.div('micro', '2')}", 'micro')} AS per_usd
-  FROM entries"""),
+  FROM entries WHERE entry IS NOT NULL"""),
         ("dollars", f"""SELECT *, {d.div('amount_cents * 2000000 + per_usd', '2 * per_usd')} AS usd_cents FROM quoted"""),
         ("result", f"""SELECT concat(CASE WHEN {sale} THEN 'D-' ELSE 'DR-' END, CAST(k AS {d.string})) AS transaction_id,
   concat('ORD-', CAST(k AS {d.string})) AS invoice_id, entry AS transaction_type,
@@ -171,7 +171,7 @@ def google_play(d: Dialect) -> Steps:
         ("dollars", f"""SELECT *, {when} AS local_at,
     CAST(round(CAST(moved_cents AS DECIMAL(18,0)) * rate, 0) AS BIGINT) AS sale_usd_cents,
     CAST(round(CAST(undone_cents AS DECIMAL(18,0)) * rate, 0) AS BIGINT) AS undone_usd_cents
-  FROM entries"""),
+  FROM entries WHERE entry IS NOT NULL"""),
         ("amounts", f"""SELECT *,
     CASE entry WHEN 'Charge' THEN moved_cents WHEN 'Charge refund' THEN -undone_cents
          ELSE -({d.div('moved_cents * bp + 5000', '10000')} + fee_error) END AS amount_cents,
@@ -205,7 +205,7 @@ def paypal(d: Dialect) -> Steps:
          WHEN currency = 'EUR' THEN {d.div('moved_cents * 290 + 5000', '10000')} + 35 + fee_error
          ELSE {d.div('moved_cents * 290 + 5000', '10000')} + 30 + fee_error END AS fee_cents,
     CASE WHEN entry <> 'sale' THEN undone_at WHEN outcome = 'declined' THEN created_at ELSE settled_at END AS event_at
-  FROM entries"""),
+  FROM entries WHERE entry IS NOT NULL"""),
         ("result", f"""SELECT psp AS account,
   CASE WHEN {day_first} THEN {d.show('event_at', 'dmy')} ELSE {d.show('event_at', 'mdy')} END AS `Date`,
   {d.show('event_at', 'clock')} AS `Time`, 'GMT' AS `Time Zone`,
@@ -238,7 +238,7 @@ def payment_log(d: Dialect) -> Steps:
     CASE entry WHEN 'SALE' THEN cents ELSE {half} END AS amount_cents,
     CASE entry WHEN 'SALE' THEN created_rate ELSE reversed_rate END AS right_rate,
     CASE entry WHEN 'SALE' THEN created_rate_date ELSE reversed_rate_date END AS right_date
-  FROM entries"""),
+  FROM entries WHERE entry IS NOT NULL"""),
         ("booked", f"""SELECT *, CAST(CASE WHEN currency = 'USD' OR right_rate IS NULL OR k % 37 = 2 THEN 1
                  WHEN k % 41 = 3 THEN round(right_rate * 1.01, 6)
                  WHEN k % 43 = 4 AND entry = 'SALE' THEN coalesce(previous_rate, right_rate)

@@ -153,8 +153,9 @@ register("decimal_comma_parse",
             CAST(replace("Net", ',', '.') AS DECIMAL(18,2)) AS net FROM paypal_raw""")
 register("minor_unit_scale", lambda x: staging.dlocal_typed(x.dlocal_raw),
          "psp_reference transaction_type currency amount:m n_copies:i",
-         """SELECT transaction_id AS psp_reference, transaction_type, currency, CAST(any_value(local_amount) AS DECIMAL(18,2))
-            * if(currency = 'CLP', 1.00, 0.01) AS amount, count(*) AS n_copies FROM dlocal_raw GROUP BY ALL""")
+         """SELECT transaction_id AS psp_reference, transaction_type, currency, CAST(local_amount AS DECIMAL(18,2))
+            * if(currency = 'CLP', 1.00, 0.01) AS amount, count(*) AS n_copies FROM dlocal_raw
+            GROUP BY transaction_id, transaction_type, currency, local_amount""")
 register("local_to_utc",
          lambda x: staging.adyen_events(x.adyen_raw).select("order_ref", "record_type", "event_at")
          .unionByName(staging.google_play_entries(x.google_play_raw).select(
@@ -177,8 +178,10 @@ register("filter_events_by_type",
          "FROM adyen_raw WHERE \"Record Type\" IN ('Refunded', 'Chargeback')")
 register("filter_export_window",
          lambda x: x.paypal_raw.withColumn(
-             "day", time.day_of(time.clock_text(F.col("Date"), F.col("Time"), "dmy")))
-         .filter("account = 'paypal_eu'").filter(~F.col("day").between(*x.window)),
+             "day", time.day_of(time.clock_time(
+             time.clock_parts(F.col("Date"), F.col("Time")), "dmy")))
+         .filter("account = 'paypal_eu'").filter(~F.col("day").between(*x.window))
+         .select(F.col("`Transaction ID`").alias("psp_reference"), "day"),
          "psp_reference day:d",
          f"""SELECT "Transaction ID" AS psp_reference, CAST(try_strptime("Date", '%d/%m/%Y') AS DATE) AS day FROM paypal_raw
              WHERE account = 'paypal_eu' AND CAST(try_strptime("Date", '%d/%m/%Y') AS DATE)

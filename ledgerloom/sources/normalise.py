@@ -11,14 +11,19 @@ from __future__ import annotations
 import codecs
 import hashlib
 import re
+import sys
 import unicodedata
 from collections.abc import Iterator, Mapping
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# the small functions below run on executors, which need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _BLOCK = 4 << 20
 _BATCH = 20_000
 # Byte-order marks; the 32-bit mark begins with the 16-bit one and is tried first.
