@@ -34,7 +34,7 @@ _WIDE = ("utf-16", "utf-32")
 
 FINGERPRINT = (
     "path string, source string, declared string, encoding_used string, sha256_in string, bytes_in bigint, "
-    "decodable boolean, ends_with_newline boolean, head array<string>")
+    "decodable boolean, ascii_only boolean, ends_with_newline boolean, head array<string>")
 
 
 def _open(path: str):
@@ -61,7 +61,7 @@ class _Probe:
 
 
 def _fingerprint(path: str, declared: str) -> dict:
-    digest, size, last, head = hashlib.sha256(), 0, b"", b""
+    digest, size, last, ascii_only = hashlib.sha256(), 0, b"", True
     with _open(path) as stream:
         first = stream.read(_BLOCK)
         marked = next((e for mark, e in _MARKS if first.startswith(mark)), None)
@@ -71,6 +71,7 @@ def _fingerprint(path: str, declared: str) -> dict:
             digest.update(block)
             size += len(block)
             last = block[-4:]
+            ascii_only = ascii_only and block.isascii()
             for probe in probes.values():
                 probe.feed(block)
             block = stream.read(_BLOCK)
@@ -82,7 +83,7 @@ def _fingerprint(path: str, declared: str) -> dict:
     ends = last.endswith(newline) or (used in _WIDE and last.endswith("\n".encode(used + "-be")))
     return {
         "path": path, "declared": declared, "encoding_used": used, "sha256_in": digest.hexdigest(),
-        "bytes_in": size, "decodable": probes[used].ok, "ends_with_newline": ends,
+        "bytes_in": size, "decodable": probes[used].ok, "ascii_only": ascii_only, "ends_with_newline": ends,
         "head": [unicodedata.normalize("NFC", line) for line in lines]}
 
 
@@ -144,40 +145,48 @@ def _is_ascii(text: Column) -> Column:
 def normalised_lines(spark: SparkSession, files: DataFrame) -> DataFrame:
     """Lines of every decodable file: (path, source, line, crlf, nfc_changed).
 
-    ``files`` is a stored result of ``fingerprints``. Python sees only lines that hold a character
-    outside ASCII. The file list goes through the driver, the files do not.
+    ``files`` is a stored result of ``fingerprints``. Files of plain ASCII never leave the JVM; of the
+    others Python sees only lines that hold a character outside ASCII. The file list goes through the
+    driver, the files do not.
     """
     good = files.filter("decodable")
-    parts = []
     byte_files: dict[str, list[str]] = {}
-    for row in good.filter(~F.col("encoding_used").isin(*_WIDE)).select("path", "encoding_used").collect():
-        byte_files.setdefault(row["encoding_used"], []).append(row["path"])
+    for row in good.filter(~F.col("encoding_used").isin(*_WIDE)).select(
+            "path", "encoding_used", "ascii_only").collect():
+        byte_files.setdefault("ascii" if row["ascii_only"] else row["encoding_used"], []).append(row["path"])
+    parts = []
     for encoding, paths in byte_files.items():
         raw = (spark.read.option("lineSep", "\n").text(paths)
                .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
-        if encoding not in ("utf-8", "utf-8-sig"):
+        if encoding == "utf-8-sig":
+            raw = raw.withColumn("text", F.regexp_replace("text", "^\ufeff", ""))
+        elif encoding not in ("ascii", "utf-8"):
             exotic = F.when(~_is_ascii(F.col("text")), F.col("text").cast("binary"))
             raw = raw.withColumn("text", F.coalesce(_decoder(encoding)(exotic), F.col("text")))
-        elif encoding == "utf-8-sig":
-            raw = raw.withColumn("text", F.regexp_replace("text", "^\ufeff", ""))
-        parts.append(raw)
+        parts.append(_clean(raw, compose=encoding != "ascii"))
     wide = good.filter(F.col("encoding_used").isin(*_WIDE)).select("path", "encoding_used")
-    parts.append(wide.mapInPandas(_wide_lines, "path string, text string"))
+    parts.append(_clean(wide.mapInPandas(_wide_lines, "path string, text string"), compose=True))
     lines = parts[0]
     for part in parts[1:]:
         lines = lines.unionByName(part)
-    crlf = F.col("text").endswith("\r")
-    bare = F.when(crlf, F.expr("left(text, char_length(text) - 1)")).otherwise(F.col("text"))
-    cleaned = (lines.withColumns({"crlf": crlf, "bare": bare})
-               .withColumn("composed", _composed(F.when(~_is_ascii(F.col("bare")), F.col("bare"))))
-               .select("path", F.coalesce("composed", "bare").alias("line"), "crlf",
-                       (F.col("composed").isNotNull() & (F.col("composed") != F.col("bare"))).alias("nfc_changed")))
     # one row per file: a file listing, not data
     names = F.broadcast(good.select(_plain(F.col("path")).alias("__p"), "source"))
-    return (cleaned.withColumn("__p", _plain(F.col("path"))).join(names, "__p")
+    return (lines.withColumn("__p", _plain(F.col("path"))).join(names, "__p")
             .select("path", "source", "line", "crlf", "nfc_changed"))
 
 
+def _clean(lines: DataFrame, compose: bool) -> DataFrame:
+    """Unify line ends and compose accents, keeping count of what was changed."""
+    crlf = F.col("text").endswith("\r")
+    bare = F.when(crlf, F.expr("left(text, char_length(text) - 1)")).otherwise(F.col("text"))
+    cut = lines.withColumns({"crlf": crlf, "bare": bare})
+    if not compose:
+        return cut.select("path", F.col("bare").alias("line"), "crlf", F.lit(False).alias("nfc_changed"))
+    composed = cut.withColumn("composed", _composed(F.when(~_is_ascii(F.col("bare")), F.col("bare"))))
+    changed = F.col("composed").isNotNull() & (F.col("composed") != F.col("bare"))
+    return composed.select("path", F.coalesce("composed", "bare").alias("line"), "crlf", changed.alias("nfc_changed"))
+
+
 def _plain(path: Column) -> Column:
     """The readers spell a local path with one or three slashes."""
     return F.regexp_replace(path, "^file:/+", "file:///")
