@@ -17,7 +17,7 @@ def key_uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def lifecycle_sets(df: DataFrame, key: str, state: str) -> DataFrame:
     """Which sets of states occur together under one key, and how often.
 
-    The states are reduced to distinct (key, state) pairs first, so a set is as small as the
+    The rows are reduced to distinct (key, state) pairs first, so a set is as small as the state
     vocabulary however many rows a key has.
     """
     states = (df.select(key, state).distinct().groupBy(key)
@@ -42,18 +42,23 @@ def rates_by(df: DataFrame, by: str, **conditions: Column) -> DataFrame:
 def sequence_gaps(df: DataFrame, number: str, block: int = 1_000_000) -> DataFrame:
     """Runs of missing numbers between the smallest and the largest one present.
 
-    Numbers are ordered within blocks, in parallel; gaps across block borders come from the blocks'
-    own first and last numbers, which are few.
+    Numbers are put in order within blocks, in parallel. A block is then one span from its first to
+    its last number, and the spans are put in order within blocks of blocks. What is left for one task
+    is at most a span per ``block`` squared numbers of the range.
     """
-    numbers = df.select(F.col(number).cast("bigint").alias("n")).filter("n is not null").distinct()
-    blocked = numbers.withColumn("b", F.floor(F.col("n") / block))
-    inside = blocked.withColumn("before", F.lag("n").over(Window.partitionBy("b").orderBy("n")))
-    borders = (blocked.groupBy("b").agg(F.min("n").alias("n"), F.max("n").alias("last"))
-               .withColumn("before", F.lag("last").over(Window.orderBy("b"))))
-    steps = inside.select("before", "n").unionByName(borders.select("before", "n"))
-    return steps.filter("n - before > 1").select(
-        (F.col("before") + 1).alias("first_missing"), (F.col("n") - 1).alias("last_missing"),
-        (F.col("n") - F.col("before") - 1).alias("n_missing"))
+    numbers = df.select(F.col(number).cast("bigint").alias("first")).filter("first is not null").distinct()
+    spans = numbers.withColumn("last", F.col("first"))
+    steps = []
+    for width in (block, block * block):
+        placed = spans.withColumn("b", F.expr(f"(first - pmod(first, {width})) div {width}"))
+        ordered = Window.partitionBy("b").orderBy("first")
+        steps.append(placed.select(F.lag("last").over(ordered).alias("before"), F.col("first").alias("after")))
+        spans = placed.groupBy("b").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("b")
+    steps.append(spans.select(F.lag("last").over(Window.orderBy("first")).alias("before"), F.col("first").alias("after")))
+    gaps = steps[0].unionByName(steps[1]).unionByName(steps[2])
+    return gaps.filter("after - before > 1").select(
+        (F.col("before") + 1).alias("first_missing"), (F.col("after") - 1).alias("last_missing"),
+        (F.col("after") - F.col("before") - 1).alias("n_missing"))
 
 
 def calendar_holes(df: DataFrame, day: str, by: str | None = None) -> DataFrame:

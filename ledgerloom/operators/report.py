@@ -95,7 +95,8 @@ def materiality_shares(lines: DataFrame) -> DataFrame:
 
 def recon_summary(classified: DataFrame) -> DataFrame:
     """Provider x scope x cause with materiality, from a single scan of the classified rows."""
-    totals = _totals(_scope_entries(classified))
+    # a few rows per provider from here on; placed by month, every window below finds its rows in place
+    totals = _totals(_scope_entries(classified)).repartition("reporting_month")
     # The residual needs no second read of the totals: every scope group with a verdict but without
     # an unexplained line gets one, carried by a single row of the group.
     group = Window.partitionBy(*_SCOPE_KEYS)

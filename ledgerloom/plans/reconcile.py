@@ -100,7 +100,9 @@ def reconcile_tables(layers: Mapping[str, DataFrame], config: RunConfig, out: st
     matched = write_table(matching.match_sides(ours, theirs, hot, config.period_unit), f"{out}/matched")
 
     classified = classify.classify(classify.scope_to_period(matched, config.reporting_month))
-    classified = write_table(classified, f"{out}/classified", ("reporting_month",))
+    # the rows of one month need no partitions, nor the shuffle that makes them
+    by_month = () if config.reporting_month else ("reporting_month",)
+    classified = write_table(classified, f"{out}/classified", by_month)
     summary = write_table(report.recon_summary(classified), f"{out}/recon_summary", ("reporting_month",))
     waterfall = write_table(report.recon_waterfall(summary), f"{out}/recon_waterfall", ("reporting_month",))
     return {"providers": providers, "restated": restated, "matched": matched, "classified": classified,

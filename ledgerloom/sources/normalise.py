@@ -169,8 +169,8 @@ def normalised_lines(spark: SparkSession, files: DataFrame) -> DataFrame:
     lines = parts[0]
     for part in parts[1:]:
         lines = lines.unionByName(part)
-    # one row per file: a file listing, not data
-    names = F.broadcast(good.select(_plain(F.col("path")).alias("__p"), "source"))
+    # a stored listing of one row per file: its size on disk tells Spark whether to broadcast it
+    names = good.select(_plain(F.col("path")).alias("__p"), "source")
     return (lines.withColumn("__p", _plain(F.col("path"))).join(names, "__p")
             .select("path", "source", "line", "crlf", "nfc_changed"))
 

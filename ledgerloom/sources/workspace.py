@@ -33,11 +33,15 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Store a relation as Parquet and return the stored relation."""
-    writer = df.write.mode("overwrite")
+    """Store a relation as Parquet and return the stored relation.
+
+    A partitioned table is rebalanced first: every task would otherwise write a file into every
+    partition, while rebalancing still splits a partition that holds much of the data.
+    """
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
