@@ -31,6 +31,7 @@ def main() -> None:
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.sql.shuffle.partitions", cpus)
              .config("spark.sql.adaptive.enabled", "true")
+             .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "128m")
              .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

@@ -15,8 +15,8 @@ def local_to_utc(local: Column, zone: str) -> Column:
     Spark alone would read the first.
     """
     first = F.convert_timezone(F.lit(zone), F.lit("UTC"), local)
-    second = first + F.expr("INTERVAL 1 HOUR")
-    return F.when(F.convert_timezone(F.lit("UTC"), F.lit(zone), second) == local, second).otherwise(first)
+    an_hour_on = F.convert_timezone(F.lit("UTC"), F.lit(zone), first + F.expr("INTERVAL 1 HOUR"))
+    return first + F.when(an_hour_on == local, F.expr("INTERVAL 1 HOUR")).otherwise(F.expr("INTERVAL 0 HOUR"))
 
 
 def clock_parts(day: Column, time: Column) -> Column:
