@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import types as T
@@ -106,6 +106,10 @@ class RunConfig:
     max_broadcast_rows: int = 1_000_000
     # Copies of the reference side a shuffled as-of join makes, so one currency is many tasks.
     asof_salts: int = 32
-    # A match key holding more than this share of a side is joined apart from the rest.
-    hot_key_share: float = 0.001
-    reference_tables: tuple[str, ...] = field(default=("fx_rates", "fee_schedule"))
+    # How many of the heaviest match keys may be joined apart from the rest.
+    most_hot_keys: int = 2_000
+    # For a one-month run: how many months capture and settlement can lie apart. None matches the whole
+    # history; a number lets both sides be pruned to the months in reach.
+    reach_months: int | None = None
+    # Orders whose date is known to be written in the other order; None leaves that check out.
+    expected_date_overrides: tuple[str, ...] | None = None

@@ -70,10 +70,12 @@ def reported_names(providers: DataFrame, most: int = 1000) -> list[str] | None:
 
 def hot_match_keys(ledger: DataFrame, providers: DataFrame, config: RunConfig = RunConfig(),
                    fraction: float = 0.001, least_hits: int = 100) -> DataFrame | None:
-    """Match keys that hold more than ``hot_key_share`` of a side, found on a sample of key columns.
+    """The heaviest match keys of both sides, found on a sample of the key columns; None if there are
+    none.
 
-    The sample only steers the physical split in ``match_sides``; no result depends on it. The list
-    is at most 1/hot_key_share keys a side. Returns None where there is no such key.
+    The sample only steers the physical split in ``match_sides``; no result depends on it. A key with
+    ``least_hits`` in the sample holds some ``least_hits / fraction`` rows. The list is bounded by
+    ``most_hot_keys``; a key left off it is joined with the rest.
     """
     def heavy(side: DataFrame) -> DataFrame:
         counted = (side.select(*MATCH_KEYS).dropna().sample(fraction, seed=7)
@@ -81,9 +83,8 @@ def hot_match_keys(ledger: DataFrame, providers: DataFrame, config: RunConfig =
         return counted.filter(F.col("hits") >= least_hits)
 
     heavy_keys = heavy(ledger).unionByName(heavy(providers))
-    most = int(2 / config.hot_key_share)
     found = (heavy_keys.groupBy(*MATCH_KEYS).agg(F.sum("hits").alias("hits"))
-             .orderBy(F.desc("hits")).select(*MATCH_KEYS).limit(most).collect())
+             .orderBy(F.desc("hits")).select(*MATCH_KEYS).limit(config.most_hot_keys).collect())
     if not found:
         return None
     return ledger.sparkSession.createDataFrame(found, ledger.select(*MATCH_KEYS).schema)
@@ -148,11 +149,11 @@ def match_sides(ledger: DataFrame, providers: DataFrame, hot: DataFrame | None =
             .drop("order_id", "psp_order_ref", "__in_engine", "__in_psp"))
 
 
-def neighbouring_periods(side: DataFrame, config: RunConfig) -> DataFrame:
-    """For a one-month run keep the month and its neighbours: a payment captured in one month may
-    settle in the next, so both sides of a pair must stay in reach of the match."""
-    if config.reporting_month is None:
+def months_in_reach(side: DataFrame, config: RunConfig) -> DataFrame:
+    """For a one-month run with a stated reach, keep the months a pair can span."""
+    if config.reporting_month is None or config.reach_months is None:
         return side
-    month = F.lit(config.reporting_month).cast("date")
+    month = F.trunc(F.lit(config.reporting_month).cast("date"), "month")
     at = time.day_of(F.col("recognised_at_utc"))
-    return side.filter((at >= F.add_months(month, -1)) & (at < F.add_months(month, 2)))
+    return side.filter((at >= F.add_months(month, -config.reach_months))
+                       & (at < F.add_months(month, config.reach_months + 1)))

@@ -186,6 +186,11 @@ def date_override_bounded(paypal: DataFrame, pinned: DataFrame) -> DataFrame:
         F.lit(None).cast(C.UTC_TIME).alias("created_at_utc")))
 
 
+def dates_unresolved(paypal_typed: DataFrame) -> DataFrame:
+    """Rows whose date lies outside the export window in either reading."""
+    return paypal_typed.filter("date_unresolved").select("account", "order_ref", "psp_reference", "event_at")
+
+
 def declared_zone_is_gmt(raw_paypal: DataFrame) -> DataFrame:
     zone = F.col("`Time Zone`")
     return raw_paypal.filter(zone != "GMT").groupBy(zone.alias("declared_time_zone")).agg(

@@ -13,6 +13,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerloom.config import RunConfig
 from ledgerloom.functions import time
@@ -20,10 +21,11 @@ from ledgerloom.operators import classify, matching, pricing, refdata, report, s
 from ledgerloom.operators.asof import DailyReference, SparseReference, asof_daily
 from ledgerloom.plans import exports
 from ledgerloom.plans.dialect import SPARK
-from ledgerloom.sources.workspace import settle
+from ledgerloom.sources.workspace import fresh_path, write_table
 
-_stored: dict[tuple[str, str, str], DataFrame] = {}
-_calendars: dict[tuple[str, str], DailyReference] = {}
+# (application, data folder, label) -> where the derived table lies; and what was measured of the rates
+_stored: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+_measured: dict[tuple[str, str], DailyReference] = {}
 EXPORT_DAYS = 32  # days an export reaches past the first of its month
 
 
@@ -49,16 +51,19 @@ class Derived:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def _store(self, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def _store(self, label: str, build: Callable[[], DataFrame], spread: bool = True) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, label)
         if key not in _stored:
             df = build()
             # a table of a few files would leave every later scan with a few tasks
             cores = self.spark.sparkContext.defaultParallelism
-            if len(self.table("orders").inputFiles()) < cores:
+            if spread and len(self.table("orders").inputFiles()) < cores:
                 df = df.repartition(cores)
-            _stored[key] = settle(df, label)
-        return _stored[key]
+            path = fresh_path(self.spark, label)
+            write_table(df, path)
+            _stored[key] = (path, df.schema)
+        path, schema = _stored[key]
+        return self.spark.read.schema(schema).parquet(path)
 
     def _derive(self, steps: exports.Steps, **views: DataFrame) -> DataFrame:
         return run_steps(self.spark, steps, **views)
@@ -75,16 +80,16 @@ class Derived:
 
     @property
     def current_rates(self) -> DataFrame:
-        return self._store("current_rates", lambda: refdata.current_rates(self.rate_versions))
+        return self._store("current_rates", lambda: refdata.current_rates(self.rate_versions), spread=False)
 
     @property
     def calendar(self) -> DailyReference:
         """The rate of every day, stored: a few thousand rows that many plans look up."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir)
-        if key not in _calendars:
-            found = refdata.rate_calendar(self.current_rates)
-            _calendars[key] = replace(found, days=settle(found.days, "rate_calendar"))
-        return _calendars[key]
+        if key not in _measured:
+            _measured[key] = refdata.rate_calendar(self.current_rates)
+        days = self._store("rate_calendar", lambda: _measured[key].days, spread=False)
+        return replace(_measured[key], days=days)
 
     @cached_property
     def contracts_raw(self) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.config import RunConfig
@@ -61,12 +61,19 @@ def _parts(staged: Mapping[str, DataFrame], name: str) -> DataFrame:
     return stacked
 
 
-def stage(staged: Mapping[str, DataFrame], config: RunConfig) -> dict[str, DataFrame]:
+def _paypal_raw(staged: Mapping[str, DataFrame]) -> DataFrame:
+    return staging.tag_accounts({
+        account: _parts(staged, f"{account}_activity") for account in ("paypal_us", "paypal_eu")})
+
+
+def _window(config: RunConfig) -> tuple[Column, Column]:
     if config.export_window is None:
         raise ValueError("export_window must state the first and last day the exports cover")
-    start, end = (F.lit(day).cast("date") for day in config.export_window)
-    paypal_raw = staging.tag_accounts({
-        account: _parts(staged, f"{account}_activity") for account in ("paypal_us", "paypal_eu")})
+    start, end = config.export_window
+    return F.lit(start).cast("date"), F.lit(end).cast("date")
+
+
+def stage(staged: Mapping[str, DataFrame], config: RunConfig) -> dict[str, DataFrame]:
     return {
         "fx_rates": refdata.rate_versions(_parts(staged, "fx_rates")),
         "fee_schedule": refdata.fee_contracts(_parts(staged, "fee_schedule")),
@@ -74,7 +81,7 @@ def stage(staged: Mapping[str, DataFrame], config: RunConfig) -> dict[str, DataF
         "adyen": staging.adyen(_parts(staged, "adyen_payment_accounting")),
         "dlocal": staging.dlocal(_parts(staged, "dlocal_transactions")),
         "google_play": staging.google_play(_parts(staged, "google_play_earnings"), config),
-        "paypal": staging.paypal(paypal_raw, start, end)}
+        "paypal": staging.paypal(_paypal_raw(staged), *_window(config))}
 
 
 def reconcile_tables(layers: Mapping[str, DataFrame], config: RunConfig, out: str) -> dict[str, DataFrame]:
@@ -94,8 +101,8 @@ def reconcile_tables(layers: Mapping[str, DataFrame], config: RunConfig, out: st
     names = matching.reported_names(providers)
     reported = (matching.only_reported(restated, providers) if names is None
                 else restated.filter(F.col("psp").isin(*names)))
-    ours = matching.neighbouring_periods(matching.signed_ledger(reported), config)
-    theirs = matching.neighbouring_periods(providers, config)
+    ours = matching.months_in_reach(matching.signed_ledger(reported), config)
+    theirs = matching.months_in_reach(providers, config)
     hot = matching.hot_match_keys(ours, theirs, config)
     matched = write_table(matching.match_sides(ours, theirs, hot, config.period_unit), f"{out}/matched")
 
@@ -138,17 +145,22 @@ def checks(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return found
 
 
-def raw_checks(staged: Mapping[str, DataFrame], layers: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def raw_checks(staged: Mapping[str, DataFrame], layers: Mapping[str, DataFrame], config: RunConfig) -> dict[str, DataFrame]:
     """Checks that recompute from the exports as delivered."""
     adyen, dlocal = _parts(staged, "adyen_payment_accounting"), _parts(staged, "dlocal_transactions")
-    paypal = staging.tag_accounts({
-        account: _parts(staged, f"{account}_activity") for account in ("paypal_us", "paypal_eu")})
-    return {
+    paypal = _paypal_raw(staged)
+    found = {
         "authorised_not_double_counted": quality.authorised_not_double_counted(adyen, layers["adyen"]),
         "repeated_lines_identical": quality.repeated_lines_are_identical(dlocal),
         "minor_units_scaled": quality.minor_units_scaled(dlocal, layers["dlocal"]),
         "fee_rows_folded": quality.fee_rows_folded(_parts(staged, "google_play_earnings")),
-        "declared_zone_is_gmt": quality.declared_zone_is_gmt(paypal)}
+        "declared_zone_is_gmt": quality.declared_zone_is_gmt(paypal),
+        "dates_unresolved": quality.dates_unresolved(staging.paypal_typed(paypal, *_window(config)))}
+    if config.expected_date_overrides is not None:
+        pinned = adyen.sparkSession.createDataFrame(
+            [(order,) for order in config.expected_date_overrides], "order_ref string")
+        found["date_override_bounded"] = quality.date_override_bounded(layers["paypal"], pinned)
+    return found
 
 
 def reconcile(spark: SparkSession, paths: Mapping[str, str], config: RunConfig) -> Run:
@@ -164,5 +176,5 @@ def reconcile(spark: SparkSession, paths: Mapping[str, str], config: RunConfig)
     for name, order in (("summary", sinks.summary_order()), ("waterfall", sinks.waterfall_order())):
         run.files[name] = sinks.export_csv(
             run.tables[name], f"{out}/exports", f"recon_{name}", order, config.reporting_month)
-    run.tables |= {f"check_{name}": df for name, df in {**checks(run.tables), **raw_checks(staged, layers)}.items()}
+    run.tables |= {f"check_{name}": df for name, df in {**checks(run.tables), **raw_checks(staged, layers, config)}.items()}
     return run

@@ -166,7 +166,7 @@ def exports(folder):
 def run(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("exports")
     config = RunConfig(reporting_month=date(2026, 6, 1), export_window=(date(2026, 6, 1), date(2026, 7, 3)),
-                       output_dir=f"file://{folder}/out")
+                       output_dir=f"file://{folder}/out", expected_date_overrides=("O5",))
     return R.reconcile(spark, exports(folder), config)
 
 
