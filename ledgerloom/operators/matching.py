@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,13 +71,13 @@ def reported_names(providers: DataFrame, most: int = 1000) -> list[str] | None:
 
 
 def hot_match_keys(ledger: DataFrame, providers: DataFrame, config: RunConfig = RunConfig(),
-                   fraction: float = 0.001, least_hits: int = 100) -> DataFrame | None:
-    """The heaviest match keys of both sides, found on a sample of the key columns; None if there are
-    none.
+                   fraction: float = 0.001, least_hits: int = 100) -> list[tuple]:
+    """The heaviest match keys of both sides, found on a sample of the key columns.
 
     The sample only steers the physical split in ``match_sides``; no result depends on it. A key with
     ``least_hits`` in the sample holds some ``least_hits / fraction`` rows. The list is bounded by
-    ``most_hot_keys``; a key left off it is joined with the rest.
+    ``most_hot_keys``; a key left off it is joined with the rest. The sides need no more than the key
+    columns, so unfolded export lines will do (``staging.export_keys``).
     """
     def heavy(side: DataFrame) -> DataFrame:
         counted = (side.select(*MATCH_KEYS).dropna().sample(fraction, seed=7)
@@ -85,9 +87,7 @@ def hot_match_keys(ledger: DataFrame, providers: DataFrame, config: RunConfig =
     heavy_keys = heavy(ledger).unionByName(heavy(providers))
     found = (heavy_keys.groupBy(*MATCH_KEYS).agg(F.sum("hits").alias("hits"))
              .orderBy(F.desc("hits")).select(*MATCH_KEYS).limit(config.most_hot_keys).collect())
-    if not found:
-        return None
-    return ledger.sparkSession.createDataFrame(found, ledger.select(*MATCH_KEYS).schema)
+    return [tuple(row) for row in found]
 
 
 def _ledger_side(ledger: DataFrame) -> DataFrame:
@@ -117,7 +117,7 @@ def _hot_matches(ledger: DataFrame, providers: DataFrame, hot: DataFrame) -> Dat
             .unionByName(theirs_alone, allowMissingColumns=True))
 
 
-def match_sides(ledger: DataFrame, providers: DataFrame, hot: DataFrame | None = None,
+def match_sides(ledger: DataFrame, providers: DataFrame, hot: Sequence[tuple] = (),
                 period_unit: str = "month") -> DataFrame:
     """Full outer match on provider, match key and operation, with raw differences and periods.
 
@@ -125,14 +125,14 @@ def match_sides(ledger: DataFrame, providers: DataFrame, hot: DataFrame | None =
     ``hot_match_keys``) are joined apart from the rest, where skew can be split.
     """
     ours, theirs = _ledger_side(ledger), _provider_side(providers)
-    if hot is None:
+    if not hot:
         joined = keyed_join(ours, theirs, MATCH_KEYS, "full_outer")
     else:
-        listed = F.broadcast(hot)
+        listed = F.broadcast(ledger.sparkSession.createDataFrame(hot, ledger.select(*MATCH_KEYS).schema))
         cold = keyed_join(ours.join(listed, MATCH_KEYS, "left_anti"),
                           theirs.join(listed, MATCH_KEYS, "left_anti"), MATCH_KEYS, "full_outer")
         split = _hot_matches(ours.join(listed, MATCH_KEYS, "left_semi"),
-                             theirs.join(listed, MATCH_KEYS, "left_semi"), hot)
+                             theirs.join(listed, MATCH_KEYS, "left_semi"), listed)
         joined = cold.unionByName(split)
     difference = {
         f"diff_{kind}": (money.or_zero(F.col(f"psp_amount_{kind}_settled"))

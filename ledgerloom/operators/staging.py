@@ -264,3 +264,20 @@ def conform_union(*providers: DataFrame) -> DataFrame:
     for other in providers[1:]:
         stacked = stacked.unionByName(other, allowMissingColumns=True)
     return stacked.select(*names)
+
+
+def export_keys(adyen_raw: DataFrame, dlocal_raw: DataFrame, google_play_raw: DataFrame, paypal_raw: DataFrame) -> DataFrame:
+    """Provider, match key and operation of every export line, before any folding: a scan of a few
+    columns, cheap enough to look for heavy keys."""
+    def keys(df: DataFrame, psp: Column, match_key: Column, operation: Column) -> DataFrame:
+        return df.select(psp.alias("psp"), match_key.alias("match_key"), operation.alias("operation_type"))
+
+    google = google_play_entries(google_play_raw)
+    return (keys(adyen_raw, F.lit("adyen"), F.col("`Merchant Reference`"),
+                 text.vocabulary(F.col("`Record Type`"), ADYEN_OUTCOMES))
+            .unionByName(keys(dlocal_raw, F.lit("dlocal"), F.col("invoice_id"),
+                              F.when(F.col("transaction_type") == "REFUND", "refund").otherwise("sale")))
+            .unionByName(keys(google, F.lit("google_play"), text.composite_key(
+                F.col("event_at"), F.col("sku"), F.col("country")), text.vocabulary(F.col("entry"), GOOGLE_OPERATIONS)))
+            .unionByName(keys(paypal_raw, F.col("account"), F.col("`Invoice ID`"),
+                              text.vocabulary(F.col("Type"), PAYPAL_OPERATIONS))))

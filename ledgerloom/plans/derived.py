@@ -26,6 +26,7 @@ from ledgerloom.sources.workspace import fresh_path, write_table
 # (application, data folder, label) -> where the derived table lies; and what was measured of the rates
 _stored: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 _measured: dict[tuple[str, str], DailyReference] = {}
+_hot_keys: dict[tuple[str, str], list[tuple]] = {}
 EXPORT_DAYS = 32  # days an export reaches past the first of its month
 
 
@@ -148,7 +149,7 @@ class Derived:
     def prepare(self) -> None:
         """Store every derived export now, so that a later query is timed without them."""
         for name in ("fx_rates_raw", "current_rates", "calendar", "adyen_raw", "dlocal_raw", "google_play_raw", "paypal_raw",
-                     "payment_log_raw"):
+                     "payment_log_raw", "hot_keys"):
             getattr(self, name)
 
     # staged
@@ -200,9 +201,19 @@ class Derived:
     def signed(self) -> DataFrame:
         return matching.signed_ledger(self.restated)
 
+    @property
+    def hot_keys(self) -> list[tuple]:
+        """Match keys heavy enough to be joined apart, looked for once on the raw key columns."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _hot_keys:
+            ours = self.ledger.select("psp", matching.ledger_match_key().alias("match_key"), "operation_type")
+            theirs = staging.export_keys(self.adyen_raw, self.dlocal_raw, self.google_play_raw, self.paypal_raw)
+            _hot_keys[key] = matching.hot_match_keys(ours, theirs, self.config)
+        return _hot_keys[key]
+
     @cached_property
     def matched(self) -> DataFrame:
-        return matching.match_sides(self.signed, self.providers, period_unit=self.config.period_unit)
+        return matching.match_sides(self.signed, self.providers, self.hot_keys, self.config.period_unit)
 
     @cached_property
     def scoped(self) -> DataFrame:

@@ -123,15 +123,24 @@ def sides(spark, hot_ours, hot_theirs):
 def test_hot_key_split_changes_nothing_but_the_plan(spark, hot_ours, hot_theirs):
     left, right = sides(spark, hot_ours, hot_theirs)
     hot = matching.hot_match_keys(left, right, fraction=1.0, least_hits=15)
-    assert [r.match_key for r in hot.collect()] == ["HOT"]
+    assert hot == [("p", "HOT", "sale")]
 
     def rows(h):
         df = matching.match_sides(left, right, h)
         return sorted(map(str, df.select("psp", "match_key", "txn_id", "psp_reference", "in_engine", "in_psp").collect()))
 
-    assert rows(hot) == rows(None)
+    assert rows(hot) == rows([])
 
 
 def test_no_hot_key_no_split(spark):
     left, right = sides(spark, 1, 1)
-    assert matching.hot_match_keys(left, right, fraction=1.0, least_hits=15) is None
+    assert matching.hot_match_keys(left, right, fraction=1.0, least_hits=15) == []
+
+
+def test_reach_prunes_only_when_it_is_stated(spark):
+    at = spark.sql("select explode(array(timestamp_ntz'2026-04-30 23:59:59', timestamp_ntz'2026-05-01 00:00:00', "
+                   "timestamp_ntz'2026-07-31 23:59:59', timestamp_ntz'2026-08-01 00:00:00')) as recognised_at_utc")
+    month = date(2026, 6, 1)
+    assert matching.months_in_reach(at, RunConfig(reporting_month=month)).count() == 4
+    assert matching.months_in_reach(at, RunConfig(reporting_month=month, reach_months=1)).count() == 2
+    assert matching.months_in_reach(at, RunConfig(reach_months=1)).count() == 4
