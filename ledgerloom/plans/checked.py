@@ -6,15 +6,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import quality as Q
 from ledgerloom.operators import staging
 from ledgerloom.plans.derived import Derived
-from ledgerloom.plans.queries import register
+from ledgerloom.plans.queries import QUERIES, register
 
 CENT = Decimal("0.01")
+__all__ = ["QUERIES"]  # with the checks of this module registered
 
 
 def nudged(df: DataFrame, column: str, by: str, where: str) -> DataFrame:

@@ -11,11 +11,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.config import PROVIDERS
 from ledgerloom.functions import money, text, time
-from ledgerloom.operators import (
-    classify, folding, matching, pricing, profiling, quality, refdata, report, staging)
+from ledgerloom.operators import matching, pricing, profiling, refdata, report, staging
 from ledgerloom.plans import roundtrip
 from ledgerloom.plans.derived import EXPORT_DAYS, Derived
-from ledgerloom.plans.oracle import NONE, with_ctes
+from ledgerloom.plans.oracle import with_ctes
 
 # how a column is shown: kind -> (Spark cast, SQL cast)
 _SHOWN = {"s": ("string", "VARCHAR"), "m": ("double", "DOUBLE"), "d": ("string", "VARCHAR"),

@@ -6,8 +6,7 @@ import re
 import pytest
 
 from ledgerloom.plans.derived import Derived
-from ledgerloom.plans.queries import QUERIES
-import ledgerloom.plans.checked  # noqa: F401
+from ledgerloom.plans.checked import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data here")

@@ -27,7 +27,7 @@ FILES = {  # name -> (bytes, declared, encoding used, line ends stripped, lines,
     "wide16": ("n;v\r\nJürgen;1\r\n".encode("utf-16"), "utf-8", "utf-16", 2, 2, False),
     "wide32": ("n;v\nJürgen;1".encode("utf-32"), "utf-8", "utf-32", 0, 1, False),
     "mixed": (b"banner\nn;v\r\nx;1\r\n", "utf-8", "utf-8", 2, 3, False),
-    "decomposed": ("n;v\nJürgen;1\n".encode(), "utf-8", "utf-8", 0, 2, True),
+    "decomposed": (unicodedata.normalize("NFD", "n;v\nJürgen;1\n").encode(), "utf-8", "utf-8", 0, 2, True),
     "inner_return": (b"a\rb\nc", "utf-8", "utf-8", 0, 1, False)}
 
 
