@@ -29,5 +29,7 @@ def vocabulary(verb: Column, words: Mapping[str, str]) -> Column:
 
 def composite_key(captured_at: Column, sku: Column, country: Column) -> Column:
     """Second of capture, product and country. Null as soon as one part is, so it matches nothing."""
-    second = F.date_format(captured_at, "yyyy-MM-dd'T'HH:mm:ss")
+    # the text of a zone-less time; date_format would take it through the session time zone
+    written = captured_at.cast("string")
+    second = F.concat(F.substring(written, 1, 10), F.lit("T"), F.substring(written, 12, 8))
     return F.concat(second, F.lit("|"), sku, F.lit("|"), country)

@@ -9,14 +9,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-# kind of text -> (Spark pattern, checking engine's pattern)
-_FORMATS = {
-    "iso": ("yyyy-MM-dd HH:mm:ss", "%Y-%m-%d %H:%M:%S"),
-    "iso_z": ("yyyy-MM-dd'T'HH:mm:ss'Z'", "%Y-%m-%dT%H:%M:%SZ"),
-    "mdy": ("MM/dd/yyyy", "%m/%d/%Y"),
-    "dmy": ("dd/MM/yyyy", "%d/%m/%Y"),
-    "worded": ("MMM d, yyyy", "%b %-d, %Y"),
-    "clock": ("HH:mm:ss", "%H:%M:%S"),
+# kind of text -> the checking engine's pattern, and Spark's pattern where it is a date alone
+_PATTERNS = {
+    "iso": ("%Y-%m-%d %H:%M:%S", None),
+    "iso_z": ("%Y-%m-%dT%H:%M:%SZ", None),
+    "clock": ("%H:%M:%S", None),
+    "mdy": ("%m/%d/%Y", "MM/dd/yyyy"),
+    "dmy": ("%d/%m/%Y", "dd/MM/yyyy"),
+    "worded": ("%b %-d, %Y", "MMM d, yyyy"),
 }
 
 
@@ -43,10 +43,17 @@ class Dialect:
         return f"(({a}) div ({b}))" if self.spark else f"(({a}) // ({b}))"
 
     def show(self, ts: str, kind: str) -> str:
-        ours, theirs = _FORMATS[kind]
-        if self.spark:
-            return f'date_format({ts}, "{ours}")'
-        return f"strftime({ts}, '{theirs}')"
+        theirs, of_date = _PATTERNS[kind]
+        if not self.spark:
+            return f"strftime({ts}, '{theirs}')"
+        if of_date:
+            return f'date_format(CAST({ts} AS DATE), "{of_date}")'
+        # the text of a zone-less time; date_format would take it through the session time zone
+        text = f"CAST({ts} AS STRING)"
+        if kind == "iso":
+            return f"substring({text}, 1, 19)"
+        clock = f"substring({text}, 12, 8)"
+        return clock if kind == "clock" else f"concat(substring({text}, 1, 10), 'T', {clock}, 'Z')"
 
     def in_zone(self, ts: str, zone: str) -> str:
         if self.spark:

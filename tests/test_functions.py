@@ -59,6 +59,16 @@ def test_decimal_comma_and_vocabulary(spark):
         (Decimal("-1234.56"), "settled"), (Decimal("7.10"), None), (None, None)]
 
 
+@pytest.mark.parametrize("session_zone", ["UTC", "America/New_York"])
+def test_composite_key_in_an_hour_the_session_zone_skips(spark, session_zone):
+    spark.conf.set("spark.sql.session.timeZone", session_zone)
+    try:
+        df = spark.sql("select timestamp_ntz'2001-04-01 02:19:24.5' t, 's' s, 'c' c")
+        assert one(df.select(text.composite_key(F.col("t"), F.col("s"), F.col("c")))) == ["2001-04-01T02:19:24|s|c"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_composite_key_is_null_as_soon_as_a_part_is(spark):
     df = spark.sql("select timestamp_ntz'2020-01-02 03:04:05' t, 'sku' s, 'DE' c union all select null, 'sku', 'DE'")
     assert one(df.select(text.composite_key(F.col("t"), F.col("s"), F.col("c")))) == ["2020-01-02T03:04:05|sku|DE", None]
