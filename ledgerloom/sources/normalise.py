@@ -102,8 +102,7 @@ def fingerprints(spark: SparkSession, folders: Mapping[str, tuple[str, str]]) ->
                  .select("path", F.lit(source).alias("source"), F.lit(declared).alias("declared")))
         listing = files if listing is None else listing.unionByName(files)
     # a listing is tiny; an explicit number of tasks keeps large files from sharing one
-    return listing.repartition(max(1, min(listing.count(), 10_000)), "path").mapInPandas(
-        _fingerprints, FINGERPRINT)
+    return listing.repartition(max(1, min(listing.count(), 10_000))).mapInPandas(_fingerprints, FINGERPRINT)
 
 
 def _wide_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

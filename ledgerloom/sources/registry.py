@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -56,7 +57,10 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     """Read one UTF-8 export as text columns. Exports of unknown encoding go through
     ``ledgerloom.sources.normalise`` first."""
     if spec.preamble == 0:
-        return spark.read.options(header=True, sep=spec.sep, mode="FAILFAST").csv(spec.path)
+        reader = spark.read.options(header=True, sep=spec.sep, mode="FAILFAST")
+        text = T.StructType([T.StructField(n, T.StringType()) for n in reader.csv(spec.path).columns])
+        # the header of every file in a folder is held against the first one's
+        return reader.schema(text).option("enforceSchema", False).csv(spec.path)
     lines = spark.read.text(spec.path).withColumnRenamed("value", "line")
     head = [r["line"] for r in lines.limit(spec.preamble + 1).collect()]
     return parse_lines(lines, head, spec)

@@ -86,6 +86,16 @@ def test_parts_are_stacked_by_name(spark, tmp_path):
     assert sorted(tuple(r) for r in registry.read_parts(spark, specs.values()).collect()) == [("1", "2"), ("3", "4")]
 
 
+def test_a_folder_of_files_with_unlike_headers_is_refused(spark, tmp_path):
+    write(tmp_path, "1.csv", "a,b\n1,2\n")
+    write(tmp_path, "2.csv", "a,b\n3,4\n")
+    specs = registry.registry({"fx_rates": f"file://{tmp_path}"})
+    assert sorted(tuple(r) for r in registry.read_source(spark, specs["fx_rates"]).collect()) == [("1", "2"), ("3", "4")]
+    write(tmp_path, "3.csv", "b,a\n5,6\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        registry.read_source(spark, specs["fx_rates"]).collect()
+
+
 class Cluster:
     """As much of a session as the choice of folder looks at."""
 
