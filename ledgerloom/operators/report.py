@@ -83,43 +83,47 @@ def stated_residual(rollup: DataFrame) -> DataFrame:
         F.lit(0).cast(TOTAL).alias("abs_usd"), F.lit(0).cast(TOTAL).alias("signed_usd"))
 
 
+def _with_denominators(totals: DataFrame) -> DataFrame:
+    """Beside each line: its scope's base, the scope's and the whole period's absolute discrepancy, and
+    whether it is the one line of its scope that carries a missing residual."""
+    scope, period = Window.partitionBy(*_SCOPE_KEYS), Window.partitionBy("reporting_month")
+    has_verdict = F.col("recon_cause").isNotNull()
+    verdict_usd = F.when(has_verdict, F.col("abs_usd"))
+    name = F.struct("recon_cause", "recon_status")
+    unexplained = F.count(F.when(F.col("recon_status") == "unexplained", 1)).over(scope)
+    return totals.withColumns({
+        "base_usd": F.sum("base_part").over(scope),
+        "scope_abs_usd": F.sum(verdict_usd).over(scope),
+        "period_abs_usd": F.sum(verdict_usd).over(period),
+        "carries_residual": (unexplained == 0) & has_verdict & (F.min(F.when(has_verdict, name)).over(scope) == name)})
+
+
 def materiality_shares(lines: DataFrame) -> DataFrame:
     """Shares of base, of the scope's discrepancy and of the period's whole discrepancy."""
-    scope = F.sum("abs_usd").over(Window.partitionBy(*_SCOPE_KEYS))
-    whole = F.sum("abs_usd").over(Window.partitionBy("reporting_month"))
+    part = F.col("abs_usd")
     return lines.withColumns({
-        "pct_of_base": money.share_percent(F.col("abs_usd"), F.col("base_usd"), 4, "decimal(12,4)"),
-        "pct_of_scope_discrepancy": money.share_percent(F.col("abs_usd"), scope, 2, "decimal(6,2)"),
-        "pct_of_total_discrepancy": money.share_percent(F.col("abs_usd"), whole, 2, "decimal(6,2)")})
+        "pct_of_base": money.share_percent(part, F.col("base_usd"), 4, "decimal(12,4)"),
+        "pct_of_scope_discrepancy": money.share_percent(part, F.col("scope_abs_usd"), 2, "decimal(6,2)"),
+        "pct_of_total_discrepancy": money.share_percent(part, F.col("period_abs_usd"), 2, "decimal(6,2)")})
 
 
 def recon_summary(classified: DataFrame) -> DataFrame:
     """Provider x scope x cause with materiality, from a single scan of the classified rows."""
     # a few rows per provider from here on; placed by month, every window below finds its rows in place
-    totals = _totals(_scope_entries(classified)).repartition("reporting_month")
-    # The residual needs no second read of the totals: every scope group with a verdict but without
-    # an unexplained line gets one, carried by a single row of the group.
-    group = Window.partitionBy(*_SCOPE_KEYS)
-    has_line = F.count("recon_cause").over(group) > 0
-    has_residual = F.count(F.when(F.col("recon_status") == "unexplained", 1)).over(group) > 0
-    based = totals.withColumns({
-        "base_usd": F.sum("base_part").over(group),
-        "__residual": has_line & ~has_residual,
-        "__first": F.row_number().over(group.orderBy(F.col("recon_cause").asc_nulls_last()))})
+    totals = _with_denominators(_totals(_scope_entries(classified)).repartition("reporting_month"))
     line = F.struct("recon_status", "recon_cause", "n_rows", "abs_usd", "signed_usd")
     nil = F.struct(
         F.lit("unexplained").alias("recon_status"), F.lit("unexplained").alias("recon_cause"),
         F.lit(0).cast("bigint").alias("n_rows"),
         F.lit(0).cast(TOTAL).alias("abs_usd"), F.lit(0).cast(TOTAL).alias("signed_usd"))
-    lines = (based
+    lines = (totals
              .withColumn("line", F.explode(F.array(
-                 F.when(F.col("recon_cause").isNotNull(), line),
-                 F.when(F.col("__residual") & (F.col("__first") == 1), nil))))
+                 F.when(F.col("recon_cause").isNotNull(), line), F.when(F.col("carries_residual"), nil))))
              .filter("line is not null")
-             .select(*_SCOPE_KEYS, "line.*", _base_label().alias("base_label"), "base_usd"))
-    shown = materiality_shares(lines)
-    return shown.select(
-        "reporting_month", "psp", "recon_scope", "recon_status", "recon_cause", "n_rows",
+             .select(*_SCOPE_KEYS, "line.*", _base_label().alias("base_label"), "base_usd", "scope_abs_usd",
+                     "period_abs_usd"))
+    return materiality_shares(lines).select(
+        *_LINE_KEYS, "n_rows",
         F.col("abs_usd").cast(MONEY).alias("abs_usd"),
         F.col("signed_usd").cast(MONEY).alias("signed_usd"),
         "base_label", F.col("base_usd").cast(MONEY).alias("base_usd"),
