@@ -32,25 +32,16 @@ def _words(text: Column) -> Column:
 
 
 def _seeds(worded: DataFrame, masks: tuple[tuple[int, ...], ...]) -> DataFrame:
-    """``worded`` with a row for each mask and place: the hash ``seed``, the place ``at`` and the mask's ``span``.
+    """``worded`` with a row for each place ``at`` and mask: the hash ``seed`` of the words under the mask.
 
-    The outer explode keeps Catalyst from evaluating the words a second time in a filter; places where a mask
-    doesn't fit have a null seed.
+    Places past the end are left out of a hash; such seeds find nothing that stands verification. The outer
+    explodes keep Catalyst from evaluating the words a second time in a filter.
     """
-    count = len(masks)
-    code = F.col("_code")
-    laid = worded.withColumn("_code", F.explode_outer(
-        F.when(F.size("words") >= MIN_WORDS, F.sequence(F.lit(0), F.size("words") * count - 1))))
-    seed = F.lit(None).cast("long")
-    span = F.lit(0)
-    at = F.floor(code / count).cast("int") if count > 1 else code
-    for number, mask in enumerate(masks):
-        this = code % count == number
-        fits = at + mask[-1] < F.size("words")
-        hashed = F.xxhash64(F.lit(number), *[F.get("words", at + place) for place in mask])
-        seed = F.when(this & fits, hashed).otherwise(seed)
-        span = F.when(this, F.lit(mask[-1] + 1)).otherwise(span)
-    return laid.withColumn("seed", seed).withColumn("at", at).withColumn("span", span).drop("_code")
+    placed = worded.withColumn("at", F.explode_outer(
+        F.when(F.size("words") >= MIN_WORDS, F.sequence(F.lit(0), F.size("words") - 1))))
+    hashes = [F.xxhash64(F.lit(number), *[F.get("words", F.col("at") + place) for place in mask])
+              for number, mask in enumerate(masks)]
+    return placed.withColumn("seed", F.explode_outer(F.array(*hashes)))
 
 
 def _masks_for(items: DataFrame) -> tuple[tuple[int, ...], ...]:
@@ -61,34 +52,33 @@ def _masks_for(items: DataFrame) -> tuple[tuple[int, ...], ...]:
 
 
 def _item_seeds(items: DataFrame, masks: tuple[tuple[int, ...], ...]) -> DataFrame:
-    """Seeds of the benchmark: long items by the spaced masks, short ones whole."""
-    seeds = _seeds(items.withColumnRenamed("item_words", "words"), masks)
-    short = F.size("words") < WINDOW
-    rightly = F.when(short, F.col("span") == F.size("words")).otherwise(F.col("span") <= max(m[-1] + 1 for m in MASKS))
-    if len(masks) > len(MASKS):  # a gapless mask may be as long as a spaced one
-        gapless = F.lit(False)
-        for number, mask in enumerate(masks[len(MASKS):], len(MASKS)):
-            gapless = gapless | (F.col("seed") == F.xxhash64(
-                F.lit(number), *[F.get("words", F.col("at") + k) for k in mask]))
-        rightly = rightly & (short == gapless)
-    first = F.greatest(F.col("at") + F.col("span") - WINDOW, F.lit(0))
-    return (seeds.where(F.col("seed").isNotNull() & rightly)
-            .select("item_id", "seed", (F.col("at") - first).alias("item_at"), F.col("span").alias("item_span"),
-                    F.least(F.size("words"), F.lit(WINDOW)).alias("window"),
-                    F.slice("words", first + 1, F.lit(2 * WINDOW)).alias("item_words")).distinct())
-
-
-def _best_window() -> Column:
-    """Of the windows around a hit, the most equal words, and the first place in the document that has them."""
-    shift = F.col("at") - F.col("item_at")
+    """Seeds of the benchmark: long items by the spaced masks, short ones whole, with the words around them."""
+    found = None
+    for number, mask in enumerate(masks):
+        span, n = mask[-1] + 1, F.size("item_words")
+        rightly = n >= WINDOW if number < len(MASKS) else n == span
+        placed = items.where(rightly).withColumn("at", F.explode(F.sequence(F.lit(0), n - span)))
+        first = F.greatest(F.col("at") + span - WINDOW, F.lit(0))
+        own = placed.select(
+            "item_id", F.xxhash64(F.lit(number), *[F.get("item_words", F.col("at") + k) for k in mask]).alias("seed"),
+            (F.col("at") - first).alias("item_at"), F.lit(span).alias("item_span"),
+            F.least(n, F.lit(WINDOW)).alias("window"), F.slice("item_words", first + 1, F.lit(2 * WINDOW)).alias("item_words"))
+        found = own if found is None else found.unionByName(own)
+    return found.distinct()
+
+
+def _windows(hits: DataFrame) -> DataFrame:
+    """A row for each window around each hit: the equal words, and the place in the document where it starts."""
     window = F.col("window")
-    low = F.greatest(F.lit(0), F.col("item_at") + F.col("item_span") - window, -shift)
-    high = F.least(F.col("item_at"), F.size("item_words") - window, F.size("words") - window - shift)
-    equal = F.transform(F.sequence(low, high), lambda start: F.struct(
-        F.aggregate(F.sequence(F.lit(0), window - 1), F.lit(0), lambda total, k: total + F.when(
-            F.get("words", shift + start + k) == F.get("item_words", start + k), 1).otherwise(0)).alias("equal"),
-        (-(shift + start)).alias("before")))
-    return F.when(low <= high, F.array_max(equal))
+    low = F.greatest(F.lit(0), F.col("item_at") + F.col("item_span") - window, -F.col("shift"))
+    high = F.least(F.col("item_at"), F.size("item_words") - window, F.col("n_words") - window - F.col("shift"))
+    laid = hits.withColumn("start", F.explode_outer(F.when(low <= high, F.sequence(low, high))))
+    equal = F.aggregate(F.sequence(F.lit(0), window - 1), F.lit(0), lambda total, k: total + F.when(
+        F.get("words", F.col("shift") + F.col("start") + k - F.col("from")) == F.get("item_words", F.col("start") + k), 1)
+        .otherwise(0))
+    return laid.where("start is not null").select(
+        "doc_id", "text_hash", "item_id", "window", equal.alias("equal_words"),
+        (F.col("shift") + F.col("start")).alias("first_word"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -106,18 +96,26 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     blocks = max(1, -(-seeds.count() // BLOCK_SEEDS))
     worded = docs.select(F.col("doc_id").cast("long"), text_hash(F.col("text")).alias("text_hash"),
                          _words(F.col("text")).alias("words"))
-    laid = _seeds(worded, masks).drop("span")
+    laid = _seeds(worded, masks)
+    # What a hit needs of its document: the words that windows around it can reach.
+    shift = F.col("at") - F.col("item_at")
+    reach = F.greatest(shift, F.lit(0))
     found = None
     for block in range(blocks):
         own = seeds.where(F.pmod(F.xxhash64("seed"), F.lit(blocks)) == block)
-        hits = (laid.join(F.broadcast(own), "seed")
-                .select("doc_id", "text_hash", "item_id", "window", _best_window().alias("best"))
-                .where(F.col("best.equal") >= F.col("window") - F.when(F.col("window") == WINDOW, SUBSTITUTED)
-                       .otherwise(0)))
+        hits = laid.join(F.broadcast(own), "seed").select(
+            "doc_id", "text_hash", "item_id", "item_at", "item_span", "window", "item_words", shift.alias("shift"),
+            F.size("words").alias("n_words"), reach.alias("from"), F.slice("words", reach + 1, F.lit(3 * WINDOW)).alias("words"))
+        # The shuffle of the few hits also ends the generated code of the many places, which would get too long for
+        # the JVM to compile.
+        hits = _windows(hits.repartition("doc_id", "text_hash", "item_id")).where(
+            F.col("equal_words") >= F.col("window") - F.when(F.col("window") == WINDOW, SUBSTITUTED).otherwise(0))
         found = hits if found is None else found.unionByName(hits)
-    return (found.groupBy("doc_id", "text_hash", "item_id", "window").agg(F.max("best").alias("best"))
-            .select("doc_id", "text_hash", "item_id", F.col("best.equal").alias("equal_words"), "window",
-                    (-F.col("best.before")).alias("first_word")))
+    best = found.groupBy("doc_id", "text_hash", "item_id", "window", "equal_words").agg(
+        F.min("first_word").alias("first_word"))
+    return (best.groupBy("doc_id", "text_hash", "item_id", "window")
+            .agg(F.max(F.struct("equal_words", "first_word")).alias("best"))
+            .select("doc_id", "text_hash", "item_id", "best.equal_words", "window", "best.first_word"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

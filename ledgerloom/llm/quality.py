@@ -162,15 +162,15 @@ def _inverse(n: np.ndarray, sums: np.ndarray, products: np.ndarray) -> tuple[np.
     return centre, np.linalg.inv(covariance).ravel(), float(np.linalg.slogdet(covariance)[1])
 
 
-@F.pandas_udf("centre array<double>, inverse array<double>, logdet double")
-def _estimate(n: pd.Series, sums: pd.Series, products: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([_inverse(*row) for row in zip(n, sums, products, strict=True)],
-                        columns=["centre", "inverse", "logdet"])
+def _estimates(moments: DataFrame) -> DataFrame:
+    """Centre, inverse covariance and log determinant of each start and stratum; one small matrix a row."""
 
+    @F.pandas_udf("centre array<double>, inverse array<double>, logdet double")
+    def estimate(n: pd.Series, sums: pd.Series, products: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_inverse(*row) for row in zip(n, sums, products, strict=True)],
+                            columns=["centre", "inverse", "logdet"])
 
-def _estimates(moments: DataFrame) -> DataFrame:
-    found = moments.withColumn("found", _estimate("n", "sums", "products"))
-    return _small(found.select(*_KEYS, "found.*"))
+    return _small(moments.withColumn("found", estimate("n", "sums", "products")).select(*_KEYS, "found.*"))
 
 
 def _distance() -> Column:
