@@ -34,7 +34,7 @@ _FORMATTED = pa.schema([("conv_id", pa.int64()), ("chunk", pa.int64()), ("text",
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
-        yield from zip(*(map(pa.Scalar.as_py, column) for column in batch.columns), strict=True)
+        yield from zip(*((value.as_py() for value in column) for column in batch.columns), strict=True)
 
 
 def _batches(rows: Iterator[dict[str, Any]], schema: pa.Schema, size: int) -> Iterator[pa.RecordBatch]:

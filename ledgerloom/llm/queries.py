@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, decontaminate, language_id, licenses, line_dedup, quality, sharding, simhash, warc
+from ledgerloom.llm import (
+    chat,
+    decontaminate,
+    language_id,
+    licenses,
+    line_dedup,
+    pieces,
+    quality,
+    sharding,
+    simhash,
+    warc,
+)
 from ledgerloom.llm.common import table
 
 # Fixed text: the conversation that imitates markers, added to the others to prove that markers can't be forged.
@@ -29,6 +40,13 @@ def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(told.unionByName(forged)))
 
 
+def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    model = pieces.model_of(spark)
+    coded = pieces.decode(pieces.encode(table(spark, folder, "documents"), model), model)
+    return coded.select("doc_id", F.size("ids").alias("n_pieces"), "ids",
+                        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
 def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     scanned, _ = licenses.scan(table(spark, folder, "documents"))
     return scanned.drop("text_hash")
@@ -69,7 +87,8 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
-        op1_warc, op2_chat_format, op4_license_scan, op5_language_id, op6_decontamination, op7_line_dedup,
-        op8_quality_rules, op9_sharding, op10_simhash_near_dedup)}
+        op1_warc, op2_chat_format, op3_sentencepiece, op4_license_scan, op5_language_id,
+        op6_decontamination, op7_line_dedup, op8_quality_rules, op9_sharding,
+        op10_simhash_near_dedup)}
 
 SQL: dict[str, str] = {"op6_decontamination": decontaminate.ORACLE_SQL, "op7_line_dedup": line_dedup.ORACLE_SQL}
