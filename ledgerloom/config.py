@@ -108,8 +108,7 @@ class RunConfig:
     asof_salts: int = 32
     # How many of the heaviest match keys may be joined apart from the rest.
     most_hot_keys: int = 2_000
-    # For a one-month run: how many months capture and settlement can lie apart. None matches the whole
-    # history; a number lets both sides be pruned to the months in reach.
-    reach_months: int | None = None
     # Orders whose date is known to be written in the other order; None leaves that check out.
     expected_date_overrides: tuple[str, ...] | None = None
+    # Whether a failed check stops the run before the report files are written; else it is only flagged.
+    stop_on_failed_checks: bool = False

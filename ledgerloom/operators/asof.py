@@ -62,12 +62,13 @@ def asof_daily(
 ) -> DataFrame:
     """Left as-of join: attach ``take`` (reference column -> new name) in force on ``day``.
 
-    ``on`` maps reference key -> left column. Rows before the first publication get nulls.
+    ``on`` maps reference key -> left column. Rows before the first publication, and rows without a day, get nulls.
     """
     if ref.last_day is None:
         return left.withColumns({
             new: F.lit(None).cast(ref.days.schema[old].dataType) for old, new in take.items()})
-    capped = F.least(day, F.lit(ref.last_day).cast("date"))
+    last = F.lit(ref.last_day).cast("date")
+    capped = F.when(day > last, last).otherwise(day)  # least() would give a row without a date the last rate
     right = ref.days.select(
         *[F.col(k).alias(f"__r_{k}") for k in ref.keys], F.col(_DAY),
         *[F.col(old).alias(new) for old, new in take.items()])

@@ -85,9 +85,14 @@ def bug_cause() -> Column:
 
 
 def fee_cause() -> Column:
-    """Charged against contracted, in local currency: converting first would add rounding noise."""
-    charged, agreed = F.col("psp_fee_local"), F.col("fee_local_contracted")
-    under_contract = agreed.isNotNull()
+    """Charged against contracted, in local currency: converting first would add rounding noise.
+
+    A provider that states its fee in USD only is compared in USD.
+    """
+    in_usd = F.col("psp_fee_local").isNull() & F.col("psp_fee_usd").isNotNull()
+    charged = F.when(in_usd, F.col("psp_fee_usd")).otherwise(F.col("psp_fee_local"))
+    agreed = F.when(in_usd, F.col("fee_usd_contracted")).otherwise(F.col("fee_local_contracted"))
+    under_contract = F.col("fee_local_contracted").isNotNull()
     return first_match([
         ("psp_fee_missing", under_contract & charged.isNull()),
         ("psp_fee_overcharge", under_contract & (charged > agreed)),

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.ordering import numbered
+
 _SPREAD = "__spread"
 
 
@@ -26,3 +28,30 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     """Equi-join on ``keys`` (same name on both sides) with rows of null key spread over all tasks."""
     joined = _spread(left, keys).join(_spread(right, keys), [_SPREAD, *keys], how)
     return joined.drop(_SPREAD)
+
+
+def paired_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_order: Sequence[str],
+                right_order: Sequence[str], hot: bool = False) -> DataFrame:
+    """Full outer join that pairs the k-th rows of a repeated key; rows of null key stay alone.
+
+    The number of a row within its key is made on the partitioning and order that the join itself needs, and is
+    compared by two inequalities: as an equality it would become a join key and cost both sides another shuffle.
+    ``hot`` is for few keys with very many rows each: their numbers come from range partitions and are join keys.
+    """
+    if hot:
+        ours = numbered(left, keys, left_order, "__nth", "hot_left")
+        theirs = numbered(right, keys, right_order, "__nth", "hot_right")
+        return ours.join(theirs, [*keys, "__nth"], "full_outer").drop("__nth")
+
+    def nth(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+        window = Window.partitionBy(_SPREAD, *keys).orderBy(*order)
+        return _spread(df, keys).withColumn(name, F.row_number().over(window))
+
+    ours = nth(left, left_order, "__nth")
+    theirs = nth(right, right_order, "__nth_r").withColumnsRenamed({k: f"__r_{k}" for k in [_SPREAD, *keys]})
+    condition = (F.col("__nth") <= F.col("__nth_r")) & (F.col("__nth") >= F.col("__nth_r"))
+    for key in (_SPREAD, *keys):
+        condition = condition & (ours[key] == theirs[f"__r_{key}"])
+    joined = ours.join(theirs, condition, "full_outer")
+    return joined.withColumns({k: F.coalesce(k, f"__r_{k}") for k in keys}).drop(
+        _SPREAD, "__nth", "__nth_r", *[f"__r_{k}" for k in (_SPREAD, *keys)])

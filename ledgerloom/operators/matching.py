@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.config import RunConfig
 from ledgerloom.functions import money, text, time
-from ledgerloom.operators.joins import keyed_join
+from ledgerloom.operators.joins import paired_join
 
 MATCH_KEYS = ["psp", "match_key", "operation_type"]
 
@@ -104,35 +104,25 @@ def _provider_side(providers: DataFrame) -> DataFrame:
         F.lit(True).alias("__in_psp"))
 
 
-def _hot_matches(ledger: DataFrame, providers: DataFrame, hot: DataFrame) -> DataFrame:
-    """Outer match on the hot keys only. The inner join can be split on either side by the adaptive
-    skew join; rows alone on their side are told by the short list of hot keys the other side has."""
-    def keys_in(side: DataFrame) -> DataFrame:
-        return F.broadcast(hot.join(side.select(*MATCH_KEYS).distinct(), MATCH_KEYS, "left_semi"))
-
-    paired = ledger.join(providers, MATCH_KEYS, "inner")
-    ours_alone = ledger.join(keys_in(providers), MATCH_KEYS, "left_anti")
-    theirs_alone = providers.join(keys_in(ledger), MATCH_KEYS, "left_anti")
-    return (paired.unionByName(ours_alone, allowMissingColumns=True)
-            .unionByName(theirs_alone, allowMissingColumns=True))
-
-
 def match_sides(ledger: DataFrame, providers: DataFrame, hot: Sequence[tuple] = (),
                 period_unit: str = "month") -> DataFrame:
     """Full outer match on provider, match key and operation, with raw differences and periods.
 
-    Rows without a match key are spread over all tasks. Keys listed in ``hot`` (bounded, see
-    ``hot_match_keys``) are joined apart from the rest, where skew can be split.
+    Where a key repeats, the k-th row of one side (by time, then reference) meets the k-th of the other, so n and m
+    rows give max(n, m), never n times m, and no money counts twice. Rows without a match key are spread over all
+    tasks. Keys listed in ``hot`` (bounded, see ``hot_match_keys``) are numbered by range partitions and joined on
+    the number as well, so such a key is many tasks.
     """
     ours, theirs = _ledger_side(ledger), _provider_side(providers)
+    orders = (["engine_recognised_at_utc", "txn_id"], ["psp_recognised_at_utc", "psp_reference", "psp_amount_local"])
     if not hot:
-        joined = keyed_join(ours, theirs, MATCH_KEYS, "full_outer")
+        joined = paired_join(ours, theirs, MATCH_KEYS, *orders)
     else:
         listed = F.broadcast(ledger.sparkSession.createDataFrame(hot, ledger.select(*MATCH_KEYS).schema))
-        cold = keyed_join(ours.join(listed, MATCH_KEYS, "left_anti"),
-                          theirs.join(listed, MATCH_KEYS, "left_anti"), MATCH_KEYS, "full_outer")
-        split = _hot_matches(ours.join(listed, MATCH_KEYS, "left_semi"),
-                             theirs.join(listed, MATCH_KEYS, "left_semi"), listed)
+        cold = paired_join(ours.join(listed, MATCH_KEYS, "left_anti"),
+                           theirs.join(listed, MATCH_KEYS, "left_anti"), MATCH_KEYS, *orders)
+        split = paired_join(ours.join(listed, MATCH_KEYS, "left_semi"),
+                            theirs.join(listed, MATCH_KEYS, "left_semi"), MATCH_KEYS, *orders, hot=True)
         joined = cold.unionByName(split)
     difference = {
         f"diff_{kind}": (money.or_zero(F.col(f"psp_amount_{kind}_settled"))
@@ -147,13 +137,3 @@ def match_sides(ledger: DataFrame, providers: DataFrame, hot: Sequence[tuple] =
                 "psp_period": time.period_of(F.col("psp_recognised_at_utc"), period_unit),
                 **difference})
             .drop("order_id", "psp_order_ref", "__in_engine", "__in_psp"))
-
-
-def months_in_reach(side: DataFrame, config: RunConfig) -> DataFrame:
-    """For a one-month run with a stated reach, keep the months a pair can span."""
-    if config.reporting_month is None or config.reach_months is None:
-        return side
-    month = F.trunc(F.lit(config.reporting_month).cast("date"), "month")
-    at = time.day_of(F.col("recognised_at_utc"))
-    return side.filter((at >= F.add_months(month, -config.reach_months))
-                       & (at < F.add_months(month, config.reach_months + 1)))

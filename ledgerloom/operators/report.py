@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.config import BASE_LABELS, MONEY, PROVIDERS, TOTAL, WATERFALL_LINES
+from ledgerloom.config import BASE_LABELS, MONEY, TOTAL, WATERFALL_LINES
 from ledgerloom.functions import money
 
 _LINE_KEYS = ["reporting_month", "psp", "recon_scope", "recon_status", "recon_cause"]
@@ -164,13 +164,22 @@ def recon_waterfall(summary: DataFrame) -> DataFrame:
             .select("reporting_month", "psp", "l.*"))
 
 
-def waterfall_pivot_total(waterfall: DataFrame, providers: Sequence[str] = PROVIDERS) -> DataFrame:
-    """A column per provider and their total; a provider without the line counts as zero."""
+def reported_providers(waterfall: DataFrame) -> list[str]:
+    """The providers of a waterfall by name: the columns of the printed report."""
+    return sorted(r["psp"] for r in waterfall.select("psp").distinct().collect())
+
+
+def waterfall_pivot_total(waterfall: DataFrame, providers: Sequence[str] = ()) -> DataFrame:
+    """A column per provider, zero where it lacks the line, and the total over all rows.
+
+    Without ``providers`` the columns are those the waterfall has; the total never depends on them.
+    """
     keys = ["reporting_month", "line_seq", "line_item", "is_subtotal"]
-    wide = waterfall.groupBy(*keys).pivot("psp", list(providers)).agg(F.sum("usd"))
-    cells = {p: F.coalesce(F.col(p), money.zero()).cast(TOTAL) for p in providers}
-    total = sum(cells.values(), F.lit(0).cast(TOTAL))
-    return wide.withColumns({**cells, "total": total.cast(TOTAL)})
+    shown = list(providers) or reported_providers(waterfall)
+    amount = {p: F.sum(F.when(F.col("psp") == p, F.col("usd"))) for p in shown}
+    return waterfall.groupBy(*keys).agg(
+        *[F.coalesce(a, money.zero()).cast(TOTAL).alias(p) for p, a in amount.items()],
+        F.sum("usd").cast(TOTAL).alias("total"))
 
 
 # Labels of the rendered report.
@@ -180,11 +189,13 @@ LINE_LABELS = {
     "provider_gross": "Provider gross", "provider_fees": "Provider fees", "net_receipts": "Net receipts"}
 
 
-def rendered_waterfall(pivoted: DataFrame, providers: Sequence[str] = PROVIDERS) -> DataFrame:
+def rendered_waterfall(pivoted: DataFrame) -> DataFrame:
     """The pivot in accounting notation; subtotals and the total column are set in bold marks."""
     def bold(cell: Column) -> Column:
         return F.when(cell == "—", cell).otherwise(F.concat(F.lit("**"), cell, F.lit("**")))
 
+    fixed = ("reporting_month", "line_seq", "line_item", "is_subtotal", "total")
+    providers = [c for c in pivoted.columns if c not in fixed]
     label = F.lit(None).cast("string")
     for item, words in LINE_LABELS.items():
         label = F.when(F.col("line_item") == item, F.lit(words)).otherwise(label)

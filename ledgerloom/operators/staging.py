@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.config import CONFORMED, MONEY, RATE, RunConfig
@@ -156,14 +156,27 @@ def google_play_entries(raw: DataFrame) -> DataFrame:
 
 
 def google_play(raw: DataFrame, config: RunConfig = RunConfig()) -> DataFrame:
-    """Fold each sibling fee entry into its charge as a positive cost."""
+    """Fold each sibling fee entry into its charge as a positive cost.
+
+    Charge and fee share second, product and country. Where that repeats, the k-th fee belongs to the k-th charge
+    by size; fees beyond the number of charges go to the last one, so the fees of a key count once whatever repeats.
+    One shuffle: the numbering and the fold both group by the shared key.
+    """
     entries = google_play_entries(raw)
     keys = ["event_at", "sku", "country"]
-    payments = entries.filter(F.col("entry").isin(*GOOGLE_OPERATIONS))
-    fees = entries.filter(F.col("entry") == "Google fee").select(*keys, "amount", "amount_usd")
-    folded = attach_summary(
-        payments.withColumnsRenamed({"amount": "paid", "amount_usd": "paid_usd"}), fees, keys,
-        fee=F.sum(-F.col("amount")), fee_usd=F.sum(-F.col("amount_usd")))
+    is_fee, is_charge = F.col("entry") == "Google fee", F.col("entry") == "Charge"
+    by_key = Window.partitionBy(*keys)
+    kind = F.when(is_fee, "Charge").otherwise(F.col("entry"))
+    nth = F.row_number().over(Window.partitionBy(*keys, "entry").orderBy(F.abs("amount").desc(), F.abs("amount_usd").desc()))
+    charges = F.count(F.when(is_charge, 1)).over(by_key)
+    paired = (entries.withColumns({"nth": nth, "charges": charges, "kind": kind})
+              .withColumn("nth", F.when(is_fee, F.least("nth", "charges")).otherwise(F.col("nth"))))
+    first = {c: F.max(F.when(~is_fee, F.col(c))) for c in ("currency", "amount", "amount_usd")}
+    folded = (paired.groupBy(*keys, "kind", "nth").agg(
+        F.max(F.when(~is_fee, F.col("entry"))).alias("entry"), first["currency"].alias("currency"),
+        first["amount"].alias("paid"), first["amount_usd"].alias("paid_usd"),
+        F.sum(F.when(is_fee, -F.col("amount"))).alias("fee"), F.sum(F.when(is_fee, -F.col("amount_usd"))).alias("fee_usd"))
+        .filter(F.col("entry").isin(*GOOGLE_OPERATIONS)))
     is_sale = F.col("entry") == "Charge"
     return conform(
         folded,

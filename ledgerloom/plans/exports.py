@@ -20,8 +20,8 @@ COUNTRIES = ("DE", "FR", "GB", "BR", "MX", "AR", "CL", "CO")
 SKU_BY_KEY = ("sub_monthly", "sub_quarterly", "sub_annual", "coach_addon")
 GOOGLE_ACCOUNT = "play_main"
 CONTRACT_ROWS = (  # psp, account, valid_from, percent_fee, fixed_fee, fixed_fee_currency
-    ("adyen", "ECOM_EU", "1994-01-01", "2.5", "0.00", ""),
-    ("adyen", "ECOM_EU", "1998-07-01", "2.75", "0.10", "EUR"),
+    ("adyen", "SHOP_EU", "1994-01-01", "2.5", "0.00", ""),
+    ("adyen", "SHOP_EU", "1998-07-01", "2.75", "0.10", "EUR"),
     ("adyen", "APP_US", "1994-01-01", "2.5", "0.00", ""),
     ("google_play", GOOGLE_ACCOUNT, "1994-01-01", "15.0", "0.00", ""),
     ("google_play", GOOGLE_ACCOUNT, "2000-01-01", "12.5", "0.00", ""),
@@ -67,7 +67,7 @@ def payments(d: Dialect) -> Steps:
   FROM orders"""),
         ("result", f"""SELECT k, ck, psp, currency,
   {pick('ck % 8', COUNTRIES)} AS country, {pick(f"{d.div('k', '5')} % 4", SKU_BY_KEY)} AS sku,
-  CASE WHEN ck % 2 = 0 THEN 'ECOM_EU' ELSE 'APP_US' END AS adyen_account,
+  CASE WHEN ck % 2 = 0 THEN 'SHOP_EU' ELSE 'APP_US' END AS adyen_account,
   CASE currency WHEN 'CLP' THEN 100 ELSE 1 END AS unit,
   CASE currency WHEN 'CLP' THEN {d.div('total_cents', '100')} * 100 ELSE total_cents END AS cents,
   created_at, {d.plus_seconds('created_at', '300 + (k * 17) % 6007')} AS captured_at,
@@ -110,7 +110,7 @@ def adyen(d: Dialect) -> Steps:
                     "CASE WHEN outcome = 'settled' THEN 'Settled' END",
                     "CASE WHEN outcome = 'declined' THEN 'Refused' END",
                     "CASE reversal WHEN 'refund' THEN 'Refunded' WHEN 'chargeback' THEN 'Chargeback' END")} AS entry,
-    adyen_account = 'ECOM_EU' AND CAST(settled_at AS DATE) >= DATE '1998-07-01' AS new_terms
+    adyen_account = 'SHOP_EU' AND CAST(settled_at AS DATE) >= DATE '1998-07-01' AS new_terms
   FROM provider_view WHERE psp = 'adyen'"""),
         ("charged", f"""SELECT *, CASE WHEN new_terms THEN 275 ELSE 250 END AS bp,
     CASE WHEN new_terms AND currency = 'EUR' THEN 10 ELSE 0 END AS fixed_cents

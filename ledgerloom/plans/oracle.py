@@ -50,7 +50,7 @@ def share(part: str, whole: str, digits: int) -> str:
 
 
 def first_of(*arms: tuple[str, str]) -> str:
-    return "coalesce(" + ", ".join(f"CASE WHEN {cond} THEN {value} END" for value, cond in arms) + ")"
+    return "CASE " + " ".join(f"WHEN {cond} THEN {value}" for value, cond in arms) + " END"
 
 
 NONE = "CAST(NULL AS DECIMAL(18,2))"
@@ -292,9 +292,9 @@ SELECT *, psp_amount_usd_period + psp_amount_usd_duplicate_period - engine_amoun
     "caused": "SELECT *, " + first_of(
         ("'matched'", "in_engine AND engine_fx_variance_reason = 'none'"),
         ("'engine_' || engine_fx_variance_reason", "in_engine")) + " AS bug_cause, " + first_of(
-        ("'psp_fee_missing'", "fee_local_contracted IS NOT NULL AND psp_fee_local IS NULL"),
-        ("'psp_fee_overcharge'", "psp_fee_local > fee_local_contracted"),
-        ("'psp_fee_undercharge'", "psp_fee_local < fee_local_contracted"),
+        ("'psp_fee_missing'", "fee_local_contracted IS NOT NULL AND psp_fee_local IS NULL AND psp_fee_usd IS NULL"),
+        ("'psp_fee_overcharge'", "fee_local_contracted IS NOT NULL AND if(psp_fee_local IS NULL, psp_fee_usd > fee_usd_contracted, psp_fee_local > fee_local_contracted)"),
+        ("'psp_fee_undercharge'", "fee_local_contracted IS NOT NULL AND if(psp_fee_local IS NULL, psp_fee_usd < fee_usd_contracted, psp_fee_local < fee_local_contracted)"),
         ("'matched'", "fee_local_contracted IS NOT NULL"),
         ("'psp_claims_fee_out_of_contract'", "settled_sale AND coalesce(psp_fee_usd, 0) <> 0"),
         ("'fee_not_contracted'", "settled_sale")) + " AS net_cause, " + first_of(

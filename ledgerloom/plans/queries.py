@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from ledgerloom.config import PROVIDERS
 from ledgerloom.functions import money, text, time
 from ledgerloom.operators import matching, pricing, profiling, refdata, report, staging
-from ledgerloom.plans import roundtrip
+from ledgerloom.operators.asof import asof_daily
+from ledgerloom.plans import oracle, roundtrip
 from ledgerloom.plans.derived import EXPORT_DAYS, Derived
 from ledgerloom.plans.oracle import with_ctes
 
@@ -71,6 +72,13 @@ register("asof_rate_scalar", lambda x: x.priced, f"{ROW_KEY} psp_reference creat
 register("asof_pricing", lambda x: x.priced,
          f"{ROW_KEY} amount_usd:m amount_usd_settled:m amount_usd_duplicate:m fee_usd:m recognised_at_utc:t",
          "SELECT * FROM priced")
+register("asof_null_day",
+         lambda x: asof_daily(
+             x.payments.withColumn("day", F.when(F.col("k") % 7 != 0, time.day_of(F.col("created_at")))), x.calendar,
+             {"currency": "currency"}, F.col("day"), {"usd_rate": "rate"}, x.config),
+         "k:i currency day:d rate:m",
+         "SELECT k, currency, asof_day AS day, p_rate AS rate FROM ("
+         + oracle.asof("payments", "p", "CASE WHEN k % 7 <> 0 THEN CAST(created_at AS DATE) END") + ")")
 register("effective_dated_contract", lambda x: x.providers,
          f"{ROW_KEY} psp_account percent_fee:m fixed_fee:m fixed_fee_currency", "SELECT * FROM providers")
 register("contracted_fee", lambda x: x.providers, f"{ROW_KEY} fee_local_contracted:m fee_usd_contracted:m",
@@ -246,6 +254,28 @@ _CELLS = ", ".join(f"coalesce(sum(usd) FILTER (psp = '{p}'), 0) AS {p}" for p in
 register("waterfall_pivot_total", lambda x: report.waterfall_pivot_total(x.waterfall),
          "reporting_month:d line_seq:i line_item is_subtotal:b " + " ".join(f"{p}:m" for p in PROVIDERS) + " total:m",
          f"SELECT reporting_month, line_seq, line_item, is_subtotal, {_CELLS}, sum(usd) AS total FROM waterfall GROUP BY ALL")
+_FURTHER = ("(SELECT * FROM waterfall UNION ALL SELECT * REPLACE ('zeta_pay' AS psp) FROM waterfall WHERE psp = 'adyen')")
+_SIX = (*PROVIDERS, "zeta_pay")
+register("waterfall_further_provider",
+         lambda x: report.waterfall_pivot_total(x.waterfall.unionByName(
+             x.waterfall.filter("psp = 'adyen'").withColumn("psp", F.lit("zeta_pay")))),
+         "reporting_month:d line_seq:i line_item " + " ".join(f"{p}:m" for p in _SIX) + " total:m",
+         "SELECT reporting_month, line_seq, line_item, "
+         + ", ".join(f"coalesce(sum(usd) FILTER (psp = '{p}'), 0) AS {p}" for p in _SIX)
+         + f", sum(usd) AS total FROM {_FURTHER} GROUP BY ALL")
+
+# --- the whole run over written files, for one month ------------------------------------------------
+
+_MONTH_ONLY = {
+    "paypal_raw": f"SELECT * FROM paypal_raw_as_is WHERE export_month = '{roundtrip.MONTH}'",
+    "matched": oracle.CTES["matched"].replace("date_trunc('year'", "date_trunc('month'")}
+register("run_month_summary", lambda x: roundtrip.month_run(x).tables["summary"],
+         f"{LINE_ROW} n_rows:i abs_usd:m signed_usd:m base_label base_usd:m pct_of_base:m "
+         "pct_of_scope_discrepancy:m pct_of_total_discrepancy:m",
+         f"SELECT * FROM summary WHERE reporting_month = DATE '{roundtrip.MONTH}'", **_MONTH_ONLY)
+register("run_month_waterfall", lambda x: roundtrip.month_run(x).tables["waterfall"],
+         "reporting_month:d psp line_seq:i line_item usd:m is_subtotal:b",
+         f"SELECT * FROM waterfall WHERE reporting_month = DATE '{roundtrip.MONTH}'", **_MONTH_ONLY)
 
 
 def _cell(amount: str) -> str:

@@ -24,10 +24,11 @@ REQUIRED = ("payment_engine_log", "paypal_us_activity", "paypal_eu_activity", "a
 
 @dataclass
 class Run:
-    """The tables of a run by name, and where the report files went."""
+    """The tables of a run by name, where the report files went, and the checks that found violations."""
 
     tables: dict[str, DataFrame] = field(default_factory=dict)
     files: dict[str, str] = field(default_factory=dict)
+    failed: list[str] = field(default_factory=list)
 
 
 def ingest(spark: SparkSession, specs: Mapping[str, SourceSpec], out: str) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -35,19 +36,13 @@ def ingest(spark: SparkSession, specs: Mapping[str, SourceSpec], out: str) -> tu
     files = settle(normalise.fingerprints(
         spark, {name: (spec.path, spec.declared) for name, spec in specs.items()}), "fingerprints")
     normalise.require_inputs(files, sorted(specs))
-    staged, counted = {}, None
+    # decoded once: the tables and the manifest are both made of the stored lines
+    lines = settle(normalise.normalised_lines(spark, files), "lines")
+    staged = {}
     for name, spec in specs.items():
-        own = files.filter(F.col("source") == name)
-        lines = normalise.normalised_lines(spark, own)
-        counts = normalise.manifest(own, lines)
-        counted = counts if counted is None else counted.unionByName(counts)
-        heads = {tuple(r["head"][: spec.preamble + 1]) for r in own.select("head").distinct().collect()}
-        parsed = None
-        for head in sorted(heads):
-            part = registry.parse_lines(lines, list(head), spec)
-            parsed = part if parsed is None else parsed.unionByName(part)
+        parsed = registry.parse_files(lines.filter(F.col("source") == name), spec)
         staged[name] = write_table(parsed, f"{out}/staged/{name.replace(':', '_')}")
-    return staged, write_table(counted, f"{out}/manifest")
+    return staged, write_table(normalise.manifest(files, lines), f"{out}/manifest")
 
 
 def _parts(staged: Mapping[str, DataFrame], name: str) -> DataFrame:
@@ -101,10 +96,9 @@ def reconcile_tables(layers: Mapping[str, DataFrame], config: RunConfig, out: st
     names = matching.reported_names(providers)
     reported = (matching.only_reported(restated, providers) if names is None
                 else restated.filter(F.col("psp").isin(*names)))
-    ours = matching.months_in_reach(matching.signed_ledger(reported), config)
-    theirs = matching.months_in_reach(providers, config)
-    hot = matching.hot_match_keys(ours, theirs, config)
-    matched = write_table(matching.match_sides(ours, theirs, hot, config.period_unit), f"{out}/matched")
+    ours = matching.signed_ledger(reported)
+    hot = matching.hot_match_keys(ours, providers, config)
+    matched = write_table(matching.match_sides(ours, providers, hot, config.period_unit), f"{out}/matched")
 
     classified = classify.classify(classify.scope_to_period(matched, config.reporting_month))
     # the rows of one month need no partitions, nor the shuffle that makes them
@@ -163,6 +157,15 @@ def raw_checks(staged: Mapping[str, DataFrame], layers: Mapping[str, DataFrame],
     return found
 
 
+def violations(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """``check`` and how many rows violate it, for every check of a run."""
+    counted = None
+    for name, df in sorted(frames.items()):
+        one = df.agg(F.count("*").alias("violations")).select(F.lit(name).alias("check"), "violations")
+        counted = one if counted is None else counted.unionByName(one)
+    return counted
+
+
 def reconcile(spark: SparkSession, paths: Mapping[str, str], config: RunConfig) -> Run:
     """The whole run. ``paths``: source name -> file or folder (see ``sources.registry``)."""
     have = {name.split(":")[0] for name in paths}
@@ -171,10 +174,18 @@ def reconcile(spark: SparkSession, paths: Mapping[str, str], config: RunConfig)
         raise ValueError(f"missing inputs: {', '.join(missing)}")
     out = (config.output_dir or fresh_path(spark, "run")).rstrip("/")
     staged, manifest = ingest(spark, registry.registry(paths), out)
-    layers = stage(staged, config)
+    # read by the plan and by many checks, so stored
+    layers = {name: write_table(df, f"{out}/layers/{name}") for name, df in stage(staged, config).items()}
     run = Run(tables={**layers, "manifest": manifest, **reconcile_tables(layers, config, out)})
+    frames = {**checks(run.tables), **raw_checks(staged, layers, config)}
+    run.tables |= {f"check_{name}": df for name, df in frames.items()}
+    run.tables["violations"] = write_table(violations(frames), f"{out}/violations")
+    run.failed = sorted(r["check"] for r in run.tables["violations"].filter("violations > 0").collect())
+    if run.failed and config.stop_on_failed_checks:
+        raise ValueError(f"failed checks, see {out}/violations: {', '.join(run.failed)}")
+    run.tables["waterfall_report"] = write_table(
+        report.rendered_waterfall(report.waterfall_pivot_total(run.tables["waterfall"])), f"{out}/waterfall_report")
     for name, order in (("summary", sinks.summary_order()), ("waterfall", sinks.waterfall_order())):
         run.files[name] = sinks.export_csv(
             run.tables[name], f"{out}/exports", f"recon_{name}", order, config.reporting_month)
-    run.tables |= {f"check_{name}": df for name, df in {**checks(run.tables), **raw_checks(staged, layers, config)}.items()}
     return run

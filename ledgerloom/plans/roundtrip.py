@@ -4,18 +4,25 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from datetime import date, timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.config import RunConfig
 from ledgerloom.operators import staging
-from ledgerloom.plans.derived import Derived
+from ledgerloom.plans import exports
+from ledgerloom.plans.derived import EXPORT_DAYS, Derived
+from ledgerloom.plans.reconcile import Run, reconcile
 from ledgerloom.sources import normalise, registry, sinks
 from ledgerloom.sources.workspace import fresh_path, settle, write_table
 
 BANNER = "Earnings report (merchant account: play_main). All dates and times are in America/Los_Angeles."
 
+# The month that the run over written files reports.
+MONTH = date(1997, 6, 1)
+
 
 def _write_csv(df: DataFrame, label: str, **options) -> str:
     path = fresh_path(df.sparkSession, label)
@@ -169,3 +176,23 @@ def stored_summary(x: Derived) -> DataFrame:
 def exported_waterfall(x: Derived) -> DataFrame:
     path = sinks.export_csv(x.waterfall, fresh_path(x.spark, "exports"), "recon_waterfall", sinks.waterfall_order())
     return x.spark.read.option("header", True).csv(path)
+
+
+def month_run(x: Derived) -> Run:
+    """The product as a user runs it: every export written as its provider writes it, then one month reconciled."""
+    google = x.google_play_raw
+    paypal = x.paypal_raw.filter(F.col("export_month") == str(MONTH)).drop("export_month")
+    paths = {
+        "payment_engine_log": _write_csv(x.payment_log_raw, "payment_log"),
+        "adyen_payment_accounting": _write_csv(x.adyen_raw, "adyen"),
+        "dlocal_transactions": _write_csv(x.dlocal_raw, "dlocal"),
+        "fx_rates": _write_csv(x.fx_rates_raw, "fx_rates"),
+        "fee_schedule": _write_csv(x.contracts_raw, "fee_schedule"),
+        "paypal_us_activity": _write_csv(paypal.filter("account = 'paypal_us'").drop("account"), "paypal_us"),
+        "paypal_eu_activity": _write_csv(paypal.filter("account = 'paypal_eu'").drop("account"), "paypal_eu", sep=";")}
+    for part in ("early", "late"):
+        own = google.filter(F.col("part") == part).drop("part")
+        paths[f"google_play_earnings:{part}"] = _write_google(own, f"google_{part}")
+    return reconcile(x.spark, paths, RunConfig(
+        reporting_month=MONTH, export_window=(MONTH, MONTH + timedelta(days=EXPORT_DAYS)),
+        google_play_account=exports.GOOGLE_ACCOUNT, output_dir=fresh_path(x.spark, "month_run")))

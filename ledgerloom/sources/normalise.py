@@ -17,10 +17,13 @@ from collections.abc import Iterator, Mapping
 
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.sources.workspace import settle
+
 # the small functions below run on executors, which need not have this package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -34,7 +37,7 @@ _WIDE = ("utf-16", "utf-32")
 
 FINGERPRINT = (
     "path string, source string, declared string, encoding_used string, sha256_in string, bytes_in bigint, "
-    "decodable boolean, ascii_only boolean, ends_with_newline boolean, head array<string>")
+    "decodable boolean, ascii_only boolean, ends_with_newline boolean")
 
 
 def _open(path: str):
@@ -66,7 +69,7 @@ def _fingerprint(path: str, declared: str) -> dict:
         first = stream.read(_BLOCK)
         marked = next((e for mark, e in _MARKS if first.startswith(mark)), None)
         probes = {e: _Probe(e) for e in ([marked] if marked else ["utf-8", declared])}
-        head, block = first[: 64 << 10], first
+        block = first
         while block:
             digest.update(block)
             size += len(block)
@@ -78,13 +81,11 @@ def _fingerprint(path: str, declared: str) -> dict:
     for probe in probes.values():
         probe.feed(b"", final=True)
     used = marked or ("utf-8" if probes["utf-8"].ok else declared)
-    lines = head.decode(used, errors="ignore").replace("\r\n", "\n").split("\n")[:4]
     newline = "\n".encode("utf-8" if used not in _WIDE else used + "-le")
     ends = last.endswith(newline) or (used in _WIDE and last.endswith("\n".encode(used + "-be")))
     return {
         "path": path, "declared": declared, "encoding_used": used, "sha256_in": digest.hexdigest(),
-        "bytes_in": size, "decodable": probes[used].ok, "ascii_only": ascii_only, "ends_with_newline": ends,
-        "head": [unicodedata.normalize("NFC", line) for line in lines]}
+        "bytes_in": size, "decodable": probes[used].ok, "ascii_only": ascii_only, "ends_with_newline": ends}
 
 
 def _fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -95,12 +96,20 @@ def _fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def fingerprints(spark: SparkSession, folders: Mapping[str, tuple[str, str]]) -> DataFrame:
-    """One row per file. ``folders``: source name -> (file or folder, declared encoding)."""
-    listing = None
+    """One row per file. ``folders``: source name -> (file or folder, declared encoding).
+
+    A source whose path does not exist has no row; ``input_faults`` reports it.
+    """
+    listing = spark.createDataFrame([], "path string, source string, declared string")
     for source, (path, declared) in folders.items():
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-                 .select("path", F.lit(source).alias("source"), F.lit(declared).alias("declared")))
-        listing = files if listing is None else listing.unionByName(files)
+        try:
+            found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        listing = listing.unionByName(
+            found.select("path", F.lit(source).alias("source"), F.lit(declared).alias("declared")))
     # a listing is tiny; an explicit number of tasks keeps large files from sharing one
     return listing.repartition(max(1, min(listing.count(), 10_000))).mapInPandas(_fingerprints, FINGERPRINT)
 
@@ -109,19 +118,19 @@ def _wide_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for path, encoding in zip(pdf.path, pdf.encoding_used):
             decoder = codecs.getincrementaldecoder(encoding)("strict")
-            rest, lines = "", []
+            rest, lines, seen = "", [], 0
             with _open(path) as stream:
                 while block := stream.read(_BLOCK):
                     *whole, rest = (rest + decoder.decode(block)).split("\n")
                     lines += whole
                     if len(lines) >= _BATCH:
-                        yield pd.DataFrame({"path": path, "text": lines})
-                        lines = []
+                        yield pd.DataFrame({"path": path, "text": lines, "at": range(seen, seen + len(lines))})
+                        lines, seen = [], seen + len(lines)
             rest += decoder.decode(b"", True)
             if rest:
                 lines.append(rest)
             if lines:
-                yield pd.DataFrame({"path": path, "text": lines})
+                yield pd.DataFrame({"path": path, "text": lines, "at": range(seen, seen + len(lines))})
 
 
 def _decoder(encoding: str):
@@ -141,49 +150,62 @@ def _is_ascii(text: Column) -> Column:
     return F.is_valid_utf8(text) & (F.octet_length(text) == F.char_length(text))
 
 
+def text_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Lines of UTF-8 files with ``path``, the ``block`` of the file they were read in, and ``at``.
+
+    ``at`` grows along a block, so the first lines of a file are those of block 0 with the smallest ``at``,
+    wherever the file was split.
+    """
+    return spark.read.option("lineSep", "\n").text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), F.col("value").alias("text"))
+
+
 def normalised_lines(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """Lines of every decodable file: (path, source, line, crlf, nfc_changed).
+    """Lines of every decodable file: (path, block, at, source, line, crlf, nfc_changed).
 
     ``files`` is a stored result of ``fingerprints``. Files of plain ASCII never leave the JVM; of the
     others Python sees only lines that hold a character outside ASCII. The file list goes through the
     driver, the files do not.
     """
     good = files.filter("decodable")
-    byte_files: dict[str, list[str]] = {}
+    byte_files: dict[tuple[str, str], list[str]] = {}
     for row in good.filter(~F.col("encoding_used").isin(*_WIDE)).select(
-            "path", "encoding_used", "ascii_only").collect():
-        byte_files.setdefault("ascii" if row["ascii_only"] else row["encoding_used"], []).append(row["path"])
+            "path", "source", "encoding_used", "ascii_only").collect():
+        kind = "ascii" if row["ascii_only"] else row["encoding_used"]
+        byte_files.setdefault((row["source"], kind), []).append(row["path"])
+    wide = good.filter(F.col("encoding_used").isin(*_WIDE)).select("path", "source", "encoding_used")
     parts = []
-    for encoding, paths in byte_files.items():
-        raw = (spark.read.option("lineSep", "\n").text(paths)
-               .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
+    for source in sorted(r["source"] for r in wide.select("source").distinct().collect()):
+        own = wide.filter(F.col("source") == source).mapInPandas(_wide_lines, "path string, text string, at bigint")
+        parts.append(_clean(own.withColumn("block", F.lit(0).cast("bigint")), source, compose=True))
+    for (source, encoding), paths in byte_files.items():
+        raw = text_lines(spark, paths)
         if encoding == "utf-8-sig":
             raw = raw.withColumn("text", F.regexp_replace("text", "^\ufeff", ""))
         elif encoding not in ("ascii", "utf-8"):
             exotic = F.when(~_is_ascii(F.col("text")), F.col("text").cast("binary"))
             raw = raw.withColumn("text", F.coalesce(_decoder(encoding)(exotic), F.col("text")))
-        parts.append(_clean(raw, compose=encoding != "ascii"))
-    wide = good.filter(F.col("encoding_used").isin(*_WIDE)).select("path", "encoding_used")
-    parts.append(_clean(wide.mapInPandas(_wide_lines, "path string, text string"), compose=True))
-    lines = parts[0]
-    for part in parts[1:]:
+        parts.append(_clean(raw, source, compose=encoding != "ascii"))
+    lines = spark.createDataFrame([], "path string, block bigint, at bigint, source string, line string, crlf boolean, "
+                                      "nfc_changed boolean")
+    for part in parts:
         lines = lines.unionByName(part)
-    # a stored listing of one row per file: its size on disk tells Spark whether to broadcast it
-    names = good.select(_plain(F.col("path")).alias("__p"), "source")
-    return (lines.withColumn("__p", _plain(F.col("path"))).join(names, "__p")
-            .select("path", "source", "line", "crlf", "nfc_changed"))
+    return lines
 
 
-def _clean(lines: DataFrame, compose: bool) -> DataFrame:
+def _clean(lines: DataFrame, source: str, compose: bool) -> DataFrame:
     """Unify line ends and compose accents, keeping count of what was changed."""
     crlf = F.col("text").endswith("\r")
     bare = F.when(crlf, F.expr("left(text, char_length(text) - 1)")).otherwise(F.col("text"))
     cut = lines.withColumns({"crlf": crlf, "bare": bare})
-    if not compose:
-        return cut.select("path", F.col("bare").alias("line"), "crlf", F.lit(False).alias("nfc_changed"))
-    composed = cut.withColumn("composed", _composed(F.when(~_is_ascii(F.col("bare")), F.col("bare"))))
+    if compose:
+        cut = cut.withColumn("composed", _composed(F.when(~_is_ascii(F.col("bare")), F.col("bare"))))
+    else:
+        cut = cut.withColumn("composed", F.lit(None).cast("string"))
     changed = F.col("composed").isNotNull() & (F.col("composed") != F.col("bare"))
-    return composed.select("path", F.coalesce("composed", "bare").alias("line"), "crlf", changed.alias("nfc_changed"))
+    return cut.select("path", "block", "at", F.lit(source).alias("source"), F.coalesce("composed", "bare").alias("line"),
+                      "crlf", changed.alias("nfc_changed"))
 
 
 def _plain(path: Column) -> Column:
@@ -195,11 +217,12 @@ def manifest(files: DataFrame, lines: DataFrame) -> DataFrame:
     """Audit trail per file: encoding used, SHA-256 of the bytes read, line ends, composition."""
     counted = lines.groupBy(_plain(F.col("path")).alias("__p")).agg(
         F.count("*").alias("rows"), F.count_if("crlf").alias("crlf_stripped"),
-        F.bool_or("nfc_changed").alias("nfc_changed"))
+        F.bool_or("nfc_changed").alias("nfc_changed"), F.sum(F.octet_length("line") + 1).alias("bytes_out"))
     return (files.withColumn("__p", _plain(F.col("path"))).join(counted, "__p", "left")
             .select("path", "source", "declared", "encoding_used", "sha256_in", "bytes_in", "decodable",
                     F.coalesce("nfc_changed", F.lit(False)).alias("nfc_changed"),
                     F.coalesce("crlf_stripped", F.lit(0)).alias("crlf_stripped"),
+                    F.coalesce("bytes_out", F.lit(0)).alias("bytes_out"),
                     (F.coalesce("rows", F.lit(0))
                      - F.when(F.col("ends_with_newline") | F.col("rows").isNull(), 0).otherwise(1)).alias("lines")))
 
@@ -214,9 +237,11 @@ def input_faults(files: DataFrame, required: list[str]) -> DataFrame:
         "source", F.lit("undecodable").alias("fault"), "path"))
 
 
-def require_inputs(files: DataFrame, required: list[str]) -> None:
-    """Stop rather than reconcile half-read text."""
-    faults = input_faults(files, required).limit(20).collect()
-    if faults:
-        raise ValueError("quarantined inputs: " + ", ".join(
-            f"{r['source']} {r['fault']} {r['path'] or ''}".strip() for r in faults))
+def require_inputs(files: DataFrame, required: list[str], named: int = 20) -> None:
+    """Stop rather than reconcile half-read text. All faults are stored; the message counts them and names some."""
+    faults = settle(input_faults(files, required), "input_faults")
+    count = faults.count()
+    if count:
+        some = "; ".join(f"{r['source']} {r['fault']} {r['path'] or ''}".strip()
+                         for r in faults.orderBy("source", "path").limit(named).collect())
+        raise ValueError(f"{count} quarantined inputs, listed in {faults.inputFiles()[0].rsplit('/', 1)[0]}: {some}")

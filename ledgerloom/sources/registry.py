@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.sources import normalise
+
 
 @dataclass(frozen=True)
 class SourceSpec:
@@ -43,14 +45,32 @@ def registry(paths: Mapping[str, str]) -> dict[str, SourceSpec]:
     return {name: SourceSpec(name, path, **DIALECTS[name.split(":")[0]]) for name, path in paths.items()}
 
 
-def parse_lines(lines: DataFrame, head: list[str], spec: SourceSpec) -> DataFrame:
-    """Lines (column ``line``) to columns named by the header. ``head`` is the banner and the header,
-    in order; those lines are dropped wherever the file was split, so the read stays splittable."""
-    names = next(csv.reader([head[spec.preamble]], delimiter=spec.sep))
-    options = {"sep": spec.sep, "mode": "FAILFAST"}
-    body = lines.filter(~F.col("line").isin(*head[: spec.preamble + 1]) & (F.length("line") > 0))
-    schema = ", ".join(f"`{n}` string" for n in names)
-    return body.select(F.from_csv("line", schema, options).alias("r")).select("r.*")
+def parse_files(lines: DataFrame, spec: SourceSpec) -> DataFrame:
+    """Lines (``path, block, at, line``) of the files of one source to columns, stacked by name.
+
+    Each file is read by its own header: banner and header are its first lines by place, and a later line that
+    spells the same is data. Files with the same header are parsed together. The heads that differ go through the
+    driver, one line or two each; empty lines are no records.
+    """
+    first = lines.filter("block = 0").groupBy("path").agg(F.min("at").alias("first"))
+    placed = lines.join(first, "path")
+    is_head = (F.col("block") == 0) & (F.col("at") <= F.col("first") + spec.preamble)
+    heads = (placed.filter(is_head).groupBy("path").agg(F.array_sort(F.collect_list(F.struct("at", "line"))).alias("head"))
+             .select("path", F.get("head.line", F.lit(spec.preamble)).alias("header")))
+    found = sorted(r["header"] or "" for r in heads.select("header").distinct().collect())
+    if not all(found):
+        raise ValueError(f"{spec.name}: a file ends before its header")
+    body = placed.filter(~is_head & (F.length("line") > 0)).select("path", "line")
+    parsed = None
+    for header in found:
+        names = next(csv.reader([header], delimiter=spec.sep))
+        own = body if len(found) == 1 else body.join(heads.filter(F.col("header") == header), "path", "left_semi")
+        schema = ", ".join(f"`{n}` string" for n in names)
+        rows = own.select(F.from_csv("line", schema, {"sep": spec.sep, "mode": "FAILFAST"}).alias("r")).select("r.*")
+        parsed = rows if parsed is None else parsed.unionByName(rows)
+    if parsed is None:
+        raise ValueError(f"{spec.name}: no file with a header")
+    return parsed
 
 
 def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
@@ -61,9 +81,8 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
         text = T.StructType([T.StructField(n, T.StringType()) for n in reader.csv(spec.path).columns])
         # the header of every file in a folder is held against the first one's
         return reader.schema(text).option("enforceSchema", False).csv(spec.path)
-    lines = spark.read.text(spec.path).withColumnRenamed("value", "line")
-    head = [r["line"] for r in lines.limit(spec.preamble + 1).collect()]
-    return parse_lines(lines, head, spec)
+    lines = normalise.text_lines(spark, [spec.path]).withColumn("line", F.regexp_replace("text", "\r$", ""))
+    return parse_files(lines, spec)
 
 
 def read_parts(spark: SparkSession, specs: Iterable[SourceSpec]) -> DataFrame:

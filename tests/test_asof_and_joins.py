@@ -137,10 +137,20 @@ def test_no_hot_key_no_split(spark):
     assert matching.hot_match_keys(left, right, fraction=1.0, least_hits=15) == []
 
 
-def test_reach_prunes_only_when_it_is_stated(spark):
-    at = spark.sql("select explode(array(timestamp_ntz'2026-04-30 23:59:59', timestamp_ntz'2026-05-01 00:00:00', "
-                   "timestamp_ntz'2026-07-31 23:59:59', timestamp_ntz'2026-08-01 00:00:00')) as recognised_at_utc")
-    month = date(2026, 6, 1)
-    assert matching.months_in_reach(at, RunConfig(reporting_month=month)).count() == 4
-    assert matching.months_in_reach(at, RunConfig(reporting_month=month, reach_months=1)).count() == 2
-    assert matching.months_in_reach(at, RunConfig(reach_months=1)).count() == 4
+def test_repeated_keys_pair_in_order(spark):
+    """Three rows against two of one key give three rows, not six, split apart as hot keys or not."""
+    left, right = sides(spark, 3, 2)
+    for hot in ([], [("p", "HOT", "sale")]):
+        rows = matching.match_sides(left, right, hot).filter("match_key = 'HOT'")
+        assert rows.count() == 3 and rows.filter("in_engine and in_psp").count() == 2
+        assert rows.agg(F.count_distinct("txn_id"), F.count_distinct("psp_reference")).first() == (3, 2)
+
+
+def test_rows_without_a_day_have_no_rate(spark):
+    rates = spark.sql("select 'EUR' as currency, date'2026-05-01' as rate_date, 1.10 as usd_rate "
+                      "union all select 'EUR', date'2026-06-30', 2.00")
+    rows = spark.sql("select 'EUR' as currency, cast(d as date) as day from values ('2026-05-03'), ('2026-07-09'), (null) t(d)")
+    ref = daily(rates, ["currency"], "rate_date")
+    got = {str(r.day): r.rate for r in asof_daily(rows, ref, {"currency": "currency"}, F.col("day"),
+                                                      {"usd_rate": "rate"}).collect()}
+    assert {d: r and str(r) for d, r in got.items()} == {"2026-05-03": "1.10", "2026-07-09": "2.00", "None": None}

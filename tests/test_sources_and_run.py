@@ -133,7 +133,7 @@ def test_export_is_one_ordered_file(spark, tmp_path):
 
 
 LOG = """txn_id,order_id,operation_type,status,psp,psp_reference,sku,country,currency,amount_local,fx_rate_applied,fx_date_applied,amount_usd,created_at_utc,captured_at_utc
-T1,O1,SALE,settled,adyen,P1,sub_monthly,DE,EUR,59.99,1.08,2026-06-26,64.79,2026-06-28 10:00:00,2026-06-28 10:00:00
+T1,O1,SALE,settled,adyen,P1,sub_monthly,DE,EUR,58.40,1.08,2026-06-26,63.07,2026-06-28 10:00:00,2026-06-28 10:00:00
 T2,O2,SALE,settled,dlocal,D2,sub_monthly,BR,BRL,19.90,1,2026-06-10,19.90,2026-06-10 00:00:00,2026-06-10 00:00:05
 T3,O3,SALE,settled,google_play,,sub_monthly,DE,EUR,9.99,1.08,2026-06-30,10.79,2026-07-01 10:50:00,2026-07-01 10:50:07
 T4,O4,SALE,pending,paypal_us,A4,sub_monthly,US,USD,24.99,1,2026-06-12,24.99,2026-06-12 10:00:00,
@@ -146,7 +146,7 @@ EXPORTS = {
     "adyen_payment_accounting": (
         "Merchant Account,Psp Reference,Merchant Reference,Record Type,Creation Date,Gross Currency,Gross Credit,Gross Debit,"
         "Commission,Markup,Net Currency,Net Credit,Net Debit,Batch Number\n"
-        "EU,P1,O1,Authorised,2026-06-28 12:00:00,EUR,59.99,,,,EUR,,,26\nEU,P1,O1,Settled,2026-06-28 12:00:00,EUR,35.99,,0.60,0.30,EUR,35.09,,26\n"),
+        "EU,P1,O1,Authorised,2026-06-28 12:00:00,EUR,58.40,,,,EUR,,,26\nEU,P1,O1,Settled,2026-06-28 12:00:00,EUR,36.00,,0.60,0.30,EUR,35.10,,26\n"),
     "dlocal_transactions": (
         "transaction_id,invoice_id,transaction_type,status,created_at_utc,country,currency,currency_exponent,local_amount,fx_rate,usd_amount,fee_usd\n"
         + "D2,O2,PAYMENT,PAID,2026-06-10 00:00:05,BR,BRL,2,1990,5.263158,3.78,0.17\n" * 2),
@@ -206,6 +206,8 @@ def test_checks_of_the_run(run):
     assert len(failing) > 30
     # T6 never captured and so has no match key; T7 names a provider that is not on the list
     assert {n: rows for n, rows in failing.items() if rows} == {"columns_matched": 1, "columns_ledger": 1}
+    assert run.failed == ["columns_ledger", "columns_matched"]
+    assert {r.check: r.violations for r in run.tables["violations"].collect()} == failing
 
 
 def test_missing_input_stops_the_run(spark, tmp_path):
@@ -213,3 +215,16 @@ def test_missing_input_stops_the_run(spark, tmp_path):
     del paths["fx_rates"]
     with pytest.raises(ValueError, match="missing inputs: fx_rates"):
         R.reconcile(spark, paths, RunConfig(export_window=(date(2026, 6, 1), date(2026, 7, 3))))
+
+
+def test_each_file_of_a_folder_is_read_by_its_own_header(spark, tmp_path):
+    """Unlike headers, a data line that spells a header, and a path that isn't there."""
+    (tmp_path / "rates").mkdir()
+    write(tmp_path / "rates", "one.csv", b"a,b\n1,2\na,b\n")
+    write(tmp_path / "rates", "two.csv", b"b,a\n4,3\n")
+    folders = {"rates": (f"file://{tmp_path}/rates", "utf-8"), "gone": (f"file://{tmp_path}/gone", "utf-8")}
+    files = settle(normalise.fingerprints(spark, folders), "fingerprints")
+    parsed = registry.parse_files(normalise.normalised_lines(spark, files), registry.SourceSpec("rates", ""))
+    assert sorted((r.a, r.b) for r in parsed.collect()) == [("1", "2"), ("3", "4"), ("a", "b")]
+    with pytest.raises(ValueError, match="1 quarantined inputs.*gone missing"):
+        normalise.require_inputs(files, ["rates", "gone"])

@@ -25,8 +25,8 @@ def frame(spark, columns, rows):
 def adyen_rows(spark):
     head = ["EU", "P1"]
     return frame(spark, ADYEN, [
-        [*head, "O1", "Authorised", "2026-06-28 12:00:00", "EUR", "59.99", None, None, None, None, None, "1"],
-        [*head, "O1", "Settled", "2026-07-02 12:00:00", "EUR", "35.99", None, "0.60", "0.30", "35.09", None, "1"],
+        [*head, "O1", "Authorised", "2026-06-28 12:00:00", "EUR", "58.40", None, None, None, None, None, "1"],
+        [*head, "O1", "Settled", "2026-07-02 12:00:00", "EUR", "36.00", None, "0.60", "0.30", "35.10", None, "1"],
         [*head, "O1", "Refunded", "2026-07-03 12:00:00", "EUR", None, "5.00", None, None, None, "5.00", "1"],
         [*head, "O2", "Refused", "2026-06-01 12:00:00", "EUR", "9.99", None, None, None, None, None, "1"],
         [*head, "O3", "Authorised", "2026-06-01 10:00:00", "EUR", "1.00", None, None, None, None, None, "1"],
@@ -42,8 +42,8 @@ def test_adyen_lifecycle(spark):
     rows = {(r.order_ref, r.operation_type, r.status): r for r in df.collect()}
     assert len(rows) == df.count() == 6  # two authorisations of O3 do not fan out
     sale = rows["O1", "sale", "settled"]
-    assert (sale.amount_local, sale.amount_local_settled, sale.amount_local_authorised) == (D("35.99"), D("35.99"), D("59.99"))
-    assert (sale.fee_local, sale.net_local) == (D("0.90"), D("35.09"))
+    assert (sale.amount_local, sale.amount_local_settled, sale.amount_local_authorised) == (D("36.00"), D("36.00"), D("58.40"))
+    assert (sale.fee_local, sale.net_local) == (D("0.90"), D("35.10"))
     assert (sale.created_at_utc, sale.settled_at_utc) == (datetime(2026, 6, 28, 10), datetime(2026, 7, 2, 10))
     refund = rows["O1", "refund", "settled"]
     assert (refund.amount_local, refund.net_local, refund.amount_local_authorised) == (D("-5.00"), D("-5.00"), None)
@@ -101,6 +101,17 @@ def test_google_play_folds_fees_and_keeps_collisions_apart(spark):
     assert [(r.event_ts, r.n_charge, r.n_fee) for r in found] == [("Jul 1, 2026 05:00:00", 1, 0)]
 
 
+def test_google_play_pairs_repeated_fees_in_order(spark):
+    """Two charges and three fees of one key: every fee counts once, none is doubled or lost."""
+    def entry(kind, amount):
+        return ["Jul 1, 2026", "03:50:07", kind, "m", "DE", "EUR", amount, "1.00", "USD", amount]
+
+    raw = frame(spark, GOOGLE, [entry("Charge", "20.00"), entry("Charge", "10.00"), entry("Google fee", "-3.00"),
+                                entry("Google fee", "-1.50"), entry("Google fee", "-0.25")])
+    rows = staging.google_play(raw, RunConfig()).collect()
+    assert sorted((r.amount_local, r.fee_local) for r in rows) == [(D("10.00"), D("1.75")), (D("20.00"), D("3.00"))]
+
+
 def test_paypal_dialects_dates_and_copies(spark):
     us = ["paypal_us", "06/28/2026", "10:00:00", "GMT", "Website Payment", "Completed", "USD", "9.99", "-0.84", "9.15", "A", "", "O1"]
     raw = frame(spark, PAYPAL, [
