@@ -35,7 +35,8 @@ SAMPLE_DOCUMENTS = 25_000
 DICTIONARY_WORDS = 1 << 20
 # Documents are shuffled in compressed blocks of about so many bytes of text.
 BLOCK_BYTES = 1 << 20
-# Edges and path steps folded at a time, so that appending to the result of a very long word stays cheap.
+# Words longer than this are folded in groups of so many edges and path steps, so that appending to their results
+# stays cheap.
 _FOLD = 512
 _COUNTED = 400_000
 
@@ -96,74 +97,159 @@ class Cutter:
         return [marked[a:b] for a, b in zip([0, *cuts], [*cuts, len(marked)], strict=True)]
 
 
+    def tokens(self, text: str) -> list[str] | None:
+        """The text at its single spaces, each token to be cut by ``token_words``; None where spaces come together.
+
+        No piece has a space after another character, so a cut before every space is safe; tokens repeat far more
+        often than they have to be cut.
+        """
+        return None if not text or "  " in text or text[0] == " " else text.split(" ")
+
+    def token_words(self, token: str) -> list[str]:
+        return self.words(token) if token else [SPACE]
+
+
 @functools.lru_cache(maxsize=2)
 def _cutter(model: Model) -> Cutter:
-    return Cutter(model)
+    cutter = Cutter(model)
+    if any(SPACE in p.lstrip(SPACE) for p, _, _ in model.words()):  # pieces reach across words: cut whole texts only
+        cutter.tokens = lambda text: None
+    return cutter
+
+
+class _Ids:
+    """Ids of texts as bytes, from the ids of words; remembers a bounded number of tokens."""
+
+    def __init__(self, cutter: Cutter, words: dict[str, bytes]):
+        self.cutter, self.words, self.own, self.known = cutter, words, {}, {}
+
+    def begin(self, own: dict[str, bytes]) -> None:
+        """Words of one block on top of the dictionary."""
+        self.own = own
+        if len(self.known) > _COUNTED:
+            self.known = {}
+
+    def _joined(self, words: list[str]) -> bytes:
+        return b"".join([self.words[w] if w in self.words else self.own[w] for w in words])
+
+    def of(self, text: str) -> np.ndarray:
+        tokens, known = self.cutter.tokens(text), self.known
+        if tokens is None:
+            return np.frombuffer(self._joined(self.cutter.words(text)), np.int32)
+        try:
+            return np.frombuffer(b"".join([known[t] for t in tokens]), np.int32)
+        except KeyError:
+            for token in tokens:
+                if token not in known:
+                    known[token] = self._joined(self.cutter.token_words(token))
+            return np.frombuffer(b"".join([known[t] for t in tokens]), np.int32)
+
+
+def _words_of(cutter: Cutter, texts: Iterator[str | None]) -> Counter:
+    """The words of some texts and how often they occur."""
+    tokens, words = Counter(), Counter()
+    for text in texts:
+        found = cutter.tokens(text or "")
+        if found is None:
+            words.update(cutter.words(text or ""))
+        else:
+            tokens.update(found)
+    for token, n in tokens.items():
+        for word in cutter.token_words(token):
+            words[word] += n
+    return words
 
 
 # --- the lattice ------------------------------------------------------------------------------------------------
 
 
-def _in_steps(items: Column, start: Column, step, joined) -> Column:
-    """Fold ``items`` in groups of ``_FOLD``; after each, ``joined`` moves what was gathered out of the inner state."""
+def _viterbi(edges: Column) -> Column:
+    """For each place of a word, from 0, the best score up to it and the piece that ends there.
+
+    ``edges`` are ``(end, start, score, id)`` sorted by end and then by start, so of equal scores the longest last
+    piece wins. The state is the array itself, which grows by a place whenever an edge reaches a new one; places
+    come in order since every character is an edge.
+    """
+    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("from"), F.lit(0).alias("id")))
+
+    def step(state: Column, edge: Column) -> Column:
+        score = F.get(state, edge["start"])["score"] + edge["score"]
+        entry = F.array(F.struct(score.alias("score"), edge["start"].alias("from"), edge["id"].alias("id")))
+        return (F.when(F.size(state) == edge["end"], F.concat(state, entry))
+                .when(score > F.get(state, edge["end"])["score"], F.concat(F.slice(state, F.lit(1), edge["end"]), entry))
+                .otherwise(state))
+
+    return F.aggregate(edges, start, step)
+
+
+def _walked(places: Column) -> Column:
+    """The pieces on the best path, last to first, as ``struct<id, at>`` with ``at`` the place a piece begins."""
+    start = F.struct((F.size(places) - 1).alias("at"), F.array().cast("array<struct<id: int, at: int>>").alias("path"))
+
+    def step(state: Column, place: Column) -> Column:
+        here = F.get(places, place)
+        return F.when(state["at"] == place, F.struct(here["from"].alias("at"), F.concat(
+            state["path"], F.array(F.struct(here["id"].alias("id"), here["from"].alias("at")))).alias("path"))).otherwise(state)
+
+    return F.aggregate(F.sequence(F.size(places) - 1, F.lit(1), F.lit(-1)), start, step)["path"]
+
+
+def _in_parts(items: Column, state: Column, step, moved) -> Column:
+    """Fold ``items`` in groups of ``_FOLD``; after each, ``moved`` takes what was gathered out of the inner state."""
     groups = F.sequence(F.lit(0), F.floor((F.greatest(F.size(items), F.lit(1)) - 1) / _FOLD).cast("int"))
-    return F.aggregate(groups, start, lambda state, group: joined(F.aggregate(
-        F.slice(items, group * _FOLD + 1, F.lit(_FOLD)), state, step)))
+    return F.aggregate(groups, state, lambda held, group: moved(F.aggregate(
+        F.slice(items, group * _FOLD + 1, F.lit(_FOLD)), held, step)))
 
 
-def _viterbi(edges: Column, longest: int) -> Column:
-    """For each place of a word, from 1, the best piece that ends there, as ``id * 64 + length``.
+def _viterbi_long(edges: Column, longest: int) -> Column:
+    """As ``_viterbi`` for words of any length: the pieces that end at each place from 1, as ``id * 64 + length``.
 
-    ``edges`` are ``(end, length, score, id)`` sorted by end and then by length, longest first, so of equal scores
-    the longest last piece wins. The state holds the scores of the last places, the place at work and its best
-    edge, and the pieces decided: those of this step, and the ones moved out.
+    An array that grows with the word would be copied for every edge. Here the state holds the scores of the last
+    ``longest`` places, the place at work and its best edge, and the pieces decided in this group of edges; those of
+    earlier groups are moved out as they are.
     """
-    state = "struct<scores: array<double>, end: int, score: double, back: long, near: array<long>, far: array<array<long>>>"
-    start = F.struct(
-        F.array().cast("array<double>").alias("scores"), F.lit(0).alias("end"), F.lit(0.0).alias("score"),
-        F.lit(0).cast("long").alias("back"), F.array().cast("array<long>").alias("near"),
-        F.array().cast("array<array<long>>").alias("far")).cast(state)
+    none = F.array().cast("array<bigint>")
+    start = F.struct(F.array().cast("array<double>").alias("scores"), F.lit(0).alias("end"), F.lit(0.0).alias("score"),
+                     F.lit(0).cast("bigint").alias("back"), none.alias("near"), F.array().cast("array<array<bigint>>").alias("far"))
 
     def step(s: Column, e: Column) -> Column:
         new = e["end"] != s["end"]
         scores = F.when(new, F.slice(F.concat(s["scores"], F.array(s["score"])),
                                      F.greatest(F.size(s["scores"]) + 2 - longest, F.lit(1)), F.lit(longest))
                         ).otherwise(s["scores"])
-        score = F.get(scores, F.size(scores) - e["length"]) + e["score"]
+        length = e["end"] - e["start"]
+        score = F.get(scores, F.size(scores) - length) + e["score"]
         better = new | (score > s["score"])
         return F.struct(
             scores.alias("scores"), e["end"].alias("end"), F.when(better, score).otherwise(s["score"]).alias("score"),
-            F.when(better, e["id"] * 64 + e["length"]).otherwise(s["back"]).alias("back"),
+            F.when(better, (e["id"] * 64 + length).cast("bigint")).otherwise(s["back"]).alias("back"),
             F.when(new & (s["end"] > 0), F.concat(s["near"], F.array(s["back"]))).otherwise(s["near"]).alias("near"),
-            s["far"].alias("far")).cast(state)
+            s["far"].alias("far"))
 
     def moved(s: Column) -> Column:
         return F.struct(s["scores"].alias("scores"), s["end"].alias("end"), s["score"].alias("score"), s["back"].alias("back"),
-                        F.array().cast("array<long>").alias("near"),
-                        F.concat(s["far"], F.array(s["near"])).alias("far")).cast(state)
+                        none.alias("near"), F.concat(s["far"], F.array(s["near"])).alias("far"))
 
-    folded = _in_steps(edges, start, step, moved)
+    folded = _in_parts(edges, start, step, moved)
     return F.concat(F.flatten(folded["far"]), F.array(folded["back"]))
 
 
-def _walked(backs: Column) -> Column:
-    """The pieces on the best path, as ``struct<back, end>``, first to last."""
-    state = "struct<at: int, near: array<struct<back: long, end: int>>, far: array<array<struct<back: long, end: int>>>>"
-    start = F.struct(F.size(backs).alias("at"), F.array().cast("array<struct<back: long, end: int>>").alias("near"),
-                     F.array().cast("array<array<struct<back: long, end: int>>>").alias("far")).cast(state)
+def _walked_long(backs: Column) -> Column:
+    """As ``_walked``, from the pieces that ``_viterbi_long`` decided."""
+    none = F.array().cast("array<struct<id: int, at: int>>")
+    start = F.struct(F.size(backs).alias("at"), none.alias("near"),
+                     F.array().cast("array<array<struct<id: int, at: int>>>").alias("far"))
 
-    def step(s: Column, _: Column) -> Column:
-        back = F.get(backs, s["at"] - 1)
-        return F.when(s["at"] > 0, F.struct(
-            (s["at"] - back % 64).cast("int").alias("at"),
-            F.concat(s["near"], F.array(F.struct(back.alias("back"), s["at"].alias("end")))).alias("near"),
-            s["far"].alias("far")).cast(state)).otherwise(s)
+    def step(s: Column, place: Column) -> Column:
+        back = F.get(backs, place - 1)
+        at = (place - back % 64).cast("int")
+        return F.when(s["at"] == place, F.struct(at.alias("at"), F.concat(s["near"], F.array(F.struct(
+            F.shiftright(back, 6).cast("int").alias("id"), at.alias("at")))).alias("near"), s["far"].alias("far"))).otherwise(s)
 
     def moved(s: Column) -> Column:
-        return F.struct(s["at"].alias("at"), F.array().cast("array<struct<back: long, end: int>>").alias("near"),
-                        F.concat(s["far"], F.array(s["near"])).alias("far")).cast(state)
+        return F.struct(s["at"].alias("at"), none.alias("near"), F.concat(s["far"], F.array(s["near"])).alias("far"))
 
-    return F.reverse(F.flatten(_in_steps(backs, start, step, moved)["far"]))
+    return F.flatten(_in_parts(F.sequence(F.size(backs), F.lit(1), F.lit(-1)), start, step, moved)["far"])
 
 
 def encode_words(words: DataFrame, model: Model) -> DataFrame:
@@ -173,7 +259,7 @@ def encode_words(words: DataFrame, model: Model) -> DataFrame:
     """
     spark = words.sparkSession
     table = spark.createDataFrame(pa.table({
-        "piece": pa.array([w[0] for w in model.words()]), "id": pa.array([w[1] for w in model.words()], pa.int64()),
+        "piece": pa.array([w[0] for w in model.words()]), "id": pa.array([w[1] for w in model.words()], pa.int32()),
         "score": pa.array([w[2] for w in model.words()], pa.float64())}))
     # The piece table is the model's: tens of thousands of short strings, whatever the corpus.
     starts = words.select("word", F.length("word").alias("n")).withColumn(
@@ -182,25 +268,27 @@ def encode_words(words: DataFrame, model: Model) -> DataFrame:
         F.sequence(F.lit(1), F.least(F.lit(model.longest), F.col("n") - F.col("at") + 1))))
     edges = (spans.withColumn("piece", F.col("word").substr(F.col("at"), F.col("length")))
              .join(F.broadcast(table), "piece", "left").where("id is not null or length = 1")
-             .select("word", F.struct((F.col("at") + F.col("length") - 1).alias("end"), (-F.col("length")).alias("less"),
+             .select("word", F.struct((F.col("at") + F.col("length") - 1).alias("end"), (F.col("at") - 1).alias("start"),
                                       F.coalesce("score", F.lit(model.unknown_score)).alias("score"),
-                                      F.coalesce("id", F.lit(model.unknown).cast("long")).alias("id")).alias("edge")))
+                                      F.coalesce("id", F.lit(model.unknown)).alias("id")).alias("edge")))
     grouped = edges.groupBy("word").agg(F.array_sort(F.collect_list("edge")).alias("edges"))
-    ordered = grouped.select("word", F.transform("edges", lambda e: F.struct(
-        e["end"].alias("end"), (-e["less"]).alias("length"), e["score"].alias("score"), e["id"].alias("id"))).alias("edges"))
-    decided = ordered.select("word", _viterbi(F.col("edges"), model.longest).alias("backs"))
-    path = decided.select("word", _walked(F.col("backs")).alias("path"))
-
-    def ids(step: Column) -> Column:
-        piece = F.shiftright(step["back"], 6).cast("int")
-        if model.first_byte < 0:
-            return F.array(piece)
-        char = F.encode(F.col("word").substr(step["end"], F.lit(1)), "utf-8")
+    short = F.length("word") <= _FOLD
+    decided = grouped.select("word", F.when(short, _viterbi(F.col("edges"))).alias("places"),
+                             F.when(~short, _viterbi_long(F.col("edges"), model.longest)).alias("backs"))
+    path = decided.select("word", F.reverse(F.when(short, _walked(F.col("places"))).otherwise(
+        _walked_long(F.col("backs")))).alias("path"))
+    plain = F.transform("path", lambda step: step["id"])
+    if model.first_byte < 0:
+        return path.select("word", plain.alias("ids"))
+
+    def bytes_of(step: Column) -> Column:
+        char = F.encode(F.col("word").substr(step["at"] + 1, F.lit(1)), "utf-8")
         each = F.transform(F.sequence(F.lit(1), F.octet_length(char)), lambda k: (
             F.conv(F.hex(F.substring(char, k, F.lit(1))), 16, 10).cast("int") + model.first_byte))
-        return F.when(piece == model.unknown, each).otherwise(F.array(piece))
+        return F.when(step["id"] == model.unknown, each).otherwise(F.array(step["id"]))
 
-    return path.select("word", F.flatten(F.transform("path", ids)).alias("ids"))
+    ids = F.when(F.array_contains(plain, F.lit(model.unknown)), F.flatten(F.transform("path", bytes_of))).otherwise(plain)
+    return path.select("word", ids.alias("ids"))
 
 
 # --- texts ------------------------------------------------------------------------------------------------------
@@ -212,11 +300,10 @@ def _word_counts(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, counts = _cutter(shared.value), Counter()
         for batch in batches:
-            for text in batch.column(0):
-                counts.update(cutter.words(text.as_py() or ""))
-                if len(counts) > _COUNTED:
-                    yield table(counts)
-                    counts = Counter()
+            counts.update(_words_of(cutter, batch.column(0).to_pylist()))
+            if len(counts) > _COUNTED:
+                yield table(counts)
+                counts = Counter()
         yield table(counts)
 
     def table(counts: Counter) -> pa.RecordBatch:
@@ -239,7 +326,7 @@ def _dictionary(docs: DataFrame, model: Model) -> dict[str, bytes]:
         if total > DICTIONARY_WORDS:
             break
         least = n
-    encoded = encode_words(counts.where(F.col("n") >= least), model)
+    encoded = encode_words(counts.where(F.col("n") >= least).repartition("word"), model)
     known: dict[str, bytes] = {}
     for batch in encoded.toArrow().to_batches():
         offsets = batch.column(1).offsets.to_numpy() * 4
@@ -249,6 +336,18 @@ def _dictionary(docs: DataFrame, model: Model) -> dict[str, bytes]:
     return known
 
 
+_held: dict[tuple, _Ids] = {}
+
+
+def _ids(shared, known) -> _Ids:
+    """One per worker process and dictionary, so tokens stay known from block to block."""
+    key = (id(shared.value), id(known.value))
+    if key not in _held:
+        _held.clear()
+        _held[key] = _Ids(_cutter(shared.value), known.value)
+    return _held[key]
+
+
 def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.RecordBatch]]:
     """Consecutive rows of about ``BLOCK_BYTES`` with a name made of what they hold."""
     start = size = 0
@@ -279,7 +378,7 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
         cutter, words = _cutter(shared.value), known.value
         for batch in batches:
             for name, block in _blocks(batch):
-                rare = {w for text in block.column(1) for w in cutter.words(text.as_py() or "") if w not in words}
+                rare = [w for w in _words_of(cutter, block.column(1).to_pylist()) if w not in words]
                 if rare:
                     yield pa.RecordBatch.from_arrays([pa.array([name] * len(rare)), pa.array(sorted(rare))],
                                                      names=["block", "word"])
@@ -295,15 +394,14 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
                                                  names=["block", "rows"])
 
     def numbered(left: pa.Table, right: pa.Table) -> pa.Table:
-        cutter, words = _cutter(shared.value), known.value
+        ids = _ids(shared, known)
         own = {w: np.array(i, np.int32).tobytes() for w, i in zip(
             right.column("word").to_pylist(), right.column("ids").to_pylist(), strict=True)}
+        ids.begin(own)
         out = []
         for rows in left.column("rows"):
             for batch in pa.ipc.open_stream(rows.as_py()):
-                found = [None if text is None else np.frombuffer(b"".join(
-                    [words[w] if w in words else own[w] for w in cutter.words(text)]), np.int32)
-                    for text in batch.column(1).to_pylist()]
+                found = [None if text is None else ids.of(text) for text in batch.column(1).to_pylist()]
                 out.append(pa.RecordBatch.from_arrays(
                     [batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.string()), pa.array(found, pa.list_(pa.int32()))],
                     names=["doc_id", "text", "ids"]))
