@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, language_id, line_dedup, pieces, simhash
-from ledgerloom.llm.common import table
+from ledgerloom.llm.common import on_workers, table
 from ledgerloom.sources.workspace import settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -19,6 +19,7 @@ LEAST_LANGUAGE_SCORE = 0.2
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or without a language that knows their n-grams, go; the others pass unchanged."""
+    on_workers(spark)
     filters = language_id.learn(docs.where(~language_id.held_out()))
     found = language_id.identify(docs.select(F.struct(*docs.columns).alias("row"), "text"), filters)
     sure = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
@@ -33,6 +34,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one with the smallest doc_id."""
+    on_workers(spark)
     return simhash.keep_one(docs)
 
 
@@ -43,6 +45,7 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``n_pieces`` and ``ids`` of every document, and whether the ids give the text back."""
+    on_workers(spark)
     model = pieces.model_of(spark)
     coded = pieces.decode(pieces.encode(docs, model), model)
     return coded.select("doc_id", F.size("ids").alias("n_pieces"), "ids",

@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.sources.workspace import settle
+
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers find this package wherever they are started; a cluster has it at the same path or installed."""
+    root, environment = str(Path(__file__).parents[2]), spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    on_workers(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -33,22 +42,3 @@ def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
         one = left[name].eqNullSafe(right[name])
         condition = one if condition is None else condition & one
     return condition
-
-
-def ranked(df: DataFrame, order: list[Column], name: str, label: str) -> DataFrame:
-    """``df`` stored with the gapless place (from 0) of each row in the given order.
-
-    Rows are dealt by range and sorted in place; a row's number in its partition and the sizes of the partitions
-    before it (one number a partition on the driver) make its place, so no task sees more than a partition.
-    """
-    stored = settle(df.repartitionByRange(*order).sortWithinPartitions(*order)
-                    .withColumn("_at", F.monotonically_increasing_id()), label)
-    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = sorted(stored.groupBy(part.alias("part")).count().collect())
-    starts, total = [], 0
-    for number, size in sizes:
-        starts.append((number, total))
-        total += size
-    before = df.sparkSession.createDataFrame(starts, "_part long, _before long")
-    return (stored.join(F.broadcast(before), part == F.col("_part"))
-            .withColumn(name, place + F.col("_before")).drop("_at", "_part", "_before"))

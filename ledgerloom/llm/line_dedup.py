@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import ranked, same, text_hash
+from ledgerloom.llm.common import same, text_hash
+from ledgerloom.operators.ordering import ranked
 from ledgerloom.sources.workspace import settle
 
 # Shorter lines (headings, brackets, blank lines) are left alone.

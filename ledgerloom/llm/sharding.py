@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import ranked
+from ledgerloom.operators.ordering import ranked
 from ledgerloom.sources.workspace import settle
 
 SHARDS = 16
