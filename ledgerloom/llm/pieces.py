@@ -194,11 +194,11 @@ def _walked(places: Column) -> Column:
     return F.aggregate(F.sequence(F.size(places) - 1, F.lit(1), F.lit(-1)), start, step)["path"]
 
 
-def _in_parts(items: Column, state: Column, step, moved) -> Column:
+def _in_parts(items: Column, state: Column, step, moved, finish) -> Column:
     """Fold ``items`` in groups of ``_FOLD``; after each, ``moved`` takes what was gathered out of the inner state."""
     groups = F.sequence(F.lit(0), F.floor((F.greatest(F.size(items), F.lit(1)) - 1) / _FOLD).cast("int"))
-    return F.aggregate(groups, state, lambda held, group: moved(F.aggregate(
-        F.slice(items, group * _FOLD + 1, F.lit(_FOLD)), held, step)))
+    return F.aggregate(groups, state, lambda held, group: F.aggregate(
+        F.slice(items, group * _FOLD + 1, F.lit(_FOLD)), held, step, moved), finish)
 
 
 def _viterbi_long(edges: Column, longest: int) -> Column:
@@ -230,8 +230,7 @@ def _viterbi_long(edges: Column, longest: int) -> Column:
         return F.struct(s["scores"].alias("scores"), s["end"].alias("end"), s["score"].alias("score"), s["back"].alias("back"),
                         none.alias("near"), F.concat(s["far"], F.array(s["near"])).alias("far"))
 
-    folded = _in_parts(edges, start, step, moved)
-    return F.concat(F.flatten(folded["far"]), F.array(folded["back"]))
+    return _in_parts(edges, start, step, moved, lambda s: F.concat(F.flatten(s["far"]), F.array(s["back"])))
 
 
 def _walked_long(backs: Column) -> Column:
@@ -249,7 +248,7 @@ def _walked_long(backs: Column) -> Column:
     def moved(s: Column) -> Column:
         return F.struct(s["at"].alias("at"), none.alias("near"), F.concat(s["far"], F.array(s["near"])).alias("far"))
 
-    return F.flatten(_in_parts(F.sequence(F.size(backs), F.lit(1), F.lit(-1)), start, step, moved)["far"])
+    return _in_parts(F.sequence(F.size(backs), F.lit(1), F.lit(-1)), start, step, moved, lambda s: F.flatten(s["far"]))
 
 
 def encode_words(words: DataFrame, model: Model) -> DataFrame:

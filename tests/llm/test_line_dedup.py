@@ -78,7 +78,7 @@ def test_edges(spark):
     got = {(r.doc_id, r.words): (r.text, r.n_lines, r.n_dropped) for r in line_dedup.dedup_lines(docs).collect()}
     # a null id comes first; copies of a row lose the same lines; a long word is a line like others
     assert got == {(1, "x"): (None, None, None), (2, "x"): ("", 1, 0), (3, "x"): ("", 1, 1), (4, "y"): ("", 3, 2),
-                   (None, "z"): (line, 1, 0), (5, "y"): ("x" * 50_000, 2, 1)} or got[(4, "y")] == ("", 3, 2)
+                   (None, "z"): (line, 1, 0), (5, "y"): ("x" * 50_000, 2, 1)}
     assert line_dedup.dedup_lines(docs).columns == [*docs.columns, "n_lines", "n_dropped"]
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
