@@ -38,6 +38,8 @@ LEVEL = 3
 FILE_BYTES = 64 << 20
 # Shared payloads are looked up by broadcast up to this many (about 100 bytes each), by shuffle beyond.
 BROADCAST_PAYLOADS = 200_000
+# Files beyond this many share reading tasks.
+MOST_READERS = 10_000
 _READ_BYTES = 64 << 10
 _BATCH_BYTES = 4 << 20
 
@@ -70,12 +72,17 @@ def _urn(page_id: int | None, copy: int) -> str:
     return f"urn:page:{'' if page_id is None else page_id}:{copy}"
 
 
-def build_dictionary(payloads: DataFrame) -> bytes:
-    """A dictionary of bounded size from the starts of a bounded number of payloads; empty if there are too few."""
-    drawn = (payloads.where(F.octet_length("payload") > 0)
-             .select(F.xxhash64("payload").alias("draw"), F.substring("payload", 1, SAMPLE_BYTES).alias("start"))
-             .orderBy("draw", "start").limit(SAMPLE_PAYLOADS).collect())
-    samples = [bytes(row.start) for row in drawn]
+def build_dictionary(pages: DataFrame) -> bytes:
+    """A dictionary of bounded size from the starts of a bounded number of payloads; empty if there are too few.
+
+    The pages are drawn by the hash of id and url, so only numbers are ranked; their payloads are read after.
+    """
+    draw = F.xxhash64("page_id", "url")
+    lowest = pages.select(draw.alias("draw")).orderBy("draw").limit(SAMPLE_PAYLOADS).agg(F.max("draw")).first()[0]
+    drawn = (pages.where((draw <= F.lit(lowest)) & (F.octet_length("html") > 0))
+             .select(F.substring(F.col("html").cast("binary"), 1, SAMPLE_BYTES).alias("start"))
+             .limit(SAMPLE_PAYLOADS).collect())
+    samples = sorted(bytes(row.start) for row in drawn)
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=200, d=8).as_bytes()
     except (zstandard.ZstdError, ValueError):  # too little to learn from
@@ -112,7 +119,7 @@ def write(pages: DataFrame, folder: str, min_revisit_bytes: int = 0) -> DataFram
     of a payload has an id, each of them is a response. A null url or html is empty. Extra columns are not read.
     """
     rows = _with_holders(pages)
-    dictionary = build_dictionary(pages.select(F.col("html").cast("binary").alias("payload")))
+    dictionary = build_dictionary(pages)
     shared = pages.sparkSession.sparkContext.broadcast(dictionary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,7 +238,9 @@ def read(manifest: DataFrame) -> DataFrame:
                         rows, size = [], 0
         yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return manifest.select("path").repartition("path").mapInArrow(
+    # An explicit number of tasks: adaptive execution would put a list of so few bytes into one.
+    files = max(1, min(manifest.count(), MOST_READERS))
+    return manifest.select("path").repartition(files, "path").mapInArrow(
         run, "page_id long, record_type string, refers_to long, payload_bytes long, payload_digest string, url string, "
              "payload binary")
 
