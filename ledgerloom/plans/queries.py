@@ -5,8 +5,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.config import PROVIDERS
@@ -17,9 +18,15 @@ from ledgerloom.plans import oracle, roundtrip
 from ledgerloom.plans.derived import EXPORT_DAYS, Derived
 from ledgerloom.plans.oracle import with_ctes
 
-# how a column is shown: kind -> (Spark cast, SQL cast)
-_SHOWN = {"s": ("string", "VARCHAR"), "m": ("double", "DOUBLE"), "d": ("string", "VARCHAR"),
-          "t": ("string", "VARCHAR"), "i": ("bigint", "BIGINT"), "b": ("boolean", "BOOLEAN")}
+# How a column is shown: kind -> (Spark casts, SQL casts), applied in turn. Money and rates are spelt out to the sixth
+# place, dates and times by their own type first, so neither side can differ in type or lose a digit.
+_SHOWN = {"s": (("string",), ("VARCHAR",)), "m": (("decimal(38,6)", "string"), ("DECIMAL(38,6)", "VARCHAR")),
+          "d": (("date", "string"), ("DATE", "VARCHAR")), "t": (("timestamp_ntz", "string"), ("TIMESTAMP", "VARCHAR")),
+          "i": (("bigint",), ("BIGINT",)), "b": (("boolean",), ("BOOLEAN",))}
+
+
+def _cast(column: Column, types: tuple[str, ...]) -> Column:
+    return reduce(Column.cast, types, column)
 
 
 @dataclass(frozen=True)
@@ -33,12 +40,13 @@ class Query:
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         df = self.build(Derived(spark, sf_dir))
-        return df.select(*[F.col(n).cast(_SHOWN[k][0]).alias(n) for n, k in self._fields()])
+        return df.select(*[_cast(F.col(n), _SHOWN[k][0]).alias(n) for n, k in self._fields()])
 
     def sql(self) -> str | None:
         if self.check is None:
             return None
-        shown = ", ".join(f"CAST({n} AS {_SHOWN[k][1]}) AS {n}" for n, k in self._fields())
+        shown = ", ".join(
+            reduce(lambda cast, kind: f"CAST({cast} AS {kind})", _SHOWN[k][1], n) + f" AS {n}" for n, k in self._fields())
         return f"SELECT {shown} FROM ({self.check})"
 
 
