@@ -38,7 +38,9 @@ BLOCK_BYTES = 1 << 20
 # Words longer than this are folded in groups of so many edges and path steps, so that appending to their results
 # stays cheap.
 _FOLD = 512
+# Tokens and words a task holds at a time; tokens up to this length are cut without arrays.
 _COUNTED = 400_000
+_SHORT = 200
 
 
 @dataclass(frozen=True)
@@ -87,6 +89,7 @@ class Cutter:
         for piece in pieces:
             kinds = self.kind[[ord(c) for c in piece]]
             self.joined[kinds[:-1], kinds[1:]] = True
+        self.pairs = {p[k:k + 2] for p in pieces for k in range(len(p) - 1)}
 
     def words(self, text: str) -> list[str]:
         if not text:
@@ -106,7 +109,11 @@ class Cutter:
         return None if not text or "  " in text or text[0] == " " else text.split(" ")
 
     def token_words(self, token: str) -> list[str]:
-        return self.words(token) if token else [SPACE]
+        if len(token) > _SHORT:
+            return self.words(token)
+        marked, pairs = SPACE + token, self.pairs
+        cuts = [k for k in range(1, len(marked)) if marked[k - 1:k + 1] not in pairs]
+        return [marked[a:b] for a, b in zip([0, *cuts], [*cuts, len(marked)], strict=True)] if cuts else [marked]
 
 
 @functools.lru_cache(maxsize=2)
@@ -375,9 +382,22 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
 
     def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, words = _cutter(shared.value), known.value
+        lacking: dict[str, tuple[str, ...]] = {}  # of tokens seen, the words the dictionary lacks
         for batch in batches:
             for name, block in _blocks(batch):
-                rare = [w for w in _words_of(cutter, block.column(1).to_pylist()) if w not in words]
+                if len(lacking) > _COUNTED:
+                    lacking = {}
+                rare: set[str] = set()
+                for text in block.column(1).to_pylist():
+                    tokens = cutter.tokens(text or "")
+                    if tokens is None:
+                        rare.update(w for w in cutter.words(text or "") if w not in words)
+                        continue
+                    for token in set(tokens):
+                        if token not in lacking:
+                            lacking[token] = tuple(w for w in cutter.token_words(token) if w not in words)
+                        if lacking[token]:
+                            rare.update(lacking[token])
                 if rare:
                     yield pa.RecordBatch.from_arrays([pa.array([name] * len(rare)), pa.array(sorted(rare))],
                                                      names=["block", "word"])
