@@ -57,6 +57,19 @@ class Model:
     def longest(self) -> int:
         return max((len(p) for p, usual in zip(self.pieces, self.normal, strict=True) if usual), default=1)
 
+    @functools.cached_property
+    def spelt(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The UTF-8 bytes of all ids in a row, and where each id's begin and how many they are.
+
+        Control and unknown pieces have none.
+        """
+        low = self.first_byte
+        each = [piece.replace(SPACE, " ").encode("utf-8", "surrogatepass") if usual else
+                bytes([k - low]) if low >= 0 and low <= k < low + 256 else b""
+                for k, (piece, usual) in enumerate(zip(self.pieces, self.normal, strict=True))]
+        sizes = np.array([len(b) for b in each], np.int64)
+        return np.frombuffer(b"".join(each), np.uint8), np.cumsum(sizes) - sizes, sizes
+
     def words(self) -> list[tuple[str, int, float]]:
         return [(p, k, self.scores[k]) for k, p in enumerate(self.pieces) if self.normal[k]]
 
@@ -382,22 +395,25 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
 
     def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, words = _cutter(shared.value), known.value
-        lacking: dict[str, tuple[str, ...]] = {}  # of tokens seen, the words the dictionary lacks
+        seen: set[str] = set()
+        lacking: dict[str, tuple[str, ...]] = {}  # of tokens seen, those with words that the dictionary lacks
         for batch in batches:
             for name, block in _blocks(batch):
-                if len(lacking) > _COUNTED:
-                    lacking = {}
-                rare: set[str] = set()
+                if len(seen) > _COUNTED:
+                    seen, lacking = set(), {}
+                rare, own = set(), set()
                 for text in block.column(1).to_pylist():
                     tokens = cutter.tokens(text or "")
                     if tokens is None:
                         rare.update(w for w in cutter.words(text or "") if w not in words)
-                        continue
-                    for token in set(tokens):
-                        if token not in lacking:
-                            lacking[token] = tuple(w for w in cutter.token_words(token) if w not in words)
-                        if lacking[token]:
-                            rare.update(lacking[token])
+                    else:
+                        own.update(tokens)
+                for token in own - seen:
+                    if found := tuple(w for w in cutter.token_words(token) if w not in words):
+                        lacking[token] = found
+                seen |= own
+                for token in lacking.keys() & own:
+                    rare.update(lacking[token])
                 if rare:
                     yield pa.RecordBatch.from_arrays([pa.array([name] * len(rare)), pa.array(sorted(rare))],
                                                      names=["block", "word"])
@@ -438,19 +454,14 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def decode_ids(ids: np.ndarray, model: Model) -> str:
-    """The text of some ids: pieces joined, byte pieces made characters, and the space put before taken off."""
-    low, high = model.first_byte, model.first_byte + 256
-    out, held = [], bytearray()
-    for k in ids.tolist():
-        if low >= 0 and low <= k < high:
-            held.append(k - low)
-            continue
-        if held:
-            out.append(held.decode("utf-8", "replace"))
-            held.clear()
-        out.append(model.pieces[k] if model.normal[k] else "")
-    out.append(held.decode("utf-8", "replace"))
-    return "".join(out).replace(SPACE, " ").removeprefix(" ")
+    """The text of some ids: pieces and byte pieces joined, and the space put before taken off."""
+    data, starts, sizes = model.spelt
+    if not len(ids):
+        return ""
+    size = sizes[ids]
+    ends = np.cumsum(size)
+    found = data[np.repeat(starts[ids] - (ends - size), size) + np.arange(ends[-1])]
+    return found.tobytes().decode("utf-8", "replace").removeprefix(" ")
 
 
 def decode(encoded: DataFrame, model: Model) -> DataFrame:
