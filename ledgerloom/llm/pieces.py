@@ -32,14 +32,14 @@ UNKNOWN_PENALTY = 10.0
 
 # Bounds of the broadcast dictionary: the documents it is drawn from, by hash, and its words.
 SAMPLE_DOCUMENTS = 25_000
-DICTIONARY_WORDS = 1 << 20
+DICTIONARY_WORDS = 1 << 19
 # Documents are shuffled in compressed blocks of about so many bytes of text.
 BLOCK_BYTES = 1 << 20
 # Words longer than this are folded in groups of so many edges and path steps, so that appending to their results
 # stays cheap.
 _FOLD = 512
 # Tokens and words a task holds at a time; tokens up to this length are cut without arrays.
-_COUNTED = 400_000
+_COUNTED = 100_000
 _SHORT = 200
 
 
@@ -355,18 +355,6 @@ def _dictionary(docs: DataFrame, model: Model) -> dict[str, bytes]:
     return known
 
 
-_held: dict[tuple, _Ids] = {}
-
-
-def _ids(shared, known) -> _Ids:
-    """One per worker process and dictionary, so tokens stay known from block to block."""
-    key = (id(shared.value), id(known.value))
-    if key not in _held:
-        _held.clear()
-        _held[key] = _Ids(_cutter(shared.value), known.value)
-    return _held[key]
-
-
 def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.RecordBatch]]:
     """Consecutive rows of about ``BLOCK_BYTES`` with a name made of what they hold."""
     start = size = 0
@@ -393,6 +381,8 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
     known = context.broadcast(_dictionary(docs, model))
     shared = context.broadcast(model)
 
+    held: list[_Ids] = []  # filled in a task, which unpickles its own copy; tokens stay known from block to block
+
     def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, words = _cutter(shared.value), known.value
         seen: set[str] = set()
@@ -429,7 +419,9 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
                                                  names=["block", "rows"])
 
     def numbered(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids = _ids(shared, known)
+        if not held:
+            held.append(_Ids(_cutter(shared.value), known.value))
+        ids = held[0]
         own = {w: np.array(i, np.int32).tobytes() for w, i in zip(
             right.column("word").to_pylist(), right.column("ids").to_pylist(), strict=True)}
         ids.begin(own)
