@@ -38,9 +38,8 @@ BLOCK_BYTES = 1 << 20
 # Words longer than this are folded in groups of so many edges and path steps, so that appending to their results
 # stays cheap.
 _FOLD = 512
-# Tokens and words a task holds at a time; tokens up to this length are cut without arrays.
-_COUNTED = 100_000
-_SHORT = 200
+# Counts a task holds before it passes them on.
+_COUNTED = 400_000
 
 
 @dataclass(frozen=True)
@@ -102,7 +101,6 @@ class Cutter:
         for piece in pieces:
             kinds = self.kind[[ord(c) for c in piece]]
             self.joined[kinds[:-1], kinds[1:]] = True
-        self.pairs = {p[k:k + 2] for p in pieces for k in range(len(p) - 1)}
 
     def words(self, text: str) -> list[str]:
         if not text:
@@ -113,71 +111,9 @@ class Cutter:
         return [marked[a:b] for a, b in zip([0, *cuts], [*cuts, len(marked)], strict=True)]
 
 
-    def tokens(self, text: str) -> list[str] | None:
-        """The text at its single spaces, each token to be cut by ``token_words``; None where spaces come together.
-
-        No piece has a space after another character, so a cut before every space is safe; tokens repeat far more
-        often than they have to be cut.
-        """
-        return None if not text or "  " in text or text[0] == " " else text.split(" ")
-
-    def token_words(self, token: str) -> list[str]:
-        if len(token) > _SHORT:
-            return self.words(token)
-        marked, pairs = SPACE + token, self.pairs
-        cuts = [k for k in range(1, len(marked)) if marked[k - 1:k + 1] not in pairs]
-        return [marked[a:b] for a, b in zip([0, *cuts], [*cuts, len(marked)], strict=True)] if cuts else [marked]
-
-
 @functools.lru_cache(maxsize=2)
 def _cutter(model: Model) -> Cutter:
-    cutter = Cutter(model)
-    if any(SPACE in p.lstrip(SPACE) for p, _, _ in model.words()):  # pieces reach across words: cut whole texts only
-        cutter.tokens = lambda text: None
-    return cutter
-
-
-class _Ids:
-    """Ids of texts as bytes, from the ids of words; remembers a bounded number of tokens."""
-
-    def __init__(self, cutter: Cutter, words: dict[str, bytes]):
-        self.cutter, self.words, self.own, self.known = cutter, words, {}, {}
-
-    def begin(self, own: dict[str, bytes]) -> None:
-        """Words of one block on top of the dictionary."""
-        self.own = own
-        if len(self.known) > _COUNTED:
-            self.known = {}
-
-    def _joined(self, words: list[str]) -> bytes:
-        return b"".join([self.words[w] if w in self.words else self.own[w] for w in words])
-
-    def of(self, text: str) -> np.ndarray:
-        tokens, known = self.cutter.tokens(text), self.known
-        if tokens is None:
-            return np.frombuffer(self._joined(self.cutter.words(text)), np.int32)
-        try:
-            return np.frombuffer(b"".join([known[t] for t in tokens]), np.int32)
-        except KeyError:
-            for token in tokens:
-                if token not in known:
-                    known[token] = self._joined(self.cutter.token_words(token))
-            return np.frombuffer(b"".join([known[t] for t in tokens]), np.int32)
-
-
-def _words_of(cutter: Cutter, texts: Iterator[str | None]) -> Counter:
-    """The words of some texts and how often they occur."""
-    tokens, words = Counter(), Counter()
-    for text in texts:
-        found = cutter.tokens(text or "")
-        if found is None:
-            words.update(cutter.words(text or ""))
-        else:
-            tokens.update(found)
-    for token, n in tokens.items():
-        for word in cutter.token_words(token):
-            words[word] += n
-    return words
+    return Cutter(model)
 
 
 # --- the lattice ------------------------------------------------------------------------------------------------
@@ -319,10 +255,11 @@ def _word_counts(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, counts = _cutter(shared.value), Counter()
         for batch in batches:
-            counts.update(_words_of(cutter, batch.column(0).to_pylist()))
-            if len(counts) > _COUNTED:
-                yield table(counts)
-                counts = Counter()
+            for text in batch.column(0):
+                counts.update(cutter.words(text.as_py() or ""))
+                if len(counts) > _COUNTED:
+                    yield table(counts)
+                    counts = Counter()
         yield table(counts)
 
     def table(counts: Counter) -> pa.RecordBatch:
@@ -381,29 +318,14 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
     known = context.broadcast(_dictionary(docs, model))
     shared = context.broadcast(model)
 
-    held: list[_Ids] = []  # filled in a task, which unpickles its own copy; tokens stay known from block to block
-
     def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, words = _cutter(shared.value), known.value
-        seen: set[str] = set()
-        lacking: dict[str, tuple[str, ...]] = {}  # of tokens seen, those with words that the dictionary lacks
         for batch in batches:
             for name, block in _blocks(batch):
-                if len(seen) > _COUNTED:
-                    seen, lacking = set(), {}
-                rare, own = set(), set()
-                for text in block.column(1).to_pylist():
-                    tokens = cutter.tokens(text or "")
-                    if tokens is None:
-                        rare.update(w for w in cutter.words(text or "") if w not in words)
-                    else:
-                        own.update(tokens)
-                for token in own - seen:
-                    if found := tuple(w for w in cutter.token_words(token) if w not in words):
-                        lacking[token] = found
-                seen |= own
-                for token in lacking.keys() & own:
-                    rare.update(lacking[token])
+                own: set[str] = set()
+                for text in block.column(1):
+                    own.update(cutter.words(text.as_py() or ""))
+                rare = own.difference(words)
                 if rare:
                     yield pa.RecordBatch.from_arrays([pa.array([name] * len(rare)), pa.array(sorted(rare))],
                                                      names=["block", "word"])
@@ -419,16 +341,14 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
                                                  names=["block", "rows"])
 
     def numbered(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not held:
-            held.append(_Ids(_cutter(shared.value), known.value))
-        ids = held[0]
+        cutter, words = _cutter(shared.value), known.value
         own = {w: np.array(i, np.int32).tobytes() for w, i in zip(
             right.column("word").to_pylist(), right.column("ids").to_pylist(), strict=True)}
-        ids.begin(own)
         out = []
         for rows in left.column("rows"):
             for batch in pa.ipc.open_stream(rows.as_py()):
-                found = [None if text is None else ids.of(text) for text in batch.column(1).to_pylist()]
+                found = [None if text is None else np.frombuffer(b"".join(
+                    [words.get(w) or own[w] for w in cutter.words(text)]), np.int32) for text in batch.column(1).to_pylist()]
                 out.append(pa.RecordBatch.from_arrays(
                     [batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.string()), pa.array(found, pa.list_(pa.int32()))],
                     names=["doc_id", "text", "ids"]))
