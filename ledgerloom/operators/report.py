@@ -189,13 +189,13 @@ LINE_LABELS = {
     "provider_gross": "Provider gross", "provider_fees": "Provider fees", "net_receipts": "Net receipts"}
 
 
-def rendered_waterfall(pivoted: DataFrame) -> DataFrame:
+def rendered_waterfall(pivoted: DataFrame, providers: Sequence[str] = ()) -> DataFrame:
     """The pivot in accounting notation; subtotals and the total column are set in bold marks."""
     def bold(cell: Column) -> Column:
         return F.when(cell == "—", cell).otherwise(F.concat(F.lit("**"), cell, F.lit("**")))
 
     fixed = ("reporting_month", "line_seq", "line_item", "is_subtotal", "total")
-    providers = [c for c in pivoted.columns if c not in fixed]
+    providers = list(providers) or [c for c in pivoted.columns if c not in fixed]
     label = F.lit(None).cast("string")
     for item, words in LINE_LABELS.items():
         label = F.when(F.col("line_item") == item, F.lit(words)).otherwise(label)
