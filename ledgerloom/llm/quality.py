@@ -26,8 +26,9 @@ MOST_REPEATED = 50  # words in repeated windows, percent
 # The share of documents the estimate rests on, and the concentration steps from each start.
 CORE = 0.75
 STEPS = 4
-# Strata with fewer documents are pooled by language, and those languages with fewer overall.
+# Strata with fewer documents are pooled by language; what is still fewer is measured by the whole table.
 LEAST_DOCUMENTS = 200
+WHOLE_TABLE = "all"
 # Spread that no estimate falls below, in the features' own units: a stratum whose core never has a symbol
 # doesn't make one symbol an outlier.
 FLOORS = (0.5, 0.08, 0.6, 0.12, 0.12)
@@ -97,16 +98,14 @@ def _features() -> Column:
 
 
 def _with_strata(rows: DataFrame) -> DataFrame:
-    """``stratum``: language and source, pooled where they have too few documents; null if all have too few."""
+    """``stratum``: language and source, the language where they have too few documents, else ``WHOLE_TABLE``."""
     sizes = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
     own = F.col("n") >= LEAST_DOCUMENTS
     pooled = F.sum(F.when(~own, F.col("n"))).over(Window.partitionBy("lang"))
     sizes = sizes.withColumn("level", F.when(own, 2).when(pooled >= LEAST_DOCUMENTS, 1).otherwise(0))
-    rest = sizes.where("level = 0").agg(F.sum("n")).first()[0] or 0
     quoted = F.to_json(F.struct("lang", "source"))
-    stratum = F.when(F.col("level") == 2, quoted).when(F.col("level") == 1, F.to_json(F.struct("lang")))
-    if rest >= LEAST_DOCUMENTS:
-        stratum = stratum.otherwise(F.lit("all"))
+    stratum = (F.when(F.col("level") == 2, quoted).when(F.col("level") == 1, F.to_json(F.struct("lang")))
+               .otherwise(F.lit(WHOLE_TABLE)))
     sizes = settle(sizes.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"),
                                 stratum.alias("stratum")), "strata")
     if sizes.count() <= BROADCAST_STRATA:
@@ -115,6 +114,14 @@ def _with_strata(rows: DataFrame) -> DataFrame:
                      ).drop("_lang", "_source")
 
 
+def _estimated_from(strata: DataFrame) -> DataFrame:
+    """The rows each stratum's estimate rests on: its own, and for ``WHOLE_TABLE`` every row of the table."""
+    rows, left_over = strata.select("stratum", "features"), F.col("stratum") == WHOLE_TABLE
+    if strata.where(left_over).isEmpty():
+        return rows
+    return rows.where(~left_over).unionByName(rows.withColumn("stratum", F.lit(WHOLE_TABLE)))
+
+
 def _quantile(rows: DataFrame, keys: list[str], value: Column, share: float) -> DataFrame:
     """For each key the upper edge of the histogram bin that reaches the share; exact to a bin, in any order."""
     bins = rows.groupBy(*keys, F.floor(value * BINS).alias("bin")).agg(F.count("*").alias("n"))
@@ -219,17 +226,18 @@ def judged(docs: DataFrame) -> DataFrame:
 
     The fixed rules reject texts of under 50 words and those with over half their words in repeated 3-word windows;
     only the others enter the estimates. A null text has no words and is rejected; null languages and sources are
-    strata like others; strata are pooled while too small, and if all documents together are too few the fixed rules
-    decide alone (``distance`` null). Repeated rows count and are judged each; other columns are not read.
+    strata like others. Strata that are too small are pooled by language, and those still too small are measured by
+    the estimate over all documents that pass the fixed rules, however few; so each of these has a ``distance``, and
+    only rejected rows have none. Repeated rows count and are judged each; other columns are not read.
     """
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     stats = settle(measured(docs).withColumn("base_failed", failed), "statistics")
     passed = stats.where(~F.col("base_failed")).withColumn("features", _features())
     strata = settle(_with_strata(passed), "features")
-    best = minimum_covariance_determinant(strata.where(F.col("stratum").isNotNull()).select("stratum", "features"))
+    best = minimum_covariance_determinant(_estimated_from(strata))
     far = strata.join(best, "stratum", "left").withColumn("distance", _distance() * F.col("chi"))
     names = ["doc_id", "lang", "source", *_STATS, "base_failed"]
-    verdict = far.select(*names, "distance", F.coalesce(F.col("distance") <= CHI_CUT, F.lit(True)).alias("kept"))
+    verdict = far.select(*names, "distance", (F.col("distance") <= CHI_CUT).alias("kept"))
     rejected = stats.where("base_failed").select(*names, F.lit(None).cast("double").alias("distance"),
                                                  F.lit(False).alias("kept"))
     return verdict.unionByName(rejected)

@@ -78,3 +78,23 @@ def test_too_few_documents(spark):
     rows = corpus(5)
     assert {r.kept for r in quality.judged(spark.createDataFrame(rows, SCHEMA)).collect()} == {True}
     assert quality.judged(spark.createDataFrame(rows, SCHEMA).limit(0)).count() == 0
+
+
+def test_left_over_strata_are_measured_by_the_whole_table(spark):
+    def junk(at, n, lang):
+        return [(at + k, " ".join(f"#$%|&<>{at + k}.{j}#$%|" for j in range(200)), lang, "hot") for k in range(n)]
+
+    def kept(rows):
+        got = quality.judged(spark.createDataFrame(rows, SCHEMA)).collect()
+        assert all(r.distance is not None for r in got)
+        return {r.doc_id: r.kept for r in got}
+
+    rows = corpus()
+    rare = [(5000 + k, rows[k][1], None, "rare") for k in range(20)]
+    for n in (10, 250):  # left-over rows under and over the size of a stratum, the latter nearly all junk
+        few = [row for k in range(n // 10) for row in junk(10_000 + 10 * k, 10, f"rare {k}")]
+        found = kept(rows + rare + few)
+        assert all(found[row[0]] for row in rows + rare) and not any(found[row[0]] for row in few)
+    small = corpus(150)
+    found = kept(small + junk(10_000, 5, "en"))
+    assert all(found[row[0]] for row in small) and not any(found[10_000 + k] for k in range(5))
