@@ -4,7 +4,8 @@ A block matches a template if it holds at least ``CONTAINMENT`` of the template'
 one global order, rarest in the corpus first. A template with ``n`` words of which ``need`` must be found can't
 match a block that has none of its first ``n - need + 1`` words (prefix filter); a block with fewer than ``need``
 template words is too short (length filter); and the first shared word bounds the overlap by what is left behind it
-on either side (positional filter). What passes is verified, so no match is missed and none is wrong.
+on either side (positional filter). What passes is verified, so no matching block is missed and none is wrong. Blocks
+are at least twice as long as the template, so a notice that stands word for word lies whole in one.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from ledgerloom.llm.common import same, text_hash, utf8
 from ledgerloom.sources.workspace import settle
 
 CONTAINMENT = 0.9
-# Blocks of this many words begin at every half block, so a notice of up to half a block lies whole in one.
+# Blocks of this many words begin at every half block, so a notice of up to half a block lies whole in one; for longer
+# templates the length is doubled until it does.
 BLOCK_WORDS = 128
 
 # Phrases and labels of the base scan.
@@ -93,23 +95,36 @@ def _need(size: int, containment: float) -> int:
     return ceil(containment * size - 1e-9)
 
 
-def _scan(docs: DataFrame, place: dict[bytes, int], prefix: frozenset[bytes]) -> DataFrame:
-    """Base scan of every row, and the template words (in global order) of the blocks with a prefix word."""
+def _half_block(n_words: int) -> int:
+    half = BLOCK_WORDS // 2
+    while half < n_words:
+        half *= 2
+    return half
+
+
+def _scan(docs: DataFrame, place: dict[bytes, int], prefixes: dict[int, set[bytes]]) -> DataFrame:
+    """Base scan of every row, and the template words (in global order) of the blocks with a prefix word.
+
+    ``prefixes`` has the prefix words of the templates by half the length of their blocks.
+    """
     names = ["doc_id", "text_hash", "n_words", "places", "found", "blocks"]
     patterns = {label: _phrase_pattern(phrase) for phrase, label in BASE_PHRASES.items()}
-    half = BLOCK_WORDS // 2
+    prefix = frozenset().union(*prefixes.values())
 
     def blocks_of(low: bytes) -> list[dict]:
         words = _WORD.findall(low)
         if prefix.isdisjoint(words):
             return []
         at = sorted((k, w) for k, w in enumerate(words) if w in place)
+        return [block for half, first in prefixes.items() for block in blocks_at(at, half, first)]
+
+    def blocks_at(at: list[tuple[int, bytes]], half: int, prefix: set[bytes]) -> list[dict]:
         starts = {s for k, w in at if w in prefix for s in (k // half * half, (k // half - 1) * half) if s >= 0}
         by_half: dict[int, set[int]] = {}
         for k, word in at:
             by_half.setdefault(k // half, set()).add(place[word])
         none: set[int] = set()
-        return [{"block": s, "tokens": sorted(by_half.get(s // half, none) | by_half.get(s // half + 1, none))}
+        return [{"block": s, "half": half, "tokens": sorted(by_half.get(s // half, none) | by_half.get(s // half + 1, none))}
                 for s in sorted(starts)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,12 +140,12 @@ def _scan(docs: DataFrame, place: dict[bytes, int], prefix: frozenset[bytes]) ->
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(places, pa.list_(pa.int64())),
                  pa.array(labels, pa.list_(pa.string())),
-                 pa.array(blocks, pa.list_(pa.struct([("block", pa.int64()), ("tokens", pa.list_(pa.int32()))])))],
+                 pa.array(blocks, pa.list_(pa.struct([("block", pa.int64()), ("half", pa.int64()), ("tokens", pa.list_(pa.int32()))])))],
                 names=names)
 
     return (docs.select(F.col("doc_id").cast("long"), text_hash(F.col("text")).alias("text_hash"), "text")
             .mapInArrow(run, "doc_id long, text_hash long, n_words long, places array<long>, found array<string>, "
-                             "blocks array<struct<block: long, tokens: array<int>>>"))
+                             "blocks array<struct<block: long, half: long, tokens: array<int>>>"))
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment: float = CONTAINMENT) -> tuple[DataFrame, DataFrame]:
@@ -138,31 +153,33 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment:
 
     The first has ``doc_id, text_hash, n_words, n_base, first_word, last_word, base_labels, labels, score``; score is
     1 where a base phrase stands, else the best containment at or over the threshold, else 0. A match's ``block`` is
-    the word place where the block begins. A null or empty text has no words and no labels; rows equal in doc_id and
+    the word place where the block begins; a template longer than half of ``BLOCK_WORDS`` has longer blocks of its own,
+    others keep theirs. A notice spread by other words over more than half a block can be lost. A null or empty text has no words and no labels; rows equal in doc_id and
     text are scanned alike; null ids are ids like others; other columns are not read.
     """
     templates = TEMPLATES if templates is None else templates
-    sets = {label: set(_words(text.encode())) for label, text in templates.items()}
+    worded = {label: _words(text.encode()) for label, text in templates.items()}
+    sets = {label: set(words) for label, words in worded.items()}
     vocabulary = set().union(*sets.values())
     counts = word_counts(docs, vocabulary)
     order = sorted(vocabulary, key=lambda w: (counts[w], w))
     place = {word: k for k, word in enumerate(order)}
-    rows, prefix = [], set()
+    rows, prefixes = [], {}
     for label, words in sorted(sets.items()):
         tokens = sorted(place[w] for w in words)
-        need = _need(len(tokens), containment)
+        need, half = _need(len(tokens), containment), _half_block(len(worded[label]))
         for at, token in enumerate(tokens[:len(tokens) - need + 1] if tokens else []):
-            rows.append((label, token, at, tokens, need))
-            prefix.add(order[token])
+            rows.append((label, half, token, at, tokens, need))
+            prefixes.setdefault(half, set()).add(order[token])
     index = docs.sparkSession.createDataFrame(
-        rows, "template string, token int, at int, template_tokens array<int>, need int")
-    scanned = settle(_scan(docs, place, frozenset(prefix)), "license_scan")
+        rows, "template string, half long, token int, at int, template_tokens array<int>, need int")
+    scanned = settle(_scan(docs, place, prefixes), "license_scan")
 
     blocks = (scanned.select("doc_id", "text_hash", F.explode("blocks").alias("b"))
-              .select("doc_id", "text_hash", "b.block", "b.tokens").distinct())
-    tokens = blocks.select("doc_id", "text_hash", "block", "tokens", F.posexplode("tokens").alias("block_at", "token"))
+              .select("doc_id", "text_hash", "b.block", "b.half", "b.tokens").distinct())
+    tokens = blocks.select("doc_id", "text_hash", "block", "half", "tokens", F.posexplode("tokens").alias("block_at", "token"))
     key = ["doc_id", "text_hash", "block", "template"]
-    first = (tokens.join(F.broadcast(index), "token").where(F.size("tokens") >= F.col("need"))
+    first = (tokens.join(F.broadcast(index), ["token", "half"]).where(F.size("tokens") >= F.col("need"))
              .groupBy(*key).agg(F.min(F.struct("at", "block_at", "need", "template_tokens", "tokens")).alias("first"))
              .select(*key, "first.*"))
     left = F.least(F.size("template_tokens") - F.col("at"), F.size("tokens") - F.col("block_at"))

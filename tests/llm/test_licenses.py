@@ -67,3 +67,20 @@ def test_edges(spark):
                             (4, 100_003, 1, 100_000, "reserved", "reserved")], key=str)
     assert [(r.doc_id, r.template, r.overlap) for r in matches.collect()] == [(None, "mit", 5)]
     assert licenses.scan(docs.limit(0))[0].count() == 0
+
+
+def test_long_templates_are_found_wherever_they_stand(spark):
+    templates = {"short": "Released under the MIT License"}
+    templates |= {f"long{n}": " ".join(f"t{n}x{k}" for k in range(n)) for n in (64, 65, 100, 128, 300)}
+    rows, expected = [], set()
+    for label, text in templates.items():
+        for at in (0, 1, 33, 63, 64, 100, 127, 500, 599):
+            expected.add((len(rows), label))
+            rows.append((len(rows), "f " * at + text + " f" * 40))
+    # The words of the short notice spread over a block of the long templates are no match.
+    rows.append((len(rows), " ".join(w + " f" * 80 for w in templates["short"].split()) + " " + templates["long300"]))
+    expected.add((len(rows) - 1, "long300"))
+    _, matches = licenses.scan(spark.createDataFrame(rows, SCHEMA), templates)
+    found = {(r.doc_id, r.template, r.containment) for r in matches.collect()}
+    assert {(doc_id, label) for doc_id, label, share in found} == expected
+    assert expected == {(doc_id, label) for doc_id, label, share in found if share == 1}
