@@ -1,6 +1,6 @@
 """WARC archives compressed with a shared dictionary.
 
-A file begins with a skippable frame that holds a Zstandard dictionary built from archived payloads; every record
+A file begins with a skippable frame that holds a Zstandard dictionary built from archived records; every record
 after it is a frame of its own, compressed with that dictionary, so single records can be read by offset. Payloads
 seen before are written as revisit records that refer to the response.
 
@@ -29,7 +29,8 @@ from ledgerloom.sources.workspace import fresh_path, settle
 DICTIONARY_FRAME = 0x184D2A5D
 ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
 
-# Bounds of the dictionary and of the payloads it is built from; they are chosen by hash over the whole table.
+# Bounds of the dictionary and of the different payloads it is built from; they are chosen by hash over the whole
+# table, and longer ones than SAMPLE_BYTES are taken as far as shorter ones leave room.
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_PAYLOADS = 400
 SAMPLE_BYTES = 8 << 10
@@ -73,20 +74,38 @@ def _urn(page_id: int | None, copy: int) -> str:
 
 
 def build_dictionary(pages: DataFrame) -> bytes:
-    """A dictionary of bounded size from the starts of a bounded number of payloads; empty if there are too few.
+    """A dictionary of bounded size, trained on the records of a bounded number of different payloads.
 
-    The pages are drawn by the hash of id and url, so only numbers are ranked; their payloads are read after.
+    Payloads are drawn by their hash, so only numbers are ranked and copies count once; they are read after. Where
+    there is too little to train on, the records themselves are the dictionary; it is empty for an empty table only.
     """
-    draw = F.xxhash64("page_id", "url")
-    lowest = pages.select(draw.alias("draw")).orderBy("draw").limit(SAMPLE_PAYLOADS).agg(F.max("draw")).first()[0]
-    drawn = (pages.where((draw <= F.lit(lowest)) & (F.octet_length("html") > 0))
-             .select(F.substring(F.col("html").cast("binary"), 1, SAMPLE_BYTES).alias("start"))
-             .limit(SAMPLE_PAYLOADS).collect())
-    samples = sorted(bytes(row.start) for row in drawn)
+    payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
+    rows = pages.select(F.col("page_id").cast("long"), F.coalesce(F.col("url"), F.lit("")).alias("url"),
+                        payload.alias("payload"), F.xxhash64(payload).alias("draw"))
+    drawn = (rows.groupBy("draw").agg(F.max(F.octet_length("payload")).alias("size"))
+             .orderBy("draw").limit(SAMPLE_PAYLOADS).collect())
+    if not drawn:
+        return b""
+    most = _longest([row["size"] for row in drawn], SAMPLE_PAYLOADS * SAMPLE_BYTES)
+    chosen = (rows.where(F.col("draw") <= drawn[-1].draw)
+              .select("draw", F.struct("page_id", "url").alias("page"), F.substring("payload", 1, most).alias("start"))
+              .groupBy("draw").agg(F.min("page").alias("page"), F.first("start").alias("start")).collect())
+    samples = sorted(_record("response", _urn(row.page.page_id, 0), row.page.url, bytes(row.start), digest(row.start),
+                             len(row.start), None) for row in chosen)
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=200, d=8).as_bytes()
     except (zstandard.ZstdError, ValueError):  # too little to learn from
-        return b""
+        return b"".join(samples)[:DICTIONARY_BYTES]
+
+
+def _longest(sizes: list[int], total: int) -> int:
+    """The length to cut at so that all together have at most ``total`` bytes; nothing is cut if they have."""
+    left = total
+    for k, size in enumerate(sorted(sizes)):
+        if size * (len(sizes) - k) > left:
+            return left // (len(sizes) - k)
+        left -= size
+    return max(1, *sizes)
 
 
 def _with_holders(pages: DataFrame) -> DataFrame:

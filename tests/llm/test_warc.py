@@ -74,3 +74,23 @@ def test_without_pages_and_with_other_columns(spark, tmp_path):
     assert got == [] and manifest.count() == 0
     df = spark.createDataFrame([(1, "u", "h", "mine", 9)], SCHEMA + ", payload string, copy int")
     assert [r.page_id for r in warc.read(warc.write(df, f"file://{tmp_path}/other")).collect()] == [1]
+
+
+def test_a_dictionary_whatever_the_rows(spark, tmp_path):
+    """Copies, empty pages and too few pages leave no file without a dictionary."""
+    body = "<html>" + "<p>words of a page</p>" * 30
+    tables = {"copies": [(None, None, body)] * 500 + [(k, f"u{k}", f"{body}{k}") for k in range(20)],
+              "empty": [(k, f"u{k}", "") for k in range(500)], "one": [(1, "u", body)]}
+    for name, rows in tables.items():
+        manifest, got = archived(spark, tmp_path / name, rows)
+        assert len(got) == len(rows)
+        for row in manifest.collect():
+            system, path = fs.FileSystem.from_uri(row.path)
+            magic, size = struct.unpack("<II", system.open_input_stream(path).read(8))
+            assert magic == warc.DICTIONARY_FRAME and 8 <= size <= warc.DICTIONARY_BYTES
+
+
+def test_samples_are_whole_where_the_bound_allows():
+    assert warc._longest([10, 2000, 9000], 20_000) == 9000
+    assert warc._longest([10, 2000, 90_000], 20_000) == 17_990
+    assert warc._longest([9000] * 4, 20_000) == 5000 and warc._longest([0], 20_000) == 1
