@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
@@ -15,9 +15,12 @@ from ledgerloom.llm import (
     line_dedup,
     pieces,
     quality,
+    resampling,
+    secrets,
     sharding,
     simhash,
     warc,
+    whitening,
 )
 from ledgerloom.llm.common import table
 
@@ -85,10 +88,32 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["rule"] < len(secrets.BASE))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[count(rule.kind) for rule in secrets.BASE], F.sha2(secrets.written(base), 256).alias("base_sha256"),
+                        secrets.written(F.col("spans")).alias("spans"))
+
+
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_warc, op2_chat_format, op3_sentencepiece, op4_license_scan, op5_language_id,
         op6_decontamination, op7_line_dedup, op8_quality_rules, op9_sharding,
-        op10_simhash_near_dedup)}
+        op10_simhash_near_dedup, op11_secret_scan, op12_importance_resampling, op13_embedding_whitening)}
 
-SQL: dict[str, str] = {"op6_decontamination": decontaminate.ORACLE_SQL, "op7_line_dedup": line_dedup.ORACLE_SQL}
+SQL: dict[str, str] = {
+    "op6_decontamination": decontaminate.ORACLE_SQL, "op7_line_dedup": line_dedup.ORACLE_SQL,
+    "op11_secret_scan": secrets.ORACLE_SQL, "op12_importance_resampling": resampling.ORACLE_SQL}
