@@ -1,25 +1,27 @@
 """SentencePiece encoding and decoding with a relational lattice.
 
 A text is cut where no piece can reach across, which gives words; the different words go through the lattice once,
-however often they occur. All substrings of a word up to the longest piece are exploded and joined to the piece
-table; the edges found are grouped by word, and a fold with Spark's ``aggregate`` keeps the best score of each
-place and the piece that ends there (Viterbi). A second fold walks the pieces back.
+however often they occur. Bounded substrings of a word are exploded and joined to the piece table; the edges found are
+grouped by word, and a fold with Spark's ``aggregate`` keeps the best score of each place and the pieces that lead
+there (Viterbi). Words of any length are taken apart into ranges of places first, so no row of the explosion holds
+more than a range.
 
-Texts take their words' ids from two places. The more frequent words of a bounded sample of documents are encoded
-first and broadcast as a dictionary of bounded size. All other words are encoded once each and brought to the blocks
-of documents that have them by shuffle, so nothing depends on how well the sample was drawn.
+Pieces that no best segmentation can use, because shorter pieces spell the same at a better score, are left out of the
+table: for a model whose scores are merge ranks these are two thirds.
+
+Texts are stored as numbers into the vocabulary of their block, some megabytes of text. The vocabularies, not the
+texts, go through the shuffles to the lattice and come back as ids to their block.
 """
 
 from __future__ import annotations
 
 import functools
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,16 +32,12 @@ SPACE = "▁"
 # Fixed value: what an unknown character scores below the worst piece.
 UNKNOWN_PENALTY = 10.0
 
-# Bounds of the broadcast dictionary: the documents it is drawn from, by hash, and its words.
-SAMPLE_DOCUMENTS = 25_000
-DICTIONARY_WORDS = 1 << 19
-# Documents are shuffled in compressed blocks of about so many bytes of text.
-BLOCK_BYTES = 1 << 20
-# Words longer than this are folded in groups of so many edges and path steps, so that appending to their results
-# stays cheap.
-_FOLD = 512
-# Counts a task holds before it passes them on.
-_COUNTED = 400_000
+# Texts are stored and brought together with their ids in blocks of about so many characters.
+BLOCK_CHARS = 8 << 20
+# Places of a word that are exploded and folded together.
+RANGE = 512
+# An edge is one whole number: where it ends in its range, how long it is and the piece's id.
+_LENGTH_BITS, _ID_BITS = 6, 24
 
 
 @dataclass(frozen=True)
@@ -72,6 +70,20 @@ class Model:
     def words(self) -> list[tuple[str, int, float]]:
         return [(p, k, self.scores[k]) for k, p in enumerate(self.pieces) if self.normal[k]]
 
+    @functools.cached_property
+    def useful(self) -> list[tuple[str, int, float]]:
+        """The words that may stand in a best segmentation: no shorter pieces spell them at a better score."""
+        scores = {piece: score for piece, _, score in self.words()}
+
+        def in_parts(piece: str) -> float:
+            best = [0.0] + [float("-inf")] * len(piece)
+            for end in range(1, len(piece) + 1):
+                best[end] = max((best[start] + scores.get(piece[start:end], float("-inf")) for start in range(end)
+                                 if end - start < len(piece)), default=float("-inf"))
+            return best[-1]
+
+        return [(piece, k, score) for piece, k, score in self.words() if in_parts(piece) <= score]
+
     @functools.cached_property
     def unknown_score(self) -> float:
         return min((score for _, _, score in self.words()), default=0.0) - UNKNOWN_PENALTY
@@ -93,7 +105,7 @@ class Cutter:
     """Cuts texts between characters that stand side by side in no piece, so no piece reaches across a cut."""
 
     def __init__(self, model: Model):
-        pieces = [p for p, _, _ in model.words() if len(p) > 1]
+        pieces = [p for p, _, _ in model.useful if len(p) > 1]
         chars = sorted({c for p in pieces for c in p})
         self.kind = np.zeros(0x110000, np.int32)
         self.kind[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
@@ -103,12 +115,13 @@ class Cutter:
             self.joined[kinds[:-1], kinds[1:]] = True
 
     def words(self, text: str) -> list[str]:
+        """The words of a text with a space before it; spaces are as in the text."""
         if not text:
             return []
-        marked = SPACE + text.replace(" ", SPACE)
-        kinds = self.kind[np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        text = " " + text
+        kinds = self.kind[np.frombuffer(text.replace(" ", SPACE).encode("utf-32-le", "surrogatepass"), np.uint32)]
         cuts = (np.flatnonzero(~self.joined[kinds[:-1], kinds[1:]]) + 1).tolist()
-        return [marked[a:b] for a, b in zip([0, *cuts], [*cuts, len(marked)], strict=True)]
+        return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -119,250 +132,280 @@ def _cutter(model: Model) -> Cutter:
 # --- the lattice ------------------------------------------------------------------------------------------------
 
 
-def _viterbi(edges: Column) -> Column:
-    """For each place of a word, from 0, the best score up to it and the piece that ends there.
-
-    ``edges`` are ``(end, start, score, id)`` sorted by end and then by start, so of equal scores the longest last
-    piece wins. The state is the array itself, which grows by a place whenever an edge reaches a new one; places
-    come in order since every character is an edge.
-    """
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("from"), F.lit(0).alias("id")))
-
-    def step(state: Column, edge: Column) -> Column:
-        score = F.get(state, edge["start"])["score"] + edge["score"]
-        entry = F.array(F.struct(score.alias("score"), edge["start"].alias("from"), edge["id"].alias("id")))
-        return (F.when(F.size(state) == edge["end"], F.concat(state, entry))
-                .when(score > F.get(state, edge["end"])["score"], F.concat(F.slice(state, F.lit(1), edge["end"]), entry))
-                .otherwise(state))
-
-    return F.aggregate(edges, start, step)
+def _parts_of(code: Column) -> tuple[Column, Column, Column]:
+    """End, length and id of an edge."""
+    length = (1 << _LENGTH_BITS) - 1
+    return (F.shiftright(code, _LENGTH_BITS + _ID_BITS).cast("int"),
+            F.lit(length) - F.shiftright(code, _ID_BITS).bitwiseAND(F.lit(length)).cast("int"),
+            code.bitwiseAND(F.lit((1 << _ID_BITS) - 1)))
 
 
-def _walked(places: Column) -> Column:
-    """The pieces on the best path, last to first, as ``struct<id, at>`` with ``at`` the place a piece begins."""
-    start = F.struct((F.size(places) - 1).alias("at"), F.array().cast("array<struct<id: int, at: int>>").alias("path"))
+def _step_of(at: Column, piece: Column) -> Column:
+    """A step of a path, as one whole number: where the piece begins, and its id."""
+    return F.shiftleft(at.cast("bigint"), _ID_BITS).bitwiseOR(piece.cast("bigint"))
 
-    def step(state: Column, place: Column) -> Column:
-        here = F.get(places, place)
-        return F.when(state["at"] == place, F.struct(here["from"].alias("at"), F.concat(
-            state["path"], F.array(F.struct(here["id"].alias("id"), here["from"].alias("at")))).alias("path"))).otherwise(state)
 
-    return F.aggregate(F.sequence(F.size(places) - 1, F.lit(1), F.lit(-1)), start, step)["path"]
+def _viterbi(codes: Column, scores: Column) -> Column:
+    """The best path of a word of one range.
 
+    Edges come sorted by end and then by start, so of equal scores the longest last piece wins. The state has an entry
+    for each place reached: the best score up to it and the steps that lead there. It grows by an entry whenever an
+    edge reaches a new place; places come in order since every character is an edge.
+    """
+    start = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<bigint>").alias("path")))
+
+    def step(state: Column, k: Column) -> Column:
+        end, length, piece = _parts_of(F.get(codes, k))
+        before = F.get(state, end - length)
+        score = before["score"] + F.get(scores, k)
+        entry = F.array(F.struct(score.alias("score"), F.concat(before["path"], F.array(_step_of(end - length, piece))).alias("path")))
+        return (F.when(F.size(state) == end, F.concat(state, entry))
+                .when(score > F.get(state, end)["score"], F.concat(F.slice(state, F.lit(1), end), entry))
+                .otherwise(state))
 
-def _in_parts(items: Column, state: Column, step, moved, finish) -> Column:
-    """Fold ``items`` in groups of ``_FOLD``; after each, ``moved`` takes what was gathered out of the inner state."""
-    groups = F.sequence(F.lit(0), F.floor((F.greatest(F.size(items), F.lit(1)) - 1) / _FOLD).cast("int"))
-    return F.aggregate(groups, state, lambda held, group: F.aggregate(
-        F.slice(items, group * _FOLD + 1, F.lit(_FOLD)), held, step, moved), finish)
+    return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), start, step, lambda state: F.element_at(state, -1)["path"])
 
 
-def _viterbi_long(edges: Column, longest: int) -> Column:
-    """As ``_viterbi`` for words of any length: the pieces that end at each place from 1, as ``id * 64 + length``.
+def _viterbi_long(ranges: Column, longest: int) -> Column:
+    """For a word of many ranges, the pieces that end at each place from 1, as ``id * 64 + length``.
 
-    An array that grows with the word would be copied for every edge. Here the state holds the scores of the last
-    ``longest`` places, the place at work and its best edge, and the pieces decided in this group of edges; those of
-    earlier groups are moved out as they are.
+    Entries for all places would be copied for every edge. Here the state holds the scores of the last ``longest``
+    places, the place at work and its best edge, and the pieces decided in this range; those of earlier ranges are moved
+    out as they are.
     """
     none = F.array().cast("array<bigint>")
     start = F.struct(F.array().cast("array<double>").alias("scores"), F.lit(0).alias("end"), F.lit(0.0).alias("score"),
                      F.lit(0).cast("bigint").alias("back"), none.alias("near"), F.array().cast("array<array<bigint>>").alias("far"))
 
-    def step(s: Column, e: Column) -> Column:
-        new = e["end"] != s["end"]
-        scores = F.when(new, F.slice(F.concat(s["scores"], F.array(s["score"])),
-                                     F.greatest(F.size(s["scores"]) + 2 - longest, F.lit(1)), F.lit(longest))
-                        ).otherwise(s["scores"])
-        length = e["end"] - e["start"]
-        score = F.get(scores, F.size(scores) - length) + e["score"]
-        better = new | (score > s["score"])
-        return F.struct(
-            scores.alias("scores"), e["end"].alias("end"), F.when(better, score).otherwise(s["score"]).alias("score"),
-            F.when(better, (e["id"] * 64 + length).cast("bigint")).otherwise(s["back"]).alias("back"),
-            F.when(new & (s["end"] > 0), F.concat(s["near"], F.array(s["back"]))).otherwise(s["near"]).alias("near"),
-            s["far"].alias("far"))
+    def within(part: Column):
+        def step(s: Column, k: Column) -> Column:
+            end, length, piece = _parts_of(F.get(part["codes"], k))
+            end = end + part["range"] * RANGE
+            new = end != s["end"]
+            scores = F.when(new, F.slice(F.concat(s["scores"], F.array(s["score"])),
+                                         F.greatest(F.size(s["scores"]) + 2 - longest, F.lit(1)), F.lit(longest))
+                            ).otherwise(s["scores"])
+            score = F.get(scores, F.size(scores) - length) + F.get(part["scores"], k)
+            better = new | (score > s["score"])
+            return F.struct(
+                scores.alias("scores"), end.alias("end"), F.when(better, score).otherwise(s["score"]).alias("score"),
+                F.when(better, (piece * 64 + length).cast("bigint")).otherwise(s["back"]).alias("back"),
+                F.when(new & (s["end"] > 0), F.concat(s["near"], F.array(s["back"]))).otherwise(s["near"]).alias("near"),
+                s["far"].alias("far"))
+        return step
 
     def moved(s: Column) -> Column:
         return F.struct(s["scores"].alias("scores"), s["end"].alias("end"), s["score"].alias("score"), s["back"].alias("back"),
                         none.alias("near"), F.concat(s["far"], F.array(s["near"])).alias("far"))
 
-    return _in_parts(edges, start, step, moved, lambda s: F.concat(F.flatten(s["far"]), F.array(s["back"])))
+    return F.aggregate(ranges, start, lambda held, part: F.aggregate(
+        F.sequence(F.lit(0), F.size(part["codes"]) - 1), held, within(part), moved),
+        lambda s: F.concat(F.flatten(s["far"]), F.array(s["back"])))
 
 
 def _walked_long(backs: Column) -> Column:
-    """As ``_walked``, from the pieces that ``_viterbi_long`` decided."""
-    none = F.array().cast("array<struct<id: int, at: int>>")
-    start = F.struct(F.size(backs).alias("at"), none.alias("near"),
-                     F.array().cast("array<array<struct<id: int, at: int>>>").alias("far"))
+    """The path, last step first, from the pieces that ``_viterbi_long`` decided; also walked in ranges."""
+    none = F.array().cast("array<bigint>")
+    start = F.struct(F.size(backs).alias("at"), none.alias("near"), F.array().cast("array<array<bigint>>").alias("far"))
 
     def step(s: Column, place: Column) -> Column:
         back = F.get(backs, place - 1)
         at = (place - back % 64).cast("int")
-        return F.when(s["at"] == place, F.struct(at.alias("at"), F.concat(s["near"], F.array(F.struct(
-            F.shiftright(back, 6).cast("int").alias("id"), at.alias("at")))).alias("near"), s["far"].alias("far"))).otherwise(s)
+        return F.when(s["at"] == place, F.struct(at.alias("at"), F.concat(
+            s["near"], F.array(_step_of(at, F.shiftright(back, 6)))).alias("near"), s["far"].alias("far"))).otherwise(s)
 
     def moved(s: Column) -> Column:
         return F.struct(s["at"].alias("at"), none.alias("near"), F.concat(s["far"], F.array(s["near"])).alias("far"))
 
-    return _in_parts(F.sequence(F.size(backs), F.lit(1), F.lit(-1)), start, step, moved, lambda s: F.flatten(s["far"]))
+    groups = F.sequence(F.floor((F.size(backs) - 1) / RANGE).cast("int"), F.lit(0), F.lit(-1))
+    return F.aggregate(groups, start, lambda held, group: F.aggregate(
+        F.sequence(F.least(F.size(backs), (group + 1) * RANGE), group * RANGE + 1, F.lit(-1)), held, step, moved),
+        lambda s: F.flatten(s["far"]))
 
 
-def encode_words(words: DataFrame, model: Model) -> DataFrame:
-    """``word`` and its ``ids`` for the different words of ``words(word)``.
+def word_key(word: Column) -> Column:
+    """What a word is grouped by: itself, or its hash if it is longer than a range.
 
-    A character that no piece has becomes its bytes where the model has byte pieces, else the unknown piece.
+    No other word begins with U+0000, as no piece holds that character.
     """
-    spark = words.sparkSession
+    return F.when(F.length(word) <= RANGE, word).otherwise(F.concat(F.lit("\0"), F.sha2(word, 256)))
+
+
+def _ranges(words: DataFrame, model: Model) -> DataFrame:
+    """``key`` and ``ranges`` of each word: the sorted edges that end in a range, their scores, and its own characters."""
+    spark, longest = words.sparkSession, max(len(p) for p, _, _ in model.useful)
+    if longest >= 1 << _LENGTH_BITS or len(model.pieces) > 1 << _ID_BITS:
+        raise ValueError("pieces are too long or too many")
     table = spark.createDataFrame(pa.table({
-        "piece": pa.array([w[0] for w in model.words()]), "id": pa.array([w[1] for w in model.words()], pa.int32()),
-        "score": pa.array([w[2] for w in model.words()], pa.float64())}))
-    # The piece table is the model's: tens of thousands of short strings, whatever the corpus.
-    starts = words.select("word", F.length("word").alias("n")).withColumn(
-        "at", F.explode_outer(F.sequence(F.lit(1), F.col("n"))))
-    spans = starts.withColumn("length", F.explode_outer(
-        F.sequence(F.lit(1), F.least(F.lit(model.longest), F.col("n") - F.col("at") + 1))))
-    edges = (spans.withColumn("piece", F.col("word").substr(F.col("at"), F.col("length")))
+        "piece": pa.array([p for p, _, _ in model.useful]), "id": pa.array([k for _, k, _ in model.useful], pa.int32()),
+        "score": pa.array([x for _, _, x in model.useful], pa.float64())}))
+    lengths: dict[str, set[int]] = {}
+    for piece, _, _ in model.useful:
+        lengths.setdefault(piece[:2], {1}).add(len(piece))
+    begins = spark.createDataFrame(pa.table({
+        "begin": pa.array(list(lengths)), "lengths": pa.array([sorted(x) for x in lengths.values()], pa.list_(pa.int32()))}))
+    # Both tables are the model's: tens of thousands of short strings, whatever the corpus.
+    n, first, last = F.col("n"), F.col("first"), F.col("last")
+    parts = (words.select("key", F.translate("word", " ", SPACE).alias("word"), F.length("word").alias("n"))
+             .withColumn("range", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / RANGE).cast("int"))))
+             .withColumn("first", F.greatest(F.col("range") * RANGE - (longest - 1), F.lit(0)))
+             .withColumn("last", F.least(n, (F.col("range") + 1) * RANGE))
+             .select("key", "range", "first", "last", F.col("word").substr(first + 1, last - first).alias("chars")))
+    places = parts.withColumn("at", F.explode(F.sequence(first, last - 1)))
+    spans = (places.withColumn("begin", F.col("chars").substr(F.col("at") - first + 1, F.lit(2)))
+             .join(F.broadcast(begins), "begin", "left")
+             .withColumn("length", F.explode(F.coalesce("lengths", F.array(F.lit(1)))))
+             .withColumn("end", F.col("at") + F.col("length") - F.col("range") * RANGE)
+             .where((F.col("end") > 0) & (F.col("at") + F.col("length") <= last)))
+    code = (F.shiftleft(F.col("end").cast("bigint"), _LENGTH_BITS + _ID_BITS)
+            .bitwiseOR(F.shiftleft((F.lit((1 << _LENGTH_BITS) - 1) - F.col("length")).cast("bigint"), _ID_BITS))
+            .bitwiseOR(F.coalesce("id", F.lit(model.unknown)).cast("bigint")))
+    edges = (spans.withColumn("piece", F.col("chars").substr(F.col("at") - first + 1, F.col("length")))
              .join(F.broadcast(table), "piece", "left").where("id is not null or length = 1")
-             .select("word", F.struct((F.col("at") + F.col("length") - 1).alias("end"), (F.col("at") - 1).alias("start"),
-                                      F.coalesce("score", F.lit(model.unknown_score)).alias("score"),
-                                      F.coalesce("id", F.lit(model.unknown)).alias("id")).alias("edge")))
-    grouped = edges.groupBy("word").agg(F.array_sort(F.collect_list("edge")).alias("edges"))
-    short = F.length("word") <= _FOLD
-    decided = grouped.select("word", F.when(short, _viterbi(F.col("edges"))).alias("places"),
-                             F.when(~short, _viterbi_long(F.col("edges"), model.longest)).alias("backs"))
-    path = decided.select("word", F.reverse(F.when(short, _walked(F.col("places"))).otherwise(
-        _walked_long(F.col("backs")))).alias("path"))
-    plain = F.transform("path", lambda step: step["id"])
+             .select("key", "range", "first", "chars", F.struct(
+                 code.alias("code"), F.coalesce("score", F.lit(model.unknown_score)).alias("score")).alias("edge")))
+    sorted_edges = F.sort_array(F.collect_list("edge"))
+    grouped = edges.groupBy("key", "range").agg(sorted_edges.alias("edges"), F.first("chars").alias("chars"), F.first("first").alias("first"))
+    own = F.col("chars").substr(F.col("range") * RANGE - F.col("first") + 1, F.lit(RANGE))
+    return grouped.groupBy("key").agg(F.sort_array(F.collect_list(F.struct(
+        "range", F.col("edges.code").alias("codes"), F.col("edges.score").alias("scores"), own.alias("chars")))).alias("ranges"))
+
+
+def _encoded(words: DataFrame, model: Model) -> DataFrame:
+    """``key`` and ``ids`` for the different words of ``words(key, word)``."""
+    ranges, first, longest = F.col("ranges"), F.get("ranges", F.lit(0)), max(len(p) for p, _, _ in model.useful)
+    short = F.size(ranges) == 1
+    decided = _ranges(words, model).select(
+        "key", F.array_join("ranges.chars", "").alias("word"),
+        F.when(short, _viterbi(first["codes"], first["scores"])).alias("path"),
+        F.when(~short, _viterbi_long(ranges, longest)).alias("backs"))
+    path = decided.select("key", "word", F.coalesce("path", F.reverse(_walked_long(F.col("backs")))).alias("path"))
+    mask = F.lit((1 << _ID_BITS) - 1)
+    plain = F.transform("path", lambda step: step.bitwiseAND(mask).cast("int"))
     if model.first_byte < 0:
-        return path.select("word", plain.alias("ids"))
+        return path.select("key", plain.alias("ids"))
 
     def bytes_of(step: Column) -> Column:
-        char = F.encode(F.col("word").substr(step["at"] + 1, F.lit(1)), "utf-8")
+        char = F.encode(F.col("word").substr(F.shiftright(step, _ID_BITS).cast("int") + 1, F.lit(1)), "utf-8")
         each = F.transform(F.sequence(F.lit(1), F.octet_length(char)), lambda k: (
             F.conv(F.hex(F.substring(char, k, F.lit(1))), 16, 10).cast("int") + model.first_byte))
-        return F.when(step["id"] == model.unknown, each).otherwise(F.array(step["id"]))
+        piece = step.bitwiseAND(mask).cast("int")
+        return F.when(piece == model.unknown, each).otherwise(F.array(piece))
 
     ids = F.when(F.array_contains(plain, F.lit(model.unknown)), F.flatten(F.transform("path", bytes_of))).otherwise(plain)
-    return path.select("word", ids.alias("ids"))
+    return path.select("key", ids.alias("ids"))
+
+
+def encode_words(words: DataFrame, model: Model) -> DataFrame:
+    """``word`` and its ``ids`` for the different words of ``words(word)``, none of them empty.
+
+    A character that no piece has becomes its bytes where the model has byte pieces, else the unknown piece.
+    """
+    keyed = words.select("word", word_key(F.col("word")).alias("key")).repartition("key")
+    return keyed.join(_encoded(keyed, model), "key").select("word", "ids")
 
 
 # --- texts ------------------------------------------------------------------------------------------------------
 
 
-def _word_counts(docs: DataFrame, model: Model) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+class _Numbers(dict):
+    """A number for each word, in the order in which they were first asked for."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, counts = _cutter(shared.value), Counter()
-        for batch in batches:
-            for text in batch.column(0):
-                counts.update(cutter.words(text.as_py() or ""))
-                if len(counts) > _COUNTED:
-                    yield table(counts)
-                    counts = Counter()
-        yield table(counts)
-
-    def table(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()),
-                                           pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-
-    return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def _dictionary(docs: DataFrame, model: Model) -> dict[str, bytes]:
-    """Words of a bounded sample of documents and their ids as 32-bit numbers; at most ``DICTIONARY_WORDS``."""
-    share = min(1.0, SAMPLE_DOCUMENTS / max(docs.count(), 1))
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) < share * float(1 << 40)
-    counts = settle(_word_counts(docs.where(drawn), model), "sample_words")
-    # The least count whose words all fit in; ties are kept out together.
-    fitting = sorted((row.n, row["count"]) for row in counts.groupBy(F.least("n", F.lit(10_000)).alias("n")).count().collect())
-    least, total = 10_001, 0
-    for n, words in reversed(fitting):
-        total += words
-        if total > DICTIONARY_WORDS:
-            break
-        least = n
-    encoded = encode_words(counts.where(F.col("n") >= least).repartition("word"), model)
-    known: dict[str, bytes] = {}
-    for batch in encoded.toArrow().to_batches():
-        offsets = batch.column(1).offsets.to_numpy() * 4
-        ids = batch.column(1).values.cast(pa.int32()).to_numpy(zero_copy_only=False).tobytes()
-        for word, a, b in zip(batch.column(0).to_pylist(), offsets[:-1], offsets[1:], strict=True):
-            known[word] = ids[a:b]
-    return known
-
-
-def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.RecordBatch]]:
-    """Consecutive rows of about ``BLOCK_BYTES`` with a name made of what they hold."""
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of about ``BLOCK_CHARS``."""
     start = size = 0
-    for row in range(batch.num_rows):
-        size += len(batch.column(1)[row].as_py() or "")
-        if size >= BLOCK_BYTES or row == batch.num_rows - 1:
-            block = batch.slice(start, row + 1 - start)
-            name = xxhash.xxh3_128()
-            for doc_id, text in zip(block.column(0).to_pylist(), block.column(1).to_pylist(), strict=True):
-                name.update(f"{doc_id} {text is None} ".encode())
-                name.update((text or "").encode())
-            yield name.hexdigest(), block
+    for row, text in enumerate(batch.column(1)):
+        size += len(text.as_py() or "")
+        if size >= BLOCK_CHARS:
+            yield batch.slice(start, row + 1 - start)
             start, size = row + 1, 0
+    if start < batch.num_rows:
+        yield batch.slice(start)
 
 
-def encode(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id``, ``text`` and ``ids`` of every row.
-
-    The ids are the best-scoring segmentation of the whole text, with a space put before it as the model does. A
-    null text has null ids, an empty one none. Repeated rows are each encoded; other columns are not read.
-    """
-    context = docs.sparkSession.sparkContext
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    known = context.broadcast(_dictionary(docs, model))
-    shared = context.broadcast(model)
+def _in_numbers(docs: DataFrame, model: Model) -> DataFrame:
+    """Blocks of documents: their number, the different words in them, and each text as numbers of its words."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, words = _cutter(shared.value), known.value
-        for batch in batches:
-            for name, block in _blocks(batch):
-                own: set[str] = set()
-                for text in block.column(1):
-                    own.update(cutter.words(text.as_py() or ""))
-                rare = own.difference(words)
-                if rare:
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(rare)), pa.array(sorted(rare))],
-                                                     names=["block", "word"])
-
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cutter, block = _cutter(shared.value), TaskContext.get().partitionId() << 32
         options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
         for batch in batches:
-            for name, block in _blocks(batch):
+            for part in _blocks(batch):
+                numbers, found, offsets = _Numbers(), [], [0]
+                for text in part.column(1):
+                    words = cutter.words(text.as_py() or "")
+                    found.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
+                    offsets.append(offsets[-1] + len(words))
+                # Byte by byte, the high ones being mostly zero, numbers take half the room.
+                flat = np.concatenate(found).view(np.uint8).reshape(-1, 4).T
+                rows = pa.record_batch([part.column(0), part.column(1).is_null(), pa.array(np.diff(offsets), pa.int64())],
+                                       names=["doc_id", "absent", "size"])
                 sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, block.schema, options=options) as stream:
-                    stream.write_batch(pa.concat_batches([block]))
-                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([sink.getvalue().to_pybytes()])],
-                                                 names=["block", "rows"])
-
-    def numbered(left: pa.Table, right: pa.Table) -> pa.Table:
-        cutter, words = _cutter(shared.value), known.value
-        own = {w: np.array(i, np.int32).tobytes() for w, i in zip(
-            right.column("word").to_pylist(), right.column("ids").to_pylist(), strict=True)}
-        out = []
-        for rows in left.column("rows"):
-            for batch in pa.ipc.open_stream(rows.as_py()):
-                found = [None if text is None else np.frombuffer(b"".join(
-                    [words.get(w) or own[w] for w in cutter.words(text)]), np.int32) for text in batch.column(1).to_pylist()]
+                with pa.ipc.new_stream(sink, rows.schema, options=options) as stream:
+                    stream.write_batch(rows)
+                packed = pa.compress(np.ascontiguousarray(flat).tobytes(), codec="zstd", asbytes=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block], pa.int64()), pa.array([list(numbers)], pa.list_(pa.string())),
+                     pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([packed], pa.binary()), pa.array([offsets[-1]], pa.int64())],
+                    names=["block", "words", "rows", "numbers", "n"])
+                block += 1
+
+    return docs.mapInArrow(run, "block long, words array<string>, rows binary, numbers binary, n long")
+
+
+def _ids_of(left: pa.Table, right: pa.Table) -> pa.Table:
+    """The rows of a block with the text and ids their word numbers stand for; ``right`` has each number's ids."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("ids", pa.list_(pa.int32()))])
+    order = np.argsort(right.column("number").to_numpy())
+    ids = right.column("ids").combine_chunks().take(pa.array(order)).cast(pa.list_(pa.int32()))
+    flat, sizes = ids.flatten().to_numpy(), np.diff(ids.offsets.to_numpy())
+    starts = np.cumsum(sizes) - sizes
+    out = []
+    for block in left.select(["words", "rows", "numbers", "n"]).to_batches():
+        for k in range(block.num_rows):
+            words = block.column(0)[k].as_py()
+            planes = pa.decompress(block.column(2)[k].as_py(), block.column(3)[k].as_py() * 4, codec="zstd", asbytes=True)
+            numbers = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.int32).ravel()
+            at = 0
+            for rows in pa.ipc.open_stream(block.column(1)[k].as_py()):
+                texts, found = [], []
+                for absent, size in zip(rows.column(1).to_pylist(), rows.column(2).to_pylist(), strict=True):
+                    own = numbers[at:at + size]
+                    at += size
+                    many = sizes[own]
+                    ends = np.cumsum(many)
+                    found.append(None if absent else flat[np.repeat(starts[own] - (ends - many), many)
+                                                          + np.arange(ends[-1] if size else 0)])
+                    texts.append(None if absent else "".join(map(words.__getitem__, own.tolist()))[1:])
                 out.append(pa.RecordBatch.from_arrays(
-                    [batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.string()), pa.array(found, pa.list_(pa.int32()))],
-                    names=["doc_id", "text", "ids"]))
-        return pa.Table.from_batches(out, pa.schema([("doc_id", pa.int64()), ("text", pa.string()),
-                                                     ("ids", pa.list_(pa.int32()))]))
+                    [rows.column(0), pa.array(texts, pa.string()), pa.array(found, pa.list_(pa.int32()))], schema=schema))
+    return pa.Table.from_batches(out, schema)
 
+
+def encode(docs: DataFrame, model: Model) -> DataFrame:
+    """``doc_id``, ``text`` and ``ids`` of every row.
+
+    The ids are the best-scoring segmentation of the whole text, with a space put before it as the model does; of equal
+    scores the longest last piece wins. A null text has null ids, an empty one none. A very long text is one row of its
+    block; a very long word, such as a run of a million spaces, has all its edges in one row, 16 bytes each. Repeated
+    rows are each encoded, an empty table gives no rows, null ids are ids like others, and other columns are not read.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    blocks = settle(_in_numbers(docs, model), "numbered_texts")
     # Both branches read the same shuffle: the different words, and the blocks to which their ids go.
-    rare = docs.mapInArrow(missing, "block string, word string").repartition("word")
-    different = rare.groupBy("word").agg(F.min("block").alias("first")).where("first is not null").select("word")
-    encoded = encode_words(different, model)
-    brought = rare.join(encoded, "word").select(F.col("block"), "word", "ids")
-    blocks = docs.mapInArrow(packed, "block string, rows binary")
-    return blocks.groupBy("block").cogroup(brought.groupBy("block")).applyInArrow(
-        numbered, "doc_id long, text string, ids array<int>")
+    words = (blocks.select("block", F.posexplode("words").alias("number", "word"))
+             .withColumn("key", word_key(F.col("word"))).repartition("key"))
+    different = (words.groupBy("key").agg(F.first("word").alias("word"), F.min("block").alias("block"), F.min("number").alias("number"))
+                 .where("block is not null and number is not null").select("key", "word"))
+    brought = words.join(_encoded(different, model), "key").select(F.col("block").alias("of_block"), "number", "ids")
+    return blocks.groupBy("block").cogroup(brought.groupBy("of_block")).applyInArrow(
+        _ids_of, "doc_id long, text string, ids array<int>")
 
 
 def decode_ids(ids: np.ndarray, model: Model) -> str:

@@ -68,18 +68,38 @@ def test_words_as_the_library_has_them(spark, model, unigram):
     assert {r.word[1:]: r.ids for r in pieces.encode_words(df, model).collect()} == {w: unigram.encode(w) for w in words}
 
 
-def test_rare_words_as_known_ones(spark, model, monkeypatch):
+def test_blocks_of_any_size(spark, model, monkeypatch):
     texts = [(k, f"common words and rare{k} ones " * 3) for k in range(40)] + [(None, "null id"), (1, None), (1, None), (2, "")]
     docs = spark.createDataFrame([(*t, "extra", 0) for t in texts], "doc_id long, text string, word string, block int")
     usual = sorted(map(str, pieces.encode(docs, model).collect()))
-    monkeypatch.setattr(pieces, "SAMPLE_DOCUMENTS", 4)
-    monkeypatch.setattr(pieces, "DICTIONARY_WORDS", 5)
-    monkeypatch.setattr(pieces, "BLOCK_BYTES", 100)
+    monkeypatch.setattr(pieces, "BLOCK_CHARS", 100)
     assert sorted(map(str, pieces.encode(docs, model).collect())) == usual and len(usual) == len(texts)
     assert pieces.encode(docs.limit(0), model).count() == 0
 
 
-def test_very_long_word(spark, model):
-    text = "ab" * 5_000
+@pytest.mark.parametrize("text", ["ab" * 5_000, " " * 20_000, "é" * 511 + "=" * 514 + " x", "-" * 1023, "a" * 1025])
+def test_very_long_words(spark, model, text):
     row = pieces.decode(pieces.encode(spark.createDataFrame([(1, text)], SCHEMA), model), model).first()
     assert row.decoded == text and score(row.ids, model) == brute(text, model)
+
+
+def test_ranges_give_what_whole_words_give(spark, model, monkeypatch):
+    rng = random.Random(12)
+    words = ["".join(rng.choices("aeinorst-= ", k=rng.randint(1, 60))) for _ in range(120)]
+    df = spark.createDataFrame([(w,) for w in set(words)], "word string")
+    whole = {r.word: r.ids for r in pieces.encode_words(df, model).collect()}
+    monkeypatch.setattr(pieces, "RANGE", 7)
+    assert {r.word: r.ids for r in pieces.encode_words(df, model).collect()} == whole
+
+
+def test_pieces_left_out_are_never_best(model):
+    """Any text of theirs is spelt better by shorter pieces, and all characters stay."""
+    useful = {p for p, _, _ in model.useful}
+    left = [w for w in model.words() if w[0] not in useful]
+    known = {p: s for p, _, s in model.useful}
+    assert len(left) > 10_000 and {p for p, _, _ in model.words() if len(p) == 1} <= useful
+    for piece, _, own in random.Random(2).sample(left, 300):
+        best = [0.0] + [float("-inf")] * len(piece)
+        for end in range(1, len(piece) + 1):
+            best[end] = max(best[start] + known.get(piece[start:end], float("-inf")) for start in range(end))
+        assert best[-1] > own
