@@ -166,18 +166,33 @@ def _viterbi(codes: Column, scores: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), start, step, lambda state: F.element_at(state, -1)["path"])
 
 
+def _fold_ranges(ranges: Column, state: Column, fold, near: str) -> Column:
+    """Fold each range from the state the one before left, and string together what each range gives as ``near``.
+
+    A state is copied at every step, so what was gathered in earlier ranges stays outside of the state that goes
+    through a range: ``fold(state, range)`` returns the next state, whose ``near`` is taken out.
+    """
+    far = F.array().cast("array<array<bigint>>")
+
+    def step(held: Column, part: Column) -> Column:
+        # A transform over one item names the range's result, which is used twice.
+        return F.get(F.transform(F.array(fold(held["state"], part)), lambda s: F.struct(
+            s.alias("state"), F.concat(held["far"], F.array(s[near])).alias("far"))), F.lit(0))
+
+    return F.aggregate(ranges, F.struct(state.alias("state"), far.alias("far")), step, lambda held: F.flatten(held["far"]))
+
+
 def _viterbi_long(ranges: Column, longest: int) -> Column:
     """For a word of many ranges, the pieces that end at each place from 1, as ``id * 64 + length``.
 
     Entries for all places would be copied for every edge. Here the state holds the scores of the last ``longest``
-    places, the place at work and its best edge, and the pieces decided in this range; those of earlier ranges are moved
-    out as they are.
+    places, the place at work, and the pieces of the best edges to the places of this range.
     """
     none = F.array().cast("array<bigint>")
     start = F.struct(F.array().cast("array<double>").alias("scores"), F.lit(0).alias("end"), F.lit(0.0).alias("score"),
-                     F.lit(0).cast("bigint").alias("back"), none.alias("near"), F.array().cast("array<array<bigint>>").alias("far"))
+                     none.alias("backs"))
 
-    def within(part: Column):
+    def fold(state: Column, part: Column) -> Column:
         def step(s: Column, k: Column) -> Column:
             end, length, piece = _parts_of(F.get(part["codes"], k))
             end = end + part["range"] * RANGE
@@ -187,40 +202,37 @@ def _viterbi_long(ranges: Column, longest: int) -> Column:
                             ).otherwise(s["scores"])
             score = F.get(scores, F.size(scores) - length) + F.get(part["scores"], k)
             better = new | (score > s["score"])
+            back = F.array((piece * 64 + length).cast("bigint"))
             return F.struct(
                 scores.alias("scores"), end.alias("end"), F.when(better, score).otherwise(s["score"]).alias("score"),
-                F.when(better, (piece * 64 + length).cast("bigint")).otherwise(s["back"]).alias("back"),
-                F.when(new & (s["end"] > 0), F.concat(s["near"], F.array(s["back"]))).otherwise(s["near"]).alias("near"),
-                s["far"].alias("far"))
-        return step
+                F.when(new, F.concat(s["backs"], back))
+                .when(better, F.concat(F.slice(s["backs"], F.lit(1), F.size(s["backs"]) - 1), back))
+                .otherwise(s["backs"]).alias("backs"))
 
-    def moved(s: Column) -> Column:
-        return F.struct(s["scores"].alias("scores"), s["end"].alias("end"), s["score"].alias("score"), s["back"].alias("back"),
-                        none.alias("near"), F.concat(s["far"], F.array(s["near"])).alias("far"))
+        begin = F.struct(state["scores"].alias("scores"), state["end"].alias("end"), state["score"].alias("score"), none.alias("backs"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(part["codes"]) - 1), begin, step)
 
-    return F.aggregate(ranges, start, lambda held, part: F.aggregate(
-        F.sequence(F.lit(0), F.size(part["codes"]) - 1), held, within(part), moved),
-        lambda s: F.concat(F.flatten(s["far"]), F.array(s["back"])))
+    return _fold_ranges(ranges, start, fold, "backs")
 
 
 def _walked_long(backs: Column) -> Column:
     """The path, last step first, from the pieces that ``_viterbi_long`` decided; also walked in ranges."""
     none = F.array().cast("array<bigint>")
-    start = F.struct(F.size(backs).alias("at"), none.alias("near"), F.array().cast("array<array<bigint>>").alias("far"))
+    # Each range brings its own part of ``backs``, so that no step has to look into all of it.
+    groups = F.transform(F.sequence(F.floor((F.size(backs) - 1) / RANGE).cast("int"), F.lit(0), F.lit(-1)), lambda g: F.struct(
+        (g * RANGE).alias("first"), F.slice(backs, g * RANGE + 1, F.lit(RANGE)).alias("backs")))
 
-    def step(s: Column, place: Column) -> Column:
-        back = F.get(backs, place - 1)
-        at = (place - back % 64).cast("int")
-        return F.when(s["at"] == place, F.struct(at.alias("at"), F.concat(
-            s["near"], F.array(_step_of(at, F.shiftright(back, 6)))).alias("near"), s["far"].alias("far"))).otherwise(s)
+    def fold(state: Column, group: Column) -> Column:
+        def step(s: Column, k: Column) -> Column:
+            place, back = group["first"] + k, F.get(group["backs"], k - 1)
+            at = (place - back % 64).cast("int")
+            return F.when(s["at"] == place, F.struct(at.alias("at"), F.concat(
+                s["path"], F.array(_step_of(at, F.shiftright(back, 6)))).alias("path"))).otherwise(s)
 
-    def moved(s: Column) -> Column:
-        return F.struct(s["at"].alias("at"), none.alias("near"), F.concat(s["far"], F.array(s["near"])).alias("far"))
+        return F.aggregate(F.sequence(F.size(group["backs"]), F.lit(1), F.lit(-1)),
+                           F.struct(state["at"].alias("at"), none.alias("path")), step)
 
-    groups = F.sequence(F.floor((F.size(backs) - 1) / RANGE).cast("int"), F.lit(0), F.lit(-1))
-    return F.aggregate(groups, start, lambda held, group: F.aggregate(
-        F.sequence(F.least(F.size(backs), (group + 1) * RANGE), group * RANGE + 1, F.lit(-1)), held, step, moved),
-        lambda s: F.flatten(s["far"]))
+    return _fold_ranges(groups, F.struct(F.size(backs).alias("at"), none.alias("path")), fold, "path")
 
 
 def word_key(word: Column) -> Column:
