@@ -16,6 +16,7 @@ texts, go through the shuffles to the lattice and come back as ids to their bloc
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,15 +26,19 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.sources.workspace import settle
+from ledgerloom.llm.common import utf8
+from ledgerloom.sources.workspace import fresh_path
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 # Fixed value: what an unknown character scores below the worst piece.
 UNKNOWN_PENALTY = 10.0
 
-# Texts are stored and brought together with their ids in blocks of about so many characters.
-BLOCK_CHARS = 8 << 20
+# Texts are stored and brought together with their ids in blocks of about so many bytes, and cut in parts of them.
+BLOCK_BYTES = 24 << 20
+_CUT_BYTES = 1 << 20
+# Rows whose texts and ids are put together at a time.
+_ROWS = 1000
 # Places of a word that are exploded and folded together.
 RANGE = 512
 # An edge is one whole number: where it ends in its range, how long it is and the piece's id.
@@ -55,17 +60,12 @@ class Model:
         return max((len(p) for p, usual in zip(self.pieces, self.normal, strict=True) if usual), default=1)
 
     @functools.cached_property
-    def spelt(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The UTF-8 bytes of all ids in a row, and where each id's begin and how many they are.
-
-        Control and unknown pieces have none.
-        """
+    def spelt(self) -> pa.Array:
+        """The UTF-8 bytes of each id; control and unknown pieces have none."""
         low = self.first_byte
-        each = [piece.replace(SPACE, " ").encode("utf-8", "surrogatepass") if usual else
-                bytes([k - low]) if low >= 0 and low <= k < low + 256 else b""
-                for k, (piece, usual) in enumerate(zip(self.pieces, self.normal, strict=True))]
-        sizes = np.array([len(b) for b in each], np.int64)
-        return np.frombuffer(b"".join(each), np.uint8), np.cumsum(sizes) - sizes, sizes
+        return pa.array([piece.replace(SPACE, " ").encode("utf-8", "surrogatepass") if usual else
+                         bytes([k - low]) if low >= 0 and low <= k < low + 256 else b""
+                         for k, (piece, usual) in enumerate(zip(self.pieces, self.normal, strict=True))], pa.large_binary())
 
     def words(self) -> list[tuple[str, int, float]]:
         return [(p, k, self.scores[k]) for k, p in enumerate(self.pieces) if self.normal[k]]
@@ -109,19 +109,37 @@ class Cutter:
         chars = sorted({c for p in pieces for c in p})
         self.kind = np.zeros(0x110000, np.int32)
         self.kind[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
-        self.joined = np.zeros((len(chars) + 1, len(chars) + 1), bool)
+        self.kinds = len(chars) + 1
+        joined = np.zeros((self.kinds, self.kinds), bool)
         for piece in pieces:
             kinds = self.kind[[ord(c) for c in piece]]
-            self.joined[kinds[:-1], kinds[1:]] = True
+            joined[kinds[:-1], kinds[1:]] = True
+        self.kind[ord(" ")] = self.kind[ord(SPACE)]
+        self.apart = ~joined.ravel()
+
+    def words(self, texts: list[bytes]) -> tuple[pa.StringArray, np.ndarray]:
+        """The words of all texts in a row, each text with a space before it, and how many each text has.
 
-    def words(self, text: str) -> list[str]:
-        """The words of a text with a space before it; spaces are as in the text."""
-        if not text:
-            return []
-        text = " " + text
-        kinds = self.kind[np.frombuffer(text.replace(" ", SPACE).encode("utf-32-le", "surrogatepass"), np.uint32)]
-        cuts = (np.flatnonzero(~self.joined[kinds[:-1], kinds[1:]]) + 1).tolist()
-        return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)]
+        Spaces are as in the text; an empty text has no words.
+        """
+        data = b"".join([b" " + text for text in texts if text])
+        starts = np.cumsum([0] + [len(text) + 1 for text in texts if text])
+        cuts, at, last = [], 0, 0
+        while at < len(data):
+            end = min(at + _CUT_BYTES, len(data))
+            while end < len(data) and data[end] & 0xC0 == 0x80:
+                end += 1
+            chars = np.frombuffer(data[at:end].decode("utf-8").encode("utf-32-le"), np.uint32)
+            kinds = self.kind[chars]
+            ends = at + np.cumsum(1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000))
+            before = np.concatenate([[last], kinds[:-1]])
+            cuts.append(np.concatenate([[at], ends[:-1]])[self.apart[before * self.kinds + kinds]])
+            at, last = end, int(kinds[-1])
+        offsets = np.union1d(np.concatenate([*cuts, [0]]), starts).astype(np.int64)
+        words = pa.Array.from_buffers(pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        counts = np.zeros(len(texts), np.int64)
+        counts[[k for k, text in enumerate(texts) if text]] = np.diff(np.searchsorted(offsets, starts))
+        return words, counts
 
 
 @functools.lru_cache(maxsize=2)
@@ -145,7 +163,7 @@ def _step_of(at: Column, piece: Column) -> Column:
     return F.shiftleft(at.cast("bigint"), _ID_BITS).bitwiseOR(piece.cast("bigint"))
 
 
-def _viterbi(codes: Column, scores: Column) -> Column:
+def _viterbi(edges: Column) -> Column:
     """The best path of a word of one range.
 
     Edges come sorted by end and then by start, so of equal scores the longest last piece wins. The state has an entry
@@ -154,16 +172,20 @@ def _viterbi(codes: Column, scores: Column) -> Column:
     """
     start = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<bigint>").alias("path")))
 
-    def step(state: Column, k: Column) -> Column:
-        end, length, piece = _parts_of(F.get(codes, k))
-        before = F.get(state, end - length)
-        score = before["score"] + F.get(scores, k)
-        entry = F.array(F.struct(score.alias("score"), F.concat(before["path"], F.array(_step_of(end - length, piece))).alias("path")))
-        return (F.when(F.size(state) == end, F.concat(state, entry))
-                .when(score > F.get(state, end)["score"], F.concat(F.slice(state, F.lit(1), end), entry))
+    def read(edge: Column) -> Column:
+        end, length, piece = _parts_of(edge["code"])
+        return F.struct(end.alias("end"), (end - length).alias("start"), edge["score"].alias("score"),
+                        F.array(_step_of(end - length, piece)).alias("step"))
+
+    def step(state: Column, edge: Column) -> Column:
+        before = F.get(state, edge["start"])
+        score = before["score"] + edge["score"]
+        entry = F.array(F.struct(score.alias("score"), F.concat(before["path"], edge["step"]).alias("path")))
+        return (F.when(F.size(state) == edge["end"], F.concat(state, entry))
+                .when(score > F.get(state, edge["end"])["score"], F.concat(F.slice(state, F.lit(1), edge["end"]), entry))
                 .otherwise(state))
 
-    return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), start, step, lambda state: F.element_at(state, -1)["path"])
+    return F.aggregate(F.transform(edges, read), start, step, lambda state: F.element_at(state, -1)["path"])
 
 
 def _fold_ranges(ranges: Column, state: Column, fold, near: str) -> Column:
@@ -279,18 +301,21 @@ def _ranges(words: DataFrame, model: Model) -> DataFrame:
     sorted_edges = F.sort_array(F.collect_list("edge"))
     grouped = edges.groupBy("key", "range").agg(sorted_edges.alias("edges"), F.first("chars").alias("chars"), F.first("first").alias("first"))
     own = F.col("chars").substr(F.col("range") * RANGE - F.col("first") + 1, F.lit(RANGE))
-    return grouped.groupBy("key").agg(F.sort_array(F.collect_list(F.struct(
-        "range", F.col("edges.code").alias("codes"), F.col("edges.score").alias("scores"), own.alias("chars")))).alias("ranges"))
+    return grouped.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("range", "edges", own.alias("chars")))).alias("ranges"))
 
 
 def _encoded(words: DataFrame, model: Model) -> DataFrame:
     """``key`` and ``ids`` for the different words of ``words(key, word)``."""
-    ranges, first, longest = F.col("ranges"), F.get("ranges", F.lit(0)), max(len(p) for p, _, _ in model.useful)
+    ranges, longest = F.col("ranges"), max(len(p) for p, _, _ in model.useful)
     short = F.size(ranges) == 1
+    # In two arrays of numbers the edges of a long word take a third of the room.
+    packed = F.transform(ranges, lambda r: F.struct(
+        r["range"].alias("range"), F.transform(r["edges"], lambda e: e["code"]).alias("codes"),
+        F.transform(r["edges"], lambda e: e["score"]).alias("scores")))
     decided = _ranges(words, model).select(
         "key", F.array_join("ranges.chars", "").alias("word"),
-        F.when(short, _viterbi(first["codes"], first["scores"])).alias("path"),
-        F.when(~short, _viterbi_long(ranges, longest)).alias("backs"))
+        F.when(short, _viterbi(F.get(ranges, F.lit(0))["edges"])).alias("path"),
+        F.when(~short, _viterbi_long(packed, longest)).alias("backs"))
     path = decided.select("key", "word", F.coalesce("path", F.reverse(_walked_long(F.col("backs")))).alias("path"))
     mask = F.lit((1 << _ID_BITS) - 1)
     plain = F.transform("path", lambda step: step.bitwiseAND(mask).cast("int"))
@@ -320,20 +345,12 @@ def encode_words(words: DataFrame, model: Model) -> DataFrame:
 # --- texts ------------------------------------------------------------------------------------------------------
 
 
-class _Numbers(dict):
-    """A number for each word, in the order in which they were first asked for."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
-        return number
-
-
 def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Consecutive rows of about ``BLOCK_CHARS``."""
+    """Consecutive rows of about ``BLOCK_BYTES``."""
     start = size = 0
-    for row, text in enumerate(batch.column(1)):
-        size += len(text.as_py() or "")
-        if size >= BLOCK_CHARS:
+    for row, text in enumerate(utf8(batch.column(1))):
+        size += len(text)
+        if size >= BLOCK_BYTES:
             yield batch.slice(start, row + 1 - start)
             start, size = row + 1, 0
     if start < batch.num_rows:
@@ -349,54 +366,60 @@ def _in_numbers(docs: DataFrame, model: Model) -> DataFrame:
         options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
         for batch in batches:
             for part in _blocks(batch):
-                numbers, found, offsets = _Numbers(), [], [0]
-                for text in part.column(1):
-                    words = cutter.words(text.as_py() or "")
-                    found.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
-                    offsets.append(offsets[-1] + len(words))
+                words, counts = cutter.words(list(utf8(part.column(1))))
+                coded = words.dictionary_encode()
                 # Byte by byte, the high ones being mostly zero, numbers take half the room.
-                flat = np.concatenate(found).view(np.uint8).reshape(-1, 4).T
-                rows = pa.record_batch([part.column(0), part.column(1).is_null(), pa.array(np.diff(offsets), pa.int64())],
+                planes = np.ascontiguousarray(coded.indices.to_numpy().view(np.uint8).reshape(-1, 4).T)
+                rows = pa.record_batch([part.column(0), part.column(1).is_null(), pa.array(counts)],
                                        names=["doc_id", "absent", "size"])
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, rows.schema, options=options) as stream:
                     stream.write_batch(rows)
-                packed = pa.compress(np.ascontiguousarray(flat).tobytes(), codec="zstd", asbytes=True)
+                packed = pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+                different = coded.dictionary.cast(pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block], pa.int64()), pa.array([list(numbers)], pa.list_(pa.string())),
-                     pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([packed], pa.binary()), pa.array([offsets[-1]], pa.int64())],
+                    [pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(different)], pa.int32()), different),
+                     pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([packed], pa.binary()), pa.array([len(words)], pa.int64())],
                     names=["block", "words", "rows", "numbers", "n"])
                 block += 1
 
     return docs.mapInArrow(run, "block long, words array<string>, rows binary, numbers binary, n long")
 
 
+def _slices(data: pa.Array, bounds: np.ndarray) -> Iterator[bytes]:
+    """What stands between two bounds, given in items, of a binary array; one after another."""
+    offsets = np.frombuffer(data.buffers()[1], np.int64)[data.offset:][bounds].tolist()
+    view = memoryview(data.buffers()[2] or b"")
+    for a, b in zip(offsets, offsets[1:], strict=False):
+        yield bytes(view[a:b])
+
+
 def _ids_of(left: pa.Table, right: pa.Table) -> pa.Table:
     """The rows of a block with the text and ids their word numbers stand for; ``right`` has each number's ids."""
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("ids", pa.list_(pa.int32()))])
     order = np.argsort(right.column("number").to_numpy())
-    ids = right.column("ids").combine_chunks().take(pa.array(order)).cast(pa.list_(pa.int32()))
-    flat, sizes = ids.flatten().to_numpy(), np.diff(ids.offsets.to_numpy())
-    starts = np.cumsum(sizes) - sizes
-    out = []
-    for block in left.select(["words", "rows", "numbers", "n"]).to_batches():
-        for k in range(block.num_rows):
-            words = block.column(0)[k].as_py()
-            planes = pa.decompress(block.column(2)[k].as_py(), block.column(3)[k].as_py() * 4, codec="zstd", asbytes=True)
-            numbers = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.int32).ravel()
-            at = 0
-            for rows in pa.ipc.open_stream(block.column(1)[k].as_py()):
-                texts, found = [], []
-                for absent, size in zip(rows.column(1).to_pylist(), rows.column(2).to_pylist(), strict=True):
-                    own = numbers[at:at + size]
-                    at += size
-                    many = sizes[own]
-                    ends = np.cumsum(many)
-                    found.append(None if absent else flat[np.repeat(starts[own] - (ends - many), many)
-                                                          + np.arange(ends[-1] if size else 0)])
-                    texts.append(None if absent else "".join(map(words.__getitem__, own.tolist()))[1:])
-                out.append(pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array(texts, pa.string()), pa.array(found, pa.list_(pa.int32()))], schema=schema))
+    ids = right.column("ids").combine_chunks().cast(pa.list_(pa.int32())).take(pa.array(order))
+    (block,) = left.select(["words", "rows", "numbers", "n"]).to_pylist()
+    planes = pa.decompress(block["numbers"], block["n"] * 4, codec="zstd", asbytes=True)
+    numbers = pa.array(np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.int32).ravel())
+    words = pa.array(block["words"], pa.large_binary())
+    out, at = [], 0
+    for rows in pa.ipc.open_stream(block["rows"]):
+        counts, absent = rows.column(2).to_numpy(), rows.column(1).to_numpy(zero_copy_only=False)
+        # A part of the rows at a time, so that what is taken out of the vocabulary stays small.
+        for first in range(0, rows.num_rows, _ROWS):
+            some = slice(first, first + _ROWS)
+            bounds = np.concatenate([[0], np.cumsum(counts[some])])
+            own = numbers.slice(at, int(bounds[-1]))
+            at += int(bounds[-1])
+            found, spelt = ids.take(own), words.take(own)
+            texts = [None if gone else text[1:] for gone, text in zip(absent[some], _slices(spelt, bounds), strict=True)]
+            flat = found.flatten()
+            sizes = np.diff(found.offsets.to_numpy())
+            ends = np.concatenate([[0], np.cumsum(sizes)])[bounds].astype(np.int32)
+            out.append(pa.RecordBatch.from_arrays(
+                [rows.column(0)[some], pa.array(texts, pa.binary()).cast(pa.string()),
+                 pa.ListArray.from_arrays(pa.array(ends), flat, mask=pa.array(absent[some]))], schema=schema))
     return pa.Table.from_batches(out, schema)
 
 
@@ -409,26 +432,34 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
     rows are each encoded, an empty table gives no rows, null ids are ids like others, and other columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    blocks = settle(_in_numbers(docs, model), "numbered_texts")
-    # Both branches read the same shuffle: the different words, and the blocks to which their ids go.
+    blocks = _bucketed(_in_numbers(docs, model), "block", "numbered_texts")
+    # Both branches read the same shuffle: the different words, and the blocks to which their ids go. A word is its own
+    # key but for very long ones, which travel beside theirs.
+    spelt = F.when(F.length("word") > RANGE, F.col("word"))
     words = (blocks.select("block", F.posexplode("words").alias("number", "word"))
-             .withColumn("key", word_key(F.col("word"))).repartition("key"))
-    different = (words.groupBy("key").agg(F.first("word").alias("word"), F.min("block").alias("block"), F.min("number").alias("number"))
-                 .where("block is not null and number is not null").select("key", "word"))
+             .select("block", "number", word_key(F.col("word")).alias("key"), spelt.alias("spelt")).repartition("key"))
+    different = (words.groupBy("key").agg(F.first("spelt").alias("spelt"), F.min("block").alias("block"), F.min("number").alias("number"))
+                 .where("block is not null and number is not null").select("key", F.coalesce("spelt", "key").alias("word")))
     brought = words.join(_encoded(different, model), "key").select(F.col("block").alias("of_block"), "number", "ids")
     return blocks.groupBy("block").cogroup(brought.groupBy("of_block")).applyInArrow(
         _ids_of, "doc_id long, text string, ids array<int>")
 
 
-def decode_ids(ids: np.ndarray, model: Model) -> str:
-    """The text of some ids: pieces and byte pieces joined, and the space put before taken off."""
-    data, starts, sizes = model.spelt
-    if not len(ids):
-        return ""
-    size = sizes[ids]
-    ends = np.cumsum(size)
-    found = data[np.repeat(starts[ids] - (ends - size), size) + np.arange(ends[-1])]
-    return found.tobytes().decode("utf-8", "replace").removeprefix(" ")
+def _bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
+    """``df`` stored in buckets of ``key`` under the shared folder, so that a join by the key doesn't move it again."""
+    spark, name = df.sparkSession, f"{label}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).option("path", fresh_path(spark, label)).saveAsTable(name, format="parquet")
+    return spark.table(name)
+
+
+def decode_ids(ids: pa.ListArray, model: Model) -> list[str | None]:
+    """The texts of some lists of ids: pieces and byte pieces joined, and the space put before taken off."""
+    # The offsets of a sliced array don't begin at zero.
+    bounds = ids.offsets.to_numpy().astype(np.int64)
+    joined = model.spelt.take(ids.values.slice(int(bounds[0]), int(bounds[-1] - bounds[0])))
+    return [text.decode("utf-8", "replace").removeprefix(" ") if there else None
+            for there, text in zip(ids.is_valid().to_pylist(), _slices(joined, bounds - bounds[0]), strict=True)]
 
 
 def decode(encoded: DataFrame, model: Model) -> DataFrame:
@@ -439,9 +470,10 @@ def decode(encoded: DataFrame, model: Model) -> DataFrame:
     """
     shared = encoded.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("string")
-    def run(ids):
-        return ids.map(lambda k: None if k is None else decode_ids(np.asarray(k), shared.value))
+    @F.arrow_udf("string")
+    def run(ids: pa.Array) -> pa.Array:
+        texts = (decode_ids(ids.slice(k, _ROWS).cast(pa.list_(pa.int32())), shared.value) for k in range(0, len(ids), _ROWS))
+        return pa.array([text for some in texts for text in some], pa.string())
 
     return encoded.withColumn("decoded", run("ids"))
 

@@ -72,7 +72,9 @@ def test_blocks_of_any_size(spark, model, monkeypatch):
     texts = [(k, f"common words and rare{k} ones " * 3) for k in range(40)] + [(None, "null id"), (1, None), (1, None), (2, "")]
     docs = spark.createDataFrame([(*t, "extra", 0) for t in texts], "doc_id long, text string, word string, block int")
     usual = sorted(map(str, pieces.encode(docs, model).collect()))
-    monkeypatch.setattr(pieces, "BLOCK_CHARS", 100)
+    monkeypatch.setattr(pieces, "BLOCK_BYTES", 100)
+    monkeypatch.setattr(pieces, "_CUT_BYTES", 7)
+    monkeypatch.setattr(pieces, "_ROWS", 2)
     assert sorted(map(str, pieces.encode(docs, model).collect())) == usual and len(usual) == len(texts)
     assert pieces.encode(docs.limit(0), model).count() == 0
 
