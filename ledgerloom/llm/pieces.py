@@ -35,7 +35,7 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 
 # Texts are stored and brought together with their ids in blocks of about so many bytes, and cut in parts of them.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 _CUT_BYTES = 1 << 20
 # Rows whose texts and ids are put together at a time.
 _ROWS = 1000
@@ -131,11 +131,13 @@ class Cutter:
                 end += 1
             chars = np.frombuffer(data[at:end].decode("utf-8").encode("utf-32-le"), np.uint32)
             kinds = self.kind[chars]
-            ends = at + np.cumsum(1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000))
-            before = np.concatenate([[last], kinds[:-1]])
-            cuts.append(np.concatenate([[at], ends[:-1]])[self.apart[before * self.kinds + kinds]])
+            widths = 1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000)
+            places = at + np.cumsum(widths) - widths
+            cut = self.apart[np.concatenate([[last], kinds[:-1]]) * self.kinds + kinds]
+            cut[np.searchsorted(places, starts[np.searchsorted(starts, at):np.searchsorted(starts, end)])] = True
+            cuts.append(places[cut])
             at, last = end, int(kinds[-1])
-        offsets = np.union1d(np.concatenate([*cuts, [0]]), starts).astype(np.int64)
+        offsets = np.concatenate([*cuts, [len(data)]])
         words = pa.Array.from_buffers(pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
         counts = np.zeros(len(texts), np.int64)
         counts[[k for k, text in enumerate(texts) if text]] = np.diff(np.searchsorted(offsets, starts))
