@@ -384,6 +384,9 @@ def _in_numbers(docs: DataFrame, model: Model) -> DataFrame:
                      pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([packed], pa.binary()), pa.array([len(words)], pa.int64())],
                     names=["block", "words", "rows", "numbers", "n"])
                 block += 1
+                # Workers stay for later stages; what they no longer use is given back.
+                del words, coded, planes, different
+                pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, "block long, words array<string>, rows binary, numbers binary, n long")
 
@@ -396,9 +399,13 @@ def _slices(data: pa.Array, bounds: np.ndarray) -> Iterator[bytes]:
         yield bytes(view[a:b])
 
 
-def _ids_of(left: pa.Table, right: pa.Table) -> pa.Table:
-    """The rows of a block with the text and ids their word numbers stand for; ``right`` has each number's ids."""
-    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("ids", pa.list_(pa.int32()))])
+def _ids_of(left: pa.Table, right: pa.Table, model: Model | None) -> pa.Table:
+    """The rows of a block with the text and ids their word numbers stand for; ``right`` has each number's ids.
+
+    With a model the ids are decoded again beside them.
+    """
+    fields = [("doc_id", pa.int64()), ("text", pa.string()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())]
+    schema = pa.schema(fields if model else fields[:3])
     order = np.argsort(right.column("number").to_numpy())
     ids = right.column("ids").combine_chunks().cast(pa.list_(pa.int32())).take(pa.array(order))
     (block,) = left.select(["words", "rows", "numbers", "n"]).to_pylist()
@@ -419,14 +426,15 @@ def _ids_of(left: pa.Table, right: pa.Table) -> pa.Table:
             flat = found.flatten()
             sizes = np.diff(found.offsets.to_numpy())
             ends = np.concatenate([[0], np.cumsum(sizes)])[bounds].astype(np.int32)
+            coded = pa.ListArray.from_arrays(pa.array(ends), flat, mask=pa.array(absent[some]))
             out.append(pa.RecordBatch.from_arrays(
-                [rows.column(0)[some], pa.array(texts, pa.binary()).cast(pa.string()),
-                 pa.ListArray.from_arrays(pa.array(ends), flat, mask=pa.array(absent[some]))], schema=schema))
+                [rows.column(0)[some], pa.array(texts, pa.binary()).cast(pa.string()), coded,
+                 *([pa.array(decode_ids(coded, model), pa.string())] if model else [])], schema=schema))
     return pa.Table.from_batches(out, schema)
 
 
-def encode(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id``, ``text`` and ``ids`` of every row.
+def encode(docs: DataFrame, model: Model, decoded: bool = False) -> DataFrame:
+    """``doc_id``, ``text`` and ``ids`` of every row, and, if wanted, the text ``decoded`` from them in the same tasks.
 
     The ids are the best-scoring segmentation of the whole text, with a space put before it as the model does; of equal
     scores the longest last piece wins. A null text has null ids, an empty one none. A very long text is one row of its
@@ -443,8 +451,13 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
     different = (words.groupBy("key").agg(F.first("spelt").alias("spelt"), F.min("block").alias("block"), F.min("number").alias("number"))
                  .where("block is not null and number is not null").select("key", F.coalesce("spelt", "key").alias("word")))
     brought = words.join(_encoded(different, model), "key").select(F.col("block").alias("of_block"), "number", "ids")
+    shared = docs.sparkSession.sparkContext.broadcast(model) if decoded else None
+
+    def joined(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _ids_of(left, right, shared.value if shared else None)
+
     return blocks.groupBy("block").cogroup(brought.groupBy("of_block")).applyInArrow(
-        _ids_of, "doc_id long, text string, ids array<int>")
+        joined, "doc_id long, text string, ids array<int>" + ", decoded string" * decoded)
 
 
 def _bucketed(df: DataFrame, key: str, label: str) -> DataFrame:

@@ -54,7 +54,9 @@ TEXTS = ["Hello world, this is a test.", "  two  spaces\n\ttab ", "übergröße
 def test_best_scores_and_round_trip(spark, model):
     rng = random.Random(4)
     texts = TEXTS + ["".join(rng.choices("abet nios.,é\n", k=rng.randint(1, 200))) for _ in range(60)]
-    coded = pieces.decode(pieces.encode(spark.createDataFrame(list(enumerate(texts)), SCHEMA), model), model).collect()
+    encoded = pieces.encode(spark.createDataFrame([*enumerate(texts), (-1, None)], SCHEMA), model, decoded=True)
+    assert encoded.where("not decoded <=> text").count() == 0 and encoded.where("ids is null").count() == 1
+    coded = pieces.decode(encoded.where("text is not null").drop("decoded"), model).collect()
     assert {r.doc_id: r.decoded for r in coded} == dict(enumerate(texts))
     for row in coded:
         assert not row.text or score(row.ids, model) == brute(row.text, model)
