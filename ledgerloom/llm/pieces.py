@@ -35,7 +35,7 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 
 # Texts are stored and brought together with their ids in blocks of about so many bytes, and cut in parts of them.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 24 << 20
 _CUT_BYTES = 1 << 20
 # Rows whose texts and ids are put together at a time.
 _ROWS = 1000
@@ -408,10 +408,10 @@ def _ids_of(left: pa.Table, right: pa.Table, model: Model | None) -> pa.Table:
     schema = pa.schema(fields if model else fields[:3])
     order = np.argsort(right.column("number").to_numpy())
     ids = right.column("ids").combine_chunks().cast(pa.list_(pa.int32())).take(pa.array(order))
-    (block,) = left.select(["words", "rows", "numbers", "n"]).to_pylist()
+    (block,) = left.select(["rows", "numbers", "n"]).to_pylist()
     planes = pa.decompress(block["numbers"], block["n"] * 4, codec="zstd", asbytes=True)
     numbers = pa.array(np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.int32).ravel())
-    words = pa.array(block["words"], pa.large_binary())
+    words = left.column("words").combine_chunks().flatten().cast(pa.large_binary())
     out, at = [], 0
     for rows in pa.ipc.open_stream(block["rows"]):
         counts, absent = rows.column(2).to_numpy(), rows.column(1).to_numpy(zero_copy_only=False)
@@ -443,14 +443,15 @@ def encode(docs: DataFrame, model: Model, decoded: bool = False) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     blocks = _bucketed(_in_numbers(docs, model), "block", "numbered_texts")
-    # Both branches read the same shuffle: the different words, and the blocks to which their ids go. A word is its own
-    # key but for very long ones, which travel beside theirs.
+    # Both branches read the same columns and so the same shuffle: the different words, and the blocks to which their
+    # ids go. A word is its own key but for very long ones, which travel beside theirs.
     spelt = F.when(F.length("word") > RANGE, F.col("word"))
     words = (blocks.select("block", F.posexplode("words").alias("number", "word"))
              .select("block", "number", word_key(F.col("word")).alias("key"), spelt.alias("spelt")).repartition("key"))
     different = (words.groupBy("key").agg(F.first("spelt").alias("spelt"), F.min("block").alias("block"), F.min("number").alias("number"))
                  .where("block is not null and number is not null").select("key", F.coalesce("spelt", "key").alias("word")))
-    brought = words.join(_encoded(different, model), "key").select(F.col("block").alias("of_block"), "number", "ids")
+    # Spelt is null but for those few.
+    brought = words.join(_encoded(different, model), "key").select(F.col("block").alias("of_block"), "number", "ids", "spelt")
     shared = docs.sparkSession.sparkContext.broadcast(model) if decoded else None
 
     def joined(left: pa.Table, right: pa.Table) -> pa.Table:
