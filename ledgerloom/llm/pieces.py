@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import functools
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,10 +35,10 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 
 # Texts are stored and brought together with their ids in blocks of about so many bytes, and cut in parts of them.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 32 << 20
 _CUT_BYTES = 1 << 20
 # Rows whose texts and ids are put together at a time.
-_ROWS = 1000
+_ROWS = 500
 # Places of a word that are exploded and folded together.
 RANGE = 512
 # An edge is one whole number: where it ends in its range, how long it is and the piece's id.
@@ -117,13 +117,17 @@ class Cutter:
         self.kind[ord(" ")] = self.kind[ord(SPACE)]
         self.apart = ~joined.ravel()
 
-    def words(self, texts: list[bytes]) -> tuple[pa.StringArray, np.ndarray]:
+    def words(self, texts: Iterable[bytes]) -> tuple[pa.Array, np.ndarray]:
         """The words of all texts in a row, each text with a space before it, and how many each text has.
 
         Spaces are as in the text; an empty text has no words.
         """
-        data = b"".join([b" " + text for text in texts if text])
-        starts = np.cumsum([0] + [len(text) + 1 for text in texts if text])
+        texts = list(texts)
+        sizes = np.array([len(text) for text in texts], np.int64)
+        data = b" " * bool(sizes.any()) + b" ".join([text for text in texts if text])
+        del texts
+        starts = np.cumsum(np.concatenate([[0], sizes[sizes > 0] + 1]))
+        kind = np.int32 if len(data) < 1 << 31 else np.int64
         cuts, at, last = [], 0, 0
         while at < len(data):
             end = min(at + _CUT_BYTES, len(data))
@@ -135,12 +139,15 @@ class Cutter:
             places = at + np.cumsum(widths) - widths
             cut = self.apart[np.concatenate([[last], kinds[:-1]]) * self.kinds + kinds]
             cut[np.searchsorted(places, starts[np.searchsorted(starts, at):np.searchsorted(starts, end)])] = True
-            cuts.append(places[cut])
+            # A batch of texts is well under 2 GB, so places fit in 32 bits unless one text fills that alone.
+            cuts.append(places[cut].astype(kind))
             at, last = end, int(kinds[-1])
-        offsets = np.concatenate([*cuts, [len(data)]])
-        words = pa.Array.from_buffers(pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-        counts = np.zeros(len(texts), np.int64)
-        counts[[k for k, text in enumerate(texts) if text]] = np.diff(np.searchsorted(offsets, starts))
+        offsets = np.concatenate([*cuts, np.array([len(data)], kind)])
+        del cuts
+        words = pa.Array.from_buffers(pa.string() if kind is np.int32 else pa.large_string(), len(offsets) - 1,
+                                      [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        counts = np.zeros(len(sizes), np.int64)
+        counts[sizes > 0] = np.diff(np.searchsorted(offsets, starts.astype(kind)))
         return words, counts
 
 
@@ -368,8 +375,9 @@ def _in_numbers(docs: DataFrame, model: Model) -> DataFrame:
         options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
         for batch in batches:
             for part in _blocks(batch):
-                words, counts = cutter.words(list(utf8(part.column(1))))
+                words, counts = cutter.words(utf8(part.column(1)))
                 coded = words.dictionary_encode()
+                del words
                 # Byte by byte, the high ones being mostly zero, numbers take half the room.
                 planes = np.ascontiguousarray(coded.indices.to_numpy().view(np.uint8).reshape(-1, 4).T)
                 rows = pa.record_batch([part.column(0), part.column(1).is_null(), pa.array(counts)],
@@ -377,15 +385,15 @@ def _in_numbers(docs: DataFrame, model: Model) -> DataFrame:
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, rows.schema, options=options) as stream:
                     stream.write_batch(rows)
-                packed = pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+                packed = pa.compress(pa.py_buffer(planes), codec="zstd", asbytes=True)
                 different = coded.dictionary.cast(pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(different)], pa.int32()), different),
-                     pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([packed], pa.binary()), pa.array([len(words)], pa.int64())],
+                     pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([packed], pa.binary()), pa.array([len(coded)], pa.int64())],
                     names=["block", "words", "rows", "numbers", "n"])
                 block += 1
                 # Workers stay for later stages; what they no longer use is given back.
-                del words, coded, planes, different
+                del coded, planes, different, packed, sink
                 pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, "block long, words array<string>, rows binary, numbers binary, n long")
@@ -411,6 +419,7 @@ def _ids_of(left: pa.Table, right: pa.Table, model: Model | None) -> pa.Table:
     (block,) = left.select(["rows", "numbers", "n"]).to_pylist()
     planes = pa.decompress(block["numbers"], block["n"] * 4, codec="zstd", asbytes=True)
     numbers = pa.array(np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.int32).ravel())
+    del planes
     words = left.column("words").combine_chunks().flatten().cast(pa.large_binary())
     out, at = [], 0
     for rows in pa.ipc.open_stream(block["rows"]):
@@ -430,6 +439,7 @@ def _ids_of(left: pa.Table, right: pa.Table, model: Model | None) -> pa.Table:
             out.append(pa.RecordBatch.from_arrays(
                 [rows.column(0)[some], pa.array(texts, pa.binary()).cast(pa.string()), coded,
                  *([pa.array(decode_ids(coded, model), pa.string())] if model else [])], schema=schema))
+    pa.default_memory_pool().release_unused()
     return pa.Table.from_batches(out, schema)
 
 
