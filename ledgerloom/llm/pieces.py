@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,8 @@ UNKNOWN_PENALTY = 10.0
 # Texts are stored and brought together with their ids in blocks of about so many bytes, and cut in parts of them.
 BLOCK_BYTES = 32 << 20
 _CUT_BYTES = 1 << 20
+# Ids travel less this number, in 16 bits each where there are few enough of them.
+_SHIFT = 1 << 15
 # Rows whose texts and ids are put together at a time.
 _ROWS = 500
 # Places of a word that are exploded and folded together.
@@ -378,15 +381,19 @@ def _in_numbers(docs: DataFrame, model: Model) -> DataFrame:
                 words, counts = cutter.words(utf8(part.column(1)))
                 coded = words.dictionary_encode()
                 del words
-                # Byte by byte, the high ones being mostly zero, numbers take half the room.
-                planes = np.ascontiguousarray(coded.indices.to_numpy().view(np.uint8).reshape(-1, 4).T)
+                # The most frequent word is number 0. Byte by byte, the high ones being mostly zero, numbers take
+                # little room.
+                order = np.argsort(-np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary)), kind="stable")
+                place = np.empty(len(order), np.int32)
+                place[order] = np.arange(len(order), dtype=np.int32)
+                planes = np.ascontiguousarray(place[coded.indices.to_numpy()].view(np.uint8).reshape(-1, 4).T)
                 rows = pa.record_batch([part.column(0), part.column(1).is_null(), pa.array(counts)],
                                        names=["doc_id", "absent", "size"])
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, rows.schema, options=options) as stream:
                     stream.write_batch(rows)
-                packed = pa.compress(pa.py_buffer(planes), codec="zstd", asbytes=True)
-                different = coded.dictionary.cast(pa.string())
+                packed = pa.Codec("zstd", 9).compress(pa.py_buffer(planes), asbytes=True)
+                different = coded.dictionary.take(pa.array(order)).cast(pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(different)], pa.int32()), different),
                      pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([packed], pa.binary()), pa.array([len(coded)], pa.int64())],
@@ -410,12 +417,13 @@ def _slices(data: pa.Array, bounds: np.ndarray) -> Iterator[bytes]:
 def _ids_of(left: pa.Table, right: pa.Table, model: Model | None) -> pa.Table:
     """The rows of a block with the text and ids their word numbers stand for; ``right`` has each number's ids.
 
-    With a model the ids are decoded again beside them.
+    With a model the ids are decoded again, and whether that gives the text takes the place of the text.
     """
-    fields = [("doc_id", pa.int64()), ("text", pa.string()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())]
-    schema = pa.schema(fields if model else fields[:3])
-    order = np.argsort(right.column("number").to_numpy())
-    ids = right.column("ids").combine_chunks().cast(pa.list_(pa.int32())).take(pa.array(order))
+    schema = pa.schema([("doc_id", pa.int64()), ("round_trip", pa.bool_()) if model else ("text", pa.string()),
+                        ("ids", pa.list_(pa.int32()))])
+    order = pa.array(np.argsort(right.column("number").to_numpy()))
+    ids = right.column("ids").combine_chunks().take(order)
+    ids = pa.ListArray.from_arrays(ids.offsets, pc.add(ids.values.cast(pa.int32()), pa.scalar(_SHIFT, pa.int32())))
     (block,) = left.select(["rows", "numbers", "n"]).to_pylist()
     planes = pa.decompress(block["numbers"], block["n"] * 4, codec="zstd", asbytes=True)
     numbers = pa.array(np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.int32).ravel())
@@ -431,20 +439,24 @@ def _ids_of(left: pa.Table, right: pa.Table, model: Model | None) -> pa.Table:
             own = numbers.slice(at, int(bounds[-1]))
             at += int(bounds[-1])
             found, spelt = ids.take(own), words.take(own)
-            texts = [None if gone else text[1:] for gone, text in zip(absent[some], _slices(spelt, bounds), strict=True)]
+            texts = pa.array([None if gone else text[1:] for gone, text in zip(absent[some], _slices(spelt, bounds), strict=True)],
+                             pa.binary()).cast(pa.string())
             flat = found.flatten()
             sizes = np.diff(found.offsets.to_numpy())
             ends = np.concatenate([[0], np.cumsum(sizes)])[bounds].astype(np.int32)
             coded = pa.ListArray.from_arrays(pa.array(ends), flat, mask=pa.array(absent[some]))
-            out.append(pa.RecordBatch.from_arrays(
-                [rows.column(0)[some], pa.array(texts, pa.binary()).cast(pa.string()), coded,
-                 *([pa.array(decode_ids(coded, model), pa.string())] if model else [])], schema=schema))
+            if model:
+                texts = pa.array([a == b for a, b in zip(decode_ids(coded, model), texts.to_pylist(), strict=True)])
+            out.append(pa.RecordBatch.from_arrays([rows.column(0)[some], texts, coded], schema=schema))
     pa.default_memory_pool().release_unused()
     return pa.Table.from_batches(out, schema)
 
 
-def encode(docs: DataFrame, model: Model, decoded: bool = False) -> DataFrame:
-    """``doc_id``, ``text`` and ``ids`` of every row, and, if wanted, the text ``decoded`` from them in the same tasks.
+def encode(docs: DataFrame, model: Model, checked: bool = False) -> DataFrame:
+    """``doc_id``, ``text`` and ``ids`` of every row.
+
+    ``checked`` has the ids decoded in the tasks that encode; ``round_trip`` then takes the place of ``text`` and says
+    whether they give it back, null being equal to null.
 
     The ids are the best-scoring segmentation of the whole text, with a space put before it as the model does; of equal
     scores the longest last piece wins. A null text has null ids, an empty one none. A very long text is one row of its
@@ -461,14 +473,17 @@ def encode(docs: DataFrame, model: Model, decoded: bool = False) -> DataFrame:
     different = (words.groupBy("key").agg(F.first("spelt").alias("spelt"), F.min("block").alias("block"), F.min("number").alias("number"))
                  .where("block is not null and number is not null").select("key", F.coalesce("spelt", "key").alias("word")))
     # Spelt is null but for those few.
-    brought = words.join(_encoded(different, model), "key").select(F.col("block").alias("of_block"), "number", "ids", "spelt")
-    shared = docs.sparkSession.sparkContext.broadcast(model) if decoded else None
+    narrow = F.transform("ids", lambda k: (k - _SHIFT).cast("smallint")) if len(model.pieces) <= 2 * _SHIFT else F.transform(
+        "ids", lambda k: k - _SHIFT)
+    brought = words.join(_encoded(different, model), "key").select(
+        F.col("block").alias("of_block"), "number", narrow.alias("ids"), "spelt")
+    shared = docs.sparkSession.sparkContext.broadcast(model) if checked else None
 
     def joined(left: pa.Table, right: pa.Table) -> pa.Table:
         return _ids_of(left, right, shared.value if shared else None)
 
     return blocks.groupBy("block").cogroup(brought.groupBy("of_block")).applyInArrow(
-        joined, "doc_id long, text string, ids array<int>" + ", decoded string" * decoded)
+        joined, f"doc_id long, {'round_trip boolean' if checked else 'text string'}, ids array<int>")
 
 
 def _bucketed(df: DataFrame, key: str, label: str) -> DataFrame:

@@ -45,9 +45,8 @@ def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     model = pieces.model_of(spark)
-    coded = pieces.encode(table(spark, folder, "documents"), model, decoded=True)
-    return coded.select("doc_id", F.size("ids").alias("n_pieces"), "ids",
-                        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+    coded = pieces.encode(table(spark, folder, "documents"), model, checked=True)
+    return coded.select("doc_id", F.size("ids").alias("n_pieces"), "ids", "round_trip")
 
 
 def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:

@@ -54,9 +54,11 @@ TEXTS = ["Hello world, this is a test.", "  two  spaces\n\ttab ", "übergröße
 def test_best_scores_and_round_trip(spark, model):
     rng = random.Random(4)
     texts = TEXTS + ["".join(rng.choices("abet nios.,é\n", k=rng.randint(1, 200))) for _ in range(60)]
-    encoded = pieces.encode(spark.createDataFrame([*enumerate(texts), (-1, None)], SCHEMA), model, decoded=True)
-    assert encoded.where("not decoded <=> text").count() == 0 and encoded.where("ids is null").count() == 1
-    coded = pieces.decode(encoded.where("text is not null").drop("decoded"), model).collect()
+    docs = spark.createDataFrame([*enumerate(texts), (-1, None)], SCHEMA)
+    checked = pieces.encode(docs, model, checked=True).collect()
+    assert all(r.round_trip for r in checked) and {r.doc_id for r in checked if r.ids is None} == {-1}
+    coded = pieces.decode(pieces.encode(docs, model).where("text is not null"), model).collect()
+    assert {r.doc_id: r.ids for r in checked if r.ids is not None} == {r.doc_id: r.ids for r in coded}
     assert {r.doc_id: r.decoded for r in coded} == dict(enumerate(texts))
     for row in coded:
         assert not row.text or score(row.ids, model) == brute(row.text, model)
@@ -70,6 +72,12 @@ def test_words_as_the_library_has_them(spark, model, unigram):
     assert {r.word[1:]: r.ids for r in pieces.encode_words(df, model).collect()} == {w: unigram.encode(w) for w in words}
 
 
+def test_a_text_that_does_not_come_back_is_told(spark, model):
+    """The model spells U+2581 and the space alike."""
+    docs = spark.createDataFrame([(1, "a b"), (2, f"a{pieces.SPACE}b")], SCHEMA)
+    assert {r.doc_id: r.round_trip for r in pieces.encode(docs, model, checked=True).collect()} == {1: True, 2: False}
+
+
 def test_blocks_of_any_size(spark, model, monkeypatch):
     texts = [(k, f"common words and rare{k} ones " * 3) for k in range(40)] + [(None, "null id"), (1, None), (1, None), (2, "")]
     docs = spark.createDataFrame([(*t, "extra", 0) for t in texts], "doc_id long, text string, word string, block int")
