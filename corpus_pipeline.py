@@ -47,9 +47,8 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """``doc_id``, ``n_pieces`` and ``ids`` of every document, and whether the ids give the text back."""
     on_workers(spark)
     model = pieces.model_of(spark)
-    coded = pieces.decode(pieces.encode(docs, model), model)
-    return coded.select("doc_id", F.size("ids").alias("n_pieces"), "ids",
-                        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+    coded = pieces.encode(docs, model, checked=True)
+    return coded.select("doc_id", F.size("ids").alias("n_pieces"), "ids", "round_trip")
 
 
 STAGES: list[tuple[str, Stage]] = [
