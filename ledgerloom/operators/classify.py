@@ -33,17 +33,18 @@ def is_true(condition: Column) -> Column:
 def scope_to_period(matched: DataFrame, period: date | None = None) -> DataFrame:
     """Count each side's money only in its own period.
 
-    With a period, every row is kept and flagged. Without one, a row appears once per distinct
-    period of its two sides, which reports all periods in one pass.
+    With a period, every row is kept and flagged. Without one, a row appears once per distinct period of the sides
+    it has, which reports all periods in one pass; a side without a date is in the undated period, which is null.
     """
     if period is not None:
         rows = matched.withColumn("reporting_month", F.lit(period).cast("date"))
     else:
-        theirs_too = F.when(~F.col("psp_period").eqNullSafe(F.col("engine_period")), F.col("psp_period"))
-        own = F.explode(F.array("engine_period", theirs_too))
-        rows = matched.withColumn("reporting_month", own).filter("reporting_month is not null")
-    ours = is_true(F.col("engine_period") == F.col("reporting_month"))
-    theirs = is_true(F.col("psp_period") == F.col("reporting_month"))
+        only_ours, only_theirs = F.array("engine_period"), F.array("psp_period")
+        own = (F.when(~F.col("in_psp"), only_ours).when(~F.col("in_engine"), only_theirs)
+               .otherwise(F.array_distinct(F.array("engine_period", "psp_period"))))
+        rows = matched.withColumn("reporting_month", F.explode(own))
+    ours = F.col("in_engine") & F.col("engine_period").eqNullSafe(F.col("reporting_month"))
+    theirs = F.col("in_psp") & F.col("psp_period").eqNullSafe(F.col("reporting_month"))
 
     def counted(flag: str, amount: str) -> Column:
         return F.when(F.col(flag), money.or_zero(F.col(amount))).otherwise(money.zero())

@@ -34,24 +34,32 @@ def paired_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ord
                 right_order: Sequence[str], hot: bool = False) -> DataFrame:
     """Full outer join that pairs the k-th rows of a repeated key; rows of null key stay alone.
 
-    The number of a row within its key is made on the partitioning and order that the join itself needs, and is
-    compared by two inequalities: as an equality it would become a join key and cost both sides another shuffle.
-    ``hot`` is for few keys with very many rows each: their numbers come from range partitions and are join keys.
+    Both sides are stacked and shuffled once, by key. There each row gets its number within its key and side, and the
+    two rows of a number stand next to each other: no join, so a key with n and m rows costs their sum and not their
+    product. ``hot`` is for few keys with very many rows each: their numbers come from range partitions and are join
+    keys.
     """
     if hot:
         ours = numbered(left, keys, left_order, "__nth", "hot_left")
         theirs = numbered(right, keys, right_order, "__nth", "hot_right")
         return ours.join(theirs, [*keys, "__nth"], "full_outer").drop("__nth")
 
-    def nth(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-        window = Window.partitionBy(_SPREAD, *keys).orderBy(*order)
-        return _spread(df, keys).withColumn(name, F.row_number().over(window))
-
-    ours = nth(left, left_order, "__nth")
-    theirs = nth(right, right_order, "__nth_r").withColumnsRenamed({k: f"__r_{k}" for k in [_SPREAD, *keys]})
-    condition = (F.col("__nth") <= F.col("__nth_r")) & (F.col("__nth") >= F.col("__nth_r"))
-    for key in (_SPREAD, *keys):
-        condition = condition & (ours[key] == theirs[f"__r_{key}"])
-    joined = ours.join(theirs, condition, "full_outer")
-    return joined.withColumns({k: F.coalesce(k, f"__r_{k}") for k in keys}).drop(
-        _SPREAD, "__nth", "__nth_r", *[f"__r_{k}" for k in (_SPREAD, *keys)])
+    def side(df: DataFrame, number: int, name: str, order: Sequence[str]) -> DataFrame:
+        keyless = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+        rest = [F.col(f"`{c}`") for c in df.columns if c not in keys]
+        return _spread(df, keys).select(
+            _SPREAD, *keys, F.lit(number).alias("__side"), F.when(keyless, number).alias("__lone"),
+            *[F.col(f"`{c}`").alias(f"__{name}_order_{k}") for k, c in enumerate(order)], F.struct(*rest).alias(f"__{name}"))
+
+    both = side(left, 0, "left", left_order).unionByName(side(right, 1, "right", right_order), allowMissingColumns=True)
+    order = [f"__{name}_order_{k}" for name, given in (("left", left_order), ("right", right_order)) for k in range(len(given))]
+    # All windows cluster by the spread key, so the shuffle by it alone serves them.
+    group = [_SPREAD, *keys, "__lone"]
+    numbered_rows = both.repartition(_SPREAD).withColumn(
+        "__nth", F.row_number().over(Window.partitionBy(*group, "__side").orderBy(*order))).drop(*order)
+    pair = Window.partitionBy(*group, "__nth").orderBy("__side")
+    met = numbered_rows.withColumns({"__partner": F.lead("__right").over(pair), "__taken": F.lag("__side").over(pair).isNotNull()})
+    theirs = F.coalesce("__right", "__partner")
+    return (met.filter(~F.col("__taken")).select(
+        *keys, *[F.col(f"__left.`{c}`").alias(c) for c in left.columns if c not in keys],
+        *[theirs[c].alias(c) for c in right.columns if c not in keys]))

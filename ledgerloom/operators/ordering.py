@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from ledgerloom.sources.workspace import settle
 
 
+# Keys looked up by broadcast, with a number each; beyond that there are too many for one of them to be so large.
+MOST_BROADCAST_KEYS = 100_000
+
+
 def ranked(df: DataFrame, order: Sequence[str | Column], name: str, label: str) -> DataFrame:
     """``df`` stored with the gapless place (from 0) of each row in the given order.
 
@@ -32,5 +36,7 @@ def ranked(df: DataFrame, order: Sequence[str | Column], name: str, label: str)
 def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, label: str) -> DataFrame:
     """``df`` with the place (from 1) of each row among the rows of its key; for keys with very many rows."""
     placed = ranked(df, [*keys, *order], "__place", label)
-    first = placed.groupBy(*keys).agg(F.min("__place").alias("__first"))
+    first = settle(placed.groupBy(*keys).agg(F.min("__place").alias("__first")), f"{label}_first")
+    if first.count() <= MOST_BROADCAST_KEYS:
+        first = F.broadcast(first)  # else the very key that is split would be one task of the join
     return placed.join(first, list(keys)).withColumn(name, F.col("__place") - F.col("__first") + 1).drop("__place", "__first")

@@ -395,7 +395,9 @@ def waterfall_ties_to_source(waterfall: DataFrame, classified: DataFrame) -> Dat
     control = classified.filter("in_period").groupBy(*keys).agg(
         F.sum("engine_amount_usd_booked_period").alias("control_booked_usd"),
         gross.alias("control_gross_usd"), (gross - fees).alias("control_net_usd"))
-    tied = shown.join(control, keys)
+    # The undated period is null and equal to itself.
+    tied = shown.join(control, shown["reporting_month"].eqNullSafe(control["reporting_month"]) & (shown["psp"] == control["psp"]))
+    tied = tied.drop(control["reporting_month"], control["psp"])
     return tied.filter(_off(F.col("booked_usd") - F.col("control_booked_usd"))
                        | _off(F.col("gross_usd") - F.col("control_gross_usd"))
                        | _off(F.col("net_usd") - F.col("control_net_usd")))

@@ -274,10 +274,11 @@ SELECT coalesce(e.psp, p.psp) AS psp, coalesce(e.match_key, p.match_key) AS matc
 FROM signed e FULL JOIN providers p ON p.psp = e.psp AND p.match_key = e.match_key AND p.operation_type = e.operation_type""",
     "scoped": """
 WITH periods AS (
-  SELECT *, unnest(list_distinct(list_filter([engine_period, psp_period], lambda x : x IS NOT NULL))) AS reporting_month FROM matched),
+  SELECT *, engine_period AS reporting_month FROM matched WHERE in_engine
+  UNION ALL SELECT *, psp_period FROM matched WHERE in_psp AND NOT (in_engine AND psp_period IS NOT DISTINCT FROM engine_period)),
 flagged AS (
-  SELECT *, coalesce(engine_period = reporting_month, false) AS engine_in_period,
-    coalesce(psp_period = reporting_month, false) AS psp_in_period FROM periods)
+  SELECT *, in_engine AND engine_period IS NOT DISTINCT FROM reporting_month AS engine_in_period,
+    in_psp AND psp_period IS NOT DISTINCT FROM reporting_month AS psp_in_period FROM periods)
 SELECT *, engine_in_period OR psp_in_period AS in_period,
   if(engine_in_period, coalesce(engine_amount_usd_settled, 0), 0) AS engine_amount_usd_period,
   if(engine_in_period, coalesce(engine_amount_usd_booked, 0), 0) AS engine_amount_usd_booked_period,
@@ -335,7 +336,7 @@ FROM lines GROUP BY ALL""",
     "residual": """
 SELECT DISTINCT reporting_month, psp, recon_scope, 'unexplained' AS recon_status, 'unexplained' AS recon_cause,
   0 AS n_rows, CAST(0 AS DECIMAL(38,2)) AS abs_usd, CAST(0 AS DECIMAL(38,2)) AS signed_usd FROM rollup r
-WHERE NOT EXISTS (SELECT 1 FROM rollup u WHERE u.reporting_month = r.reporting_month AND u.psp = r.psp
+WHERE NOT EXISTS (SELECT 1 FROM rollup u WHERE u.reporting_month IS NOT DISTINCT FROM r.reporting_month AND u.psp = r.psp
                   AND u.recon_scope = r.recon_scope AND u.recon_status = 'unexplained')""",
     "summary": f"""
 WITH every AS (SELECT * FROM rollup UNION ALL SELECT * FROM residual),
@@ -343,7 +344,8 @@ based AS (
   SELECT e.*, b.base_label, b.base_usd,
     sum(e.abs_usd) OVER (PARTITION BY e.reporting_month, e.psp, e.recon_scope) AS scope_abs,
     sum(e.abs_usd) OVER (PARTITION BY e.reporting_month) AS whole_abs
-  FROM every e LEFT JOIN bases b USING (reporting_month, psp, recon_scope))
+  FROM every e LEFT JOIN bases b ON b.reporting_month IS NOT DISTINCT FROM e.reporting_month AND b.psp = e.psp
+    AND b.recon_scope = e.recon_scope)
 SELECT * EXCLUDE (scope_abs, whole_abs), {share('abs_usd', 'base_usd', 4)} AS pct_of_base,
   {share('abs_usd', 'scope_abs', 2)} AS pct_of_scope_discrepancy,
   {share('abs_usd', 'whole_abs', 2)} AS pct_of_total_discrepancy FROM based""",

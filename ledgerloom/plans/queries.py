@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.config import PROVIDERS
 from ledgerloom.functions import money, text, time
-from ledgerloom.operators import matching, pricing, profiling, refdata, report, staging
+from ledgerloom.operators import classify, matching, pricing, profiling, refdata, report, staging
 from ledgerloom.operators.asof import asof_daily
 from ledgerloom.plans import oracle, roundtrip
 from ledgerloom.plans.derived import EXPORT_DAYS, Derived
@@ -110,6 +110,7 @@ register("alternate_delimiter", roundtrip.paypal_eu_file, "psp_reference day gro
 register("preamble_skip", roundtrip.google_file, "day clock entry sku amount",
          'SELECT "Transaction Date" AS day, "Transaction Time" AS clock, "Transaction Type" AS entry, '
          '"Product ID" AS sku, "Amount (Buyer Currency)" AS amount FROM google_play_raw')
+register("quoted_records", roundtrip.quoted_file, "order_id note status", roundtrip.QUOTED_CHECK)
 register("multi_file_ledger", roundtrip.google_parts, _CONFORMED, "SELECT * FROM google_play")
 register("multi_account_tag", roundtrip.paypal_accounts, f"{_CONFORMED} related_psp_reference date_format_overridden:b",
          "SELECT * FROM paypal")
@@ -272,6 +273,24 @@ register("waterfall_further_provider",
          + ", ".join(f"coalesce(sum(usd) FILTER (psp = '{p}'), 0) AS {p}" for p in _SIX)
          + f", sum(usd) AS total FROM {_FURTHER} GROUP BY ALL")
 
+# --- money without a date: its own period, so that no row is lost from a run over all periods ------------
+
+_DATELESS = {"engine_period": "%7", "psp_period": "%3"}
+
+
+def _undated(x: Derived) -> DataFrame:
+    return x.matched.withColumns({
+        name: F.when(~(F.col("match_key").like(ending) | F.col("match_key").like("%5")), F.col(name))
+        for name, ending in _DATELESS.items()})
+
+
+register("undated_period", lambda x: report.recon_summary(classify.classify(classify.scope_to_period(_undated(x)))),
+         f"{LINE_ROW} n_rows:i abs_usd:m signed_usd:m base_label base_usd:m pct_of_base:m "
+         "pct_of_scope_discrepancy:m pct_of_total_discrepancy:m", "SELECT * FROM summary",
+         matched="SELECT * REPLACE (" + ", ".join(
+             f"CASE WHEN NOT (match_key LIKE '{ending}' OR match_key LIKE '%5') THEN {name} END AS {name}"
+             for name, ending in _DATELESS.items()) + f") FROM ({oracle.CTES['matched']})")
+
 # --- the whole run over written files, for one month ------------------------------------------------
 
 _MONTH_ONLY = {

@@ -30,6 +30,31 @@ def _write_csv(df: DataFrame, label: str, **options) -> str:
     return path
 
 
+def _with_header(header: str):
+    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({"value": [header]})
+        yield from batches
+
+    return lines
+
+
+def quoted_file(x: Derived) -> DataFrame:
+    """Notes with line breaks, empty lines and doubled quotes inside their quotes, beside quotes that mean themselves."""
+    key = F.col("o_orderkey").cast("string")
+    long = F.concat(F.lit("\"order "), key, F.lit("\n\nsaid \"\""), F.col("o_orderpriority"), F.lit("\"\", twice\n\""))
+    note = F.when(F.col("o_orderkey") % 3 == 0, long).when(F.col("o_orderkey") % 3 == 1, F.lit('12" disk')).otherwise(F.lit(""))
+    lines = x.table("orders").select(F.concat_ws(",", key, note, F.col("o_orderstatus")).alias("value"))
+    path = fresh_path(x.spark, "quoted")
+    lines.mapInPandas(_with_header("order_id,note,status"), "value string").write.text(path)
+    return registry.read_source(x.spark, registry.SourceSpec("notes", path, line_breaks=True)).select(
+        F.col("order_id"), F.replace(F.col("note"), F.lit("\n"), F.lit("|")).alias("note"), F.col("status"))
+
+
+QUOTED_CHECK = (
+    "SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CASE o_orderkey % 3 WHEN 0 THEN 'order ' || o_orderkey || '||said \"' "
+    "|| o_orderpriority || '\", twice|' WHEN 1 THEN '12\" disk' END AS note, o_orderstatus AS status FROM orders")
+
+
 def _read(x: Derived, name: str, path: str) -> DataFrame:
     return registry.read_source(x.spark, registry.registry({name: path})[name])
 

@@ -146,6 +146,16 @@ def test_repeated_keys_pair_in_order(spark):
         assert rows.agg(F.count_distinct("txn_id"), F.count_distinct("psp_reference")).first() == (3, 2)
 
 
+def test_pairing_costs_the_sum_of_both_sides(spark):
+    """One shuffle and no join: a key's n and m rows are never held against each other."""
+    left, right = sides(spark, 30_000, 20_000)
+    plan = matching.match_sides(left, right)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and text.count("Exchange") == 1
+    rows = plan.filter("match_key = 'HOT'").agg(F.count("*"), F.count_if("in_engine and in_psp"), F.count_distinct("txn_id")).first()
+    assert tuple(rows) == (30_000, 20_000, 30_000)
+
+
 def test_rows_without_a_day_have_no_rate(spark):
     rates = spark.sql("select 'EUR' as currency, date'2026-05-01' as rate_date, 1.10 as usd_rate "
                       "union all select 'EUR', date'2026-06-30', 2.00")
