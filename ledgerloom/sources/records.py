@@ -14,6 +14,11 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.sources.workspace import settle
+
+# Paths looked up by broadcast; beyond that by shuffle.
+MOST_BROADCAST_FILES = 100_000
+
 
 def _field_patterns(sep: str, quote: str) -> tuple[str, str]:
     """Lines that leave a quoted field open: if they begin outside of one, and if they begin inside.
@@ -50,13 +55,17 @@ def joined_records(lines: DataFrame, sep: str = ",", quote: str = '"') -> DataFr
 
     Its parts are joined by a line feed and it takes the place, ``block`` and ``at``, of its first line, and the other
     columns from there; lines of a block stand in the order of ``at``. A quote that is never closed takes in the rest of
-    its file. Files in which no line leaves the state changed are passed on as they are, by one scan that shuffles
-    nothing but a row a file; a file with such lines is sorted by block.
+    its file. One scan finds the files in which a line opens a field; the others are passed on as they are, and only
+    files with such lines are sorted, by block.
     """
     names = [c for c in lines.columns if c not in ("path", "block", "at")]
     state = with_state(lines, sep, quote)
     # A file begins outside, so without a line that opens a field there is nothing to join.
-    broken = (state.filter("__turns = 1 or __sets = 1").groupBy("path").agg(F.lit(1).alias("__broken")))
+    broken = settle(state.filter("__turns = 1 or __sets = 1").select("path").distinct(), "quoted_breaks")
+    count = broken.count()
+    if not count:
+        return lines
+    broken = broken if count > MOST_BROADCAST_FILES else F.broadcast(broken)
     own = state.join(broken, "path", "left_semi")
     whole = lines.join(broken, "path", "left_anti")
 

@@ -49,10 +49,6 @@ def registry(paths: Mapping[str, str]) -> dict[str, SourceSpec]:
     return {name: SourceSpec(name, path, **DIALECTS[name.split(":")[0]]) for name, path in paths.items()}
 
 
-# Files whose first places are sent to all tasks, a path and a number each; beyond that they are joined by shuffle.
-MOST_BROADCAST_FILES = 100_000
-
-
 def parse_files(lines: DataFrame, spec: SourceSpec) -> DataFrame:
     """Lines (``path, block, at, line``) of the files of one source to columns, stacked by name.
 
@@ -62,7 +58,7 @@ def parse_files(lines: DataFrame, spec: SourceSpec) -> DataFrame:
     """
     lines = records.joined_records(lines.select("path", "block", "at", "line"), spec.sep)
     first = settle(lines.filter("block = 0").groupBy("path").agg(F.min("at").alias("first")), "first_lines")
-    many = first.count() > MOST_BROADCAST_FILES
+    many = first.count() > records.MOST_BROADCAST_FILES
     placed = lines.join(first if many else F.broadcast(first), "path")
     is_head = (F.col("block") == 0) & (F.col("at") <= F.col("first") + spec.preamble)
     heads = settle(placed.filter(is_head).groupBy("path").agg(F.array_sort(F.collect_list(F.struct("at", "line"))).alias("head"))

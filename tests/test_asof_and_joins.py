@@ -152,7 +152,7 @@ def test_pairing_costs_the_sum_of_both_sides(spark):
     plan = matching.match_sides(left, right)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in text and text.count("Exchange") == 1
-    rows = plan.filter("match_key = 'HOT'").agg(F.count("*"), F.count_if("in_engine and in_psp"), F.count_distinct("txn_id")).first()
+    rows = plan.filter("match_key = 'HOT'").agg(F.count("*"), F.count_if(F.col("in_engine") & F.col("in_psp")), F.count_distinct("txn_id")).first()
     assert tuple(rows) == (30_000, 20_000, 30_000)
 
 
