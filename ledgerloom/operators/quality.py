@@ -7,8 +7,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerloom import config as C
@@ -96,22 +97,44 @@ COLUMN_CHECKS: dict[str, tuple[tuple[str, ...], tuple[str, ...], dict[str, tuple
 }
 
 
-def column_checks(table: str, df: DataFrame) -> DataFrame:
-    """All generic checks of one table: (table_name, rule, column_name, value, n_rows)."""
+def column_checks(table: str, df: DataFrame, rules: Sequence[str] = ("not_null", "unique", "accepted_values")) -> DataFrame:
+    """The generic checks of one table, or some of their rules: (table_name, rule, column_name, value, n_rows).
+
+    One scan and one grouping for all columns: a row yields an entry for each rule it breaks, and one for each value
+    that has to be unique, which is kept if it comes up again.
+    """
     filled, distinct, accepted = COLUMN_CHECKS[table]
 
-    def tagged(found: DataFrame, rule: str) -> DataFrame:
-        if "value" not in found.columns:
-            found = found.withColumn("value", F.lit(None).cast("string"))
-        return found.select(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"),
-                            "column_name", "value", "n_rows")
-
-    found = tagged(not_null(df, filled), "not_null")
-    for column in distinct:
-        found = found.unionByName(tagged(unique(df, column), "unique"))
-    if accepted:
-        found = found.unionByName(tagged(accepted_values(df, accepted), "accepted_values"))
-    return found
+    def entry(rule: str, column: str, value: Column) -> Column:
+        return F.struct(F.lit(rule).alias("rule"), F.lit(column).alias("column_name"), value.cast("string").alias("value"))
+
+    entries = {
+        "not_null": [F.when(F.col(c).isNull(), entry("not_null", c, F.lit(None))) for c in filled],
+        "unique": [F.when(F.col(c).isNotNull(), entry("unique", c, F.col(c))) for c in distinct],
+        "accepted_values": [F.when(~F.col(c).isin(*values), entry("accepted_values", c, F.col(c)))
+                            for c, values in accepted.items()]}
+    wanted = [one for rule in rules for one in entries[rule]]
+    if not wanted:
+        empty = "table_name string, rule string, column_name string, value string, n_rows bigint"
+        return df.sparkSession.createDataFrame([], empty)
+    return (df.select(F.explode(F.array_compact(F.array(*wanted))).alias("e"))
+            .groupBy(F.lit(table).alias("table_name"), "e.rule", "e.column_name", "e.value").agg(F.count("*").alias("n_rows"))
+            .filter("rule <> 'unique' or n_rows > 1"))
+
+
+def observe_columns(table: str, df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` with a count of what breaks the rules that a row shows by itself, taken while it is written."""
+    filled, _, accepted = COLUMN_CHECKS[table]
+    seen = Observation()
+    empty = reduce(Column.__or__, [F.col(c).isNull() for c in filled])
+    stray = reduce(Column.__or__, [~F.col(c).isin(*values) for c, values in accepted.items()], F.lit(False))
+    return df.observe(seen, F.count_if(empty).alias("not_null"), F.count_if(stray).alias("accepted_values")), seen
+
+
+def observed_checks(table: str, df: DataFrame, seen: Observation) -> DataFrame:
+    """The generic checks of a written table. Rules that no row broke on the way in are not looked at again."""
+    broken = [rule for rule, count in seen.get.items() if count]
+    return column_checks(table, df, [*broken, *(["unique"] if COLUMN_CHECKS[table][1] else [])])
 
 
 # --- raw against staged ---------------------------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import quality as Q
-from ledgerloom.operators import staging
+from ledgerloom.operators import refdata, staging
 from ledgerloom.plans.derived import Derived
 from ledgerloom.plans.queries import QUERIES, register
 
@@ -63,6 +63,58 @@ check("column_suite_ledger", lambda x: Q.column_checks("ledger", _broken_ledger(
       "UNION ALL SELECT 'ledger', 'accepted_values', 'currency', currency, count(*) FROM ledger WHERE currency = 'XXX' GROUP BY ALL",
       ledger=_BROKEN_LEDGER)
 
+# The other tables: some rows lose a value that must be filled, others get one that is not on the list. A column,
+# when it is emptied, a column and when it is strayed from, in words both sides read; and the tables' own names.
+_SUITES: dict[str, tuple[str, str, str | None, str, Callable[[Derived], DataFrame], str]] = {
+    "fx_rates": ("published_at", "rate_version > 1", "currency", "usd_rate > 5", lambda x: x.rate_versions, "rate_versions"),
+    "fee_schedule": ("fixed_fee", "psp = 'adyen'", None, "", lambda x: refdata.fee_contracts(x.contracts_raw), "contracts"),
+    "adyen": ("psp_reference", "operation_type = 'refund'", "status", "amount_local > 500", lambda x: x.adyen, "adyen"),
+    "dlocal": ("order_ref", "currency = 'BRL'", "operation_type", "status = 'declined'", lambda x: x.dlocal, "dlocal"),
+    "google_play": ("psp_account", "operation_type = 'refund'", "status", "amount_local > 500", lambda x: x.google_play, "google_play"),
+    "paypal": ("fee_local", "status = 'declined'", "psp", "operation_type = 'refund'", lambda x: x.paypal, "paypal"),
+    "restated": ("amount_usd_recon", "currency = 'EUR'", "fx_variance_reason", "currency = 'BRL'", lambda x: x.restated, "restated"),
+    "providers": ("recognised_at_utc", "operation_type = 'refund'", None, "", lambda x: x.providers, "providers"),
+    "matched": ("diff_usd", "NOT in_engine", "operation_type", "NOT in_psp", lambda x: x.matched, "matched"),
+    "classified": ("gross_diff_usd", "NOT in_engine", "bug_status", "psp = 'dlocal'", lambda x: x.classified, "classified"),
+    "summary": ("base_label", "recon_scope = 'fees'", "recon_status", "n_rows > 100", lambda x: x.summary, "summary"),
+    "waterfall": ("usd", "is_subtotal", "line_item", "psp = 'adyen'", lambda x: x.waterfall, "waterfall"),
+}
+
+
+def _seeded(x: Derived, table: str) -> DataFrame:
+    emptied, empty_if, strayed, stray_if, build, _ = _SUITES[table]
+    # Both conditions read the columns as they were, as the SQL does.
+    df = build(x).withColumns({"__empty": F.expr(empty_if), "__stray": F.expr(stray_if or "false")})
+    df = df.withColumn(emptied, F.when(~F.coalesce("__empty", F.lit(False)), F.col(emptied)))
+    if strayed:
+        df = df.withColumn(strayed, F.when(F.coalesce("__stray", F.lit(False)), "XXX").otherwise(F.col(strayed)))
+    return df.drop("__empty", "__stray")
+
+
+def _suite_sql(table: str) -> tuple[str, dict[str, str]]:
+    emptied, empty_if, strayed, stray_if, _, name = _SUITES[table]
+    filled, distinct, accepted = Q.COLUMN_CHECKS[table]
+    seeds = [f"if(coalesce({empty_if}, false), NULL, {emptied}) AS {emptied}"]
+    seeds += [f"if(coalesce({stray_if}, false), 'XXX', {strayed}) AS {strayed}"] if strayed else []
+
+    def found(rule: str, column: str, value: str, where: str, having: str = "HAVING count(*) > 0") -> str:
+        return (f"SELECT '{table}' AS table_name, '{rule}' AS rule, '{column}' AS column_name, {value} AS value, count(*) AS n_rows "
+                f"FROM {name} WHERE {where} GROUP BY ALL {having}")
+
+    def listed(values: tuple) -> str:
+        return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+
+    arms = [found("not_null", c, "CAST(NULL AS VARCHAR)", f"{c} IS NULL") for c in filled]
+    arms += [found("unique", c, f"CAST({c} AS VARCHAR)", f"{c} IS NOT NULL", "HAVING count(*) > 1") for c in distinct]
+    arms += [found("accepted_values", c, f"CAST({c} AS VARCHAR)", f"{c} NOT IN ({listed(values)})") for c, values in accepted.items()]
+    return " UNION ALL ".join(arms), {name: f"SELECT * REPLACE ({', '.join(seeds)}) FROM {name}_as_is"}
+
+
+for _table in _SUITES:
+    _sql, _replaced = _suite_sql(_table)
+    check(f"column_suite_{_table}", lambda x, table=_table: Q.column_checks(table, _seeded(x, table)),
+          "table_name rule column_name value n_rows:i", _sql, **_replaced)
+
 # --- raw against staged ---
 
 check("authorised_not_double_counted",

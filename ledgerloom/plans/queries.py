@@ -121,8 +121,9 @@ register("source_registry", roundtrip.registered_views, "source n_rows:i",
          "UNION ALL SELECT 'fx_rates', count(*) FROM fx_rates_raw")
 register("byte_normalise", roundtrip.normalised_names, "source line",
          roundtrip.NORMALISED_CHECK)
-register("ingest_manifest", roundtrip.manifest_by_source,
-         "source declared encoding_used nfc_changed:b crlf_stripped:i lines:i hashed:b", roundtrip.MANIFEST_CHECK)
+register("ingest_manifest", roundtrip.manifest_by_file,
+         "source file declared encoding_used nfc_changed:b crlf_stripped:i lines:i bytes_out:i sha256_out stored:b sha256_in",
+         roundtrip.MANIFEST_CHECK)
 register("input_gate", roundtrip.gate, "source fault n_lines:i", roundtrip.GATE_CHECK)
 register("table_store", roundtrip.stored_summary, "reporting_month:d psp recon_scope recon_cause abs_usd:m",
          "SELECT * FROM summary")

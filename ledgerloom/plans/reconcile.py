@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.config import RunConfig
@@ -79,7 +79,19 @@ def stage(staged: Mapping[str, DataFrame], config: RunConfig) -> dict[str, DataF
         "paypal": staging.paypal(_paypal_raw(staged), *_window(config))}
 
 
-def reconcile_tables(layers: Mapping[str, DataFrame], config: RunConfig, out: str) -> dict[str, DataFrame]:
+@dataclass
+class Store:
+    """Writes the tables of a run and has their columns checked in the pass that writes them."""
+
+    out: str
+    seen: dict[str, Observation] = field(default_factory=dict)
+
+    def write(self, name: str, df: DataFrame, path: str | None = None, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        observed, self.seen[name] = quality.observe_columns(name, df)
+        return write_table(observed, f"{self.out}/{path or name}", partition_by)
+
+
+def reconcile_tables(layers: Mapping[str, DataFrame], config: RunConfig, store: Store) -> dict[str, DataFrame]:
     """Staged relations to the classified rows and the report."""
     rates = settle(refdata.current_rates(layers["fx_rates"]), "current_rates")
     calendar = refdata.rate_calendar(rates)
@@ -89,31 +101,31 @@ def reconcile_tables(layers: Mapping[str, DataFrame], config: RunConfig, out: st
 
     conformed = staging.conform_union(*[layers[p] for p in ("adyen", "dlocal", "google_play", "paypal")])
     priced = pricing.apply_contracts(pricing.price_providers(conformed, calendar, config), contracts, config)
-    providers = write_table(priced, f"{out}/providers")
+    providers = store.write("providers", priced)
     restated = pricing.restate_ledger(layers["ledger"], calendar, config)
-    restated = write_table(restated, f"{out}/restated")
+    restated = store.write("restated", restated)
 
     names = matching.reported_names(providers)
     reported = (matching.only_reported(restated, providers) if names is None
                 else restated.filter(F.col("psp").isin(*names)))
     ours = matching.signed_ledger(reported)
     hot = matching.hot_match_keys(ours, providers, config)
-    matched = write_table(matching.match_sides(ours, providers, hot, config.period_unit), f"{out}/matched")
+    matched = store.write("matched", matching.match_sides(ours, providers, hot, config.period_unit))
 
     classified = classify.classify(classify.scope_to_period(matched, config.reporting_month))
     # the rows of one month need no partitions, nor the shuffle that makes them
     by_month = () if config.reporting_month else ("reporting_month",)
-    classified = write_table(classified, f"{out}/classified", by_month)
-    summary = write_table(report.recon_summary(classified), f"{out}/recon_summary", ("reporting_month",))
-    waterfall = write_table(report.recon_waterfall(summary), f"{out}/recon_waterfall", ("reporting_month",))
+    classified = store.write("classified", classified, partition_by=by_month)
+    summary = store.write("summary", report.recon_summary(classified), "recon_summary", ("reporting_month",))
+    waterfall = store.write("waterfall", report.recon_waterfall(summary), "recon_waterfall", ("reporting_month",))
     return {"providers": providers, "restated": restated, "matched": matched, "classified": classified,
             "summary": summary, "waterfall": waterfall}
 
 
-def checks(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def checks(tables: Mapping[str, DataFrame], seen: Mapping[str, Observation]) -> dict[str, DataFrame]:
     """Every check that needs only the run's own tables; an empty frame is a pass."""
     t = tables
-    found = {f"columns_{name}": quality.column_checks(name, t[name]) for name in quality.COLUMN_CHECKS if name in t}
+    found = {f"columns_{name}": quality.observed_checks(name, t[name], noted) for name, noted in seen.items()}
     found |= {
         "capture_completeness": quality.capture_completeness(t["ledger"]),
         "reference_coverage": quality.reference_coverage(t["ledger"]),
@@ -175,9 +187,10 @@ def reconcile(spark: SparkSession, paths: Mapping[str, str], config: RunConfig)
     out = (config.output_dir or fresh_path(spark, "run")).rstrip("/")
     staged, manifest = ingest(spark, registry.registry(paths), out)
     # read by the plan and by many checks, so stored
-    layers = {name: write_table(df, f"{out}/layers/{name}") for name, df in stage(staged, config).items()}
-    run = Run(tables={**layers, "manifest": manifest, **reconcile_tables(layers, config, out)})
-    frames = {**checks(run.tables), **raw_checks(staged, layers, config)}
+    store = Store(out)
+    layers = {name: store.write(name, df, f"layers/{name}") for name, df in stage(staged, config).items()}
+    run = Run(tables={**layers, "manifest": manifest, **reconcile_tables(layers, config, store)})
+    frames = {**checks(run.tables, store.seen), **raw_checks(staged, layers, config)}
     run.tables |= {f"check_{name}": df for name, df in frames.items()}
     run.tables["violations"] = write_table(violations(frames), f"{out}/violations")
     run.failed = sorted(r["check"] for r in run.tables["violations"].filter("violations > 0").collect())

@@ -16,6 +16,7 @@ import unicodedata
 from collections.abc import Iterator, Mapping
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -213,18 +214,58 @@ def _plain(path: Column) -> Column:
     return F.regexp_replace(path, "^file:/+", "file:///")
 
 
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row a file from lines that come file by file and in order; nothing but the digest at work is held."""
+    def row(path: str, digest) -> pa.RecordBatch:
+        bare = digest.hexdigest()
+        digest.update(b"\n")
+        return pa.RecordBatch.from_pydict({"path": [path], "bare": [bare], "ended": [digest.hexdigest()]})
+
+    at, digest = None, None
+    for batch in batches:
+        for path, line in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+            if path == at:
+                digest.update(b"\n")
+            else:
+                if digest:
+                    yield row(at, digest)
+                at, digest = path, hashlib.sha256()
+            digest.update(line)
+    if digest:
+        yield row(at, digest)
+
+
+def output_digests(lines: DataFrame) -> DataFrame:
+    """``path`` and the hash of every file's normalised lines, ``ended`` by a line feed or left ``bare`` of the last one.
+
+    A hash is made in order, so a file is one task; its lines are sorted there by Spark, which spills, and streamed.
+    """
+    ordered = lines.repartition("path").sortWithinPartitions("path", "block", "at").select("path", "line")
+    return ordered.mapInArrow(_digests, "path string, bare string, ended string")
+
+
 def manifest(files: DataFrame, lines: DataFrame) -> DataFrame:
-    """Audit trail per file: encoding used, SHA-256 of the bytes read, line ends, composition."""
+    """Audit trail per file: encoding used, SHA-256 of the bytes read and of the lines kept, line ends, composition.
+
+    ``lines`` is a stored table; ``dst`` names the folder it lies in.
+    """
+    stored = lines.inputFiles()
+    dst = stored[0].rsplit("/", 1)[0] if stored else None
     counted = lines.groupBy(_plain(F.col("path")).alias("__p")).agg(
         F.count("*").alias("rows"), F.count_if("crlf").alias("crlf_stripped"),
         F.bool_or("nfc_changed").alias("nfc_changed"), F.sum(F.octet_length("line") + 1).alias("bytes_out"))
-    return (files.withColumn("__p", _plain(F.col("path"))).join(counted, "__p", "left")
-            .select("path", "source", "declared", "encoding_used", "sha256_in", "bytes_in", "decodable",
+    digests = output_digests(lines).select(_plain(F.col("path")).alias("__p"), "bare", "ended")
+    # Of a file with nothing but its byte-order mark the hash of nothing is left.
+    kept = F.when(F.col("ended").isNull() & F.col("decodable"), hashlib.sha256().hexdigest()).otherwise(
+        F.when(F.col("ends_with_newline"), F.col("ended")).otherwise(F.col("bare")))
+    added = F.when(F.col("ends_with_newline") | F.col("rows").isNull(), 0).otherwise(1)
+    return (files.withColumn("__p", _plain(F.col("path"))).join(counted, "__p", "left").join(digests, "__p", "left")
+            .select("path", "source", "declared", "encoding_used", "sha256_in", "bytes_in", "decodable", kept.alias("sha256_out"),
+                    F.lit(dst).cast("string").alias("dst"),
                     F.coalesce("nfc_changed", F.lit(False)).alias("nfc_changed"),
                     F.coalesce("crlf_stripped", F.lit(0)).alias("crlf_stripped"),
-                    F.coalesce("bytes_out", F.lit(0)).alias("bytes_out"),
-                    (F.coalesce("rows", F.lit(0))
-                     - F.when(F.col("ends_with_newline") | F.col("rows").isNull(), 0).otherwise(1)).alias("lines")))
+                    (F.coalesce("bytes_out", F.lit(0)) - added).alias("bytes_out"),
+                    (F.coalesce("rows", F.lit(0)) - added).alias("lines")))
 
 
 def input_faults(files: DataFrame, required: list[str]) -> DataFrame:

@@ -1,6 +1,8 @@
 import csv
+import hashlib
 import io
 import random
+import unicodedata
 
 import pytest
 
@@ -84,3 +86,21 @@ def test_ingest_reads_quoted_breaks(spark, tmp_path):
     staged, manifest = runs.ingest(spark, specs, str(tmp_path / "out"))
     assert sorted(tuple(r) for r in staged["payment_engine_log"].collect()) == [("1", "a\nb"), ("2", "c")]
     assert manifest.first().lines == 4
+
+
+def test_manifest_hashes_what_is_kept(spark, tmp_path):
+    """By Python's own hash, with and without a last line end, a file of nothing but its mark, and accents put together."""
+    contents = {"a.csv": b"x,\xc3\xa9\r\ny\n", "b.csv": b"e\xcc\x81 no end", "c.csv": b"\xff\xfe", "d.csv": "wide é\r\nend\n".encode("utf-16"),
+                "e.csv": b"\n\n"}
+    for name, data in contents.items():
+        (tmp_path / name).write_bytes(data)
+    files = normalise.settle(normalise.fingerprints(spark, {"s": (str(tmp_path), "cp1252")}), "fingerprints")
+    lines = normalise.settle(normalise.normalised_lines(spark, files), "lines")
+    found = {r.path.rsplit("/", 1)[1]: r for r in normalise.manifest(files, lines).collect()}
+    for name, data in contents.items():
+        text = unicodedata.normalize("NFC", data.decode("utf-16" if name in ("c.csv", "d.csv") else "utf-8")).replace("\r\n", "\n").encode()
+        row = found[name]
+        assert row.sha256_out == hashlib.sha256(text).hexdigest(), name
+        assert row.sha256_in == hashlib.sha256(data).hexdigest() and row.bytes_in == len(data)
+        assert (row.bytes_out, row.lines) == (len(text), text.count(b"\n")), name
+        assert row.dst and row.dst.rsplit("/", 1)[1].startswith("lines-")
