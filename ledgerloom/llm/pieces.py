@@ -36,7 +36,7 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 
 # Texts are stored and brought together with their ids in blocks of about so many bytes, and cut in parts of them.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 14 << 20
 _CUT_BYTES = 1 << 20
 # Ids travel less this number, in 16 bits each where there are few enough of them.
 _SHIFT = 1 << 15
