@@ -71,9 +71,10 @@ def _base_places(low: bytes, patterns: dict[str, re.Pattern[bytes]]) -> tuple[in
     inside = _IN_WORD[np.frombuffer(low, np.uint8)]
     starts = inside.copy()
     starts[1:] &= ~inside[:-1]
-    found = [(int(np.count_nonzero(starts[:m.start()])), label)
-             for label, pattern in patterns.items() for m in pattern.finditer(low)]
-    return int(np.count_nonzero(starts)), found
+    begins = np.flatnonzero(starts)
+    hits = [(m.start(), label) for label, pattern in patterns.items() for m in pattern.finditer(low)]
+    places = np.searchsorted(begins, [at for at, _ in hits]).tolist()
+    return len(begins), [(place, label) for place, (_, label) in zip(places, hits, strict=True)]
 
 
 def word_counts(docs: DataFrame, vocabulary: set[bytes]) -> Counter:
@@ -155,7 +156,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment:
     1 where a base phrase stands, else the best containment at or over the threshold, else 0. A match's ``block`` is
     the word place where the block begins; a template longer than half of ``BLOCK_WORDS`` has longer blocks of its own,
     others keep theirs. A notice spread by other words over more than half a block can be lost. A null or empty text has no words and no labels; rows equal in doc_id and
-    text are scanned alike; null ids are ids like others; other columns are not read.
+    text are scanned alike; null ids are ids like others; texts of any length are read whole, in time that grows with
+    their length; empty tables give empty results; other columns are not read.
     """
     templates = TEMPLATES if templates is None else templates
     worded = {label: _words(text.encode()) for label, text in templates.items()}

@@ -84,3 +84,10 @@ def test_long_templates_are_found_wherever_they_stand(spark):
     found = {(r.doc_id, r.template, r.containment) for r in matches.collect()}
     assert {(doc_id, label) for doc_id, label, share in found} == expected
     assert expected == {(doc_id, label) for doc_id, label, share in found if share == 1}
+
+
+def test_many_hits_in_one_text(spark):
+    """Five megabytes of one phrase: a hit costs the same wherever it stands."""
+    n = 5_000_000 // 6
+    row = licenses.scan(spark.createDataFrame([(1, "cc by " * n)], SCHEMA))[0].first()
+    assert (row.n_words, row.n_base, row.first_word, row.last_word) == (2 * n, n, 0, 2 * n - 2)
