@@ -29,6 +29,12 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(text, F.isnull(text))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``_text_hash`` and all columns as one ``row``, so that no name of theirs can clash with an operator's."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(F.col("text")).alias("_text_hash"),
+                       F.struct("*").alias("row"))
+
+
 def utf8(column: pa.Array) -> Iterator[bytes]:
     """The strings of an Arrow column as UTF-8 bytes, one at a time; a null is empty."""
     for value in column.cast(pa.binary()):

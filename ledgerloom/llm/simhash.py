@@ -1,10 +1,13 @@
 """SimHash near-duplicates by meet-in-the-middle ball hashing.
 
-Two 64-bit fingerprints that differ in at most ``radius`` bits differ in at most ``radius // 2`` bits in one of
-their two halves. Every distinct fingerprint therefore emits, for each half, all variants of that half within
-half the radius; equal variants meet by shuffle, and fingerprints that meet are verified on all 64 bits. That
-is 66 rows a fingerprint at radius 3, where balls over the whole word need over a thousand. The work is on
-distinct fingerprints: copies are one row however many they are.
+Two fingerprints within ``radius`` bits have a word between them that both reach by flipping half the radius. Every
+distinct fingerprint that can have a partner emits all variants of its 64 bits within that distance; fingerprints
+meet by shuffle on equal variants, collisions are deduplicated and verified on all bits. An odd distance changes the
+number of set bits from even to odd, so of radius 3 the even fingerprints emit one flip and the odd ones two.
+
+A filter that loses nothing comes first: fingerprints within ``radius`` bits differ in at most half the radius in one
+of their 32-bit halves, so only those that share a variant of a half with another one emit whole variants. The work
+is on distinct fingerprints: copies are one row however many they are.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import same, text_hash, utf8
+from ledgerloom.llm.common import packed, same, text_hash, utf8
 from ledgerloom.llm.components import components
 from ledgerloom.sources.workspace import settle
 
@@ -26,6 +29,8 @@ SHINGLE_WORDS = 3
 RADIUS = 3
 HASH_SEED = 42
 _HALF = 32
+# Variants are written in batches of about this many rows.
+_BATCH_ROWS = 200_000
 # Runs of equal variants up to this length are compared pair by pair, longer ones by a walk over the links.
 _SHORT_RUN = 32
 _LANES = np.uint64(0x0101010101010101)
@@ -103,21 +108,57 @@ def _links_of_runs(keys: np.ndarray, prints: np.ndarray, radius: int) -> tuple[n
     return np.concatenate([empty, *lows]), np.concatenate([empty, *highs])
 
 
-def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``low`` and ``high``: links that connect every two distinct fingerprints within ``radius`` bits.
+def _flips(bits: int, most: int) -> list[int]:
+    return [sum(1 << bit for bit in chosen) for size in range(most + 1) for chosen in combinations(range(bits), size)]
 
-    Fingerprints that meet in a run of many are joined by a spanning forest of that run instead of by all
-    pairs, so a dense group of near copies stays linear; components are the same.
-    """
-    flips = [sum(1 << bit for bit in bits)
-             for size in range(radius // 2 + 1) for bits in combinations(range(_HALF), size)]
+
+def meeting(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """The distinct fingerprints that share a variant of a half with another one; those left out have no link."""
     low_half = F.col("fingerprint").bitwiseAND(F.lit((1 << _HALF) - 1))
     halves = F.array(low_half, F.shiftrightunsigned("fingerprint", _HALF))
     emitted = (prints.select("fingerprint", F.posexplode(halves).alias("half", "value"))
-               .select("fingerprint", "half", "value", F.explode(F.lit(flips)).alias("flip"))
+               .select("fingerprint", "half", "value", F.explode(F.lit(_flips(_HALF, radius // 2))).alias("flip"))
                .select(F.shiftleft(F.col("half").cast("long"), _HALF)
                        .bitwiseOR(F.col("value").bitwiseXOR(F.col("flip"))).alias("variant"), "fingerprint"))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.empty((2, 0), np.int64)  # the last row, which the next batch may go on from
+        for batch in batches:
+            keys, found = (np.concatenate([held[k], batch.column(k).to_numpy()]) for k in range(2))
+            equal = keys[1:] == keys[:-1]
+            beside = np.zeros(len(keys), bool)
+            beside[1:] |= equal
+            beside[:-1] |= equal
+            held = np.array([keys[-1:], found[-1:]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(found[beside]))], names=["fingerprint"])
+
+    return (emitted.repartition("variant").sortWithinPartitions("variant")
+            .mapInArrow(run, "fingerprint long").distinct())
+
+
+def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``low`` and ``high``: links that connect every two distinct fingerprints within ``radius`` bits.
+
+    A variant is reached from at most 2,081 fingerprints at radius 3, so a run of equal variants is bounded whatever
+    the input. Those that meet in a run of many are joined by a spanning forest of that run instead of by all pairs,
+    so a dense group of near copies stays linear; components are the same.
+    """
+    few = np.array(_flips(64, radius // 2), np.uint64)
+    many = np.array(_flips(64, radius - radius // 2), np.uint64)
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = batch.column(0).to_numpy().view(np.uint64)
+            odd = np.bitwise_count(found) % 2 == 1
+            for chosen, flips in ((found[~odd], few), (found[odd], many)):
+                step = max(1, _BATCH_ROWS // len(flips))
+                for at in range(0, len(chosen), step):
+                    own = chosen[at:at + step]
+                    variants = (own[:, None] ^ flips).ravel()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(variants.view(np.int64)), pa.array(np.repeat(own, len(flips)).view(np.int64))],
+                        names=["variant", "fingerprint"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_keys, held_prints = np.empty(0, np.int64), np.empty(0, np.uint64)
         for batch in batches:
@@ -133,8 +174,8 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(low.view(np.int64)), pa.array(high.view(np.int64))],
                                           names=["low", "high"])
 
-    return (emitted.repartition("variant").sortWithinPartitions("variant")
-            .mapInArrow(run, "low long, high long"))
+    return (meeting(prints, radius).mapInArrow(emit, "variant long, fingerprint long")
+            .repartition("variant").sortWithinPartitions("variant").mapInArrow(run, "low long, high long"))
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
@@ -143,7 +184,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius:
     ``component_id`` is the smallest doc_id reachable over links of at most ``radius`` differing bits. A null
     text has fingerprint zero and is linked like any other; a null doc_id is in its component but names it only
     if no other id does (then null). ``root`` is the smallest fingerprint of the component. Repeated rows are
-    repeated in the result; other columns are not read.
+    repeated in the result, texts of any length are read whole, an empty table gives an empty result; other columns
+    are not read.
     """
     printed = settle(fingerprints(docs, shingle_words), "fingerprints")
     classes = printed.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
@@ -160,15 +202,16 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius:
 def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` with one row of each near-duplicate group: the one with the smallest doc_id.
 
-    Rows of one doc_id in one group stand in order of their text's hash; copies of a row become one row.
+    Rows of one doc_id in one group stand in order of their text's hash; copies of a row become one row. Every column
+    comes back whatever its name; an empty table gives an empty one.
     """
     found = near_duplicates(docs, shingle_words, radius)
     rows = found.groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("copies"))
     first = F.min(F.struct(F.isnull("doc_id").alias("last"), "doc_id", "text_hash", "copies"))
     kept = settle(rows.groupBy("root").agg(first.alias("first"))
                   .select("first.doc_id", F.col("first.text_hash").alias("_text_hash"), "first.copies"), "kept")
-    hashed = docs.withColumn("_text_hash", text_hash(F.col("text")))
+    hashed = packed(docs)
     rows = hashed.join(kept, same(hashed, kept, "doc_id", "_text_hash"), "left_semi")
     if not kept.where("copies > 1").isEmpty():
         rows = rows.dropDuplicates(["doc_id", "_text_hash"])
-    return rows.drop("_text_hash")
+    return rows.select("row.*")

@@ -94,3 +94,26 @@ def test_one_row_of_a_group_stays(spark):
     assert simhash.keep_one(docs.limit(0)).count() == 0
     named = simhash.near_duplicates(spark.createDataFrame([(None, "alone"), (None, "alone")], SCHEMA)).collect()
     assert [r.component_id for r in named] == [None, None]
+
+
+def test_names_that_clash(spark):
+    names = ["doc_id", "text", "_text_hash", "row", "copies", "root", "a.b"]
+    rows = [(1, "the same text", 1, "a", 2, "b", "c"), (2, "the same text", 3, "d", 4, "e", "f")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, names))
+    assert kept.columns == names and list(map(tuple, kept.collect())) == rows[:1]
+
+
+def test_every_distance_of_every_radius(spark):
+    """Each pair within the radius is linked, whichever of the two has an even number of bits; others are not."""
+    rng = random.Random(8)
+    for radius in (0, 1, 2, 3, 4):
+        pairs = []
+        for distance in range(1, 6):
+            for _ in range(12):
+                one = rng.getrandbits(64)
+                pairs.append((one, one ^ sum(1 << b for b in rng.sample(range(64), distance)), distance))
+        signed = [(p - 2 ** 64 if p >> 63 else p,) for pair in pairs for p in pair[:2]]
+        found = {frozenset((r.low % 2 ** 64, r.high % 2 ** 64))
+                 for r in simhash.links(spark.createDataFrame(signed, "fingerprint long"), radius).collect()}
+        assert found == {frozenset(pair[:2]) for pair in pairs if pair[2] <= radius}
+    assert simhash.links(spark.createDataFrame([], "fingerprint long")).count() == 0
