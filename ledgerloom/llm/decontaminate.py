@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import same, text_hash
+from ledgerloom.llm.common import packed, same, text_hash
 from ledgerloom.sources.workspace import settle
 
 WINDOW = 13
@@ -87,8 +87,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     One row for each row of ``docs`` (by doc_id and text) and benchmark item that overlap, with the best window
     found: the most equal words of ``window``, and the smallest word place (from 0) where it starts. Words are
     runs of letters and digits in lower case. A null or empty text overlaps nothing, and neither do items of
-    fewer than five words. Null ids are ids like others; repeated rows and repeated items count once; other
-    columns aren't read.
+    fewer than five words. Null ids are ids like others; repeated rows and repeated items count once; of equally good
+    windows the first counts; texts of any length are read whole; empty tables give an empty result; other columns
+    aren't read.
     """
     items = benchmark.select(F.col("item_id").cast("long"), _words(F.col("text")).alias("item_words")).distinct()
     masks = _masks_for(items)
@@ -119,11 +120,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that overlap no benchmark item, unchanged."""
+    """The rows of ``docs`` that overlap no benchmark item, unchanged, with every column whatever its name.
+
+    Null and empty texts overlap nothing and stay; repeated rows go or stay together; an empty table or benchmark is
+    allowed.
+    """
     found = settle(contaminated(docs, benchmark).select("doc_id", F.col("text_hash").alias("_text_hash")).distinct(),
                    "contaminated")
-    hashed = docs.withColumn("_text_hash", text_hash(F.col("text")))
-    return hashed.join(found, same(hashed, found, "doc_id", "_text_hash"), "left_anti").drop("_text_hash")
+    rows = packed(docs)
+    return rows.join(found, same(rows, found, "doc_id", "_text_hash"), "left_anti").select("row.*")
 
 
 # The same by another way: two exchanged words of 13 leave four equal ones in a row, which fix the alignment.

@@ -82,6 +82,13 @@ def test_edges(spark):
     assert d.decontaminate(docs, items.limit(0)).count() == len(rows)
 
 
+def test_names_that_clash(spark):
+    names = ["doc_id", "text", "_text_hash", "row", "seed", "words", "a.b"]
+    rows = [(1, "clean text", 1, "a", 2, "b", "c"), (2, "so " + " ".join(map(str, range(20))), 3, "d", 4, "e", "f")]
+    kept = d.decontaminate(spark.createDataFrame(rows, names), spark.createDataFrame([(1, " ".join(map(str, range(13))))], ITEMS))
+    assert kept.columns == names and list(map(tuple, kept.collect())) == rows[:1]
+
+
 def test_no_python_on_the_path(spark):
     docs, items = corpus()
     plan = d.decontaminate(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS))
