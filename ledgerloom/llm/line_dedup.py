@@ -15,12 +15,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import same, text_hash
+from ledgerloom.llm.common import packed, same, text_hash
 from ledgerloom.operators.ordering import ranked
 from ledgerloom.sources.workspace import settle
 
-# Shorter lines (headings, brackets, blank lines) are left alone.
-MIN_CHARS = 16
+# Lines without a letter or digit (blank lines, brackets, rules) are left alone.
+COUNTED = r"[\p{L}\p{N}]"
 # One edit in fewer words than this is under 0.8 similarity; such lines are duplicates only if equal.
 MIN_WORDS = 5
 # Lines that emit variants are looked up by broadcast up to this many (about 50 bytes each), by shuffle beyond.
@@ -32,7 +32,7 @@ def _words(line: Column) -> Column:
 
 
 def _counts(line: Column) -> Column:
-    return F.length(F.trim(line)) >= MIN_CHARS
+    return F.rlike(line, F.lit(COUNTED))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -129,33 +129,41 @@ def _near_duplicates(docs: DataFrame, lines: DataFrame) -> DataFrame:
     return meeting.join(near, "rank", "left_semi").select("key", "second_key")
 
 
+def cleaned(docs: DataFrame) -> DataFrame:
+    """What ``dedup_lines`` finds, with the columns of ``docs`` in one struct ``row``: ``row, text, n_lines, n_dropped``."""
+    lines = settle(_distinct_lines(docs), "lines")
+    kept = lines.join(_near_duplicates(docs, lines), ["key", "second_key"], "left_anti").select("place.*")
+    kept = kept.groupBy("doc_id", F.col("text_hash").alias("_text_hash")).agg(F.collect_list("line_no").alias("kept"))
+    rows = packed(docs)
+    joined = rows.join(kept, same(rows, kept, "doc_id", "_text_hash"), "left").select("row", "kept")
+    split = joined.withColumn("lines", F.split("row.text", "\n"))
+    every = F.sequence(F.lit(0), F.size("lines") - 1)
+    counting = F.filter(every, lambda k: _counts(F.get("lines", k)))
+    dropped = F.array_except(counting, F.coalesce("kept", F.array().cast("array<int>")))
+    told = F.col("row.text").isNotNull()
+    marked = split.withColumn("dropped", F.when(told, dropped))
+    rest = F.transform(F.array_except(every, F.col("dropped")), lambda k: F.get("lines", k))
+    return marked.select("row", F.when(told, F.array_join(rest, "\n")).alias("text"),
+                         F.when(told, F.size("lines")).alias("n_lines"),
+                         F.when(told, F.size("dropped")).alias("n_dropped"))
+
+
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the lines taken out that repeat an earlier line, and ``n_lines`` and ``n_dropped``.
 
-    Lines are split at line feeds; a line counts from 16 characters on, others stay. Words are split at white
+    Lines are split at line feeds; a line counts if it has a letter or digit, others stay. Words are split at white
     space and compared in lower case. Earlier means a smaller doc_id (null first), then the text's hash, then the
     place in the text. A line goes if an equal line stands earlier, or if some earlier different line of five
     words or more is within one edit, whether that line itself stays or not. Rows with equal doc_id and text are
     copies of one row and lose the same lines. A null text stays null with null counts; an empty one has one line.
-    Documents all of whose lines go keep an empty text. All other columns pass unchanged.
+    Documents all of whose lines go keep an empty text. Texts of any length are read whole; an empty table gives an
+    empty result. All other columns pass unchanged whatever their names, but for columns named like the two counts,
+    which the counts replace (``cleaned`` keeps them).
     """
-    lines = settle(_distinct_lines(docs), "lines")
-    kept = lines.join(_near_duplicates(docs, lines), ["key", "second_key"], "left_anti").select("place.*")
-    kept = (kept.groupBy(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash"))
-            .agg(F.collect_list("line_no").alias("_kept")))
-    hashed = docs.withColumn("_hash", text_hash(F.col("text")))
-    joined = hashed.join(kept, hashed["doc_id"].eqNullSafe(kept["_doc_id"]) & (F.col("_hash") == F.col("_text_hash")),
-                         "left")
-    split = joined.withColumn("_lines", F.split("text", "\n"))
-    every = F.sequence(F.lit(0), F.size("_lines") - 1)
-    counting = F.filter(every, lambda k: _counts(F.get("_lines", k)))
-    dropped = F.array_except(counting, F.coalesce("_kept", F.array().cast("array<int>")))
-    marked = split.withColumn("_dropped", F.when(F.col("text").isNotNull(), dropped))
-    rest = F.transform(F.array_except(every, F.col("_dropped")), lambda k: F.get("_lines", k))
-    return marked.select(*[F.when(F.col("text").isNotNull(), F.array_join(rest, "\n")).alias("text")
-                           if c == "text" else F.col(c) for c in docs.columns],
-                         F.when(F.col("text").isNotNull(), F.size("_lines")).alias("n_lines"),
-                         F.when(F.col("text").isNotNull(), F.size("_dropped")).alias("n_dropped"))
+    counts = ["n_lines", "n_dropped"]
+    return (cleaned(docs).select(F.col("row").withField("text", F.col("text")).alias("row"), *[F.col(c).alias(f"_{c}") for c in counts])
+            .select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c not in counts],
+                    *[F.col(f"_{c}").alias(c) for c in counts]))
 
 
 # The same by plain equality of strings: a line's variants are spelt out with the place of the missing word.
@@ -165,7 +173,7 @@ with all_lines as (
   from documents where text is not null),
 worded as (
   select *, list_filter(regexp_split_to_array(lower(line), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '') as words,
-    length(trim(line, ' ')) >= 16 as counts
+    regexp_matches(line, '[\\p{L}\\p{N}]') as counts
   from all_lines),
 firsts as (
   select words, min((doc_id, no)) as place from worded where counts group by words),

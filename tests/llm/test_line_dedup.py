@@ -21,7 +21,7 @@ def brute(docs):
         lines, kept = text.split("\n"), []
         for line in lines:
             words = line.lower().split()
-            if len(line.strip(" ")) < line_dedup.MIN_CHARS:
+            if not any(c.isalnum() for c in line):
                 kept.append(line)
                 continue
             earlier = any(words == w or (min(len(words), len(w)) >= line_dedup.MIN_WORDS and within_one_edit(words, w))
@@ -53,7 +53,7 @@ def corpus():
                 case 3:
                     line = [w.upper() for w in line]
             own.append(rng.choice(["", " "]) + "  ".join(line))
-        docs.append((doc_id, "\n".join([*own, "", "short"])))
+        docs.append((doc_id, "\n".join([*own, "", "---", rng.choice(["short", "Ünd", "7", "短い行"])])))
     return docs
 
 
@@ -86,3 +86,15 @@ def test_edges(spark):
 def test_no_python_on_the_path(spark):
     plan = line_dedup.dedup_lines(spark.createDataFrame(corpus(), SCHEMA))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_names_that_clash(spark):
+    """Columns named like the operator's own pass unchanged, but for the two counts, which only ``cleaned`` keeps."""
+    names = ["doc_id", "text", "row", "lines", "kept", "dropped", "_text_hash", "_lines", "_doc_id", "a.b", "n_lines", "n_dropped"]
+    rows = [(1, "one line\nanother line", *"abcdefghij"), (2, "another line\n)\nthird line", *"klmnopqrst")]
+    docs = spark.createDataFrame(rows, names)
+    found = line_dedup.dedup_lines(docs)
+    assert found.columns == names
+    assert sorted(map(tuple, found.collect())) == [
+        (1, "one line\nanother line", *"abcdefgh", 2, 0), (2, ")\nthird line", *"klmnopqr", 3, 1)]
+    assert sorted(map(tuple, line_dedup.cleaned(docs).select("row.*").collect())) == rows
