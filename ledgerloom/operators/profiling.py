@@ -14,6 +14,26 @@ def key_uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.sum("n").alias("n_rows"), F.count("*").alias("n_keys"), F.max("n").alias("most_rows_per_key"))
 
 
+def column_profile(df: DataFrame) -> DataFrame:
+    """A row for each column: rows, nulls, blanks, shortest and longest text, smallest and largest one.
+
+    Values are taken as text. All columns are measured by one aggregate over one scan, which combines in the tasks and
+    leaves a single row; that row is then unfolded. An empty relation has a row for each column too.
+    """
+    measured, entries = [], []
+    for at, name in enumerate(df.columns):
+        value = F.col(f"c{at}")
+        stats = {"n_null": F.count_if(value.isNull()), "n_blank": F.count_if(F.trim(value) == ""),
+                 "shortest": F.min(F.length(value)), "longest": F.max(F.length(value)),
+                 "smallest": F.min(value), "largest": F.max(value)}
+        measured += [stat.alias(f"{label}{at}") for label, stat in stats.items()]
+        entries.append(F.struct(F.lit(name).alias("column_name"), F.col("n_rows"),
+                                *[F.col(f"{label}{at}").alias(label) for label in stats]))
+    texts = df.toDF(*[f"c{at}" for at in range(len(df.columns))])
+    texts = texts.select(*[F.col(c).cast("string").alias(c) for c in texts.columns])
+    return texts.agg(F.count("*").alias("n_rows"), *measured).select(F.inline(F.array(*entries)))
+
+
 def lifecycle_sets(df: DataFrame, key: str, state: str) -> DataFrame:
     """Which sets of states occur together under one key, and how often.
 

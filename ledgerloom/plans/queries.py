@@ -337,6 +337,14 @@ register("profile_key_uniqueness",
          "n_rows:i n_keys:i most_rows_per_key:i",
          "SELECT sum(n) AS n_rows, count(*) AS n_keys, max(n) AS most_rows_per_key FROM "
          "(SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)")
+for _export in ("payment_log_raw", "paypal_raw", "adyen_raw", "dlocal_raw", "google_play_raw", "fx_rates_raw"):
+    register(f"profile_columns_{_export.removesuffix('_raw')}",
+             lambda x, export=_export: profiling.column_profile(getattr(x, export)),
+             "column_name n_rows:i n_null:i n_blank:i shortest:i longest:i smallest largest",
+             "SELECT column_name, count(*) AS n_rows, count(*) FILTER (v IS NULL) AS n_null, "
+             "count(*) FILTER (trim(v) = '') AS n_blank, min(length(v)) AS shortest, max(length(v)) AS longest, "
+             "min(v) AS smallest, max(v) AS largest FROM (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM "
+             f"{_export}) UNPIVOT INCLUDE NULLS (v FOR column_name IN (COLUMNS(*))) GROUP BY column_name")
 register("profile_lifecycle_sets",
          lambda x: profiling.lifecycle_sets(staging.adyen_events(x.adyen_raw), "order_ref", "record_type"),
          "states n_keys:i",

@@ -28,3 +28,13 @@ def test_sets_holes_ranges_and_coverage(spark):
     assert tuple(profiling.key_uniqueness(df, ["k"]).first()) == (5, 3, 3)
     rates = profiling.rates_by(df, "k", y=F.col("s") == "y").orderBy("k").first()
     assert (rates.n_rows, rates.n_y, rates.y_bp) == (3, 1, 3333)
+
+
+def test_columns_are_profiled_in_one_scan(spark):
+    df = spark.createDataFrame([("b", 10, None), (" ", 9, None), (None, -1, None)], "text string, `a.b` int, none string")
+    got = {r.column_name: tuple(r)[1:] for r in profiling.column_profile(df).collect()}
+    assert got == {"text": (3, 1, 1, 1, 1, " ", "b"), "a.b": (3, 0, 0, 1, 2, "-1", "9"), "none": (3, 3, 0, None, None, None, None)}
+    assert [tuple(r)[1:3] for r in profiling.column_profile(df.limit(0)).collect()] == [(0, 0)] * 3
+    path = "/root/testdata/sf0.001/orders.parquet"
+    plan = profiling.column_profile(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
