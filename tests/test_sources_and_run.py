@@ -126,9 +126,9 @@ def test_export_is_one_ordered_file(spark, tmp_path):
                                  (F.col("id") * 37 % 100).alias("line_seq")).repartition(7)
     path = sinks.export_csv(df, f"file://{tmp_path}", "recon_waterfall", sinks.waterfall_order(), date(2026, 6, 1))
     assert path.endswith("recon_waterfall_2026-06.csv")
-    parts = list((tmp_path / "recon_waterfall_2026-06.csv").glob("part-*.csv"))
-    assert len(parts) == 1
-    lines = parts[0].read_text().split()
+    assert sinks.export_csv(df, f"file://{tmp_path}", "recon_waterfall", sinks.waterfall_order(), date(2026, 6, 1)) == path
+    assert [f.name for f in tmp_path.iterdir() if not f.name.startswith(".")] == ["recon_waterfall_2026-06.csv"]
+    lines = (tmp_path / "recon_waterfall_2026-06.csv").read_text().split()
     assert lines[0] == "reporting_month,psp,line_seq" and [int(x.split(",")[2]) for x in lines[1:]] == list(range(100))
 
 
