@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.fs
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.sources.workspace import fresh_path, settle
@@ -35,6 +35,8 @@ DICTIONARY_BYTES = 64 << 10
 SAMPLE_PAYLOADS = 400
 SAMPLE_BYTES = 8 << 10
 LEVEL = 3
+# Fixed value: the capture time of pages that state none, so that equal tables give equal archives.
+NO_DATE = "1970-01-01T00:00:00Z"
 # A task begins a new file beyond this many compressed bytes.
 FILE_BYTES = 64 << 20
 # Shared payloads are looked up by broadcast up to this many (about 100 bytes each), by shuffle beyond.
@@ -54,18 +56,21 @@ def _open(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
 
 
 def _record(kind: str, record_id: str, url: str, payload: bytes, payload_digest: str, payload_bytes: int,
-            refers_to: str | None) -> bytes:
-    """One record. A revisit has an empty block, and the digest and length of the payload it stands for."""
+            refers_to: str | None, date: str = NO_DATE) -> bytes:
+    """One record of WARC 1.1. Its block is an HTTP response: a head and the payload, of a revisit the head alone,
+    with the digest and length of the payload that it stands for."""
     def clean(value: str) -> str:
         return "".join(c if c.isprintable() else "%" + c.encode("utf-8", "replace").hex() for c in value)
 
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{record_id}>", f"WARC-Target-URI: {clean(url)}",
-             f"WARC-Payload-Digest: sha1:{payload_digest}", f"X-Payload-Length: {payload_bytes}"]
+    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {payload_bytes}\r\n\r\n"
+    block = head.encode() + (payload if refers_to is None else b"")
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{record_id}>", f"WARC-Date: {date}",
+             f"WARC-Target-URI: {clean(url)}", f"WARC-Payload-Digest: sha1:{payload_digest}",
+             f"X-Payload-Length: {payload_bytes}"]
     if refers_to is not None:
         lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
                   f"WARC-Refers-To: <{refers_to}>"]
-    block = payload if refers_to is None else b""
-    lines += ["Content-Type: text/html", f"Content-Length: {len(block)}", "", ""]
+    lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}", "", ""]
     return "\r\n".join(lines).encode() + block + b"\r\n\r\n"
 
 
@@ -108,11 +113,11 @@ def _longest(sizes: list[int], total: int) -> int:
     return max(1, *sizes)
 
 
-def _with_holders(pages: DataFrame) -> DataFrame:
+def _with_holders(pages: DataFrame, date: Column) -> DataFrame:
     """Every page with its ``copy`` number and, where an equal payload is elsewhere, the page that is its response."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long"), F.coalesce(F.col("url"), F.lit("")).alias("url"),
-                        payload.alias("payload"), F.sha1(payload).alias("sha1"))
+                        payload.alias("payload"), F.sha1(payload).alias("sha1"), date.alias("date"))
     groups = (rows.groupBy("sha1", "page_id").agg(F.count("*").alias("copies"))
               .groupBy("sha1").agg(F.max("page_id").alias("holder"), F.sum("copies").alias("pages"),
                                    F.max("copies").alias("most")))
@@ -130,28 +135,34 @@ def _with_holders(pages: DataFrame) -> DataFrame:
     return single.unionByName(numbered)
 
 
-def write(pages: DataFrame, folder: str, min_revisit_bytes: int = 0) -> DataFrame:
+def write(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, captured_at: str | None = None) -> DataFrame:
     """Write all ``pages(page_id, url, html)`` under ``folder``; the manifest ``path, records, bytes`` of the files.
 
     Of pages with equal payloads of at least ``min_revisit_bytes`` the one with the largest page_id is the response
     and the others revisit it. Rows that are equal in id and payload are one response and revisits of it; if no page
-    of a payload has an id, each of them is a response. A null url or html is empty. Extra columns are not read.
+    of a payload has an id, each of them is a response. A null url or html is empty. ``captured_at`` names a timestamp
+    column for the records' date, in UTC by the session's zone; without it, or where it is null, the date is ``NO_DATE``.
+    Other columns are not read. A page of any length is one record, held whole by one task. An empty table gives an
+    empty manifest and no file.
     """
-    rows = _with_holders(pages)
+    zone = F.current_timezone()
+    stated = F.lit(None).cast("string") if captured_at is None else F.date_format(
+        F.to_utc_timestamp(F.col(f"`{captured_at}`"), zone), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    rows = _with_holders(pages, F.coalesce(stated, F.lit(NO_DATE)))
     dictionary = build_dictionary(pages)
     shared = pages.sparkSession.sparkContext.broadcast(dictionary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = _Files(folder, shared.value)
         for batch in batches:
-            for row in zip(*(batch.column(k) for k in range(5)), strict=True):
-                page_id, url, payload, copy, holder = (v.as_py() for v in row)
+            for row in zip(*(batch.column(k) for k in range(6)), strict=True):
+                page_id, url, payload, copy, holder, date = (v.as_py() for v in row)
                 held = holder is not None and len(payload) >= min_revisit_bytes and (page_id, copy) != (holder, 0)
                 files.add(_record("revisit" if held else "response", _urn(page_id, copy), url, payload, digest(payload),
-                                  len(payload), _urn(holder, 0) if held else None))
+                                  len(payload), _urn(holder, 0) if held else None, date))
         yield files.close()
 
-    return settle(rows.select("page_id", "url", "payload", "copy", "holder")
+    return settle(rows.select("page_id", "url", "payload", "copy", "holder", "date")
                   .mapInArrow(run, "path string, records long, bytes long"), "warc_manifest")
 
 
@@ -225,6 +236,11 @@ def parse(record: bytes) -> tuple[dict[str, str], bytes]:
     return headers, rest[:int(headers["Content-Length"])]
 
 
+def payload_of(block: bytes) -> bytes:
+    """What follows the HTTP head of a record's block."""
+    return block.partition(b"\r\n\r\n")[2]
+
+
 def read(manifest: DataFrame) -> DataFrame:
     """Every record of the listed files: its page, kind, payload and what the headers say of it.
 
@@ -243,14 +259,14 @@ def read(manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 for headers, block in map(parse, records(path)):
-                    revisit = headers["WARC-Type"] == "revisit"
+                    revisit, payload = headers["WARC-Type"] == "revisit", payload_of(block)
                     stated = headers["WARC-Payload-Digest"].removeprefix("sha1:")
-                    if not revisit and digest(block) != stated:
+                    if not revisit and digest(payload) != stated:
                         raise ValueError(f"{path}: the payload of {headers['WARC-Record-ID']} is damaged")
                     rows.append({"page_id": page(headers["WARC-Record-ID"]), "record_type": headers["WARC-Type"],
                                  "refers_to": page(headers.get("WARC-Refers-To")),
                                  "payload_bytes": int(headers["X-Payload-Length"]), "payload_digest": stated,
-                                 "url": headers["WARC-Target-URI"], "payload": None if revisit else block})
+                                 "url": headers["WARC-Target-URI"], "payload": None if revisit else payload})
                     size += len(block)
                     if size > _BATCH_BYTES or len(rows) >= 1000:
                         yield pa.RecordBatch.from_pylist(rows, schema)

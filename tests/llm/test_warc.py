@@ -1,4 +1,3 @@
-import hashlib
 import struct
 
 import zstandard
@@ -64,11 +63,36 @@ def test_every_file_carries_its_dictionary_and_single_frames(spark, tmp_path):
             assert data[at:at + 4] == warc.ZSTD_MAGIC
             one = zstandard.ZstdDecompressor(dict_data=dictionary).decompressobj()
             headers, block = warc.parse(one.decompress(data[at:]))
-            assert hashlib.sha1(block).digest() and headers["WARC-Type"] in ("response", "revisit")
+            payload = warc.payload_of(block)
+            assert len(payload) == (int(headers["X-Payload-Length"]) if headers["WARC-Type"] == "response" else 0)
             at, frames = len(data) - len(one.unused_data), frames + 1
         assert frames == row.records
 
 
+def test_records_have_what_the_format_demands(spark, tmp_path):
+    """Mandatory fields in every record; each block is an HTTP response of which a plain parser makes the payload."""
+    rows = [(1, "http://a", "one"), (2, "http://b", "one"), (3, None, "x\r\n\r\ny"), (4, "u", None)]
+    df = spark.createDataFrame([(*r, d) for r, d in zip(rows, ("2024-05-06 07:08:09", None, None, None))], SCHEMA + ", seen string")
+    df = df.withColumn("seen", df.seen.cast("timestamp"))
+    manifest = warc.write(df, f"file://{tmp_path}/dated", captured_at="seen")
+    dates, payloads = {}, {}
+    for row in manifest.collect():
+        for record in warc.records(row.path):
+            assert record.startswith(b"WARC/1.1\r\n") and record.endswith(b"\r\n\r\n")
+            headers, block = warc.parse(record)
+            assert {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length", "WARC-Target-URI"} <= set(headers)
+            assert headers["Content-Type"] == "application/http; msgtype=response"
+            assert len(record) == record.index(b"\r\n\r\n") + 4 + len(block) + 4
+            status, *fields = block.partition(b"\r\n\r\n")[0].split(b"\r\n")
+            assert status == b"HTTP/1.1 200 OK" and b"Content-Length: " + headers["X-Payload-Length"].encode() in fields
+            page = int(headers["WARC-Record-ID"].split(":")[2])
+            dates[page], payloads[page] = headers["WARC-Date"], (headers["WARC-Type"], warc.payload_of(block))
+    assert dates == {1: "2024-05-06T07:08:09Z", 2: warc.NO_DATE, 3: warc.NO_DATE, 4: warc.NO_DATE}
+    assert payloads == {1: ("revisit", b""), 2: ("response", b"one"), 3: ("response", b"x\r\n\r\ny"), 4: ("response", b"")}
+    assert {r.page_id: r.payload and bytes(r.payload) for r in warc.read(manifest).collect()} == {
+        1: None, 2: b"one", 3: b"x\r\n\r\ny", 4: b""}
+
+
 def test_without_pages_and_with_other_columns(spark, tmp_path):
     manifest, got = archived(spark, tmp_path, [])
     assert got == [] and manifest.count() == 0
