@@ -35,6 +35,9 @@ _MARKS = (
     (codecs.BOM_UTF32_LE, "utf-32"), (codecs.BOM_UTF32_BE, "utf-32"), (codecs.BOM_UTF8, "utf-8-sig"),
     (codecs.BOM_UTF16_LE, "utf-16"), (codecs.BOM_UTF16_BE, "utf-16"))
 _WIDE = ("utf-16", "utf-32")
+# Bytes of a wide file that one task reads; a multiple of every code unit.
+WIDE_RANGE = 16 << 20
+MOST_TASKS = 10_000
 
 FINGERPRINT = (
     "path string, source string, declared string, encoding_used string, sha256_in string, bytes_in bigint, "
@@ -42,11 +45,12 @@ FINGERPRINT = (
 
 
 def _open(path: str):
+    """The file for reading, from any place in it."""
     from pyarrow import fs
 
     uri = re.sub(r"^file:/+", "file:///", path)
     filesystem, inner = fs.FileSystem.from_uri(uri)
-    return filesystem.open_input_stream(inner)
+    return filesystem.open_input_file(inner)
 
 
 class _Probe:
@@ -112,26 +116,86 @@ def fingerprints(spark: SparkSession, folders: Mapping[str, tuple[str, str]]) ->
         listing = listing.unionByName(
             found.select("path", F.lit(source).alias("source"), F.lit(declared).alias("declared")))
     # a listing is tiny; an explicit number of tasks keeps large files from sharing one
-    return listing.repartition(max(1, min(listing.count(), 10_000))).mapInPandas(_fingerprints, FINGERPRINT)
+    return listing.repartition(max(1, min(listing.count(), MOST_TASKS))).mapInPandas(_fingerprints, FINGERPRINT)
+
+
+def _byte_order(encoding: str, head: bytes) -> tuple[str, int]:
+    """Codec of one byte order, and bytes of the byte-order mark, from the first bytes of a file."""
+    for order in ("le", "be"):
+        codec = f"{encoding}-{order}"
+        if head.startswith("\ufeff".encode(codec)):
+            return codec, len("\ufeff".encode(codec))
+    return f"{encoding}-{'le' if sys.byteorder == 'little' else 'be'}", 0
+
+
+def _read(stream, size: int) -> bytes:
+    """As many bytes as asked for, fewer only at the end."""
+    parts = []
+    while size and (block := stream.read(size)):
+        parts.append(block)
+        size -= len(block)
+    return b"".join(parts)
+
+
+def _line_start(stream, at: int, limit: int, newline: bytes) -> int:
+    """The first place from ``at`` on where a line begins; ``limit`` if none does before it."""
+    unit = len(newline)
+    place = at - unit
+    stream.seek(place)
+    while place + unit < limit and (block := _read(stream, _BLOCK)):
+        hit = block.find(newline)
+        while hit >= 0 and hit % unit:  # the end of one code unit and the beginning of the next
+            hit = block.find(newline, hit + 1)
+        if hit >= 0:
+            return min(place + hit + unit, limit)
+        place += len(block)
+    return limit
+
+
+def _range_lines(stream, size: int, encoding: str, start: int, stop: int) -> Iterator[list[str]]:
+    """The lines of a wide file that begin in ``[start, stop)``, in pieces; each is read to its end, wherever that is.
+
+    A line feed is a code unit of its own, never half of a surrogate pair, so what lies between two of them decodes
+    alone. A range inside a long line stops at its own end, so only the line's first range reads all of it.
+    """
+    stream.seek(0)
+    codec, mark = _byte_order(encoding, _read(stream, 4))
+    newline = "\n".encode(codec)
+    stop = min(stop, size)
+    begin = _line_start(stream, start, stop, newline) if start else 0
+    if begin >= stop:
+        return
+    begin = max(begin, mark)
+    left = (size if stop == size else _line_start(stream, stop, size, newline)) - begin
+    stream.seek(begin)
+    decoder, rest = codecs.getincrementaldecoder(codec)("strict"), []
+    while left and (block := _read(stream, min(_BLOCK, left))):
+        left -= len(block)
+        first, *others = decoder.decode(block).split("\n")
+        rest.append(first)
+        if others:
+            yield ["".join(rest), *others[:-1]]
+            rest = [others[-1]]
+    tail = "".join(rest) + decoder.decode(b"", True)
+    if tail:
+        yield [tail]
 
 
 def _wide_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        for path, encoding in zip(pdf.path, pdf.encoding_used):
-            decoder = codecs.getincrementaldecoder(encoding)("strict")
-            rest, lines, seen = "", [], 0
+        for path, encoding, size, start, stop in zip(pdf.path, pdf.encoding_used, pdf.bytes_in, pdf.start, pdf.stop):
+            seen = 0
             with _open(path) as stream:
-                while block := stream.read(_BLOCK):
-                    *whole, rest = (rest + decoder.decode(block)).split("\n")
-                    lines += whole
-                    if len(lines) >= _BATCH:
-                        yield pd.DataFrame({"path": path, "text": lines, "at": range(seen, seen + len(lines))})
-                        lines, seen = [], seen + len(lines)
-            rest += decoder.decode(b"", True)
-            if rest:
-                lines.append(rest)
-            if lines:
-                yield pd.DataFrame({"path": path, "text": lines, "at": range(seen, seen + len(lines))})
+                for lines in _range_lines(stream, size, encoding, start, stop):
+                    for k in range(0, len(lines), _BATCH):
+                        part = lines[k:k + _BATCH]
+                        yield pd.DataFrame({"path": path, "text": part, "at": range(seen, seen + len(part)), "block": start})
+                        seen += len(part)
+
+
+def _ranges(files: DataFrame, size: int) -> DataFrame:
+    start = F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("bytes_in") - 1, F.lit(0)), F.lit(size).cast("bigint")))
+    return files.select("path", "encoding_used", "bytes_in", start.alias("start")).withColumn("stop", F.col("start") + size)
 
 
 def _decoder(encoding: str):
@@ -162,24 +226,29 @@ def text_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
         F.monotonically_increasing_id().alias("at"), F.col("value").alias("text"))
 
 
-def normalised_lines(spark: SparkSession, files: DataFrame) -> DataFrame:
+def normalised_lines(spark: SparkSession, files: DataFrame, wide_range: int = WIDE_RANGE) -> DataFrame:
     """Lines of every decodable file: (path, block, at, source, line, crlf, nfc_changed).
 
     ``files`` is a stored result of ``fingerprints``. Files of plain ASCII never leave the JVM; of the
-    others Python sees only lines that hold a character outside ASCII. The file list goes through the
-    driver, the files do not.
+    others Python sees only lines that hold a character outside ASCII. A UTF-16 or UTF-32 file is read by a task for every
+    ``wide_range`` bytes, a multiple of four. The file list goes through the driver, the files do not.
     """
+    if wide_range <= 0 or wide_range % 4:
+        raise ValueError("wide_range must be a positive multiple of four")
     good = files.filter("decodable")
     byte_files: dict[tuple[str, str], list[str]] = {}
     for row in good.filter(~F.col("encoding_used").isin(*_WIDE)).select(
             "path", "source", "encoding_used", "ascii_only").collect():
         kind = "ascii" if row["ascii_only"] else row["encoding_used"]
         byte_files.setdefault((row["source"], kind), []).append(row["path"])
-    wide = good.filter(F.col("encoding_used").isin(*_WIDE)).select("path", "source", "encoding_used")
+    wide = good.filter(F.col("encoding_used").isin(*_WIDE))
     parts = []
-    for source in sorted(r["source"] for r in wide.select("source").distinct().collect()):
-        own = wide.filter(F.col("source") == source).mapInPandas(_wide_lines, "path string, text string, at bigint")
-        parts.append(_clean(own.withColumn("block", F.lit(0).cast("bigint")), source, compose=True))
+    pieces = wide.groupBy("source").agg(F.sum(F.ceil(F.col("bytes_in") / wide_range)).alias("n")).orderBy("source")
+    for row in pieces.collect():
+        ranges = _ranges(wide.filter(F.col("source") == row["source"]), wide_range)
+        own = ranges.repartition(max(1, min(row["n"], MOST_TASKS))).mapInPandas(
+            _wide_lines, "path string, text string, at bigint, block bigint")
+        parts.append(_clean(own, row["source"], compose=True))
     for (source, encoding), paths in byte_files.items():
         raw = text_lines(spark, paths)
         if encoding == "utf-8-sig":

@@ -5,6 +5,7 @@ import random
 import unicodedata
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.plans import reconcile as runs
 from ledgerloom.sources import normalise, records, registry
@@ -104,3 +105,41 @@ def test_manifest_hashes_what_is_kept(spark, tmp_path):
         assert row.sha256_in == hashlib.sha256(data).hexdigest() and row.bytes_in == len(data)
         assert (row.bytes_out, row.lines) == (len(text), text.count(b"\n")), name
         assert row.dst and row.dst.rsplit("/", 1)[1].startswith("lines-")
+
+
+WIDE_TEXT = "a\n\nb\u0a0a\u000a\u0a00\U0001f600" + "\U0001f600" * 40 + "\n\u0100\u0a00\n" + "long " * 50 + "\nend"
+
+
+@pytest.mark.parametrize("codec", ["utf-16-le", "utf-16-be", "utf-32-le", "utf-32-be"])
+@pytest.mark.parametrize("end", ["", "\n", "\n\n"])
+@pytest.mark.parametrize("marked", [True, False])
+def test_ranges_of_a_wide_file_give_its_lines_once(codec, end, marked):
+    text = WIDE_TEXT + end
+    data = (("\ufeff" if marked else "") + text).encode(codec)
+    if not marked and codec.endswith("be"):
+        data = ("\ufeff" + text).encode(codec)  # without a mark the machine's own order is meant
+    want = text.split("\n")
+    want = want[:-1] if not want[-1] else want
+    for step in (4, 8, 12, 64, 1 << 20):
+        got = []
+        for start in range(0, len(data), step):
+            for lines in normalise._range_lines(io.BytesIO(data), len(data), codec[:6], start, start + step):
+                got += lines
+        assert got == want, (codec, step)
+
+
+def test_a_wide_file_is_read_by_several_tasks(spark, tmp_path):
+    rows = [f'{k};"two\nlines \U0001f600";{"e\u0301" * (k % 7)}' for k in range(500)]
+    (tmp_path / "wide.csv").write_bytes(("k;t;e\n" + "\n".join(rows)).encode("utf-16"))
+    (tmp_path / "mark.csv").write_bytes(b"\xff\xfe")
+    files = normalise.fingerprints(spark, {"wide": (str(tmp_path), "utf-8")}).cache()
+    lines = normalise.normalised_lines(spark, files, 4096)
+    tasks = lines.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > 3
+    text = unicodedata.normalize("NFC", "\n".join(rows))
+    assert [r.line for r in lines.orderBy("block", "at").collect()] == ("k;t;e\n" + text).split("\n")
+    # records that span lines are put together over the ranges
+    whole = records.joined_records(lines.select("path", "block", "at", "line"), ";").orderBy("block", "at").collect()
+    assert [r.line for r in whole[1:]] == [unicodedata.normalize("NFC", r) for r in rows]
+    with pytest.raises(ValueError):
+        normalise.normalised_lines(spark, files, 6)
