@@ -152,11 +152,13 @@ check("timezone_converted", lambda x: Q.timezone_converted(x.google_play, x.ledg
       """SELECT g.match_key, g.created_at_utc FROM google_play g LEFT JOIN ledger l ON l.psp = 'google_play'
          AND l.captured_at_utc = g.created_at_utc AND l.sku = split_part(g.match_key, '|', 2)
          AND l.country = split_part(g.match_key, '|', 3) AND l.operation_type = g.operation_type WHERE l.txn_id IS NULL""")
+# Some of the orders whose date is read the other way are not pinned.
+_PINNED = "psp = 'paypal_eu' AND k % 401 = 24 AND k % 3 <> 0"
 check("date_override_bounded",
-      lambda x: Q.date_override_bounded(x.paypal, x.payments.filter("psp = 'paypal_eu' and k % 401 = 24").select(
+      lambda x: Q.date_override_bounded(x.paypal, x.payments.filter(_PINNED).select(
           F.concat(F.lit("ORD-"), F.col("k").cast("string")).alias("order_ref"))),
       "psp order_ref psp_reference created_at_utc:t",
-      """SELECT * FROM (WITH pinned AS (SELECT 'ORD-' || k AS order_ref FROM payments WHERE psp = 'paypal_eu' AND k % 401 = 24),
+      f"""SELECT * FROM (WITH pinned AS (SELECT 'ORD-' || k AS order_ref FROM payments WHERE {_PINNED}),
          seen AS (SELECT * FROM paypal WHERE date_format_overridden)
          SELECT psp, order_ref, psp_reference, created_at_utc FROM seen WHERE order_ref NOT IN (SELECT order_ref FROM pinned)
          UNION ALL SELECT 'expected_override_count', CAST(n AS VARCHAR), NULL, NULL FROM (SELECT count(*) AS n FROM seen)

@@ -114,11 +114,8 @@ register("quoted_records", roundtrip.quoted_file, "order_id note status", roundt
 register("multi_file_ledger", roundtrip.google_parts, _CONFORMED, "SELECT * FROM google_play")
 register("multi_account_tag", roundtrip.paypal_accounts, f"{_CONFORMED} related_psp_reference date_format_overridden:b",
          "SELECT * FROM paypal")
-register("source_registry", roundtrip.registered_views, "source n_rows:i",
-         "SELECT 'adyen_payment_accounting' AS source, count(*) AS n_rows FROM adyen_raw "
-         "UNION ALL SELECT 'dlocal_transactions', count(*) FROM dlocal_raw "
-         "UNION ALL SELECT 'payment_engine_log', count(*) FROM payment_log_raw "
-         "UNION ALL SELECT 'fx_rates', count(*) FROM fx_rates_raw")
+register("source_registry", roundtrip.registered_views, "source n_rows:i column_name filled:i bytes:i least most",
+         roundtrip.REGISTERED_CHECK)
 register("byte_normalise", roundtrip.normalised_names, "source line",
          roundtrip.NORMALISED_CHECK)
 register("ingest_manifest", roundtrip.manifest_by_file,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 
 import pandas as pd
@@ -115,13 +115,51 @@ def paypal_accounts(x: Derived) -> DataFrame:
     return staging.paypal(staging.tag_accounts(exports), *x.window)
 
 
+# The exports that a run registers, each as it is written: its rows in SQL, and the same rows in its provider's dialect.
+_REGISTERED: dict[str, tuple[str, Callable[[Derived], str]]] = {
+    "payment_engine_log": ("payment_log_raw", lambda x: _write_csv(x.payment_log_raw, "payment_log")),
+    "paypal_us_activity": ("(SELECT * EXCLUDE (account) FROM paypal_raw WHERE account = 'paypal_us')",
+                           lambda x: _write_csv(_account(x, "paypal_us"), "paypal_us")),
+    "paypal_eu_activity": ("(SELECT * EXCLUDE (account) FROM paypal_raw WHERE account = 'paypal_eu')",
+                           lambda x: _write_csv(_account(x, "paypal_eu"), "paypal_eu", sep=";")),
+    "adyen_payment_accounting": ("adyen_raw", lambda x: _write_csv(x.adyen_raw, "adyen")),
+    "dlocal_transactions": ("dlocal_raw", lambda x: _write_csv(x.dlocal_raw, "dlocal")),
+    "google_play_earnings": ("(SELECT * EXCLUDE (part) FROM google_play_raw)",
+                             lambda x: _write_google(x.google_play_raw.drop("part"), "google")),
+    "fx_rates": ("fx_rates_raw", lambda x: _write_csv(x.fx_rates_raw, "fx_rates")),
+    "fee_schedule": (f"(SELECT * FROM (VALUES {', '.join(map(str, exports.CONTRACT_ROWS))}) AS c({', '.join(exports.CONTRACT_COLUMNS)}))",
+                     lambda x: _write_csv(x.contracts_raw, "fee_schedule")),
+}
+
+
+def _account(x: Derived, account: str) -> DataFrame:
+    return x.paypal_raw.filter(F.col("account") == account).drop("account")
+
+
 def registered_views(x: Derived) -> DataFrame:
-    frames = {"adyen_payment_accounting": x.adyen_raw, "dlocal_transactions": x.dlocal_raw,
-              "payment_engine_log": x.payment_log_raw, "fx_rates": x.fx_rates_raw}
-    specs = registry.registry({name: _write_csv(df, name) for name, df in frames.items()})
-    views = registry.register_views(x.spark, specs)
-    return x.spark.sql(" UNION ALL ".join(
-        f"SELECT '{v}' AS source, count(*) AS n_rows FROM {v}" for v in views))
+    """Every column of every registered view: rows of the view, filled cells, their bytes and range."""
+    views = registry.register_views(x.spark, registry.registry({name: write(x) for name, (_, write) in _REGISTERED.items()}))
+    told = None
+    for view in views:
+        read = x.spark.table(view)
+        counted = read.agg(F.count("*").alias("n"), *[F.struct(
+            F.count(F.col(f"`{c}`")).alias("filled"), F.sum(F.octet_length(F.col(f"`{c}`"))).alias("bytes"),
+            F.min(F.col(f"`{c}`")).alias("least"), F.max(F.col(f"`{c}`")).alias("most")).alias(f"_{k}")
+            for k, c in enumerate(read.columns)])
+        cells = F.array(*[F.struct(
+            F.lit(c).alias("column_name"), *[F.col(f"_{k}.{part}") for part in ("filled", "bytes", "least", "most")]) for k, c in enumerate(read.columns)])
+        rows = counted.select(F.lit(view).alias("source"), F.col("n").alias("n_rows"), F.explode(cells).alias("c")).select(
+            "source", "n_rows", "c.*")
+        told = rows if told is None else told.unionByName(rows)
+    return told
+
+
+# An empty cell of a file is null.
+REGISTERED_CHECK = " UNION ALL ".join(
+    f"SELECT '{name}' AS source, (SELECT count(*) FROM {rows}) AS n_rows, column_name, count(v) AS filled, "
+    "sum(strlen(v)) AS bytes, min(v) AS least, max(v) AS most FROM (SELECT column_name, nullif(v, '') AS v FROM (SELECT CAST(COLUMNS(*) AS VARCHAR) "
+    f"FROM {rows}) UNPIVOT INCLUDE NULLS (v FOR column_name IN (COLUMNS(*)))) GROUP BY column_name"
+    for name, (rows, _) in _REGISTERED.items())
 
 
 # Names with accents; in one export they come decomposed (letter + combining mark).
