@@ -9,8 +9,9 @@ more than a range.
 Pieces that no best segmentation can use, because shorter pieces spell the same at a better score, are left out of the
 table: for a model whose scores are merge ranks these are two thirds.
 
-Texts are stored as numbers into the vocabulary of their block, some megabytes of text. The vocabularies, not the
-texts, go through the shuffles to the lattice and come back as ids to their block.
+Texts are stored as numbers into the vocabulary of their block, some tens of megabytes of text. The vocabularies, not
+the texts, go through the shuffles to the lattice and come back as ids to their block: the larger the block, the fewer
+words. Tasks cut, number and decode the texts of a block in small parts, so that a block costs them little memory.
 """
 
 from __future__ import annotations
@@ -35,11 +36,11 @@ SPACE = "▁"
 # Fixed value: what an unknown character scores below the worst piece.
 UNKNOWN_PENALTY = 10.0
 
-# Texts are stored and brought together with their ids in blocks of about so many bytes, and cut in parts of them.
-BLOCK_BYTES = 14 << 20
+# Texts are stored and brought together with their ids in blocks of about so many bytes, which share a vocabulary. They
+# are numbered in parts of about so many bytes, and cut in parts of them.
+BLOCK_BYTES = 36 << 20
+PART_BYTES = 4 << 20
 _CUT_BYTES = 1 << 20
-# Ids travel less this number, in 16 bits each where there are few enough of them.
-_SHIFT = 1 << 15
 # Rows whose texts and ids are put together at a time.
 _ROWS = 500
 # Places of a word that are exploded and folded together.
@@ -357,53 +358,73 @@ def encode_words(words: DataFrame, model: Model) -> DataFrame:
 # --- texts ------------------------------------------------------------------------------------------------------
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Consecutive rows of about ``BLOCK_BYTES``."""
+def _parts(batch: pa.RecordBatch, part_bytes: int) -> Iterator[tuple[pa.RecordBatch, int]]:
+    """Consecutive rows of about ``part_bytes``, and the bytes of their texts."""
     start = size = 0
     for row, text in enumerate(utf8(batch.column(1))):
         size += len(text)
-        if size >= BLOCK_BYTES:
-            yield batch.slice(start, row + 1 - start)
+        if size >= part_bytes:
+            yield batch.slice(start, row + 1 - start), size
             start, size = row + 1, 0
     if start < batch.num_rows:
-        yield batch.slice(start)
+        yield batch.slice(start), size
+
+
+def _numbered(part: pa.RecordBatch, vocabulary: pa.Array, cutter: Cutter) -> tuple[dict, pa.Array]:
+    """The texts of ``part`` as numbers into ``vocabulary``, and the words it has to be continued by."""
+    words, counts = cutter.words(utf8(part.column(1)))
+    coded = words.dictionary_encode()
+    del words
+    different, indices = coded.dictionary.cast(pa.string()), coded.indices.to_numpy()
+    # Frequent words get low numbers. Byte by byte, the high ones being mostly zero, numbers take little room; so do
+    # words of one frequency, in order of the alphabet.
+    order = pc.sort_indices(different).to_numpy()
+    order = order[np.argsort(-np.bincount(indices, minlength=len(different))[order], kind="stable")]
+    known = pc.index_in(different, value_set=vocabulary)
+    place = known.fill_null(-1).to_numpy().copy()
+    new = order[place[order] < 0]
+    place[new] = np.arange(len(vocabulary), len(vocabulary) + len(new), dtype=np.int32)
+    planes = np.ascontiguousarray(place[indices].view(np.uint8).reshape(-1, 4).T)
+    rows = pa.record_batch([part.column(0), part.column(1).is_null(), pa.array(counts)], names=["doc_id", "absent", "size"])
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
+    with pa.ipc.new_stream(sink, rows.schema, options=options) as stream:
+        stream.write_batch(rows)
+    packed = pa.Codec("zstd", 9).compress(pa.py_buffer(planes), asbytes=True)
+    return {"rows": sink.getvalue().to_pybytes(), "numbers": packed, "n": len(indices)}, different.take(pa.array(new))
 
 
 def _in_numbers(docs: DataFrame, model: Model) -> DataFrame:
     """Blocks of documents: their number, the different words in them, and each text as numbers of its words."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    block_bytes, part_bytes = BLOCK_BYTES, min(PART_BYTES, BLOCK_BYTES)
+    schema = pa.schema([("block", pa.int64()), ("words", pa.list_(pa.string())), ("parts", pa.list_(pa.struct(
+        [("rows", pa.binary()), ("numbers", pa.binary()), ("n", pa.int64())])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, block = _cutter(shared.value), TaskContext.get().partitionId() << 32
-        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
+        words, parts, size = pa.array([], pa.string()), [], 0
+
+        def stored() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([
+                pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
+                pa.array([parts], schema.field("parts").type)], schema=schema)
+
         for batch in batches:
-            for part in _blocks(batch):
-                words, counts = cutter.words(utf8(part.column(1)))
-                coded = words.dictionary_encode()
-                del words
-                # The most frequent word is number 0. Byte by byte, the high ones being mostly zero, numbers take
-                # little room.
-                order = np.argsort(-np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary)), kind="stable")
-                place = np.empty(len(order), np.int32)
-                place[order] = np.arange(len(order), dtype=np.int32)
-                planes = np.ascontiguousarray(place[coded.indices.to_numpy()].view(np.uint8).reshape(-1, 4).T)
-                rows = pa.record_batch([part.column(0), part.column(1).is_null(), pa.array(counts)],
-                                       names=["doc_id", "absent", "size"])
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, rows.schema, options=options) as stream:
-                    stream.write_batch(rows)
-                packed = pa.Codec("zstd", 9).compress(pa.py_buffer(planes), asbytes=True)
-                different = coded.dictionary.take(pa.array(order)).cast(pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(different)], pa.int32()), different),
-                     pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([packed], pa.binary()), pa.array([len(coded)], pa.int64())],
-                    names=["block", "words", "rows", "numbers", "n"])
-                block += 1
+            for part, n_bytes in _parts(batch, part_bytes):
+                numbered, new = _numbered(part, words, cutter)
+                words = pa.concat_arrays([words, new])
+                parts.append(numbered)
+                size += n_bytes
                 # Workers stay for later stages; what they no longer use is given back.
-                del coded, planes, different, packed, sink
                 pa.default_memory_pool().release_unused()
+                if size >= block_bytes:
+                    yield stored()
+                    block, words, parts, size = block + 1, words[:0], [], 0
+        if parts:
+            yield stored()
 
-    return docs.mapInArrow(run, "block long, words array<string>, rows binary, numbers binary, n long")
+    return docs.mapInArrow(run, "block long, words array<string>, parts array<struct<rows: binary, numbers: binary, n: long>>")
 
 
 def _slices(data: pa.Array, bounds: np.ndarray) -> Iterator[bytes]:
@@ -419,20 +440,19 @@ def _ids_of(left: pa.Table, right: pa.Table, model: Model | None) -> pa.Table:
 
     With a model the ids are decoded again, and whether that gives the text takes the place of the text.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("round_trip", pa.bool_()) if model else ("text", pa.string()),
-                        ("ids", pa.list_(pa.int32()))])
     order = pa.array(np.argsort(right.column("number").to_numpy()))
     ids = right.column("ids").combine_chunks().take(order)
-    ids = pa.ListArray.from_arrays(ids.offsets, pc.add(ids.values.cast(pa.int32()), pa.scalar(_SHIFT, pa.int32())))
-    (block,) = left.select(["rows", "numbers", "n"]).to_pylist()
-    planes = pa.decompress(block["numbers"], block["n"] * 4, codec="zstd", asbytes=True)
-    numbers = pa.array(np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.int32).ravel())
-    del planes
+    schema = pa.schema([("doc_id", pa.int64()), ("round_trip", pa.bool_()) if model else ("text", pa.string()), ("ids", pa.list_(ids.type.value_type))])
     words = left.column("words").combine_chunks().flatten().cast(pa.large_binary())
-    out, at = [], 0
-    for rows in pa.ipc.open_stream(block["rows"]):
+    out = []
+    for part in left.column("parts").combine_chunks().flatten():
+        part = part.as_py()
+        planes = pa.decompress(part["numbers"], part["n"] * 4, codec="zstd", asbytes=True)
+        numbers = pa.array(np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.int32).ravel())
+        del planes
+        rows, at = pa.ipc.open_stream(part["rows"]).read_next_batch(), 0
         counts, absent = rows.column(2).to_numpy(), rows.column(1).to_numpy(zero_copy_only=False)
-        # A part of the rows at a time, so that what is taken out of the vocabulary stays small.
+        # A few rows at a time, so that what is taken out of the vocabulary stays small.
         for first in range(0, rows.num_rows, _ROWS):
             some = slice(first, first + _ROWS)
             bounds = np.concatenate([[0], np.cumsum(counts[some])])
@@ -448,7 +468,7 @@ def _ids_of(left: pa.Table, right: pa.Table, model: Model | None) -> pa.Table:
             if model:
                 texts = pa.array([a == b for a, b in zip(decode_ids(coded, model), texts.to_pylist(), strict=True)])
             out.append(pa.RecordBatch.from_arrays([rows.column(0)[some], texts, coded], schema=schema))
-    pa.default_memory_pool().release_unused()
+        pa.default_memory_pool().release_unused()
     return pa.Table.from_batches(out, schema)
 
 
@@ -472,25 +492,26 @@ def encode(docs: DataFrame, model: Model, checked: bool = False) -> DataFrame:
              .select("block", "number", word_key(F.col("word")).alias("key"), spelt.alias("spelt")).repartition("key"))
     different = (words.groupBy("key").agg(F.first("spelt").alias("spelt"), F.min("block").alias("block"), F.min("number").alias("number"))
                  .where("block is not null and number is not null").select("key", F.coalesce("spelt", "key").alias("word")))
-    # Spelt is null but for those few.
-    narrow = F.transform("ids", lambda k: (k - _SHIFT).cast("smallint")) if len(model.pieces) <= 2 * _SHIFT else F.transform(
-        "ids", lambda k: k - _SHIFT)
+    # Spelt is null but for those few. Ids travel, and stay in the tasks, in 16 bits each where there are few enough of them.
+    narrow = "array<smallint>" if len(model.pieces) <= 1 << 15 else "array<int>"
     brought = words.join(_encoded(different, model), "key").select(
-        F.col("block").alias("of_block"), "number", narrow.alias("ids"), "spelt")
+        F.col("block").alias("of_block"), "number", F.col("ids").cast(narrow).alias("ids"), "spelt")
     shared = docs.sparkSession.sparkContext.broadcast(model) if checked else None
 
     def joined(left: pa.Table, right: pa.Table) -> pa.Table:
         return _ids_of(left, right, shared.value if shared else None)
 
-    return blocks.groupBy("block").cogroup(brought.groupBy("of_block")).applyInArrow(
-        joined, f"doc_id long, {'round_trip boolean' if checked else 'text string'}, ids array<int>")
+    coded = blocks.groupBy("block").cogroup(brought.groupBy("of_block")).applyInArrow(
+        joined, f"doc_id long, {'round_trip boolean' if checked else 'text string'}, ids {narrow}")
+    return coded.withColumn("ids", F.col("ids").cast("array<int>"))
 
 
 def _bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
     """``df`` stored in buckets of ``key`` under the shared folder, so that a join by the key doesn't move it again."""
     spark, name = df.sparkSession, f"{label}_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(buckets, key).option("path", fresh_path(spark, label)).saveAsTable(name, format="parquet")
+    writer = df.write.bucketBy(buckets, key).option("compression", "zstd")
+    writer.option("path", fresh_path(spark, label)).saveAsTable(name, format="parquet")
     return spark.table(name)
 
 

@@ -89,6 +89,20 @@ def test_blocks_of_any_size(spark, model, monkeypatch):
     assert pieces.encode(docs.limit(0), model).count() == 0
 
 
+def test_parts_of_a_block_share_its_vocabulary(spark, model, monkeypatch):
+    """However small the parts that are numbered, a word stands once in its block, and texts and ids come back whole."""
+    texts = [(k, f"common words and rare{k % 9} ones " * 3) for k in range(60)] + [(None, "null id"), (60, None), (61, "")]
+    docs = spark.createDataFrame(texts, SCHEMA).coalesce(1)
+    usual = sorted(map(str, pieces.encode(docs, model).collect()))
+    monkeypatch.setattr(pieces, "PART_BYTES", 100)
+    (block,) = pieces._in_numbers(docs, model).collect()
+    assert len(block.parts) > 30 and len(block.words) == len(set(block.words)) < 20
+    assert sorted(map(str, pieces.encode(docs, model).collect())) == usual and len(usual) == len(texts)
+    checked = pieces.encode(docs, model, checked=True).collect()
+    assert all(row.round_trip for row in checked) and sorted(str(row.ids) for row in checked) == sorted(
+        str(row.ids) for row in pieces.encode(docs, model).collect())
+
+
 @pytest.mark.parametrize("text", ["ab" * 5_000, " " * 20_000, "é" * 511 + "=" * 514 + " x", "-" * 1023, "a" * 1025])
 def test_very_long_words(spark, model, text):
     row = pieces.decode(pieces.encode(spark.createDataFrame([(1, text)], SCHEMA), model), model).first()
