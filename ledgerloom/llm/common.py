@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterator
 from pathlib import Path
@@ -35,6 +36,14 @@ def packed(docs: DataFrame) -> DataFrame:
                        F.struct("*").alias("row"))
 
 
+def give_back() -> None:
+    """Return memory this process no longer uses to the system: a Python worker stays for later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def utf8(column: pa.Array) -> Iterator[bytes]:
     """The strings of an Arrow column as UTF-8 bytes, one at a time; a null is empty."""
     for value in column.cast(pa.binary()):

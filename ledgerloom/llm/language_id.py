@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerloom.llm.common import give_back
+
 UNDETERMINED = "und"
 ORDERS = (3, 4)
 # Bounds of learning: about so many documents a language, chosen by the hash of their text.
@@ -103,6 +105,8 @@ def _counted(sample: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lang] * len(gram), pa.string()), pa.array(gram.view(np.int64)), pa.array(count)],
                         names=["lang", "gram", "count"])
+            del by_language
+            give_back()
 
     return sample.mapInArrow(run, "lang string, gram long, count long").groupBy("lang", "gram").agg(
         F.sum("count").alias("count"))

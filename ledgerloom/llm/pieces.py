@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import utf8
+from ledgerloom.llm.common import give_back, utf8
 from ledgerloom.sources.workspace import fresh_path
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -416,8 +416,8 @@ def _in_numbers(docs: DataFrame, model: Model) -> DataFrame:
                 words = pa.concat_arrays([words, new])
                 parts.append(numbered)
                 size += n_bytes
-                # Workers stay for later stages; what they no longer use is given back.
-                pa.default_memory_pool().release_unused()
+                del numbered, new
+                give_back()
                 if size >= block_bytes:
                     yield stored()
                     block, words, parts, size = block + 1, words[:0], [], 0
@@ -440,6 +440,7 @@ def _ids_of(left: pa.Table, right: pa.Table, model: Model | None) -> pa.Table:
 
     With a model the ids are decoded again, and whether that gives the text takes the place of the text.
     """
+    give_back()  # what the worker's last tasks left
     order = pa.array(np.argsort(right.column("number").to_numpy()))
     ids = right.column("ids").combine_chunks().take(order)
     schema = pa.schema([("doc_id", pa.int64()), ("round_trip", pa.bool_()) if model else ("text", pa.string()), ("ids", pa.list_(ids.type.value_type))])
@@ -468,7 +469,8 @@ def _ids_of(left: pa.Table, right: pa.Table, model: Model | None) -> pa.Table:
             if model:
                 texts = pa.array([a == b for a, b in zip(decode_ids(coded, model), texts.to_pylist(), strict=True)])
             out.append(pa.RecordBatch.from_arrays([rows.column(0)[some], texts, coded], schema=schema))
-        pa.default_memory_pool().release_unused()
+        del numbers, rows, part
+        give_back()
     return pa.Table.from_batches(out, schema)
 
 

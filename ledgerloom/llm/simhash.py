@@ -1,13 +1,13 @@
 """SimHash near-duplicates by meet-in-the-middle ball hashing.
 
-Two fingerprints within ``radius`` bits have a word between them that both reach by flipping half the radius. Every
-distinct fingerprint that can have a partner emits all variants of its 64 bits within that distance; fingerprints
-meet by shuffle on equal variants, collisions are deduplicated and verified on all bits. An odd distance changes the
-number of set bits from even to odd, so of radius 3 the even fingerprints emit one flip and the odd ones two.
-
-A filter that loses nothing comes first: fingerprints within ``radius`` bits differ in at most half the radius in one
-of their 32-bit halves, so only those that share a variant of a half with another one emit whole variants. The work
-is on distinct fingerprints: copies are one row however many they are.
+Two fingerprints within ``radius`` bits differ in at most half the radius in one of their 32-bit halves. Every distinct
+fingerprint emits its halves and, where a half has an odd number of set bits, the half's variants of one flipped bit (at
+radius 3): an odd distance changes even to odd, so halves one bit apart meet on the even one. Rows meet by shuffle on
+equal halves and are verified on all bits: some 34 rows a fingerprint, whatever the input.
+
+Only where more meet on one half than can be compared there, whole variants do the same with all 64 bits: of radius 3
+the even fingerprints emit one flip and the odd ones two, and few can meet on each. The work is on distinct
+fingerprints: copies are one row however many they are.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import packed, same, text_hash, utf8
@@ -31,8 +31,11 @@ HASH_SEED = 42
 _HALF = 32
 # Variants are written in batches of about this many rows.
 _BATCH_ROWS = 200_000
-# Runs of equal variants up to this length are compared pair by pair, longer ones by a walk over the links.
-_SHORT_RUN = 32
+# Runs of equal variants up to this length are compared pair by pair, longer ones by a walk over the links, which gives
+# no more links than rows.
+_SHORT_RUN = 4
+# Of halves, no longer run is compared: no more can meet on a whole variant at radius 3 either.
+_LONG_RUN = 2081
 _LANES = np.uint64(0x0101010101010101)
 
 
@@ -112,37 +115,88 @@ def _flips(bits: int, most: int) -> list[int]:
     return [sum(1 << bit for bit in chosen) for size in range(most + 1) for chosen in combinations(range(bits), size)]
 
 
-def meeting(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The distinct fingerprints that share a variant of a half with another one; those left out have no link."""
-    low_half = F.col("fingerprint").bitwiseAND(F.lit((1 << _HALF) - 1))
-    halves = F.array(low_half, F.shiftrightunsigned("fingerprint", _HALF))
-    emitted = (prints.select("fingerprint", F.posexplode(halves).alias("half", "value"))
-               .select("fingerprint", "half", "value", F.explode(F.lit(_flips(_HALF, radius // 2))).alias("flip"))
-               .select(F.shiftleft(F.col("half").cast("long"), _HALF)
-                       .bitwiseOR(F.col("value").bitwiseXOR(F.col("flip"))).alias("variant"), "fingerprint"))
+def _emitted(value: Column, bits: int, radius: int) -> Column:
+    """The variants by which values within ``radius`` bits meet: odd values flip a bit more if the radius is odd."""
+    few, many = _flips(bits, radius // 2), _flips(bits, radius - radius // 2)
+    return F.explode(F.when(F.bit_count(value) % 2 == 1, F.lit(many)).otherwise(F.lit(few)))
+
+
+def _met(radius: int):
+    """Links of rows ``variant``, ``fingerprint`` that come sorted by variant, whose length is known to be bounded."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_keys, held_prints = np.empty(0, np.int64), np.empty(0, np.uint64)
+        for batch in batches:
+            keys = np.concatenate([held_keys, batch.column(0).to_numpy()])
+            found = np.concatenate([held_prints, batch.column(1).to_numpy().view(np.uint64)])
+            cut = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0  # the last run may go on
+            held_keys, held_prints = keys[cut:], found[cut:]
+            yield _linked(keys[:cut], found[:cut], radius)
+        yield _linked(held_keys, held_prints, radius)
+
+    return run
+
+
+def _linked(keys: np.ndarray, found: np.ndarray, radius: int) -> pa.RecordBatch:
+    low, high = _links_of_runs(keys, found, radius)
+    return pa.RecordBatch.from_arrays([pa.array(low.view(np.int64)), pa.array(high.view(np.int64))], names=["low", "high"])
+
+
+def _met_on_halves(radius: int):
+    """As ``_met`` for variants of halves; the fingerprints of runs too long to compare come as ``low`` with no ``high``."""
+
+    def judged(keys: np.ndarray, found: np.ndarray) -> Iterator[pa.RecordBatch]:
+        starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))[:len(keys)])
+        lengths = np.diff(np.concatenate([starts, [len(keys)]]))
+        long = np.repeat(lengths > _LONG_RUN, lengths)
+        crowd = np.unique(found[long])
+        yield pa.RecordBatch.from_arrays([pa.array(crowd.view(np.int64)), pa.nulls(len(crowd), pa.int64())], names=["low", "high"])
+        kept = ~long
+        if radius // 2 == 1 and len(keys):
+            # Halves that are equal or one bit apart meet on one of themselves; where all got by a flip, none need to.
+            halves = np.where(keys >> _HALF == 0, found.view(np.int64) & ((1 << _HALF) - 1), (found >> np.uint64(_HALF)).view(np.int64))
+            own = halves == keys & ((1 << _HALF) - 1)
+            kept &= np.repeat(np.add.reduceat(own.astype(np.int64), starts) > 0, lengths)
+        yield _linked(keys[kept], found[kept], radius)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.empty((2, 0), np.int64)  # the last row, which the next batch may go on from
+        held_keys, held_prints = np.empty(0, np.int64), np.empty(0, np.uint64)
         for batch in batches:
-            keys, found = (np.concatenate([held[k], batch.column(k).to_numpy()]) for k in range(2))
-            equal = keys[1:] == keys[:-1]
-            beside = np.zeros(len(keys), bool)
-            beside[1:] |= equal
-            beside[:-1] |= equal
-            held = np.array([keys[-1:], found[-1:]])
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(found[beside]))], names=["fingerprint"])
+            keys = np.concatenate([held_keys, batch.column(0).to_numpy()])
+            found = np.concatenate([held_prints, batch.column(1).to_numpy().view(np.uint64)])
+            cut = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0  # the last run may go on
+            yield from judged(keys[:cut], found[:cut])
+            held_keys, held_prints = keys[cut:], found[cut:]
+            if len(held_keys) > _LONG_RUN:  # told now; what stays tells the rest of the run that it is long
+                yield from judged(held_keys, held_prints)
+                held_keys, held_prints = held_keys[:_LONG_RUN + 1], held_prints[:_LONG_RUN + 1]
+        yield from judged(held_keys, held_prints)
 
-    return (emitted.repartition("variant").sortWithinPartitions("variant")
-            .mapInArrow(run, "fingerprint long").distinct())
+    return run
 
 
 def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``low`` and ``high``: links that connect every two distinct fingerprints within ``radius`` bits.
 
-    A variant is reached from at most 2,081 fingerprints at radius 3, so a run of equal variants is bounded whatever
-    the input. Those that meet in a run of many are joined by a spanning forest of that run instead of by all pairs,
-    so a dense group of near copies stays linear; components are the same.
+    Those that meet in a run of many are joined by a spanning forest of that run instead of by all pairs, so a dense
+    group of near copies stays linear; components are the same. A half can be that of any number of fingerprints: those
+    of longer runs than ``_LONG_RUN`` meet again on whole variants, which at radius 3 are reached from at most 2,081
+    fingerprints. So no task holds more than that, whatever the input.
     """
+    low_half = F.col("fingerprint").bitwiseAND(F.lit((1 << _HALF) - 1))
+    halves = F.array(low_half, F.shiftrightunsigned("fingerprint", _HALF))
+    emitted = (prints.select("fingerprint", F.posexplode(halves).alias("half", "value"))
+               .select("fingerprint", "half", "value", _emitted(F.col("value"), _HALF, radius // 2).alias("flip"))
+               .select(F.shiftleft(F.col("half").cast("long"), _HALF)
+                       .bitwiseOR(F.col("value").bitwiseXOR(F.col("flip"))).alias("variant"), "fingerprint"))
+    near = settle(emitted.repartition("variant").sortWithinPartitions("variant")
+                  .mapInArrow(_met_on_halves(radius), "low long, high long"), "near")
+    crowded = near.where("high is null").select(F.col("low").alias("fingerprint")).distinct()
+    return near.where("high is not null").unionByName(_links_by_variants(crowded, radius))
+
+
+def _links_by_variants(prints: DataFrame, radius: int) -> DataFrame:
+    """``links`` by whole variants."""
     few = np.array(_flips(64, radius // 2), np.uint64)
     many = np.array(_flips(64, radius - radius // 2), np.uint64)
 
@@ -159,23 +213,8 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
                         [pa.array(variants.view(np.int64)), pa.array(np.repeat(own, len(flips)).view(np.int64))],
                         names=["variant", "fingerprint"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_keys, held_prints = np.empty(0, np.int64), np.empty(0, np.uint64)
-        for batch in batches:
-            keys = np.concatenate([held_keys, batch.column(0).to_numpy()])
-            found = np.concatenate([held_prints, batch.column(1).to_numpy().view(np.uint64)])
-            cut = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0  # the last run may go on
-            held_keys, held_prints = keys[cut:], found[cut:]
-            yield linked(keys[:cut], found[:cut])
-        yield linked(held_keys, held_prints)
-
-    def linked(keys: np.ndarray, found: np.ndarray) -> pa.RecordBatch:
-        low, high = _links_of_runs(keys, found, radius)
-        return pa.RecordBatch.from_arrays([pa.array(low.view(np.int64)), pa.array(high.view(np.int64))],
-                                          names=["low", "high"])
-
-    return (meeting(prints, radius).mapInArrow(emit, "variant long, fingerprint long")
-            .repartition("variant").sortWithinPartitions("variant").mapInArrow(run, "low long, high long"))
+    return (prints.mapInArrow(emit, "variant long, fingerprint long")
+            .repartition("variant").sortWithinPartitions("variant").mapInArrow(_met(radius), "low long, high long"))
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:

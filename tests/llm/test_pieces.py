@@ -1,10 +1,12 @@
 import random
+import resource
 
 import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2 as proto
 
 from ledgerloom.llm import pieces
+from ledgerloom.llm.common import give_back
 
 SCHEMA = "doc_id long, text string"
 
@@ -78,6 +80,18 @@ def test_a_text_that_does_not_come_back_is_told(spark, model):
     assert {r.doc_id: r.round_trip for r in pieces.encode(docs, model, checked=True).collect()} == {1: True, 2: False}
 
 
+def test_freed_memory_goes_back_to_the_system():
+    """Small pieces freed below one in use stay with the process until they are given back."""
+    def resident():
+        return int(open("/proc/self/statm").read().split()[1]) * resource.getpagesize()
+
+    held = [bytes(2_000) for _ in range(60_000)]
+    top, full = held[-1], resident()
+    del held
+    give_back()
+    assert full - resident() > 60_000_000 and len(top) == 2_000
+
+
 def test_blocks_of_any_size(spark, model, monkeypatch):
     texts = [(k, f"common words and rare{k} ones " * 3) for k in range(40)] + [(None, "null id"), (1, None), (1, None), (2, "")]
     docs = spark.createDataFrame([(*t, "extra", 0) for t in texts], "doc_id long, text string, word string, block int")

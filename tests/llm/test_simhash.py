@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import xxhash
 
 from ledgerloom.llm import simhash
@@ -117,3 +119,41 @@ def test_every_distance_of_every_radius(spark):
                  for r in simhash.links(spark.createDataFrame(signed, "fingerprint long"), radius).collect()}
         assert found == {frozenset(pair[:2]) for pair in pairs if pair[2] <= radius}
     assert simhash.links(spark.createDataFrame([], "fingerprint long")).count() == 0
+
+
+def test_half_of_many_fingerprints(spark, monkeypatch):
+    """Longer runs than are compared on a half go by whole variants, wherever a batch ends; they lose no link."""
+    rng = random.Random(21)
+    low = rng.getrandbits(32)
+    prints = {low | rng.getrandbits(32) << 32 for _ in range(300)} | {rng.getrandbits(64) for _ in range(50)}
+    for one in list(prints)[:60]:
+        prints.add(one ^ sum(1 << b for b in rng.sample(range(64), 3)))
+    numbered = dict(enumerate(sorted(prints)))
+    expected = brute_components(numbered)
+    df = spark.createDataFrame([(p - 2 ** 64 if p >> 63 else p,) for p in prints], "fingerprint long")
+    variants = []
+    whole = simhash._links_by_variants
+    for longest, batch_rows in ((2081, "10000"), (8, "10000"), (8, "7"), (0, "10000")):
+        monkeypatch.setattr(simhash, "_LONG_RUN", longest)
+        monkeypatch.setattr(simhash, "_links_by_variants", lambda crowd, radius: variants.append(crowd.count()) or whole(crowd, radius))
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
+        try:
+            roots = {r.node % 2 ** 64: r.root for r in components(simhash.links(df)).collect()}
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        groups = {}
+        for i, p in numbered.items():
+            groups.setdefault(expected[i], set()).add(roots.get(p, p))
+        assert all(len(g) == 1 for g in groups.values()) and len({g.pop() for g in groups.values()}) == len(groups)
+    assert variants[0] == 0 and 300 <= variants[1] == variants[2] < len(prints) == variants[3]
+
+
+def test_rows_emitted_grow_with_the_fingerprints(spark, monkeypatch):
+    """Random fingerprints, of which more share a half the more there are, emit no whole variants."""
+    rng = np.random.default_rng(5)
+    n = 40_000
+    df = spark.createDataFrame(pa.table({"fingerprint": rng.integers(-2 ** 63, 2 ** 63, n)}))
+    emitted = []
+    monkeypatch.setattr(simhash, "_links_by_variants", lambda crowd, radius: emitted.append(crowd.count()) or crowd.selectExpr(
+        "fingerprint as low", "fingerprint as high"))
+    assert simhash.links(df).count() == 0 and emitted == [0]
