@@ -112,6 +112,40 @@ def test_google_play_pairs_repeated_fees_in_order(spark):
     assert sorted((r.amount_local, r.fee_local) for r in rows) == [(D("10.00"), D("1.75")), (D("20.00"), D("3.00"))]
 
 
+def test_google_play_fold_is_dealt_to_tasks_by_rows(spark):
+    """However large the export, a task sorts a bounded number of rows, once to number and once to fold them."""
+    def entry(second, kind, amount, usd):
+        return ["Jul 1, 2026", f"03:00:{second:02d}", kind, "m", "DE", "EUR", amount, "1.00", "USD", usd]
+
+    rows = []
+    for second in range(60):
+        rows += [entry(second, "Charge", f"{second + 10}.00", "1.00"), entry(second, "Google fee", "-1.50", "-0.15")]
+        rows += [entry(second, "Charge", f"{second + 5}.00", "1.00")] * (second % 3)
+        rows += [entry(second, "Google fee", "-0.25", "-0.02")] * (second % 4) + [entry(second, "Charge refund", "-2.00", "-2.00")]
+        # neither a charge nor a fee, nor anything at all, and a key with fees only
+        rows += [entry(second, "Adjustment", "900.00", "900.00"), entry(second, None, "800.00", "800.00")]
+        rows += [["Jul 2, 2026", f"03:00:{second:02d}", "Google fee", "m", None, "EUR", "-1.00", "1.00", "USD", "-1.00"]]
+    raw = frame(spark, GOOGLE, rows)
+    small, large = RunConfig(fold_rows_per_task=10), RunConfig()
+    folded = staging.google_play(raw, small)
+    assert folded.rdd.getNumPartitions() == -(-len(rows) // 10) > staging.google_play(raw, large).rdd.getNumPartitions()
+    plan = folded._jdf.queryExecution().executedPlan().toString()
+    initial = plan.split("== Initial Plan ==")[-1]
+    assert initial.count("Sort [") == 2 and initial.count("Exchange ") == 1, initial
+
+    expected = []
+    for second in range(60):
+        charges = [second + 10] + [second + 5] * (second % 3)
+        fees = [D("1.50")] + [D("0.25")] * (second % 4)
+        for k, charge in enumerate(charges):
+            own = fees[k:k + 1] if k < len(charges) - 1 else fees[k:]
+            expected.append((second, "sale", D(charge), sum(own) if own else None))
+        expected.append((second, "refund", D("-2.00"), None))
+    for config in (small, large):
+        got = [(r.created_at_utc.second, r.operation_type, r.amount_local, r.fee_local) for r in staging.google_play(raw, config).collect()]
+        assert sorted(map(repr, got)) == sorted(map(repr, [(s, o, a.quantize(D("1.00")), f) for s, o, a, f in expected]))
+
+
 def test_paypal_dialects_dates_and_copies(spark):
     us = ["paypal_us", "06/28/2026", "10:00:00", "GMT", "Website Payment", "Completed", "USD", "9.99", "-0.84", "9.15", "A", "", "O1"]
     raw = frame(spark, PAYPAL, [
